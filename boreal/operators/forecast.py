@@ -1,20 +1,25 @@
 """Kernel-weighted forecast of a value at a place, a date and hours of that day.
 
 Each usable reading (strictly before the target date, at most ``lookback_days`` older) gets three
-Gaussian kernel weights — distance from its station to the target place, circular day-of-year
-distance to the target date, circular hour distance to the forecast hour — and the forecast is the
-weighted mean of the values, once with the *sum* of the three weights and once with their *product*.
+Gaussian kernel weights — distance from its station to the target place (kd), circular day-of-year
+distance to the target date (ky), circular hour distance to the forecast hour (kt) — and the
+forecast is the weighted mean of the values, once with the *sum* of the three weights and once with
+their *product*.
 
-Plan (one job, the readings are read once):
+Only kt depends on the forecast hour, and it depends on the reading only through its hour of day.
+So for a forecast hour t::
+
+    sum_r (kd + ky + kt(h_r, t)) v_r = sum_h [ A_h + kt(h, t) S_h ],  A_h = sum_{h_r = h} (kd + ky) v_r
+    sum_r  kd * ky * kt(h_r, t)  v_r = sum_h   kt(h, t) P_h,          P_h = sum_{h_r = h} kd ky v_r
+
+and likewise for the denominators. Plan (one job, the readings are read once):
 
 1. look-back filter, pushed to the scan as a date range;
-2. ``groupBy(station, day_distance, hour)`` with ``sum(value)`` and ``count(value)``: every weight
-   depends only on these three keys, so the weighted sums over readings equal weighted sums over
-   these groups. The group count is bounded by stations x 184 x 24 whatever the number of readings,
-   and the partial aggregate collapses hot stations before the shuffle;
-3. join the per-station distance weights (broadcast when the station table is within the row bound);
-4. one global aggregate with a numerator and a denominator per forecast hour and kernel (the hours
-   are parameters, expanded into columns), then one row per hour via ``inline``.
+2. join the per-station distance weights (broadcast when the station table is within the row bound);
+3. ``groupBy(hour)``: six sums per hour of day — at most 24 groups whatever the input, combined
+   map-side, so a station or hour holding a third of the readings is still one partial row per task;
+4. the forecast hours (a parameter list) are exploded over the <= 24 hourly rows and a last
+   ``groupBy(forecast hour)`` forms the two weighted means.
 
 All weights are native Column expressions; no Python runs on the executors.
 """
@@ -96,34 +101,36 @@ def kernel_regression(readings: DataFrame, stations: DataFrame, latitude: float,
     """Forecast per hour: ``hour, forecast_sum, forecast_prod`` (NULL when all weights are 0).
 
     ``readings`` needs a station key, a date or timestamp, an hour of day (0-23) and a value;
-    ``stations`` a key with latitude and longitude. Readings of stations missing from ``stations``
-    are dropped (report them with ``boreal.operators.integrity.fk_orphans``).
+    ``stations`` a key with latitude and longitude. Readings without a value, and readings of
+    stations missing from ``stations``, are not used (report the latter with
+    ``boreal.operators.integrity.fk_orphans``).
     """
-    groups = (lookback_filter(readings, target_date, lookback_days, date=date)
-              .groupBy(F.col(station).alias("station"),
-                       seasonal_day_distance(F.col(date), target_date, wrap_leap,
-                                             exact_half).alias("day_distance"),
-                       F.col(hour).alias("hour"))
-              .agg(F.sum(value).alias("value_sum"), F.count(value).alias("n")))
+    usable = (lookback_filter(readings, target_date, lookback_days, date=date)
+              .where(F.col(value).isNotNull())
+              .select(F.col(station).alias("station"), F.col(date).alias("date"),
+                      F.col(hour).alias("hour"), F.col(value).alias("value")))
     weights = bounded_broadcast(
         station_kernel_weights(stations, latitude, longitude, h_distance, station=station_key,
                                lat=lat, lon=lon).select("station", "distance_weight"),
         max_broadcast_rows)
-    g = groups.join(weights, "station")
     kd = F.col("distance_weight")
-    ky = gaussian_kernel(F.col("day_distance"), h_date)
-    sums, rows = [], []
-    for i, t in enumerate(hours):
-        kt = gaussian_kernel(circular_hour_distance(F.col("hour"), int(t)), h_time)
-        w_sum, w_prod = kd + ky + kt, kd * ky * kt
-        sums += [F.sum(w_sum * F.col("value_sum")).alias(f"sn{i}"),
-                 F.sum(w_sum * F.col("n")).alias(f"sd{i}"),
-                 F.sum(w_prod * F.col("value_sum")).alias(f"pn{i}"),
-                 F.sum(w_prod * F.col("n")).alias(f"pd{i}")]
-        rows.append(F.struct(F.lit(int(t)).alias("hour"),
-                             F.try_divide(F.col(f"sn{i}"), F.col(f"sd{i}")).alias("forecast_sum"),
-                             F.try_divide(F.col(f"pn{i}"), F.col(f"pd{i}")).alias("forecast_prod")))
-    return g.agg(*sums).select(F.inline(F.array(*rows)))
+    ky = gaussian_kernel(seasonal_day_distance(F.col("date"), target_date, wrap_leap,
+                                               exact_half), h_date)
+    v = F.col("value")
+    per_hour = (usable.join(weights, "station")
+                .select("hour", v, (kd + ky).alias("k_add"), (kd * ky).alias("k_mul"))
+                .groupBy("hour")
+                .agg(F.sum(F.col("k_add") * v).alias("a"), F.sum("k_add").alias("b"),
+                     F.sum(v).alias("s"), F.count(F.lit(1)).alias("n"),
+                     F.sum(F.col("k_mul") * v).alias("p"), F.sum("k_mul").alias("q")))
+    targets = F.explode(F.array(*[F.lit(int(t)) for t in hours])).alias("target")
+    kt = gaussian_kernel(circular_hour_distance(F.col("hour"), F.col("target")), h_time)
+    return (per_hour.select("*", targets).withColumn("kt", kt)
+            .groupBy(F.col("target").alias("hour"))
+            .agg(F.try_divide(F.sum(F.col("a") + F.col("kt") * F.col("s")),
+                              F.sum(F.col("b") + F.col("kt") * F.col("n"))).alias("forecast_sum"),
+                 F.try_divide(F.sum(F.col("kt") * F.col("p")),
+                              F.sum(F.col("kt") * F.col("q"))).alias("forecast_prod")))
 
 
 def kernel_peak_hour(forecast: DataFrame) -> DataFrame:
