@@ -125,12 +125,17 @@ def kernel_regression(readings: DataFrame, stations: DataFrame, latitude: float,
                      F.sum(F.col("k_mul") * v).alias("p"), F.sum("k_mul").alias("q")))
     targets = F.explode(F.array(*[F.lit(int(t)) for t in hours])).alias("target")
     kt = gaussian_kernel(circular_hour_distance(F.col("hour"), F.col("target")), h_time)
-    return (per_hour.select("*", targets).withColumn("kt", kt)
-            .groupBy(F.col("target").alias("hour"))
-            .agg(F.try_divide(F.sum(F.col("a") + F.col("kt") * F.col("s")),
-                              F.sum(F.col("b") + F.col("kt") * F.col("n"))).alias("forecast_sum"),
-                 F.try_divide(F.sum(F.col("kt") * F.col("p")),
-                              F.sum(F.col("kt") * F.col("q"))).alias("forecast_prod")))
+    forecast = (per_hour.select("*", targets).withColumn("kt", kt)
+                .groupBy(F.col("target").alias("hour"))
+                .agg(F.try_divide(F.sum(F.col("a") + F.col("kt") * F.col("s")),
+                                  F.sum(F.col("b") + F.col("kt") * F.col("n")))
+                     .alias("forecast_sum"),
+                     F.try_divide(F.sum(F.col("kt") * F.col("p")),
+                                  F.sum(F.col("kt") * F.col("q"))).alias("forecast_prod")))
+    # One row per requested hour even without usable readings (then NULL): the hour list is a
+    # parameter of len(hours) rows, so broadcasting it is bounded.
+    requested = readings.sparkSession.createDataFrame([(int(t),) for t in hours], "hour int")
+    return F.broadcast(requested).join(forecast, "hour", "left")
 
 
 def kernel_peak_hour(forecast: DataFrame) -> DataFrame:

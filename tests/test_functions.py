@@ -1,0 +1,105 @@
+"""Column functions on hand-made cases: calendar distances, look-back bounds, haversine, text."""
+
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from boreal.functions import (
+    before_within_days,
+    circular_hour_distance,
+    gaussian_kernel,
+    haversine_km,
+    hour_of_time,
+    is_leap_year,
+    normalized_equals,
+    seasonal_day_distance,
+    text_before,
+    year_range,
+)
+
+
+def _one(spark, expr, **cols):
+    names = list(cols)
+    df = spark.createDataFrame([tuple(cols[n] for n in names)], names) if names else spark.range(1)
+    return df.select(expr.alias("x")).first()["x"]
+
+
+@pytest.mark.parametrize("d, target, wrap_leap, exact_half, expected", [
+    # 1 January vs a 31 December target: wraps to 1 in both year kinds by default
+    (dt.date(2001, 1, 1), dt.date(2013, 12, 31), True, True, 1),
+    (dt.date(2004, 1, 1), dt.date(2013, 12, 31), True, True, 1),
+    # the recorded form does not wrap in leap years: 365 apart in 2004
+    (dt.date(2004, 1, 1), dt.date(2013, 12, 31), False, False, 365),
+    # raw distance 182 in a common year: 182, or 183 in the recorded form
+    (dt.date(2001, 1, 1), dt.date(2013, 7, 2), True, True, 182),
+    (dt.date(2001, 1, 1), dt.date(2013, 7, 2), True, False, 183),
+    # 29 February target becomes 28 February in a common year
+    (dt.date(2001, 2, 28), dt.date(2012, 2, 29), True, True, 0),
+    (dt.date(2004, 2, 29), dt.date(2012, 2, 29), True, True, 0),
+    (dt.date(2004, 2, 28), dt.date(2012, 2, 29), True, True, 1),
+    # same day of year
+    (dt.date(1999, 7, 4), dt.date(2013, 7, 4), True, True, 0),
+])
+def test_seasonal_day_distance(spark, d, target, wrap_leap, exact_half, expected):
+    got = _one(spark, seasonal_day_distance(F.col("d"), target, wrap_leap, exact_half), d=d)
+    assert got == expected
+
+
+def test_seasonal_distance_on_timestamps(spark):
+    ts = dt.datetime(2001, 12, 31, 23, 59)
+    assert _one(spark, seasonal_day_distance(F.col("d"), dt.date(2013, 1, 1)), d=ts) == 1
+
+
+@pytest.mark.parametrize("a, b, expected", [(23, 1, 2), (13, 1, 12), (1, 13, 12), (0, 14, 10),
+                                            (22, 0, 2), (5, 5, 0)])
+def test_circular_hour_distance(spark, a, b, expected):
+    assert _one(spark, circular_hour_distance(F.col("a"), b), a=a) == expected
+
+
+def test_hour_of_time_drops_minutes(spark):
+    assert _one(spark, hour_of_time("t"), t="13:59:59") == 13
+
+
+@pytest.mark.parametrize("d, expected", [
+    (dt.date(2013, 7, 4), False),            # the target day itself
+    (dt.date(2013, 7, 3), True),
+    (dt.date(2013, 7, 4) - dt.timedelta(days=2190), True),
+    (dt.date(2013, 7, 4) - dt.timedelta(days=2191), False),
+])
+def test_lookback_bounds(spark, d, expected):
+    assert _one(spark, before_within_days("d", dt.date(2013, 7, 4), 2190), d=d) is expected
+
+
+def test_year_range_inclusive(spark):
+    rows = [(dt.date(1949, 12, 31),), (dt.date(1950, 1, 1),), (dt.date(2014, 12, 31),),
+            (dt.date(2015, 1, 1),)]
+    df = spark.createDataFrame(rows, ["d"])
+    got = [r.d for r in df.where(year_range("d", 1950, 2014)).orderBy("d").collect()]
+    assert got == [dt.date(1950, 1, 1), dt.date(2014, 12, 31)]
+
+
+@pytest.mark.parametrize("y, leap", [(1900, False), (2000, True), (2004, True), (2013, False)])
+def test_is_leap_year(spark, y, leap):
+    assert _one(spark, is_leap_year("y"), y=y) is leap
+
+
+def test_haversine_and_kernel(spark):
+    # one degree of latitude on a 6367 km sphere
+    km = _one(spark, haversine_km(58.0, 14.0, 59.0, 14.0))
+    assert math.isclose(km, 6367 * math.pi / 180, rel_tol=1e-12)
+    # documented weights of the forecast widths
+    assert math.isclose(_one(spark, gaussian_kernel(F.lit(400.0), 300000)), 0.5866, abs_tol=1e-4)
+    assert math.isclose(_one(spark, gaussian_kernel(F.lit(50.0), 1000)), 0.0821, abs_tol=1e-4)
+    assert math.isclose(_one(spark, gaussian_kernel(F.lit(12.0), 31)), 0.0096, abs_tol=1e-4)
+
+
+def test_text_before(spark):
+    assert _one(spark, text_before("s", ","), s="Thompson, Bob") == "Thompson"
+    assert _one(spark, text_before("s", ","), s="NoComma") == ""
+
+
+def test_normalized_equals(spark):
+    assert _one(spark, normalized_equals("s", "fisher-price"), s="  Fisher-Price ") is True
+    assert _one(spark, F.col("s") == "fisher-price", s="Fisher-Price") is False
