@@ -1,0 +1,190 @@
+"""Warehouse questions and integrity audits on the company tables (answers of FIXTURES.md §2)."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from boreal.functions.text import normalized_equals
+from boreal.operators import integrity as I
+from boreal.operators import warehouse as W
+from company_tables import company_tables
+
+
+@pytest.fixture(scope="module")
+def t(spark):
+    return company_tables(spark)
+
+
+def names(df, col="name"):
+    return [r[col] for r in df.collect()]
+
+
+def test_table_sizes(t):
+    sizes = {k: v.count() for k, v in t.items()}
+    assert sizes == {"jbemployee": 25, "jbcity": 17, "jbstore": 4, "jbdept": 19, "jbsupplier": 16,
+                     "jbitem": 20, "jbparts": 14, "jbsupply": 25, "jbdebit": 6, "jbsale": 8}
+
+
+def test_list_and_manager_join(t):
+    assert W.list_all(t["jbemployee"]).count() == 25
+    m = W.manager_employee(t["jbemployee"], columns=("salary", "birthyear", "startyear"))
+    assert m.count() == 23
+    assert m.columns == ["manager", "employee", "salary", "birthyear", "startyear"]
+    assert ("Bullock, J.D.", "Thompson, Bob") in {(r.manager, r.employee) for r in m.collect()}
+
+
+def test_order_by_name(t):
+    out = names(W.sorted_by(t["jbdept"].where(F.col("id").isNotNull()), "name"))
+    assert len(out) == 19 and out[0] == "Bargain" and out[-3:] == ["Women's"] * 3
+
+
+def test_equality_filter(t):
+    out = W.equality_filter(t["jbparts"], "qoh", 0, not_null="id")
+    assert sorted(names(out)) == sorted(["paper tape reader", "paper tape punch", "card reader",
+                                         "card punch"])
+
+
+def test_between_sorted(t):
+    out = W.between_sorted(t["jbemployee"], "salary", 9000, 10000).collect()
+    assert [r.salary for r in out] == [9000, 9000, 9050, 10000]
+    assert {r.name for r in out[:2]} == {"Edwards, Peter", "Williams, Judy"}
+    assert [r.name for r in out[2:]] == ["Smythe, Carol", "Thomas, Tom"]
+
+
+def test_derived_age(t):
+    out = W.with_derived(t["jbemployee"], "age", F.col("startyear") - F.col("birthyear"))
+    assert out.count() == 25
+    youngest = out.orderBy("age").limit(2).collect()
+    assert [(r.name, r.age) for r in youngest] == [("Bullock, J.D.", 0), ("Ross, Stuart", 1)]
+
+
+def test_last_name_suffix(t):
+    assert names(W.prefix_suffix_like(t["jbemployee"], "name", ",", "son")) == ["Thompson, Bob"]
+
+
+def test_in_subquery_and_join_form(t):
+    fp = normalized_equals("name", "fisher-price")
+    a = W.in_subquery(t["jbitem"], "supplier", t["jbsupplier"], "id", fp)
+    b = W.join_filter(t["jbitem"], "supplier", t["jbsupplier"].withColumnRenamed("name", "sname"),
+                      "id", normalized_equals("sname", "fisher-price"), dim_columns=("sname",))
+    want = sorted(["Maze", "Squeeze Ball", "The 'Feel' Book"])
+    assert sorted(names(a)) == want and sorted(names(b)) == want
+    assert {r.sname for r in b.collect()} == {"Fisher-Price"}
+    # a plain, case-sensitive comparison finds nothing
+    assert W.in_subquery(t["jbitem"], "supplier", t["jbsupplier"], "id",
+                         F.col("name") == "fisher-price").count() == 0
+
+
+def test_cities_with_suppliers(t):
+    cities = W.in_subquery(t["jbcity"], "id", t["jbsupplier"], "city")
+    assert cities.count() == 15
+    assert W.count_rows(cities).first()["n"] == 15
+
+
+def test_heavier_than_card_reader_both_forms(t):
+    ref = normalized_equals("name", "card reader")
+    a = W.scalar_subquery_compare(t["jbparts"], "weight", ref, columns=("name", "color"))
+    b = W.theta_self_join(t["jbparts"], "weight", ref, columns=("name", "color"))
+    want = sorted(["disk drive", "tape drive", "line printer", "card punch"])
+    assert sorted(names(a)) == want and sorted(names(b)) == want
+
+
+def test_theta_join_keeps_pair_multiplicity(spark):
+    df = spark.createDataFrame([(1, "a", 5), (2, "b", 1), (3, "b", 1), (4, "c", 3)],
+                               "id int, name string, w int")
+    out = W.theta_self_join(df, "w", F.col("name") == "b", columns=("id",))
+    assert sorted(r.id for r in out.collect()) == [1, 1, 4, 4]
+    unbounded = W.theta_self_join(df, "w", F.col("name") == "b", columns=("id",),
+                                  max_broadcast_rows=0)
+    assert sorted(r.id for r in unbounded.collect()) == [1, 1, 4, 4]
+
+
+def test_scalar_subquery_needs_one_row(spark):
+    df = spark.createDataFrame([(1, "x", 5), (2, "x", 6), (3, "y", 7)], "id int, name string, w int")
+    with pytest.raises(Exception):
+        W.scalar_subquery_compare(df, "w", F.col("name") == "x").collect()
+
+
+def test_average_weight_of_black_parts(t):
+    row = W.constant_filtered_avg(t["jbparts"], "color", "black", "weight", "avg_weight").first()
+    assert (row.color, row.avg_weight) == ("black", 347.25)
+
+
+def test_total_weight_per_supplier_in_mass(t):
+    out = W.star_join_weighted_sum(t["jbsupplier"], t["jbcity"], t["jbsupply"], t["jbparts"],
+                                   normalized_equals("state", "mass"))
+    assert {r.name: r.total_weight for r in out.collect()} == {"DEC": 3120,
+                                                               "Fisher-Price": 1135000}
+
+
+def test_star_join_counts_duplicated_dimension_rows(spark, t):
+    doubled = t["jbcity"].unionByName(t["jbcity"].where(F.col("id") == 10))
+    out = W.star_join_weighted_sum(t["jbsupplier"], doubled, t["jbsupply"], t["jbparts"],
+                                   normalized_equals("state", "mass"), max_broadcast_rows=0)
+    assert {r.name: r.total_weight for r in out.collect()} == {"DEC": 6240,
+                                                               "Fisher-Price": 1135000}
+
+
+def test_below_average_table(spark, t):
+    from boreal.session import scratch_path
+    out = W.below_average_table(
+        spark, t["jbitem"], "price", "jbitems_test",
+        "id INT, name STRING, dept INT, price INT, qoh INT, supplier INT",
+        scratch_path(spark, "jbitems"))
+    assert out.count() == 14
+    assert out.agg(F.max("price")).first()[0] < 1138.8
+    assert spark.table("jbitems_test").columns == ["id", "name", "dept", "price", "qoh", "supplier"]
+
+
+PRIMARY_KEYS = {"jbemployee": ["id"], "jbdept": ["id"], "jbitem": ["id"], "jbparts": ["id"],
+                "jbsupply": ["supplier", "part", "shipdate"], "jbsale": ["debit", "item"],
+                "jbdebit": ["id"], "jbcity": ["id"], "jbstore": ["id"], "jbsupplier": ["id"]}
+FOREIGN_KEYS = [("jbdept", "store", "jbstore"), ("jbdept", "manager", "jbemployee"),
+                ("jbitem", "dept", "jbdept"), ("jbitem", "supplier", "jbsupplier"),
+                ("jbsupply", "supplier", "jbsupplier"), ("jbsupply", "part", "jbparts"),
+                ("jbsale", "item", "jbitem"), ("jbsale", "debit", "jbdebit"),
+                ("jbdebit", "employee", "jbemployee"), ("jbstore", "city", "jbcity"),
+                ("jbsupplier", "city", "jbcity"), ("jbemployee", "manager", "jbemployee")]
+
+
+def test_no_key_violations(t):
+    for table, keys in PRIMARY_KEYS.items():
+        assert I.pk_violations(t[table], keys).count() == 0, table
+    for child, col, parent in FOREIGN_KEYS:
+        assert I.fk_orphans(t[child], col, t[parent], "id").count() == 0, (child, col)
+
+
+def test_key_violations_found(spark, t):
+    dup = t["jbsupply"].unionByName(t["jbsupply"].limit(1))
+    v = I.pk_violations(dup, PRIMARY_KEYS["jbsupply"]).collect()
+    assert len(v) == 1 and v[0].n_rows == 2 and v[0].violation == "duplicate_key"
+    nulls = spark.createDataFrame([(None, "x"), (1, "y"), (1, "z")], "id int, name string")
+    got = {(r.id, r.violation) for r in I.pk_violations(nulls, "id").collect()}
+    assert got == {(None, "null_key"), (1, "duplicate_key")}
+
+
+def test_on_delete_set_null(t):
+    remaining = t["jbemployee"].where(F.col("id") != 199)
+    out = I.fk_set_null(t["jbemployee"], "manager", remaining, "id")
+    assert out.columns == t["jbemployee"].columns and out.count() == 25
+    assert out.where(F.col("manager").isNull()).count() == 11
+    assert out.where(F.col("manager") == 199).count() == 0
+
+
+def test_column_rules(t):
+    rules = {"qoh_non_negative": I.non_negative("qoh"), "name_max_20": I.max_length("name", 20),
+             "dept_not_null": I.not_null("dept"), "name_max_4": I.max_length("name", 4)}
+    got = {r.rule: r.violations for r in I.column_checks(t["jbitem"], rules).collect()}
+    long_names = sum(1 for r in t["jbitem"].collect() if len(r.name) > 4)
+    assert got == {"qoh_non_negative": 0, "name_max_20": 0, "dept_not_null": 0,
+                   "name_max_4": long_names}
+
+
+def test_default_fills_missing_timestamp(spark, t):
+    debit = t["jbdebit"].unionByName(spark.createDataFrame(
+        [(100600, None, 157, 1)], t["jbdebit"].schema))
+    fixed = dt.datetime(1995, 2, 1, 0, 0, 0)
+    out = I.with_default(debit, "sdate", F.lit(fixed))
+    assert out.where(F.col("sdate").isNull()).count() == 0
+    assert out.where(F.col("id") == 100600).first().sdate == fixed
