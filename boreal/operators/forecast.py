@@ -132,11 +132,11 @@ def kernel_regression(readings: DataFrame, stations: DataFrame, latitude: float,
                      .alias("forecast_sum"),
                      F.try_divide(F.sum(F.col("kt") * F.col("p")),
                                   F.sum(F.col("kt") * F.col("q"))).alias("forecast_prod")))
-    # One row per requested hour even without usable readings (then NULL): the hour list is a
-    # parameter of len(hours) rows, so broadcasting it is bounded.
+    # One row per requested hour even without usable readings (then NULL). The forecast side
+    # holds at most len(hours) rows, so broadcasting it is bounded.
     requested = readings.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(int(t)) for t in hours])).alias("hour"))
-    return F.broadcast(requested).join(forecast, "hour", "left")
+    return requested.join(F.broadcast(forecast), "hour", "left")
 
 
 def kernel_peak_hour(forecast: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boreal.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from boreal.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialize
 
 
 def pk_violations(table: DataFrame, keys) -> DataFrame:
@@ -41,15 +41,20 @@ def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key:
 
 def fk_orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,
                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Child rows whose non-NULL key has no parent (NULL child keys are allowed)."""
-    bad = bounded_broadcast(orphan_keys(child, child_key, parent, parent_key), max_broadcast_rows)
+    """Child rows whose non-NULL key has no parent (NULL child keys are allowed).
+
+    The orphan keys are computed once and checkpointed, then sized: broadcast when bounded,
+    otherwise a shuffled semi join (AQE splits a hot child key).
+    """
+    bad = bounded_broadcast(materialize(orphan_keys(child, child_key, parent, parent_key)),
+                            max_broadcast_rows)
     return child.join(bad, child[child_key] == bad["__k"], "left_semi")
 
 
 def fk_set_null(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``ON DELETE SET NULL`` after parents are gone: every child row, dangling keys set to NULL."""
-    bad = bounded_broadcast(orphan_keys(child, child_key, parent, parent_key)
+    bad = bounded_broadcast(materialize(orphan_keys(child, child_key, parent, parent_key))
                             .withColumn("__orphan", F.lit(True)), max_broadcast_rows)
     joined = child.join(bad, child[child_key] == bad["__k"], "left")
     fixed = F.when(F.col("__orphan"), F.lit(None).cast(child.schema[child_key].dataType)) \

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boreal.session import checkpoint_root
+
 # Bound on rows for a broadcast side: ~1M narrow rows build a hashed relation of tens of MB,
 # well under executor memory and far under Spark's 8 GB broadcast limit.
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -24,23 +26,34 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage: a reliable checkpoint written to the shared folder
+    named by ``spark.checkpoint.dir`` (survives lost executors; never a local checkpoint)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _key_side(keys: DataFrame, key: str, max_rows: int) -> DataFrame:
+    """The ``__k`` key column: broadcast as is when bounded (a broadcast semi/anti join ignores
+    duplicates), otherwise de-duplicated map-side before it is shuffled."""
+    k = keys.select(F.col(key).alias("__k")).where(F.col("__k").isNotNull())
+    if row_count_at_most(k, max_rows):
+        return F.broadcast(k)
+    return k.distinct()
+
+
 def semi_join(facts: DataFrame, keys: DataFrame, fact_key: str, key: str | None = None,
               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``facts`` whose ``fact_key`` is in ``keys`` (``IN (subquery)`` as a left semi join).
 
-    Duplicates in ``keys`` do not multiply rows; the key side is de-duplicated before the size check
-    so the broadcast holds distinct keys only.
+    Duplicates in ``keys`` never multiply rows.
     """
-    key = key or fact_key
-    distinct_keys = keys.select(F.col(key).alias("__k")).where(F.col("__k").isNotNull()).distinct()
-    right = bounded_broadcast(distinct_keys, max_rows)
+    right = _key_side(keys, key or fact_key, max_rows)
     return facts.join(right, facts[fact_key] == right["__k"], "left_semi")
 
 
 def anti_join(facts: DataFrame, keys: DataFrame, fact_key: str, key: str | None = None,
               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``facts`` whose ``fact_key`` is not in ``keys`` (NOT EXISTS, NULL keys kept)."""
-    key = key or fact_key
-    distinct_keys = keys.select(F.col(key).alias("__k")).where(F.col("__k").isNotNull()).distinct()
-    right = bounded_broadcast(distinct_keys, max_rows)
+    """Rows of ``facts`` whose ``fact_key`` is not in ``keys`` (NOT EXISTS; NULL keys kept)."""
+    right = _key_side(keys, key or fact_key, max_rows)
     return facts.join(right, facts[fact_key] == right["__k"], "left_anti")

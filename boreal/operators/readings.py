@@ -34,12 +34,18 @@ def yearly_extrema(readings: DataFrame, first_year: int = 1950, last_year: int =
 
 def yearly_argmax(readings: DataFrame, first_year: int = 1950, last_year: int = 2014, *,
                   station: str = "station", date: str = "date", value: str = "value") -> DataFrame:
-    """Highest value per year with the station that measured it (ties: the larger station key)."""
-    return (_period(readings, date, first_year, last_year)
-            .where(F.col(value).isNotNull())
-            .groupBy(F.year(date).alias("year"))
-            .agg(F.max(value).alias("max_value"),
-                 F.max_by(F.col(station), F.struct(F.col(value), F.col(station))).alias("station"))
+    """Highest value per year with the station that measured it (ties: the larger station key).
+
+    Hash-aggregated first to one maximum per (year, station); the arg-max, whose struct ordering
+    key needs a sort-based aggregate, then runs over that small table only.
+    """
+    per_station = (_period(readings, date, first_year, last_year)
+                   .where(F.col(value).isNotNull())
+                   .groupBy(F.year(date).alias("year"), F.col(station).alias("__st"))
+                   .agg(F.max(value).alias("__m")))
+    return (per_station.groupBy("year")
+            .agg(F.max("__m").alias("max_value"),
+                 F.max_by(F.col("__st"), F.struct(F.col("__m"), F.col("__st"))).alias("station"))
             .orderBy(F.col("year").desc()))
 
 
