@@ -1,0 +1,26 @@
+"""Readings aggregations over a file stream equal the batch result on the same files."""
+
+from boreal.operators import readings as R
+from boreal.session import scratch_path
+from boreal.sources import TEMPERATURE_READINGS, read_delimited
+from boreal.streaming import read_delimited_stream, run_to_parquet
+from test_readings import TEMPERATURE_LINES
+
+
+def test_stream_matches_batch(spark, tmp_path):
+    lines = TEMPERATURE_LINES.splitlines()
+    src = tmp_path / "incoming"
+    src.mkdir()
+    for i in range(0, len(lines), 4):  # readings arrive in several files
+        (src / f"part-{i:03d}.csv").write_text("\n".join(lines[i:i + 4]) + "\n")
+
+    stream = read_delimited_stream(spark, str(src), TEMPERATURE_READINGS, max_files_per_trigger=1)
+    out = scratch_path(spark, "stream-out")
+    q = run_to_parquet(R.monthly_exceedance_count(stream), out)
+    q.awaitTermination(120)
+    assert q.exception() is None
+
+    batch = read_delimited(spark, str(src), TEMPERATURE_READINGS)
+    want = sorted(tuple(r) for r in R.monthly_exceedance_count(batch).collect())
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert got == want
