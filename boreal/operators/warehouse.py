@@ -10,9 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boreal.functions.text import text_before
-from boreal.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, semi_join
+from boreal.operators.joins import (
+    DEFAULT_BROADCAST_ROWS,
+    bounded_broadcast,
+    row_count_at_most,
+    semi_join,
+)
 
 
 def list_all(table: DataFrame) -> DataFrame:
@@ -88,22 +94,70 @@ def scalar_subquery_compare(table: DataFrame, column: str, reference_filter: Col
 
 
 def theta_self_join(table: DataFrame, column: str, reference_filter: Column, columns=(),
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    range_buckets: int = 256) -> DataFrame:
     """``t1.columns FROM t t1, t t2 WHERE t1.column > t2.column AND reference_filter(t2)``.
 
     One output row per matching pair, as the join defines. The reference side is reduced to its
-    distinct values with their multiplicity; within the row bound it is broadcast into a nested-loop
-    join (no shuffle of ``t1``), and each match is repeated by the multiplicity.
+    distinct values with their multiplicity (``__rv``, ``__rn``). Within the row bound it is
+    broadcast into a nested-loop join (no shuffle of ``t1``). Beyond it, a numeric column is joined
+    as a bucketed range join (``_greater_than_by_buckets``), never as a Cartesian product.
     """
     ref = (table.where(reference_filter).where(F.col(column).isNotNull())
            .groupBy(F.col(column).alias("__rv")).agg(F.count(F.lit(1)).alias("__rn")))
-    ref = bounded_broadcast(ref, max_broadcast_rows)
+    cols = list(columns or table.columns)
+    if row_count_at_most(ref, max_broadcast_rows):
+        t1 = table.alias("t1")
+        matched = t1.join(F.broadcast(ref), F.col(f"t1.{column}") > F.col("__rv"), "inner")
+        return _repeat(matched.select(*[F.col(f"t1.{c}") for c in cols], "__rn"), "__rn", cols)
+    if isinstance(table.schema[column].dataType, T.NumericType):
+        return _greater_than_by_buckets(table, column, ref, cols, range_buckets)
     t1 = table.alias("t1")
     matched = t1.join(ref, F.col(f"t1.{column}") > F.col("__rv"), "inner")
-    cols = [F.col(f"t1.{c}") for c in (columns or table.columns)]
-    return (matched.select(*cols, F.explode(F.array_repeat(F.lit(1), F.col("__rn").cast("int")))
-                           .alias("__rep"))
-            .drop("__rep"))
+    return _repeat(matched.select(*[F.col(f"t1.{c}") for c in cols], "__rn"), "__rn", cols)
+
+
+def _repeat(df: DataFrame, count: str, cols) -> DataFrame:
+    """Each row ``count`` times (the multiplicity of the pairs it stands for)."""
+    rep = F.explode(F.array_repeat(F.lit(1), F.col(count).cast("int"))).alias("__rep")
+    return df.select(*cols, rep).drop("__rep")
+
+
+def _greater_than_by_buckets(table: DataFrame, column: str, ref: DataFrame, cols,
+                             buckets: int) -> DataFrame:
+    """Exact ``t1.column > ref.__rv`` (with multiplicities) as equi-joins on value buckets.
+
+    Split points are approximate quantiles of the reference values (at most ``buckets - 1``
+    numbers). For a row in bucket b, every reference value in a lower bucket is smaller: those are
+    counted from a cumulative table of at most ``buckets`` rows (broadcast, bounded by the
+    parameter). Only reference values of the same bucket are compared one by one, through an
+    equi-join on the bucket (AQE splits a bucket holding many ``t1`` rows).
+    """
+    from pyspark.ml.feature import Bucketizer
+    from pyspark.sql import Window
+
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = sorted(set(ref.approxQuantile("__rv", probs, 1.0 / (4 * buckets))))
+    splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] \
+        + [float("inf")]
+
+    def bucketed(df, value_col):
+        b = Bucketizer(splits=splits, inputCol="__x", outputCol="__b", handleInvalid="keep")
+        return b.transform(df.withColumn("__x", F.col(value_col).cast("double"))).drop("__x")
+
+    ref_b = bucketed(ref, "__rv")
+    totals = ref_b.groupBy("__b").agg(F.sum("__rn").alias("__tot"))
+    below = F.sum("__tot").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
+    ids = table.sparkSession.range(len(splits)).select(F.col("id").cast("double").alias("__b"))
+    cumulative = (ids.join(totals, "__b", "left")
+                  .select("__b", F.coalesce(below, F.lit(0)).alias("__below")))
+    t1 = bucketed(table.where(F.col(column).isNotNull()), column)
+    lower = (t1.join(F.broadcast(cumulative), "__b").where(F.col("__below") > 0)
+             .select(*cols, "__below"))
+    same = (t1.alias("t1").join(ref_b.alias("r"), (F.col("t1.__b") == F.col("r.__b"))
+                                & (F.col(f"t1.{column}") > F.col("r.__rv")))
+            .select(*[F.col(f"t1.{c}") for c in cols], F.col("r.__rn")))
+    return _repeat(lower, "__below", cols).unionByName(_repeat(same, "__rn", cols))
 
 
 def constant_filtered_avg(table: DataFrame, key: str, key_value, value: str,

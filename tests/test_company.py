@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from boreal.functions.text import normalized_equals
 from boreal.operators import integrity as I
 from boreal.operators import warehouse as W
+from boreal.plans.inspect import plan_text
 from company_tables import company_tables
 
 
@@ -100,6 +101,22 @@ def test_theta_join_keeps_pair_multiplicity(spark):
     assert sorted(r.id for r in unbounded.collect()) == [1, 1, 4, 4]
 
 
+@pytest.mark.parametrize("buckets", [2, 3, 8, 64])
+def test_bucketed_range_join_equals_brute_force(spark, buckets):
+    import random
+    rnd = random.Random(buckets)
+    rows = [(i, rnd.choice("abc"), rnd.randrange(0, 40)) for i in range(300)]
+    rows += [(1000 + i, "a", None) for i in range(3)]
+    df = spark.createDataFrame(rows, "id int, name string, w int")
+    ref = [w for _, n, w in rows if n == "a" and w is not None]
+    want = sorted(i for i, _, w in rows for v in ref if w is not None and w > v)
+    out = W.theta_self_join(df, "w", F.col("name") == "a", columns=("id",),
+                            max_broadcast_rows=0, range_buckets=buckets)
+    assert "CartesianProduct" not in plan_text(out)
+    assert "BroadcastNestedLoopJoin" not in plan_text(out)
+    assert sorted(r.id for r in out.collect()) == want
+
+
 def test_scalar_subquery_needs_one_row(spark):
     df = spark.createDataFrame([(1, "x", 5), (2, "x", 6), (3, "y", 7)], "id int, name string, w int")
     with pytest.raises(Exception):
