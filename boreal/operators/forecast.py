@@ -15,7 +15,9 @@ So for a forecast hour t::
 and likewise for the denominators. Plan (one job, the readings are read once):
 
 1. look-back filter, pushed to the scan as a date range;
-2. join the per-station distance weights (broadcast when the station table is within the row bound);
+2. join the per-station distance weights, broadcast when the station table is within the row
+   bound; past the bound, readings are first summed per (station, day distance, hour) — at most
+   184 x 24 rows per station, combined map-side — and those sums are shuffle-joined instead;
 3. ``groupBy(hour)``: six sums per hour of day — at most 24 groups whatever the input, combined
    map-side, so a station or hour holding a third of the readings is still one partial row per task;
 4. the forecast hours (a parameter list) are exploded over the <= 24 hourly rows and a last
@@ -38,7 +40,7 @@ from boreal.functions.calendar import (
 )
 from boreal.functions.geo import haversine_km
 from boreal.functions.kernels import gaussian_kernel
-from boreal.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from boreal.operators.joins import DEFAULT_BROADCAST_ROWS, row_count_at_most
 
 # The forecast hours (00:00, then 22:00 down to 04:00 in steps of two hours), the
 # kernel widths for distance (km), days and hours, and the look-back in days.
@@ -109,20 +111,36 @@ def kernel_regression(readings: DataFrame, stations: DataFrame, latitude: float,
               .where(F.col(value).isNotNull())
               .select(F.col(station).alias("station"), F.col(date).alias("date"),
                       F.col(hour).alias("hour"), F.col(value).alias("value")))
-    weights = bounded_broadcast(
-        station_kernel_weights(stations, latitude, longitude, h_distance, station=station_key,
-                               lat=lat, lon=lon).select("station", "distance_weight"),
-        max_broadcast_rows)
+    weights = station_kernel_weights(stations, latitude, longitude, h_distance,
+                                     station=station_key, lat=lat, lon=lon) \
+        .select("station", "distance_weight")
     kd = F.col("distance_weight")
-    ky = gaussian_kernel(seasonal_day_distance(F.col("date"), target_date, wrap_leap,
-                                               exact_half), h_date)
-    v = F.col("value")
-    per_hour = (usable.join(weights, "station")
-                .select("hour", v, (kd + ky).alias("k_add"), (kd * ky).alias("k_mul"))
-                .groupBy("hour")
-                .agg(F.sum(F.col("k_add") * v).alias("a"), F.sum("k_add").alias("b"),
-                     F.sum(v).alias("s"), F.count(F.lit(1)).alias("n"),
-                     F.sum(F.col("k_mul") * v).alias("p"), F.sum("k_mul").alias("q")))
+    dd = seasonal_day_distance(F.col("date"), target_date, wrap_leap, exact_half)
+    if row_count_at_most(weights, max_broadcast_rows):
+        # Stations fit a broadcast: weight each reading map-side, no shuffle of readings.
+        ky = gaussian_kernel(dd, h_date)
+        v = F.col("value")
+        per_hour = (usable.join(F.broadcast(weights), "station")
+                    .select("hour", v, (kd + ky).alias("k_add"), (kd * ky).alias("k_mul"))
+                    .groupBy("hour")
+                    .agg(F.sum(F.col("k_add") * v).alias("a"), F.sum("k_add").alias("b"),
+                         F.sum(v).alias("s"), F.count(F.lit(1)).alias("n"),
+                         F.sum(F.col("k_mul") * v).alias("p"), F.sum("k_mul").alias("q")))
+    else:
+        # Too many stations to broadcast: reduce readings to (station, day distance, hour) sums
+        # first (at most 184 x 24 rows per station, combined map-side), then shuffle-join those.
+        ky = gaussian_kernel(F.col("day_distance"), h_date)
+        groups = (usable.groupBy("station", dd.alias("day_distance"), "hour")
+                  .agg(F.sum("value").alias("vs"), F.count(F.lit(1)).alias("vn")))
+        per_hour = (groups.join(weights, "station")
+                    .select("hour", "vs", "vn", (kd + ky).alias("k_add"),
+                            (kd * ky).alias("k_mul"))
+                    .groupBy("hour")
+                    .agg(F.sum(F.col("k_add") * F.col("vs")).alias("a"),
+                         F.sum(F.col("k_add") * F.col("vn")).alias("b"),
+                         F.sum("vs").alias("s"), F.sum("vn").alias("n"),
+                         F.sum(F.col("k_mul") * F.col("vs")).alias("p"),
+                         F.sum(F.col("k_mul") * F.col("vn")).alias("q")))
     targets = F.explode(F.array(*[F.lit(int(t)) for t in hours])).alias("target")
     kt = gaussian_kernel(circular_hour_distance(F.col("hour"), F.col("target")), h_time)
     forecast = (per_hour.select("*", targets).withColumn("kt", kt)

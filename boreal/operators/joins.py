@@ -34,12 +34,18 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def _key_side(keys: DataFrame, key: str, max_rows: int) -> DataFrame:
-    """The ``__k`` key column: broadcast as is when bounded (a broadcast semi/anti join ignores
-    duplicates), otherwise de-duplicated map-side before it is shuffled."""
+    """The ``__k`` key column for a semi / anti join.
+
+    Broadcast as is when the raw column is within the bound (a broadcast semi or anti join ignores
+    duplicates). Otherwise the keys are de-duplicated map-side (a hot key costs one row per task),
+    checkpointed once, and broadcast if the distinct keys fit the bound; only past that does the
+    join shuffle both sides.
+    """
     k = keys.select(F.col(key).alias("__k")).where(F.col("__k").isNotNull())
     if row_count_at_most(k, max_rows):
         return F.broadcast(k)
-    return k.distinct()
+    distinct = materialize(k.distinct())
+    return F.broadcast(distinct) if row_count_at_most(distinct, max_rows) else distinct
 
 
 def semi_join(facts: DataFrame, keys: DataFrame, fact_key: str, key: str | None = None,

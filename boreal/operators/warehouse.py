@@ -26,11 +26,20 @@ def list_all(table: DataFrame) -> DataFrame:
 
 
 def manager_employee(people: DataFrame, *, key: str = "id", manager: str = "manager",
-                     name: str = "name", columns=()) -> DataFrame:
-    """Each person with the name of their manager (an equi self-join; no manager, no row)."""
-    e, m = people.alias("e"), people.alias("m")
-    return (e.join(m, F.col(f"e.{manager}") == F.col(f"m.{key}"))
-            .select(F.col(f"m.{name}").alias("manager"), F.col(f"e.{name}").alias("employee"),
+                     name: str = "name", columns=(),
+                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Each person with the name of their manager (an equi self-join; no manager, no row).
+
+    The manager side is first cut to the people who manage someone (a semi join on the distinct
+    manager ids); when that set is within the row bound it is broadcast and the people table is
+    joined without a shuffle, however skewed the manager ids are.
+    """
+    managers = semi_join(people.select(key, name), people, key, manager, max_broadcast_rows)
+    m = bounded_broadcast(managers.select(F.col(key).alias("__mid"),
+                                          F.col(name).alias("__mname")), max_broadcast_rows)
+    e = people.alias("e")
+    return (e.join(m, F.col(f"e.{manager}") == F.col("__mid"))
+            .select(F.col("__mname").alias("manager"), F.col(f"e.{name}").alias("employee"),
                     *[F.col(f"e.{c}") for c in columns]))
 
 

@@ -5,10 +5,13 @@ Roles played by the TPC-H-like tables:
 * readings: ``lineitem`` — station ``l_suppkey``, date ``l_shipdate``, value ``l_extendedprice``
   (temperature-like) or ``l_quantity`` (precipitation-like);
 * a region's stations: suppliers whose nation lies in region ``EUROPE``;
-* forecast readings: ``lineitem`` with the supplier's nation as station, ``l_orderkey mod 24`` as the
-  hour and ``l_quantity`` as the value; forecast stations: ``nation`` placed on a grid
-  (latitude ``55 + 0.5 n``, longitude ``11 + 0.45 n``);
-* company tables: ``nation`` (people with a manager), ``part``, ``customer``, ``supplier``.
+* forecast readings: ``lineitem`` with ``l_suppkey`` as station, ``l_orderkey mod 24`` as the hour
+  and ``l_quantity`` as the value; forecast stations: ``supplier`` placed on a grid by key
+  (latitude ``55 + 0.2 (k mod 50)``, longitude ``11 + 0.3 (k mod 37)``);
+* company tables: ``supplier`` (people with a manager: ``s_nationkey`` names the manager's key),
+  ``part``, ``customer``, ``lineitem``.
+
+Every binding reads tables that grow with the scale factor.
 
 Floating means and weighted sums are rounded to 6 places: summation order differs between engines.
 The bindings only name columns and pick parameters; all work is done by ``boreal.operators``.
@@ -26,7 +29,6 @@ from boreal.operators import forecast as K
 from boreal.operators import integrity as I
 from boreal.operators import readings as R
 from boreal.operators import warehouse as W
-from boreal.operators.joins import bounded_broadcast
 from boreal.session import scratch_path
 from boreal.sinks import write_csv, write_delimited, write_text
 from boreal.sources import load_table, read_delimited
@@ -135,20 +137,19 @@ def regional_monthly_mean(spark, d):
 
 # ---------------------------------------------------------------- forecast
 def forecast_readings(spark, d) -> DataFrame:
-    """(station, date, hour, value): lineitem rows with their supplier's nation as the station."""
-    sup = bounded_broadcast(_t(spark, d, "supplier").select("s_suppkey", "s_nationkey"))
-    li = _t(spark, d, "lineitem")
-    return (li.join(sup, li["l_suppkey"] == sup["s_suppkey"])
-            .select(F.col("s_nationkey").alias("station"), F.col("l_shipdate").alias("date"),
-                    (F.col("l_orderkey") % 24).cast("int").alias("hour"),
-                    F.col("l_quantity").alias("value")))
+    """(station, date, hour, value) from lineitem: supplier key, ship date, order key mod 24,
+    quantity."""
+    return _t(spark, d, "lineitem").select(
+        F.col("l_suppkey").alias("station"), F.col("l_shipdate").alias("date"),
+        (F.col("l_orderkey") % 24).cast("int").alias("hour"), F.col("l_quantity").alias("value"))
 
 
 def forecast_stations(spark, d) -> DataFrame:
-    n = F.col("n_nationkey").cast("double")
-    return _t(spark, d, "nation").select(F.col("n_nationkey").alias("station"),
-                                         (F.lit(55.0) + F.lit(0.5) * n).alias("latitude"),
-                                         (F.lit(11.0) + F.lit(0.45) * n).alias("longitude"))
+    """(station, latitude, longitude): suppliers placed on a grid by key."""
+    k = F.col("s_suppkey")
+    return _t(spark, d, "supplier").select(
+        k.alias("station"), (F.lit(55.0) + F.lit(0.2) * (k % 50).cast("double")).alias("latitude"),
+        (F.lit(11.0) + F.lit(0.3) * (k % 37).cast("double")).alias("longitude"))
 
 
 def station_kernel_weights(spark, d):
@@ -184,16 +185,16 @@ def kernel_peak_hour(spark, d):
 
 # ---------------------------------------------------------------- warehouse
 def list_all(spark, d):
-    return W.list_all(_t(spark, d, "nation"))
+    return W.list_all(_t(spark, d, "supplier"))
 
 
 def manager_employee(spark, d):
-    return W.manager_employee(_t(spark, d, "nation"), key="n_nationkey", manager="n_regionkey",
-                              name="n_name", columns=("n_nationkey", "n_regionkey"))
+    return W.manager_employee(_t(spark, d, "supplier"), key="s_suppkey", manager="s_nationkey",
+                              name="s_name", columns=("s_suppkey", "s_nationkey"))
 
 
 def order_by_name(spark, d):
-    return W.sorted_by(_t(spark, d, "nation").where(F.col("n_nationkey").isNotNull()), "n_name")
+    return W.sorted_by(_t(spark, d, "supplier").where(F.col("s_suppkey").isNotNull()), "s_name")
 
 
 def equality_filter(spark, d):
@@ -229,8 +230,8 @@ def join_filter(spark, d):
 
 
 def in_subquery_distinct(spark, d):
-    return W.in_subquery(_t(spark, d, "nation"), "n_nationkey", _t(spark, d, "supplier"),
-                         "s_nationkey")
+    return W.in_subquery(_t(spark, d, "part"), "p_partkey", _t(spark, d, "lineitem"),
+                         "l_partkey")
 
 
 def count_in_subquery(spark, d):
@@ -311,9 +312,10 @@ def column_checks(spark, d):
 SUPPLIER_SCHEMA = T.StructType([
     T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType()),
     T.StructField("s_nationkey", T.IntegerType()), T.StructField("s_acctbal", T.DoubleType())])
-NATION_SCHEMA = T.StructType([
-    T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType()),
-    T.StructField("n_regionkey", T.IntegerType())])
+CUSTOMER_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+    T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
+    T.StructField("c_mktsegment", T.StringType())])
 
 
 def delimited_roundtrip(spark, d):
@@ -324,13 +326,14 @@ def delimited_roundtrip(spark, d):
 
 def csv_sink_roundtrip(spark, d):
     path = scratch_path(spark, "csv")
-    write_csv(_t(spark, d, "nation"), path, sort_columns=["n_nationkey"])
-    return spark.read.schema(NATION_SCHEMA).option("header", "true").csv(path)
+    write_csv(_t(spark, d, "customer"), path, sort_columns=["c_custkey"])
+    return spark.read.schema(CUSTOMER_SCHEMA).option("header", "true").csv(path)
 
 
 def text_sink_roundtrip(spark, d):
     path = scratch_path(spark, "text")
-    write_text(_t(spark, d, "nation"), path, sort_columns=["n_nationkey"])
+    parts = _t(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    write_text(parts, path, sort_columns=["p_partkey"])
     return spark.read.text(path)
 
 

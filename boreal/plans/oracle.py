@@ -33,15 +33,16 @@ P = _period(*B.PERIOD)
 LOOKBACK_START = B.TARGET_DATE - dt.timedelta(days=LOOKBACK_DAYS)
 
 READINGS = f"""
-  SELECT s_nationkey AS station, l_shipdate AS date, CAST(l_orderkey % 24 AS INTEGER) AS hour,
+  SELECT l_suppkey AS station, l_shipdate AS date, CAST(l_orderkey % 24 AS INTEGER) AS hour,
          l_quantity AS value
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+  FROM lineitem
   WHERE l_shipdate < {_d(B.TARGET_DATE)} AND l_shipdate >= {_d(LOOKBACK_START)}"""
 
 STATIONS = """
-  SELECT n_nationkey AS station, CAST(55.0 AS DOUBLE) + CAST(0.5 AS DOUBLE) * n_nationkey AS lat,
-         CAST(11.0 AS DOUBLE) + CAST(0.45 AS DOUBLE) * n_nationkey AS lon
-  FROM nation"""
+  SELECT s_suppkey AS station,
+         CAST(55.0 AS DOUBLE) + CAST(0.2 AS DOUBLE) * CAST(s_suppkey % 50 AS DOUBLE) AS lat,
+         CAST(11.0 AS DOUBLE) + CAST(0.3 AS DOUBLE) * CAST(s_suppkey % 37 AS DOUBLE) AS lon
+  FROM supplier"""
 
 _TLAT, _TLON = f"CAST({B.TARGET_LAT} AS DOUBLE)", f"CAST({B.TARGET_LON} AS DOUBLE)"
 KM = (f"2 * {EARTH_RADIUS_KM} * asin(sqrt(pow(sin(radians({_TLAT} - lat) / 2), 2) + "
@@ -149,11 +150,11 @@ UNION ALL
 SELECT 'prod' AS kernel, arg_max(hour, row(forecast_prod, hour)) AS hour,
        round(max(forecast_prod), 6) AS forecast FROM f""",
     # ------------------------------------------------------------ warehouse
-    "list_all": "SELECT * FROM nation",
+    "list_all": "SELECT * FROM supplier",
     "manager_employee": """
-SELECT m.n_name AS manager, e.n_name AS employee, e.n_nationkey, e.n_regionkey
-FROM nation e, nation m WHERE e.n_regionkey = m.n_nationkey""",
-    "order_by_name": "SELECT * FROM nation WHERE n_nationkey IS NOT NULL ORDER BY n_name",
+SELECT m.s_name AS manager, e.s_name AS employee, e.s_suppkey, e.s_nationkey
+FROM supplier e, supplier m WHERE e.s_nationkey = m.s_suppkey""",
+    "order_by_name": "SELECT * FROM supplier WHERE s_suppkey IS NOT NULL ORDER BY s_name",
     "equality_filter": "SELECT * FROM part WHERE p_partkey IS NOT NULL AND p_size = 1",
     "between_sorted": "SELECT * FROM customer WHERE c_acctbal BETWEEN 9000 AND 10000 ORDER BY c_acctbal",
     "derived_age": "SELECT *, p_retailprice - p_size AS price_less_size FROM part",
@@ -166,9 +167,9 @@ SELECT * FROM lineitem WHERE l_suppkey IN (
 SELECT l.*, s.s_name FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
 WHERE lower(trim(s.s_name)) = '{B.SUPPLIER_NAME}'""",
     "in_subquery_distinct": """
-SELECT * FROM nation WHERE n_nationkey IN (SELECT DISTINCT s_nationkey FROM supplier)""",
+SELECT * FROM part WHERE p_partkey IN (SELECT DISTINCT l_partkey FROM lineitem)""",
     "count_in_subquery": """
-SELECT count(*) AS n FROM nation WHERE n_nationkey IN (SELECT DISTINCT s_nationkey FROM supplier)""",
+SELECT count(*) AS n FROM part WHERE p_partkey IN (SELECT DISTINCT l_partkey FROM lineitem)""",
     "scalar_subquery_compare": f"""
 SELECT p_name, p_brand FROM part
 WHERE p_retailprice > (SELECT p_retailprice FROM part WHERE p_partkey = {B.REFERENCE_PART})""",
@@ -214,6 +215,7 @@ UNION ALL SELECT 'l_returnflag_max_length_1', count(*) FILTER (WHERE length(l_re
 UNION ALL SELECT 'l_linestatus_max_length_1', count(*) FILTER (WHERE length(l_linestatus) > 1) FROM li""",
     # ------------------------------------------------------------ sources / sinks
     "delimited_roundtrip": "SELECT * FROM supplier",
-    "csv_sink_roundtrip": "SELECT * FROM nation",
-    "text_sink_roundtrip": "SELECT concat_ws(';', n_nationkey, n_name, n_regionkey) AS value FROM nation",
+    "csv_sink_roundtrip": "SELECT * FROM customer",
+    "text_sink_roundtrip": """
+SELECT concat_ws(';', p_partkey, p_name, p_brand, p_type, p_size) AS value FROM part""",
 }

@@ -81,11 +81,12 @@ def frames(spark):
     (dt.date(2013, 12, 31), False, False),
     (dt.date(2013, 1, 1), True, True),
 ])
-def test_matches_brute_force(frames, target, wrap_leap, exact_half):
+@pytest.mark.parametrize("max_rows", [1_000_000, 0])
+def test_matches_brute_force(frames, target, wrap_leap, exact_half, max_rows):
     readings, stations = frames
     got = {r.hour: (r.forecast_sum, r.forecast_prod) for r in K.kernel_regression(
         readings, stations, 58.4274, 14.826, target, wrap_leap=wrap_leap,
-        exact_half=exact_half).collect()}
+        exact_half=exact_half, max_broadcast_rows=max_rows).collect()}
     want = brute_force(_readings(), 58.4274, 14.826, target, K.FORECAST_HOURS, K.H_DISTANCE,
                        K.H_DATE, K.H_TIME, K.LOOKBACK_DAYS, wrap_leap, exact_half)
     assert set(got) == set(K.FORECAST_HOURS)
