@@ -41,6 +41,7 @@ from boreal.functions.calendar import (
 from boreal.functions.geo import haversine_km
 from boreal.functions.kernels import gaussian_kernel
 from boreal.operators.joins import DEFAULT_BROADCAST_ROWS, row_count_at_most
+from boreal.operators.readings import sort_calendar_result
 
 # The forecast hours (00:00, then 22:00 down to 04:00 in steps of two hours), the
 # kernel widths for distance (km), days and hours, and the look-back in days.
@@ -76,7 +77,7 @@ def seasonal_distance(readings: DataFrame, target_date: dt.date, h_date: float =
             .groupBy(dd.alias("day_distance"))
             .agg(F.count(value).alias("n_readings"))
             .withColumn("day_weight", gaussian_kernel(F.col("day_distance"), h_date))
-            .orderBy("day_distance"))
+            .transform(lambda df: sort_calendar_result(df, "day_distance")))
 
 
 def hourly_distance(readings: DataFrame, target_date: dt.date, target_hour: int,
@@ -88,7 +89,7 @@ def hourly_distance(readings: DataFrame, target_date: dt.date, target_hour: int,
             .groupBy(hd.alias("hour_distance"))
             .agg(F.count(value).alias("n_readings"))
             .withColumn("hour_weight", gaussian_kernel(F.col("hour_distance"), h_time))
-            .orderBy("hour_distance"))
+            .transform(lambda df: sort_calendar_result(df, "hour_distance")))
 
 
 def kernel_regression(readings: DataFrame, stations: DataFrame, latitude: float,

@@ -16,6 +16,16 @@ from boreal.functions.calendar import year_range
 from boreal.operators.joins import DEFAULT_BROADCAST_ROWS, semi_join
 
 
+def sort_calendar_result(df: DataFrame, *order) -> DataFrame:
+    """Order a result keyed by calendar units (years, months, day or hour distances).
+
+    Such a result has at most 12 x 9999 rows whatever the input, so it is sorted inside one
+    partition after a single exchange, instead of a range-partitioned sort that first samples its
+    input in a separate job.
+    """
+    return df.repartition(1).sortWithinPartitions(*order)
+
+
 def _period(readings: DataFrame, date: str, first_year: int | None, last_year: int | None):
     if first_year is None and last_year is None:
         return readings
@@ -29,7 +39,8 @@ def yearly_extrema(readings: DataFrame, first_year: int = 1950, last_year: int =
     return (_period(readings, date, first_year, last_year)
             .groupBy(F.year(date).alias("year"))
             .agg(F.min(value).alias("min_value"), F.max(value).alias("max_value"))
-            .orderBy(F.col("year").asc() if ascending else F.col("year").desc()))
+            .transform(lambda df: sort_calendar_result(
+                df, F.col("year").asc() if ascending else F.col("year").desc())))
 
 
 def yearly_argmax(readings: DataFrame, first_year: int = 1950, last_year: int = 2014, *,
@@ -46,7 +57,7 @@ def yearly_argmax(readings: DataFrame, first_year: int = 1950, last_year: int =
     return (per_station.groupBy("year")
             .agg(F.max("__m").alias("max_value"),
                  F.max_by(F.col("__st"), F.struct(F.col("__m"), F.col("__st"))).alias("station"))
-            .orderBy(F.col("year").desc()))
+            .transform(lambda df: sort_calendar_result(df, F.col("year").desc())))
 
 
 def _exceedances(readings, threshold, first_year, last_year, station, date, value):
@@ -64,7 +75,8 @@ def monthly_exceedance_count(readings: DataFrame, threshold: float = 10.0,
     return (_exceedances(readings, threshold, first_year, last_year, station, date, value)
             .groupBy("year", "month")
             .agg(F.count("__station").alias("n_readings"))
-            .orderBy(F.col("n_readings").desc(), "year", "month"))
+            .transform(lambda df: sort_calendar_result(df, F.col("n_readings").desc(), "year",
+                                                       "month")))
 
 
 def monthly_exceedance_station_count(readings: DataFrame, threshold: float = 10.0,
@@ -79,7 +91,8 @@ def monthly_exceedance_station_count(readings: DataFrame, threshold: float = 10.
     return (_exceedances(readings, threshold, first_year, last_year, station, date, value)
             .groupBy("year", "month")
             .agg(F.countDistinct("__station").alias("n_stations"))
-            .orderBy(F.col("n_stations").desc(), "year", "month"))
+            .transform(lambda df: sort_calendar_result(df, F.col("n_stations").desc(), "year",
+                                                       "month")))
 
 
 def station_monthly_mean(readings: DataFrame, first_year: int = 1960, last_year: int = 2014, *,
@@ -177,4 +190,5 @@ def regional_monthly_mean(precipitation: DataFrame, region_stations: DataFrame,
                    .agg(F.sum(value).alias("monthly_total")))
     return (per_station.groupBy("year", "month")
             .agg(F.avg("monthly_total").alias("mean_monthly_total"))
-            .orderBy(F.col("year").desc(), F.col("month").desc()))
+            .transform(lambda df: sort_calendar_result(df, F.col("year").desc(),
+                                                       F.col("month").desc())))
