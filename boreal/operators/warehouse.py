@@ -198,14 +198,19 @@ def star_join_weighted_sum(suppliers: DataFrame, cities: DataFrame, supply: Data
                              F.col(supplier_city) == F.col("__cid"))
               .select(F.col(supplier_id).alias("__sid"), F.col(supplier_name).alias("name"),
                       "__cmult"))
-    shipped = semi_join(supply, chosen, supply_supplier, "__sid", max_broadcast_rows)
+    # One size check for the selected suppliers, used by both joins that need them.
+    if row_count_at_most(chosen, max_broadcast_rows):
+        chosen = F.broadcast(chosen)
+        shipped = supply.join(chosen.select("__sid"),
+                              F.col(supply_supplier) == F.col("__sid"), "left_semi")
+    else:
+        shipped = semi_join(supply, chosen, supply_supplier, "__sid", max_broadcast_rows)
     per_part = (shipped.groupBy(F.col(supply_supplier).alias("__s"), F.col(supply_part).alias("__p"))
                 .agg(F.sum(supply_quantity).alias("__q")))
     weighted = (per_part.join(parts.select(F.col(part_id).alias("__p"),
                                            F.col(part_weight).alias("__w")), "__p")
                 .groupBy("__s").agg(F.sum(F.col("__w") * F.col("__q")).alias("__t")))
-    return (weighted.join(bounded_broadcast(chosen, max_broadcast_rows),
-                          F.col("__s") == F.col("__sid"))
+    return (weighted.join(chosen, F.col("__s") == F.col("__sid"))
             .groupBy("name").agg(F.sum(F.col("__t") * F.col("__cmult")).alias(alias)))
 
 

@@ -122,11 +122,14 @@ def extremes_total_band_join(spark, d):
 
 
 def region_stations(spark, d) -> DataFrame:
-    """Supplier keys of the region (supplier -> nation -> region, as two semi joins)."""
-    nations = W.in_subquery(_t(spark, d, "nation"), "n_regionkey", _t(spark, d, "region"),
-                            "r_regionkey", F.col("r_name") == REGION)
-    return W.in_subquery(_t(spark, d, "supplier"), "s_nationkey", nations,
-                         "n_nationkey").select("s_suppkey")
+    """Supplier keys of the region (supplier -> nation -> region). The key list is sized once,
+    where it meets the readings, by ``regional_monthly_mean``."""
+    regions = _t(spark, d, "region").where(F.col("r_name") == REGION)
+    nations = _t(spark, d, "nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"),
+                                          "left_semi")
+    return (_t(spark, d, "supplier")
+            .join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
+            .select("s_suppkey"))
 
 
 def regional_monthly_mean(spark, d):
