@@ -33,16 +33,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Key lists up to this many raw rows are broadcast without de-duplication.
+SMALL_KEY_ROWS = 10_000
+
+
 def _key_side(keys: DataFrame, key: str, max_rows: int) -> DataFrame:
     """The ``__k`` key column for a semi / anti join.
 
-    Broadcast as is when the raw column is within the bound (a broadcast semi or anti join ignores
-    duplicates). Otherwise the keys are de-duplicated map-side (a hot key costs one row per task),
-    checkpointed once, and broadcast if the distinct keys fit the bound; only past that does the
-    join shuffle both sides.
+    A short key list (at most ``SMALL_KEY_ROWS`` rows, and within ``max_rows``) is broadcast as
+    is: a broadcast semi or anti join ignores duplicates. A longer one is de-duplicated map-side
+    first (a hot key costs one row per task), checkpointed once, and broadcast if the distinct keys
+    fit ``max_rows``; only past that does the join shuffle both sides.
     """
     k = keys.select(F.col(key).alias("__k")).where(F.col("__k").isNotNull())
-    if row_count_at_most(k, max_rows):
+    if row_count_at_most(k, min(max_rows, SMALL_KEY_ROWS)):
         return F.broadcast(k)
     distinct = materialize(k.distinct())
     return F.broadcast(distinct) if row_count_at_most(distinct, max_rows) else distinct

@@ -138,8 +138,9 @@ def extremes_band_join(temperatures: DataFrame, precipitation: DataFrame,
     """Stations whose maximum temperature and maximum *daily* precipitation both lie in bands.
 
     Daily precipitation is the sum of a station's readings of one calendar day; both sides are
-    reduced to one row per station before they meet, and both arrive hash-partitioned on the
-    station, so the join adds no exchange of its own.
+    reduced to one row per station before they meet. When neither side is small enough to
+    broadcast, both arrive hash-partitioned on the station from their last aggregate, so the
+    sort-merge join adds no exchange of its own.
     """
     t = _max_per_station(temperatures, station, value, "max_temperature", temperature_band)
     p = _max_daily_total(precipitation, station, date, value, precipitation_band)

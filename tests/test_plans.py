@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from boreal.plans.inspect import plan_text, pushed_filters, python_nodes, read_schemas, scans_of
-from conftest import SF_SMALL
+from conftest import SF_ORACLE, SF_SMALL
 
 QUERIES = entry.queries()
 SINKS = {"delimited_roundtrip", "csv_sink_roundtrip", "text_sink_roundtrip",
@@ -65,3 +65,23 @@ def test_orphan_keys_computed_once(spark):
     text = plan_text(df)
     assert "LeftSemi" in text and "BroadcastHashJoin" in text
     assert scans_of(df, "part") == 0 and scans_of(df, "lineitem") == 1
+
+
+def test_aggregated_sides_join_without_extra_exchange(spark):
+    # Too large to broadcast: the sort-merge join reuses the hash partitioning of the aggregates.
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_text(QUERIES["extremes_total_band_join"](spark, SF_SMALL), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in text
+    assert text.count("Exchange hashpartitioning") == 2  # one per aggregate, none for the join
+
+
+def test_long_key_lists_are_deduplicated_before_broadcast(spark):
+    # 60,000 raw lineitem part keys: de-duplicated and checkpointed, then broadcast
+    df = QUERIES["in_subquery_distinct"](spark, SF_ORACLE)
+    text = plan_text(df)
+    assert "BroadcastHashJoin" in text and "LeftSemi" in text
+    assert scans_of(df, "lineitem") == 0
