@@ -43,8 +43,16 @@ def manager_employee(people: DataFrame, *, key: str = "id", manager: str = "mana
                     *[F.col(f"e.{c}") for c in columns]))
 
 
+def with_tie_breakers(table: DataFrame, columns) -> list:
+    """The sort keys followed by every other column: ties keep any order the keys allow, and the
+    range partitioner can split a sort value held by a large share of rows across partitions."""
+    keys = [c if not isinstance(c, str) else F.col(c) for c in columns]
+    named = {c for c in columns if isinstance(c, str)}
+    return keys + [F.col(c) for c in table.columns if c not in named]
+
+
 def sorted_by(table: DataFrame, *columns: str) -> DataFrame:
-    return table.orderBy(*columns)
+    return table.orderBy(*with_tie_breakers(table, columns))
 
 
 def equality_filter(table: DataFrame, column: str, value, *, not_null: str | None = None) -> DataFrame:
@@ -55,7 +63,8 @@ def equality_filter(table: DataFrame, column: str, value, *, not_null: str | Non
 
 
 def between_sorted(table: DataFrame, column: str, low, high) -> DataFrame:
-    return table.where(F.col(column).between(low, high)).orderBy(column)
+    inside = table.where(F.col(column).between(low, high))
+    return inside.orderBy(*with_tie_breakers(inside, [column]))
 
 
 def with_derived(table: DataFrame, name: str, expr: Column) -> DataFrame:

@@ -23,7 +23,11 @@ def _ordered(df: DataFrame, sort_columns, single_file_rows: int) -> DataFrame:
     if row_count_at_most(df, single_file_rows):
         one = df.repartition(1)
         return one.sortWithinPartitions(*sort_columns) if sort_columns else one
-    return df.orderBy(*sort_columns) if sort_columns else df
+    if not sort_columns:
+        return df
+    # Remaining columns break ties, so a sort value shared by many rows spans several files.
+    tie = [F.col(c) for c in df.columns if c not in set(sort_columns)]
+    return df.orderBy(*sort_columns, *tie)
 
 
 def to_lines(df: DataFrame, sep: str = ";") -> DataFrame:

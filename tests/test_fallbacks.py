@@ -67,3 +67,31 @@ def test_star_join_path(spark):
               supply_quantity="l_quantity", part_id="p_partkey", part_weight="p_size")
     _same(W.star_join_weighted_sum(*args, **kw),
           W.star_join_weighted_sum(*args, **kw, max_broadcast_rows=0))
+
+
+def test_hot_key_is_split_on_the_shuffle_path(spark):
+    """A child key holding a third of all rows: AQE splits its partition in the shuffled semi join
+    (no broadcast), and the answer is unchanged."""
+    n = 30000
+    child = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"),
+        F.col("id").alias("v"))
+    keys = spark.range(0, 1000, 2).select(F.col("id").alias("k"))
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = semi_join(child, keys, "k", max_rows=0)
+        got = len(out.collect())
+        final = plan_text(out, "simple")  # the executed adaptive plan
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = sum(1 for i in range(n) if (7 if i % 3 == 0 else i % 1000) % 2 == 0)
+    assert got == want
+    assert "isFinalPlan=true" in final
+    assert "SortMergeJoin(skew=true)" in final and "AQEShuffleRead skewed" in final
