@@ -20,11 +20,13 @@ The bindings only name columns and pick parameters; all work is done by ``boreal
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boreal.functions.text import normalized_equals
 from boreal.operators import forecast as K
 from boreal.operators import integrity as I
 from boreal.operators import readings as R
@@ -218,7 +220,6 @@ def prefix_suffix_like(spark, d):
 
 
 def _supplier_named():
-    from boreal.functions.text import normalized_equals
     return normalized_equals("s_name", SUPPLIER_NAME)
 
 
@@ -258,7 +259,6 @@ def constant_filtered_avg(spark, d):
 
 
 def star_join_weighted_sum(spark, d):
-    from boreal.functions.text import normalized_equals
     return _r6(W.star_join_weighted_sum(
         _t(spark, d, "supplier"), _t(spark, d, "nation"), _t(spark, d, "lineitem"),
         _t(spark, d, "part"), normalized_equals("n_name", STATE_NATION),
@@ -269,7 +269,7 @@ def star_join_weighted_sum(spark, d):
 
 
 def below_average_table(spark, d):
-    name = "below_average_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    name = f"below_average_{uuid.uuid4().hex}"
     return W.below_average_table(
         spark, _t(spark, d, "part"), "p_retailprice", name,
         "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
