@@ -307,7 +307,7 @@ def column_rules() -> dict:
 
 def column_checks(spark, d):
     li = I.with_default(_t(spark, d, "lineitem"), "l_shipdate",
-                        F.lit(DEFAULT_SHIPDATE).cast("timestamp_ntz"))
+                        F.lit(DEFAULT_SHIPDATE.isoformat(sep=" ")).cast("timestamp_ntz"))
     return I.column_checks(li, column_rules())
 
 
