@@ -33,21 +33,28 @@ LOCAL_CONF = {
 }
 
 
-def cluster_conf(total_cores: int) -> dict[str, str]:
+PARTITION_BYTES = 256 << 20
+
+
+def cluster_conf(total_cores: int, largest_shuffle_bytes: int = 0) -> dict[str, str]:
     """Settings for a large cluster reading tens of terabytes.
 
-    Shuffle partitions start at ~3 per core and AQE coalesces them toward 256 MB; scans split files
-    into 256 MB partitions, so a task's input fits executor memory whatever the table size.
+    Scans split files into 256 MB partitions. The initial shuffle partition count covers the
+    largest shuffle expected (a join that cannot broadcast moves about its input size) at ~256 MB
+    per partition, and at least 3 per core; AQE then coalesces the many small shuffles (those after
+    map-side aggregation) toward 256 MB and splits skewed partitions. Example: 100 TB and 8,000
+    cores give 400,000 initial partitions.
     """
+    partitions = max(200, 3 * total_cores, -(-largest_shuffle_bytes // PARTITION_BYTES))
     return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.caseSensitive": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
-        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
     }
 
 

@@ -70,3 +70,10 @@ def test_registered_roundtrips(spark):
         spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
     assert q["text_sink_roundtrip"](spark, SF_SMALL).count() == \
         spark.read.parquet(f"{SF_SMALL}/part.parquet").count()
+
+
+def test_cluster_conf_sizes_partitions():
+    from boreal.session import cluster_conf
+    assert cluster_conf(8000, 100 * 2 ** 40)["spark.sql.shuffle.partitions"] == "409600"
+    assert cluster_conf(64)["spark.sql.shuffle.partitions"] == "200"
+    assert cluster_conf(1000)["spark.sql.shuffle.partitions"] == "3000"
