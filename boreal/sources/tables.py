@@ -1,4 +1,8 @@
-"""Parquet tables of a data directory (one ``<name>.parquet`` per table)."""
+"""Parquet tables of a data directory (one ``<name>.parquet`` per table).
+
+Tables with a declared schema are read with it: no schema-inference job per load, and a file
+whose types drift fails loudly instead of silently changing a plan.
+"""
 
 from __future__ import annotations
 
@@ -9,9 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# Declared schemas of the relational test tables (DDL strings).
+TABLE_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+            "p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+}
+
 
 def load_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(data_dir, f"{name}.parquet"))
+    path = os.path.join(data_dir, f"{name}.parquet")
+    schema = TABLE_SCHEMAS.get(name)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def register_tables(spark: SparkSession, data_dir: str, names=TABLES) -> None:
@@ -19,4 +41,4 @@ def register_tables(spark: SparkSession, data_dir: str, names=TABLES) -> None:
     for name in names:
         path = os.path.join(data_dir, f"{name}.parquet")
         if os.path.exists(path) or "://" in data_dir:
-            spark.read.parquet(path).createOrReplaceTempView(name)
+            load_table(spark, data_dir, name).createOrReplaceTempView(name)
