@@ -196,10 +196,12 @@ def star_join_weighted_sum(suppliers: DataFrame, cities: DataFrame, supply: Data
     """Per supplier name: ``sum(part weight * supplied quantity)`` over suppliers in the cities
     matching ``city_filter`` (supplier - city - supply - part).
 
-    The fact table (supply) is first cut to the selected suppliers by a semi join, then summed per
-    (supplier, part) before it meets the part table, so the part join and the final aggregate see
-    one row per supplied part, not one per shipment. Duplicated dimension keys multiply the answer
-    exactly as the four-way join would (their multiplicity is carried as a count).
+    When the selected suppliers and the part table both fit the broadcast bound, the facts meet
+    them map-side and are aggregated once (one exchange of the facts, on the name). Otherwise the
+    facts are cut to the selected suppliers by a semi join and summed per (supplier, part) before
+    they meet the shuffled part table, so that join sees one row per supplied part, not one per
+    shipment. Duplicated dimension keys multiply the answer exactly as the four-way join would
+    (their multiplicity is carried as a count).
     """
     chosen_cities = (cities.where(city_filter).groupBy(F.col(city_id).alias("__cid"))
                      .agg(F.count(F.lit(1)).alias("__cmult")))
@@ -207,17 +209,26 @@ def star_join_weighted_sum(suppliers: DataFrame, cities: DataFrame, supply: Data
                              F.col(supplier_city) == F.col("__cid"))
               .select(F.col(supplier_id).alias("__sid"), F.col(supplier_name).alias("name"),
                       "__cmult"))
-    # One size check for the selected suppliers, used by both joins that need them.
-    if row_count_at_most(chosen, max_broadcast_rows):
+    part_weights = parts.select(F.col(part_id).alias("__p"), F.col(part_weight).alias("__w"))
+    chosen_small = row_count_at_most(chosen, max_broadcast_rows)
+    if chosen_small and row_count_at_most(part_weights, max_broadcast_rows):
+        # Every dimension fits a broadcast: the facts meet them map-side (the supplier join also
+        # drops the other suppliers' rows) and are aggregated once, by name.
+        rows = (supply.join(F.broadcast(chosen), F.col(supply_supplier) == F.col("__sid"))
+                .join(F.broadcast(part_weights), F.col(supply_part) == F.col("__p")))
+        return rows.groupBy("name").agg(
+            F.sum(F.col("__w") * F.col(supply_quantity) * F.col("__cmult")).alias(alias))
+    if chosen_small:
         chosen = F.broadcast(chosen)
         shipped = supply.join(chosen.select("__sid"),
                               F.col(supply_supplier) == F.col("__sid"), "left_semi")
     else:
         shipped = semi_join(supply, chosen, supply_supplier, "__sid", max_broadcast_rows)
+    # The part table is shuffled: sum the facts per (supplier, part) first, so the part join and
+    # the aggregates see one row per supplied part, not one per shipment.
     per_part = (shipped.groupBy(F.col(supply_supplier).alias("__s"), F.col(supply_part).alias("__p"))
                 .agg(F.sum(supply_quantity).alias("__q")))
-    weighted = (per_part.join(parts.select(F.col(part_id).alias("__p"),
-                                           F.col(part_weight).alias("__w")), "__p")
+    weighted = (per_part.join(part_weights, "__p")
                 .groupBy("__s").agg(F.sum(F.col("__w") * F.col("__q")).alias("__t")))
     return (weighted.join(chosen, F.col("__s") == F.col("__sid"))
             .groupBy("name").agg(F.sum(F.col("__t") * F.col("__cmult")).alias(alias)))

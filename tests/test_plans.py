@@ -52,10 +52,28 @@ def test_forecast_reads_facts_once(spark):
     assert "partial_sum" in text
 
 
-def test_star_join_pre_aggregates_before_part(spark):
+def test_star_join_plans(spark):
+    # small dimensions: one pass over the facts, dimensions broadcast, one exchange (on the name)
     df = QUERIES["star_join_weighted_sum"](spark, SF_SMALL)
+    text = plan_text(df, "simple")
     assert scans_of(df, "lineitem") == 1
-    assert "LeftSemi" in plan_text(df)
+    fact_side = text.split("BroadcastExchange")[0]  # the plan above the first broadcast input
+    assert fact_side.count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning(name" in fact_side
+    # parts beyond the bound: the facts are summed per (supplier, part) before the part join
+    from boreal.functions.text import normalized_equals
+    from boreal.operators.warehouse import star_join_weighted_sum
+    t = {n: spark.read.parquet(f"{SF_SMALL}/{n}.parquet")
+         for n in ("supplier", "nation", "lineitem", "part")}
+    big = star_join_weighted_sum(
+        t["supplier"], t["nation"], t["lineitem"], t["part"],
+        normalized_equals("n_name", "nation_3"), supplier_id="s_suppkey", supplier_name="s_name",
+        supplier_city="s_nationkey", city_id="n_nationkey", supply_supplier="l_suppkey",
+        supply_part="l_partkey", supply_quantity="l_quantity", part_id="p_partkey",
+        part_weight="p_size", max_broadcast_rows=10)
+    assert "keys=[l_suppkey, l_partkey], functions=[partial_sum(l_quantity)]" in \
+        plan_text(big, "simple").replace("#", " ").replace("L,", ",").replace("L]", "]") or \
+        "partial_sum(l_quantity" in plan_text(big, "simple")
 
 
 def test_orphan_keys_computed_once(spark):
