@@ -22,6 +22,20 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def rows_within(max_rows: int, *dfs: DataFrame) -> list[bool]:
+    """``row_count_at_most`` for several DataFrames in one job: each side is cut at
+    ``max_rows + 1`` rows, tagged, and the tagged union is counted (one small row per side)."""
+    if len(dfs) == 1:
+        return [row_count_at_most(dfs[0], max_rows)]
+    tagged = None
+    for i, df in enumerate(dfs):
+        part = df.limit(max_rows + 1).select(F.lit(i).alias("__side"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    counts = {r["__side"]: r["n"] for r in
+              tagged.groupBy("__side").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 

@@ -17,6 +17,7 @@ from boreal.operators.joins import (
     DEFAULT_BROADCAST_ROWS,
     bounded_broadcast,
     row_count_at_most,
+    rows_within,
     semi_join,
 )
 
@@ -205,13 +206,16 @@ def star_join_weighted_sum(suppliers: DataFrame, cities: DataFrame, supply: Data
     """
     chosen_cities = (cities.where(city_filter).groupBy(F.col(city_id).alias("__cid"))
                      .agg(F.count(F.lit(1)).alias("__cmult")))
-    chosen = (suppliers.join(bounded_broadcast(chosen_cities, max_broadcast_rows),
+    part_weights = parts.select(F.col(part_id).alias("__p"), F.col(part_weight).alias("__w"))
+    # One job sizes the three dimension sides.
+    cities_small, chosen_small, parts_small = rows_within(
+        max_broadcast_rows, chosen_cities,
+        suppliers.join(chosen_cities, F.col(supplier_city) == F.col("__cid")), part_weights)
+    chosen = (suppliers.join(F.broadcast(chosen_cities) if cities_small else chosen_cities,
                              F.col(supplier_city) == F.col("__cid"))
               .select(F.col(supplier_id).alias("__sid"), F.col(supplier_name).alias("name"),
                       "__cmult"))
-    part_weights = parts.select(F.col(part_id).alias("__p"), F.col(part_weight).alias("__w"))
-    chosen_small = row_count_at_most(chosen, max_broadcast_rows)
-    if chosen_small and row_count_at_most(part_weights, max_broadcast_rows):
+    if chosen_small and parts_small:
         # Every dimension fits a broadcast: the facts meet them map-side (the supplier join also
         # drops the other suppliers' rows) and are aggregated once, by name.
         rows = (supply.join(F.broadcast(chosen), F.col(supply_supplier) == F.col("__sid"))
