@@ -184,6 +184,14 @@ def kernel_regression(spark, d):
     return _r6(_forecast(spark, d), "forecast_sum", "forecast_prod")
 
 
+def kernel_regression_as_recorded(spark, d):
+    """The forecast with the day distance of the recorded results: no wrap-around in leap years,
+    and a common-year distance of 182 counted as 183."""
+    return _r6(K.kernel_regression(forecast_readings(spark, d), forecast_stations(spark, d),
+                                   TARGET_LAT, TARGET_LON, TARGET_DATE, wrap_leap=False,
+                                   exact_half=False), "forecast_sum", "forecast_prod")
+
+
 def kernel_peak_hour(spark, d):
     return _r6(K.kernel_peak_hour(_forecast(spark, d)), "forecast")
 
@@ -345,7 +353,7 @@ QUERIES = {f.__name__: f for f in [
     station_monthly_mean, station_monthly_mean_sumcount, extremes_band_join,
     extremes_prefilter_join, extremes_total_band_join, regional_monthly_mean,
     station_kernel_weights, seasonal_distance, hourly_distance, lookback_filter,
-    kernel_regression, kernel_peak_hour,
+    kernel_regression, kernel_regression_as_recorded, kernel_peak_hour,
     list_all, manager_employee, order_by_name, equality_filter, between_sorted, derived_age,
     prefix_suffix_like, in_subquery, join_filter, in_subquery_distinct, count_in_subquery,
     scalar_subquery_compare, theta_self_join, constant_filtered_avg, star_join_weighted_sum,

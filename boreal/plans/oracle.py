@@ -55,17 +55,23 @@ DAY_DIST = (f"CAST(CASE WHEN {LEAP} THEN least({RAW_DAYS}, 366 - {RAW_DAYS}) "
             f"ELSE least({RAW_DAYS}, 365 - {RAW_DAYS}) END AS INTEGER)")
 
 
+DAY_DIST_RECORDED = (f"CAST(CASE WHEN {LEAP} THEN {RAW_DAYS} "
+                     f"WHEN {RAW_DAYS} < 182 THEN {RAW_DAYS} ELSE 365 - {RAW_DAYS} END AS INTEGER)")
+
+
 def _hour_dist(a: str, b: str) -> str:
     return f"(CASE WHEN abs({a} - {b}) <= 12 THEN abs({a} - {b}) ELSE 24 - abs({a} - {b}) END)"
 
 
 HOURS = ", ".join(f"({h})" for h in FORECAST_HOURS)
 
-FORECAST = f"""
+
+def _forecast_sql(day_distance: str) -> str:
+    return f"""
 WITH r AS ({READINGS}),
 w AS (SELECT station, exp(-(km * km) / {H_DISTANCE}) AS kd
       FROM (SELECT station, {KM} AS km FROM ({STATIONS}))),
-rd AS (SELECT r.value, r.hour, w.kd, {DAY_DIST} AS dd FROM r JOIN w USING (station)),
+rd AS (SELECT r.value, r.hour, w.kd, {day_distance} AS dd FROM r JOIN w USING (station)),
 h AS (SELECT * FROM (VALUES {HOURS}) t(th)),
 x AS (SELECT th, value, kd, exp(-(dd * dd) / {H_DATE}) AS ky,
              exp(-({_hour_dist('hour', 'th')} * {_hour_dist('hour', 'th')}) / {H_TIME}) AS kt
@@ -75,6 +81,10 @@ f AS (SELECT CAST(th AS INTEGER) AS hour,
              sum(kd * ky * kt * value) / sum(kd * ky * kt) AS forecast_prod
       FROM x GROUP BY th)"""
 
+
+FORECAST = _forecast_sql(DAY_DIST)
+FORECAST_RECORDED = _forecast_sql(DAY_DIST_RECORDED)
+
 ORACLE_SQL = {
     # ------------------------------------------------------------ readings
     "yearly_extrema": f"""
@@ -142,6 +152,9 @@ GROUP BY 1""",
     "lookback_filter": READINGS,
     "kernel_regression": FORECAST + """
 SELECT hour, round(forecast_sum, 6) AS forecast_sum, round(forecast_prod, 6) AS forecast_prod
+FROM f""",
+    "kernel_regression_as_recorded": FORECAST_RECORDED + """
+SELECT hour, round(forecast_sum, 6) AS forecast_sum, round(forecast_prod, 6) AS forecast_prod
 FROM f""",
     "kernel_peak_hour": FORECAST + """
 SELECT 'sum' AS kernel, arg_max(hour, row(forecast_sum, hour)) AS hour,
