@@ -30,13 +30,16 @@ def _period(lo: int, hi: int, col: str = "l_shipdate") -> str:
 Y = "CAST(year(l_shipdate) AS INTEGER)"
 M = "CAST(month(l_shipdate) AS INTEGER)"
 P = _period(*B.PERIOD)
-LOOKBACK_START = B.TARGET_DATE - dt.timedelta(days=LOOKBACK_DAYS)
-
-READINGS = f"""
+def _readings(target: dt.date) -> str:
+    start = target - dt.timedelta(days=LOOKBACK_DAYS)
+    return f"""
   SELECT l_suppkey AS station, l_shipdate AS date, CAST(l_orderkey % 24 AS INTEGER) AS hour,
          l_quantity AS value
   FROM lineitem
-  WHERE l_shipdate < {_d(B.TARGET_DATE)} AND l_shipdate >= {_d(LOOKBACK_START)}"""
+  WHERE l_shipdate < {_d(target)} AND l_shipdate >= {_d(start)}"""
+
+
+READINGS = _readings(B.TARGET_DATE)
 
 STATIONS = """
   SELECT s_suppkey AS station,
@@ -48,15 +51,27 @@ _TLAT, _TLON = f"CAST({B.TARGET_LAT} AS DOUBLE)", f"CAST({B.TARGET_LON} AS DOUBL
 KM = (f"2 * {EARTH_RADIUS_KM} * asin(sqrt(pow(sin(radians({_TLAT} - lat) / 2), 2) + "
       f"cos(radians(lat)) * cos(radians({_TLAT})) * pow(sin(radians({_TLON} - lon) / 2), 2)))")
 
-_TM, _TD = B.TARGET_DATE.month, B.TARGET_DATE.day
-RAW_DAYS = f"abs(dayofyear(date) - dayofyear(make_date(year(date), {_TM}, {_TD})))"
 LEAP = "((year(date) % 4 = 0 AND year(date) % 100 <> 0) OR year(date) % 400 = 0)"
-DAY_DIST = (f"CAST(CASE WHEN {LEAP} THEN least({RAW_DAYS}, 366 - {RAW_DAYS}) "
-            f"ELSE least({RAW_DAYS}, 365 - {RAW_DAYS}) END AS INTEGER)")
 
 
-DAY_DIST_RECORDED = (f"CAST(CASE WHEN {LEAP} THEN {RAW_DAYS} "
-                     f"WHEN {RAW_DAYS} < 182 THEN {RAW_DAYS} ELSE 365 - {RAW_DAYS} END AS INTEGER)")
+def _raw_days(target: dt.date) -> str:
+    # the target's month and day moved into the reading's year (these targets exist every year)
+    return f"abs(dayofyear(date) - dayofyear(make_date(year(date), {target.month}, {target.day})))"
+
+
+def _day_distance(target: dt.date) -> str:
+    raw = _raw_days(target)
+    return (f"CAST(CASE WHEN {LEAP} THEN least({raw}, 366 - {raw}) "
+            f"ELSE least({raw}, 365 - {raw}) END AS INTEGER)")
+
+
+def _day_distance_recorded(target: dt.date) -> str:
+    raw = _raw_days(target)
+    return (f"CAST(CASE WHEN {LEAP} THEN {raw} "
+            f"WHEN {raw} < 182 THEN {raw} ELSE 365 - {raw} END AS INTEGER)")
+
+
+DAY_DIST = _day_distance(B.TARGET_DATE)
 
 
 def _hour_dist(a: str, b: str) -> str:
@@ -66,9 +81,9 @@ def _hour_dist(a: str, b: str) -> str:
 HOURS = ", ".join(f"({h})" for h in FORECAST_HOURS)
 
 
-def _forecast_sql(day_distance: str) -> str:
+def _forecast_sql(day_distance: str, readings: str) -> str:
     return f"""
-WITH r AS ({READINGS}),
+WITH r AS ({readings}),
 w AS (SELECT station, exp(-(km * km) / {H_DISTANCE}) AS kd
       FROM (SELECT station, {KM} AS km FROM ({STATIONS}))),
 rd AS (SELECT r.value, r.hour, w.kd, {day_distance} AS dd FROM r JOIN w USING (station)),
@@ -82,8 +97,9 @@ f AS (SELECT CAST(th AS INTEGER) AS hour,
       FROM x GROUP BY th)"""
 
 
-FORECAST = _forecast_sql(DAY_DIST)
-FORECAST_RECORDED = _forecast_sql(DAY_DIST_RECORDED)
+FORECAST = _forecast_sql(DAY_DIST, READINGS)
+FORECAST_RECORDED = _forecast_sql(_day_distance_recorded(B.WINTER_TARGET_DATE),
+                                  _readings(B.WINTER_TARGET_DATE))
 
 ORACLE_SQL = {
     # ------------------------------------------------------------ readings
