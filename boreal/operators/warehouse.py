@@ -136,10 +136,20 @@ def theta_self_join(table: DataFrame, column: str, reference_filter: Column, col
     return _repeat(matched.select(*[F.col(f"t1.{c}") for c in cols], "__rn"), "__rn", cols)
 
 
+# Largest array built to repeat a row: a multiplicity n becomes ceil(n / CHUNK) chunks of at most
+# CHUNK copies, so no row materializes an n-element array.
+REPEAT_CHUNK = 10_000
+
+
 def _repeat(df: DataFrame, count: str, cols) -> DataFrame:
     """Each row ``count`` times (the multiplicity of the pairs it stands for)."""
-    rep = F.explode(F.array_repeat(F.lit(1), F.col(count).cast("int"))).alias("__rep")
-    return df.select(*cols, rep).drop("__rep")
+    n = F.col(count).cast("long")
+    chunks = df.where(n > 0).select(*cols, n.alias("__n"), F.explode(
+        F.sequence(F.lit(0), F.ceil(n / REPEAT_CHUNK).cast("long") - 1)).alias("__c"))
+    size = F.least(F.lit(REPEAT_CHUNK).cast("long"), F.col("__n") - F.col("__c") * REPEAT_CHUNK)
+    return (chunks.select(*cols, F.explode(F.array_repeat(F.lit(1), size.cast("int")))
+                          .alias("__rep"))
+            .drop("__rep"))
 
 
 def _greater_than_by_buckets(table: DataFrame, column: str, ref: DataFrame, cols,

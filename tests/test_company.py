@@ -205,3 +205,10 @@ def test_default_fills_missing_timestamp(spark, t):
     out = I.with_default(debit, "sdate", F.lit(fixed))
     assert out.where(F.col("sdate").isNull()).count() == 0
     assert out.where(F.col("id") == 100600).first().sdate == fixed
+
+
+def test_repeat_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(W, "REPEAT_CHUNK", 3)
+    df = spark.createDataFrame([(1, 7), (2, 3), (3, 1), (4, 0)], "id int, n long")
+    got = sorted(r.id for r in W._repeat(df, "n", ["id"]).collect())
+    assert got == [1] * 7 + [2] * 3 + [3]
