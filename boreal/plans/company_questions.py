@@ -35,6 +35,24 @@ FOREIGN_KEYS = [("jbdept", "store", "jbstore"), ("jbdept", "manager", "jbemploye
                 ("jbsupplier", "city", "jbcity"), ("jbemployee", "manager", "jbemployee")]
 ITEMS_DDL = "id INT, name STRING, dept INT, price INT, qoh INT, supplier INT"
 
+# The column rules the schema declares (NOT NULL, VARCHAR lengths, qoh >= 0).
+NOT_NULL = {"jbdept": ["store"], "jbitem": ["dept", "supplier"],
+            "jbsupply": ["supplier", "part", "shipdate"], "jbsale": ["debit", "item"],
+            "jbdebit": ["sdate", "employee", "account"], "jbstore": ["city"],
+            "jbsupplier": ["city"]}
+MAX_LENGTH = {"jbemployee": {"name": 20}, "jbdept": {"name": 20}, "jbitem": {"name": 20},
+              "jbparts": {"name": 20, "color": 8}, "jbcity": {"name": 15, "state": 6},
+              "jbsupplier": {"name": 20}}
+NON_NEGATIVE = {"jbitem": ["qoh"]}
+
+
+def column_rules(table: str) -> dict:
+    rules = {f"{c}_not_null": I.not_null(c) for c in NOT_NULL.get(table, [])}
+    rules.update({f"{c}_max_length_{n}": I.max_length(c, n)
+                  for c, n in MAX_LENGTH.get(table, {}).items()})
+    rules.update({f"{c}_non_negative": I.non_negative(c) for c in NON_NEGATIVE.get(table, [])})
+    return rules
+
 
 def load_tables(spark: SparkSession, data_dir: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     out = {}
@@ -85,10 +103,19 @@ def below_average_items(spark: SparkSession, t: dict[str, DataFrame], location:
     return W.below_average_table(spark, t["jbitem"], "price", table_name, ITEMS_DDL, location)
 
 
+def with_defaults(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Rows written without a debit time get the current timestamp (the column's default)."""
+    return {**t, "jbdebit": I.with_default(t["jbdebit"], "sdate", F.current_timestamp())}
+
+
 def audits(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``pk_<table>`` / ``fk_<table>_<column>``: violating keys or rows (empty when clean);
+    ``check_<table>``: violations per declared column rule (one pass per table)."""
     out = {f"pk_{name}": I.pk_violations(t[name], keys) for name, keys in PRIMARY_KEYS.items()}
     for child, column, parent in FOREIGN_KEYS:
         out[f"fk_{child}_{column}"] = I.fk_orphans(t[child], column, t[parent], "id")
-    out["check_jbitem_qoh_non_negative"] = I.column_checks(
-        t["jbitem"], {"qoh_non_negative": I.non_negative("qoh")})
+    for name in t:
+        rules = column_rules(name)
+        if rules:
+            out[f"check_{name}"] = I.column_checks(t[name], rules)
     return out

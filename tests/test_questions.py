@@ -85,8 +85,19 @@ def test_company_answers_and_audits(spark):
     assert res["q09_count_cities_with_suppliers"].first().n == 15
     items = CQ.below_average_items(spark, t, scratch_path(spark, "jbitems"), "jbitems_q14")
     assert items.count() == 14
-    assert all(df.count() == 0 for name, df in CQ.audits(t).items() if not name.startswith("check"))
-    assert CQ.audits(t)["check_jbitem_qoh_non_negative"].first().violations == 0
+    result = CQ.audits(CQ.with_defaults(t))
+    assert all(df.count() == 0 for name, df in result.items() if not name.startswith("check"))
+    checks = {(name, r.rule): r.violations for name, df in result.items()
+              if name.startswith("check") for r in df.collect()}
+    assert len(checks) == sum(len(CQ.column_rules(n)) for n in t) == 22
+    assert set(checks.values()) == {0}
+    # a bad row is reported by its rule only
+    from pyspark.sql import functions as F
+    bad = {**t, "jbparts": t["jbparts"].unionByName(spark.createDataFrame(
+        [(99, "x" * 21, "ultraviolet", 1, -1)], t["jbparts"].schema))}
+    got = {r.rule: r.violations for r in CQ.audits(bad)["check_jbparts"].collect()}
+    assert got == {"name_max_length_20": 1, "color_max_length_8": 1}
+    assert CQ.with_defaults(t)["jbdebit"].where(F.col("sdate").isNull()).count() == 0
 
 
 def test_company_tables_load_from_files(spark, tmp_path):
