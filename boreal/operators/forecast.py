@@ -20,8 +20,9 @@ and likewise for the denominators. Plan (one job, the readings are read once):
    184 x 24 rows per station, combined map-side — and those sums are shuffle-joined instead;
 3. ``groupBy(hour)``: six sums per hour of day — at most 24 groups whatever the input, combined
    map-side, so a station or hour holding a third of the readings is still one partial row per task;
-4. the forecast hours (a parameter list) are exploded over the <= 24 hourly rows and a last
-   ``groupBy(forecast hour)`` forms the two weighted means.
+4. the forecast hours (a parameter list) are exploded over the <= 24 hourly rows, together with
+   one zero row per requested hour, and a last ``groupBy(forecast hour)`` forms the two weighted
+   means — one row per requested hour, NULL when nothing was usable.
 
 All weights are native Column expressions; no Python runs on the executors.
 """
@@ -144,18 +145,21 @@ def kernel_regression(readings: DataFrame, stations: DataFrame, latitude: float,
                          F.sum(F.col("k_mul") * F.col("vn")).alias("q")))
     targets = F.explode(F.array(*[F.lit(int(t)) for t in hours])).alias("target")
     kt = gaussian_kernel(circular_hour_distance(F.col("hour"), F.col("target")), h_time)
-    forecast = (per_hour.select("*", targets).withColumn("kt", kt)
-                .groupBy(F.col("target").alias("hour"))
-                .agg(F.try_divide(F.sum(F.col("a") + F.col("kt") * F.col("s")),
-                                  F.sum(F.col("b") + F.col("kt") * F.col("n")))
-                     .alias("forecast_sum"),
-                     F.try_divide(F.sum(F.col("kt") * F.col("p")),
-                                  F.sum(F.col("kt") * F.col("q"))).alias("forecast_prod")))
-    # One row per requested hour even without usable readings (then NULL). The forecast side
-    # holds at most len(hours) rows, so broadcasting it is bounded.
+    terms = (per_hour.select("*", targets).withColumn("kt", kt)
+             .select("target",
+                     (F.col("a") + F.col("kt") * F.col("s")).alias("sum_num"),
+                     (F.col("b") + F.col("kt") * F.col("n")).alias("sum_den"),
+                     (F.col("kt") * F.col("p")).alias("prod_num"),
+                     (F.col("kt") * F.col("q")).alias("prod_den")))
+    # One zero row per requested hour: every hour gets a row, NULL when nothing was usable.
+    zero = F.lit(0.0)
     requested = readings.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(int(t)) for t in hours])).alias("hour"))
-    return requested.join(F.broadcast(forecast), "hour", "left")
+        targets, zero.alias("sum_num"), zero.alias("sum_den"), zero.alias("prod_num"),
+        zero.alias("prod_den"))
+    return (terms.unionByName(requested)
+            .groupBy(F.col("target").alias("hour"))
+            .agg(F.try_divide(F.sum("sum_num"), F.sum("sum_den")).alias("forecast_sum"),
+                 F.try_divide(F.sum("prod_num"), F.sum("prod_den")).alias("forecast_prod")))
 
 
 def kernel_peak_hour(forecast: DataFrame) -> DataFrame:
