@@ -49,10 +49,13 @@ def seasonal_day_distance(date_col, target: dt.date, wrap_leap: bool = True,
     target_doy = F.dayofyear(
         F.make_date(y, F.lit(target.month), F.least(F.lit(target.day), last_dom)))
     diff = F.abs(F.dayofyear(c) - target_doy)
+    leap_year = is_leap_year(y)
+    if wrap_leap and exact_half:
+        return F.least(diff, F.when(leap_year, 366).otherwise(365) - diff)
     common = F.least(diff, 365 - diff) if exact_half else \
         F.when(diff < 182, diff).otherwise(365 - diff)
     leap = F.least(diff, 366 - diff) if wrap_leap else diff
-    return F.when(is_leap_year(y), leap).otherwise(common)
+    return F.when(leap_year, leap).otherwise(common)
 
 
 def circular_hour_distance(hour_a, hour_b) -> Column:
