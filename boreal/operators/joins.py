@@ -1,9 +1,10 @@
 """Join helpers: broadcast only behind a size check, with a shuffle join beyond it.
 
-``bounded_broadcast`` counts at most ``max_rows + 1`` rows of the small side (a cheap, early-stopping
-job over a dimension) and adds the broadcast hint only when the side is within the bound. Past the
-bound the side is returned unchanged and Catalyst plans a shuffle join (sort-merge), which AQE may
-still turn into a broadcast from measured sizes, or split when one key is hot.
+``bounded_broadcast`` counts the rows of the small side — a distributed count whose per-task
+partial counts are the only rows that move — and adds the broadcast hint only when the side is
+within the bound. Past the bound the side is returned unchanged and Catalyst plans a shuffle join
+(sort-merge), which AQE may still turn into a broadcast from measured sizes, or split when one key
+is hot. (A ``limit(n).count()`` check would funnel up to n rows per task through one partition.)
 """
 
 from __future__ import annotations
@@ -19,17 +20,17 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def rows_within(max_rows: int, *dfs: DataFrame) -> list[bool]:
-    """``row_count_at_most`` for several DataFrames in one job: each side is cut at
-    ``max_rows + 1`` rows, tagged, and the tagged union is counted (one small row per side)."""
+    """``row_count_at_most`` for several DataFrames in one job: the sides are tagged, unioned and
+    counted per tag (partial counts per task; one small row per side reaches the driver)."""
     if len(dfs) == 1:
         return [row_count_at_most(dfs[0], max_rows)]
     tagged = None
     for i, df in enumerate(dfs):
-        part = df.limit(max_rows + 1).select(F.lit(i).alias("__side"))
+        part = df.select(F.lit(i).alias("__side"))
         tagged = part if tagged is None else tagged.unionByName(part)
     counts = {r["__side"]: r["n"] for r in
               tagged.groupBy("__side").agg(F.count(F.lit(1)).alias("n")).collect()}

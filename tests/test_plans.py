@@ -103,3 +103,4 @@ def test_long_key_lists_are_deduplicated_before_broadcast(spark):
     text = plan_text(df)
     assert "BroadcastHashJoin" in text and "LeftSemi" in text
     assert scans_of(df, "lineitem") == 0
+
