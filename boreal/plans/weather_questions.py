@@ -64,6 +64,10 @@ def answers(spark: SparkSession, temperature: str, precipitation: str, region_st
         "regional_monthly_mean": R.regional_monthly_mean(precip, region, *REGION_PERIOD),
         "kernel_regression": forecast,
         "kernel_peak_hour": K.kernel_peak_hour(forecast),
+        # the day distance as in the recorded forecasts (no leap-year wrap, 182 counted as 183)
+        "kernel_regression_as_recorded": K.kernel_regression(
+            readings, station_table, *FORECAST_PLACE, FORECAST_DATE, wrap_leap=False,
+            exact_half=False),
     }
 
 
@@ -74,7 +78,7 @@ SORT_COLUMNS = {
     "station_monthly_mean": ["station", "year", "month"], "extremes_band_join": ["station"],
     "extremes_prefilter_join": ["station"], "extremes_total_band_join": ["station"],
     "regional_monthly_mean": ["year", "month"], "kernel_regression": ["hour"],
-    "kernel_peak_hour": ["kernel"],
+    "kernel_peak_hour": ["kernel"], "kernel_regression_as_recorded": ["hour"],
 }
 
 
