@@ -49,6 +49,12 @@ def test_weather_answers(spark, files):
     f = res["kernel_regression"].collect()
     assert len(f) == 11 and all(r.forecast_sum is not None for r in f)
     assert {r.kernel for r in res["kernel_peak_hour"].collect()} == {"sum", "prod"}
+    staged = WQ.answers(spark, files["temperature"], files["precipitation"], files["region"],
+                        files["stations"], stage_dir=scratch_path(spark, "stage"))
+    for name in ("yearly_extrema", "monthly_exceedance_station_count", "regional_monthly_mean",
+                 "kernel_regression"):
+        assert sorted(map(tuple, staged[name].collect())) == \
+            sorted(map(tuple, res[name].collect())), name
     out = scratch_path(spark, "weather-answers")
     WQ.write_answers(res, out)
     files_written = glob.glob(os.path.join(out.replace("file:", ""), "*", "part-*.csv"))
