@@ -12,7 +12,7 @@ So for a forecast hour t::
     sum_r (kd + ky + kt(h_r, t)) v_r = sum_h [ A_h + kt(h, t) S_h ],  A_h = sum_{h_r = h} (kd + ky) v_r
     sum_r  kd * ky * kt(h_r, t)  v_r = sum_h   kt(h, t) P_h,          P_h = sum_{h_r = h} kd ky v_r
 
-and likewise for the denominators. Plan (one job, the readings are read once):
+and likewise for the denominators. Plan (the readings are scanned once):
 
 1. look-back filter, pushed to the scan as a date range;
 2. join the per-station distance weights, broadcast when the station table is within the row

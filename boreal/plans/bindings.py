@@ -14,7 +14,8 @@ Roles played by the TPC-H-like tables:
 Every binding reads tables that grow with the scale factor.
 
 Floating means and weighted sums are rounded to 6 places: summation order differs between engines.
-The bindings only name columns and pick parameters; all work is done by ``boreal.operators``.
+The bindings only name columns, pick parameters and place the forecast stations on a grid;
+all work is done by ``boreal.operators``.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Sinks: ordered text and CSV output.
 
-A result small enough for one file (checked by a bounded row count) goes through one task:
+A result small enough for one file (checked by a distributed row count) goes through one task:
 ``repartition(1).sortWithinPartitions(...)`` — one shuffle, and the order is guaranteed because the
 sort runs after the last exchange. Past the bound, the output is range-partitioned and sorted
 (``orderBy``) and written as many files whose names follow the global order, so no single task
