@@ -95,3 +95,38 @@ def test_hot_key_is_split_on_the_shuffle_path(spark):
     assert got == want
     assert "isFinalPlan=true" in final
     assert "SortMergeJoin(skew=true)" in final and "AQEShuffleRead skewed" in final
+
+
+@pytest.fixture()
+def every_side_too_big(monkeypatch):
+    """Every size check fails, as if each dimension were huge: all joins take their shuffle path."""
+    import boreal.operators.forecast as K
+    import boreal.operators.joins as J
+    import boreal.operators.warehouse as W
+    import boreal.sinks as S
+    for module in (J, W, K, I, S):
+        if hasattr(module, "row_count_at_most"):
+            monkeypatch.setattr(module, "row_count_at_most", lambda df, n: False)
+        if hasattr(module, "rows_within"):
+            monkeypatch.setattr(module, "rows_within", lambda n, *dfs: [False] * len(dfs))
+        if hasattr(module, "bounded_broadcast"):
+            monkeypatch.setattr(module, "bounded_broadcast", lambda df, max_rows=0: df)
+
+
+@pytest.fixture(scope="module")
+def small_oracle():
+    from oracle_util import duck
+    return duck(SF_SMALL)
+
+
+ALL_QUERIES = sorted(__import__("__spark_entry__").queries())
+
+
+@pytest.mark.parametrize("name", ALL_QUERIES)
+def test_every_query_on_shuffle_paths(spark, every_side_too_big, small_oracle, name):
+    import __spark_entry__ as entry
+    from oracle_util import compare
+    df = entry.queries()[name](spark, SF_SMALL)
+    assert "CartesianProduct" not in plan_text(df)
+    ok, msg = compare(df, entry.oracle_sql()[name], small_oracle)
+    assert ok, f"{name}: {msg}"
