@@ -107,7 +107,9 @@ def kernel_regression(readings: DataFrame, stations: DataFrame, latitude: float,
     ``readings`` needs a station key, a date or timestamp, an hour of day (0-23) and a value;
     ``stations`` a key with latitude and longitude. Readings without a value, and readings of
     stations missing from ``stations``, are not used (report the latter with
-    ``boreal.operators.integrity.fk_orphans``).
+    ``boreal.operators.integrity.fk_orphans``). Station keys are expected to be unique, as in a
+    join a duplicated key would weigh its readings once per duplicate (check with
+    ``boreal.operators.integrity.pk_violations``).
     """
     usable = (lookback_filter(readings, target_date, lookback_days, date=date)
               .where(F.col(value).isNotNull())
