@@ -112,25 +112,35 @@ def scalar_subquery_compare(table: DataFrame, column: str, reference_filter: Col
     return out.select(*columns) if columns else out
 
 
+# Reference sides up to this many distinct values go through a broadcast nested-loop join (cost:
+# this many comparisons per row at most); larger ones through the bucketed range join.
+NESTED_LOOP_VALUES = 64
+
+
 def theta_self_join(table: DataFrame, column: str, reference_filter: Column, columns=(),
                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                    range_buckets: int = 256) -> DataFrame:
+                    range_buckets: int | None = None) -> DataFrame:
     """``t1.columns FROM t t1, t t2 WHERE t1.column > t2.column AND reference_filter(t2)``.
 
     One output row per matching pair, as the join defines. The reference side is reduced to its
-    distinct values with their multiplicity (``__rv``, ``__rn``). Within the row bound it is
-    broadcast into a nested-loop join (no shuffle of ``t1``). Beyond it, a numeric column is joined
-    as a bucketed range join (``_greater_than_by_buckets``), never as a Cartesian product.
+    distinct values with their multiplicity (``__rv``, ``__rn``). A handful of values (at most
+    ``NESTED_LOOP_VALUES``) is broadcast into a nested-loop join (no shuffle of ``t1``). More values
+    of a numeric column go through a bucketed range join (``_greater_than_by_buckets``) with about
+    16 reference values per bucket, so each row compares against a few values, never against all;
+    never a Cartesian product.
     """
     ref = (table.where(reference_filter).where(F.col(column).isNotNull())
            .groupBy(F.col(column).alias("__rv")).agg(F.count(F.lit(1)).alias("__rn")))
     cols = list(columns or table.columns)
-    if row_count_at_most(ref, max_broadcast_rows):
+    n_ref = ref.count()
+    if n_ref <= min(max_broadcast_rows, NESTED_LOOP_VALUES):
         t1 = table.alias("t1")
         matched = t1.join(F.broadcast(ref), F.col(f"t1.{column}") > F.col("__rv"), "inner")
         return _repeat(matched.select(*[F.col(f"t1.{c}") for c in cols], "__rn"), "__rn", cols)
     if isinstance(table.schema[column].dataType, T.NumericType):
-        return _greater_than_by_buckets(table, column, ref, cols, range_buckets)
+        buckets = range_buckets or max(64, min(65536, n_ref // 16))
+        return _greater_than_by_buckets(table, column, ref, cols, buckets,
+                                        broadcast_ref=n_ref <= max_broadcast_rows)
     t1 = table.alias("t1")
     matched = t1.join(ref, F.col(f"t1.{column}") > F.col("__rv"), "inner")
     return _repeat(matched.select(*[F.col(f"t1.{c}") for c in cols], "__rn"), "__rn", cols)
@@ -153,14 +163,15 @@ def _repeat(df: DataFrame, count: str, cols) -> DataFrame:
 
 
 def _greater_than_by_buckets(table: DataFrame, column: str, ref: DataFrame, cols,
-                             buckets: int) -> DataFrame:
+                             buckets: int, broadcast_ref: bool = False) -> DataFrame:
     """Exact ``t1.column > ref.__rv`` (with multiplicities) as equi-joins on value buckets.
 
     Split points are approximate quantiles of the reference values (at most ``buckets - 1``
     numbers). For a row in bucket b, every reference value in a lower bucket is smaller: those are
     counted from a cumulative table of at most ``buckets`` rows (broadcast, bounded by the
     parameter). Only reference values of the same bucket are compared one by one, through an
-    equi-join on the bucket (AQE splits a bucket holding many ``t1`` rows).
+    equi-join on the bucket: the bucketed reference is broadcast when within the row bound,
+    otherwise both sides are shuffled on the bucket (AQE splits a bucket holding many ``t1`` rows).
     """
     from pyspark.ml.feature import Bucketizer
     from pyspark.sql import Window
@@ -183,7 +194,8 @@ def _greater_than_by_buckets(table: DataFrame, column: str, ref: DataFrame, cols
     t1 = bucketed(table.where(F.col(column).isNotNull()), column)
     lower = (t1.join(F.broadcast(cumulative), "__b").where(F.col("__below") > 0)
              .select(*cols, "__below"))
-    same = (t1.alias("t1").join(ref_b.alias("r"), (F.col("t1.__b") == F.col("r.__b"))
+    ref_side = F.broadcast(ref_b) if broadcast_ref else ref_b
+    same = (t1.alias("t1").join(ref_side.alias("r"), (F.col("t1.__b") == F.col("r.__b"))
                                 & (F.col(f"t1.{column}") > F.col("r.__rv")))
             .select(*[F.col(f"t1.{c}") for c in cols], F.col("r.__rn")))
     return _repeat(lower, "__below", cols).unionByName(_repeat(same, "__rn", cols))

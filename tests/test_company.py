@@ -101,17 +101,19 @@ def test_theta_join_keeps_pair_multiplicity(spark):
     assert sorted(r.id for r in unbounded.collect()) == [1, 1, 4, 4]
 
 
-@pytest.mark.parametrize("buckets", [2, 3, 8, 64])
-def test_bucketed_range_join_equals_brute_force(spark, buckets):
+@pytest.mark.parametrize("buckets, max_rows", [(2, 0), (3, 0), (8, 0), (64, 0), (None, 0),
+                                              (4, 1_000_000), (None, 1_000_000)])
+def test_bucketed_range_join_equals_brute_force(spark, buckets, max_rows):
     import random
     rnd = random.Random(buckets)
-    rows = [(i, rnd.choice("abc"), rnd.randrange(0, 40)) for i in range(300)]
+    rows = [(i, rnd.choice("abc"), rnd.randrange(0, 400)) for i in range(300)]
     rows += [(1000 + i, "a", None) for i in range(3)]
     df = spark.createDataFrame(rows, "id int, name string, w int")
     ref = [w for _, n, w in rows if n == "a" and w is not None]
+    assert len(set(ref)) > W.NESTED_LOOP_VALUES  # the bucketed path, not the nested loop
     want = sorted(i for i, _, w in rows for v in ref if w is not None and w > v)
     out = W.theta_self_join(df, "w", F.col("name") == "a", columns=("id",),
-                            max_broadcast_rows=0, range_buckets=buckets)
+                            max_broadcast_rows=max_rows, range_buckets=buckets)
     assert "CartesianProduct" not in plan_text(out)
     assert "BroadcastNestedLoopJoin" not in plan_text(out)
     assert sorted(r.id for r in out.collect()) == want
