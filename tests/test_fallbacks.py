@@ -130,3 +130,27 @@ def test_every_query_on_shuffle_paths(spark, every_side_too_big, small_oracle, n
     assert "CartesianProduct" not in plan_text(df)
     ok, msg = compare(df, entry.oracle_sql()[name], small_oracle)
     assert ok, f"{name}: {msg}"
+
+
+def _agg_below_join(text: str, first_key: str, *more: str) -> bool:
+    """A partial HashAggregate keyed by ``first_key`` (and ``more``) runs below the first
+    sort-merge join, i.e. rows are summed before they are shuffled for the join."""
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    return any(f"HashAggregate(keys=[{first_key}" in line and "partial_sum" in line
+               and all(k in line for k in more) for line in lines[at:])
+
+
+def test_large_forecast_pre_aggregates_before_joining_stations(spark, every_side_too_big):
+    import __spark_entry__ as entry
+    text = plan_text(entry.queries()["kernel_regression"](spark, SF_SMALL), "simple")
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    # keys: station, the day distance (a grouping expression) and the hour
+    assert _agg_below_join(text, "station", "hour")
+
+
+def test_large_star_join_pre_aggregates_before_parts(spark, every_side_too_big):
+    import __spark_entry__ as entry
+    text = plan_text(entry.queries()["star_join_weighted_sum"](spark, SF_SMALL), "simple")
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert _agg_below_join(text, "l_suppkey", "l_partkey", "l_quantity")
