@@ -125,9 +125,9 @@ def theta_self_join(table: DataFrame, column: str, reference_filter: Column, col
     One output row per matching pair, as the join defines. The reference side is reduced to its
     distinct values with their multiplicity (``__rv``, ``__rn``). A handful of values (at most
     ``NESTED_LOOP_VALUES``) is broadcast into a nested-loop join (no shuffle of ``t1``). More values
-    of a numeric column go through a bucketed range join (``_greater_than_by_buckets``) with about
-    16 reference values per bucket, so each row compares against a few values, never against all;
-    never a Cartesian product.
+    go through a bucketed range join (``_greater_than_by_buckets``; numeric, date, timestamp and
+    string columns) with about 16 reference values per bucket, so each row compares against a few
+    values, never against all; never a Cartesian product.
     """
     ref = (table.where(reference_filter).where(F.col(column).isNotNull())
            .groupBy(F.col(column).alias("__rv")).agg(F.count(F.lit(1)).alias("__rn")))
@@ -137,13 +137,27 @@ def theta_self_join(table: DataFrame, column: str, reference_filter: Column, col
         t1 = table.alias("t1")
         matched = t1.join(F.broadcast(ref), F.col(f"t1.{column}") > F.col("__rv"), "inner")
         return _repeat(matched.select(*[F.col(f"t1.{c}") for c in cols], "__rn"), "__rn", cols)
-    if isinstance(table.schema[column].dataType, T.NumericType):
-        buckets = range_buckets or max(64, min(65536, n_ref // 16))
-        return _greater_than_by_buckets(table, column, ref, cols, buckets,
-                                        broadcast_ref=n_ref <= max_broadcast_rows)
-    t1 = table.alias("t1")
-    matched = t1.join(ref, F.col(f"t1.{column}") > F.col("__rv"), "inner")
-    return _repeat(matched.select(*[F.col(f"t1.{c}") for c in cols], "__rn"), "__rn", cols)
+    if _order_key(F.col(column), table.schema[column].dataType) is None:
+        raise TypeError(f"theta_self_join: no order key for {table.schema[column].dataType}")
+    buckets = range_buckets or max(64, min(65536, n_ref // 16))
+    return _greater_than_by_buckets(table, column, ref, cols, buckets,
+                                    broadcast_ref=n_ref <= max_broadcast_rows)
+
+
+def _order_key(col: Column, dtype: T.DataType) -> Column | None:
+    """A double that never decreases when the value increases (ties allowed: values sharing a key
+    are compared exactly later). Strings use their first 6 UTF-8 bytes, matching Spark's binary
+    string order; dates their day number; timestamps their microseconds."""
+    if isinstance(dtype, T.NumericType):
+        return col.cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(col.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    return None
 
 
 # Largest array built to repeat a row: a multiplicity n becomes ceil(n / CHUNK) chunks of at most
@@ -177,13 +191,16 @@ def _greater_than_by_buckets(table: DataFrame, column: str, ref: DataFrame, cols
     from pyspark.sql import Window
 
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(ref.approxQuantile("__rv", probs, 1.0 / (4 * buckets))))
+    keyed = ref.select(_order_key(F.col("__rv"), table.schema[column].dataType).alias("__x"))
+    cuts = sorted(set(keyed.approxQuantile("__x", probs, 1.0 / (4 * buckets))))
     splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] \
         + [float("inf")]
 
+    dtype = table.schema[column].dataType
+
     def bucketed(df, value_col):
         b = Bucketizer(splits=splits, inputCol="__x", outputCol="__b", handleInvalid="keep")
-        return b.transform(df.withColumn("__x", F.col(value_col).cast("double"))).drop("__x")
+        return b.transform(df.withColumn("__x", _order_key(F.col(value_col), dtype))).drop("__x")
 
     ref_b = bucketed(ref, "__rv")
     totals = ref_b.groupBy("__b").agg(F.sum("__rn").alias("__tot"))

@@ -214,3 +214,27 @@ def test_repeat_in_chunks(spark, monkeypatch):
     df = spark.createDataFrame([(1, 7), (2, 3), (3, 1), (4, 0)], "id int, n long")
     got = sorted(r.id for r in W._repeat(df, "n", ["id"]).collect())
     assert got == [1] * 7 + [2] * 3 + [3]
+
+
+@pytest.mark.parametrize("kind", ["string", "date"])
+def test_bucketed_range_join_on_strings_and_dates(spark, kind):
+    import datetime as dt
+    import random
+    rnd = random.Random(11)
+    words = ["a", "ab", "abc", "abcdefg", "abcdefh", "b", "ba", "zz", "Z", "é", "ée", "abcdef"]
+    if kind == "string":
+        values = words + ["".join(rnd.choice("abcxyz") for _ in range(rnd.randrange(1, 9)))
+                          for _ in range(200)]
+    else:
+        values = [dt.date(2000, 1, 1) + dt.timedelta(days=rnd.randrange(0, 3000))
+                  for _ in range(200)]
+    rows = [(i, rnd.choice("ab"), v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, f"id int, name string, w {kind}")
+    ref = [w for _, n, w in rows if n == "a"]
+    want = sorted(i for i, _, w in rows for v in ref if w.encode() > v.encode()) \
+        if kind == "string" else sorted(i for i, _, w in rows for v in ref if w > v)
+    out = W.theta_self_join(df, "w", F.col("name") == "a", columns=("id",),
+                            max_broadcast_rows=0, range_buckets=8)
+    text = plan_text(out)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert sorted(r.id for r in out.collect()) == want
