@@ -145,7 +145,8 @@ def kernel_regression(readings: DataFrame, stations: DataFrame, latitude: float,
                          F.sum("vs").alias("s"), F.sum("vn").alias("n"),
                          F.sum(F.col("k_mul") * F.col("vs")).alias("p"),
                          F.sum(F.col("k_mul") * F.col("vn")).alias("q")))
-    targets = F.explode(F.array(*[F.lit(int(t)) for t in hours])).alias("target")
+    hours = list(dict.fromkeys(int(t) for t in hours))  # each requested hour once, in order
+    targets = F.explode(F.array(*[F.lit(t) for t in hours])).alias("target")
     kt = gaussian_kernel(circular_hour_distance(F.col("hour"), F.col("target")), h_time)
     terms = (per_hour.select("*", targets).withColumn("kt", kt)
              .select("target",
@@ -165,7 +166,8 @@ def kernel_regression(readings: DataFrame, stations: DataFrame, latitude: float,
 
 
 def kernel_peak_hour(forecast: DataFrame) -> DataFrame:
-    """Hour of the highest forecast per kernel (``kernel, hour, forecast``); ties: the later hour."""
+    """Hour of the highest forecast per kernel (``kernel, hour, forecast``); on equal forecasts the
+    larger hour number wins (midnight is hour 0)."""
     long = forecast.select("hour", F.inline(F.array(
         F.struct(F.lit("sum").alias("kernel"), F.col("forecast_sum").alias("forecast")),
         F.struct(F.lit("prod").alias("kernel"), F.col("forecast_prod").alias("forecast")))))
