@@ -1,10 +1,13 @@
 """Readings arriving as files: the delimited scan as a Structured Streaming source.
 
 The reference has no streaming; this package adds no operator. It reads the same positional files
-with ``readStream`` so the readings aggregations of ``boreal.operators.readings`` that Structured
-Streaming supports (filters, period ranges, grouped min / max / count / sum / avg, sorted after
-aggregation) can run incrementally in ``complete`` mode, with the state and progress kept under the
-shared checkpoint folder.
+with ``readStream`` so the single-aggregate readings jobs of ``boreal.operators.readings`` —
+``yearly_extrema``, ``monthly_exceedance_count``, ``station_monthly_mean`` and
+``station_monthly_mean_sumcount`` — run incrementally in ``complete`` mode, with the state and
+progress kept under the shared checkpoint folder. Structured Streaming rejects the others as
+streams: distinct counts (``monthly_exceedance_station_count``), chained aggregates
+(``yearly_argmax``, ``regional_monthly_mean``, the daily-total band join) and joins of two
+aggregated streams; run those as batch jobs over the same files.
 """
 
 from __future__ import annotations

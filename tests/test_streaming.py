@@ -1,5 +1,7 @@
 """Readings aggregations over a file stream equal the batch result on the same files."""
 
+import pytest
+
 from boreal.operators import readings as R
 from boreal.session import scratch_path
 from boreal.sources import TEMPERATURE_READINGS, read_delimited
@@ -7,7 +9,9 @@ from boreal.streaming import read_delimited_stream, run_to_parquet
 from test_readings import TEMPERATURE_LINES
 
 
-def test_stream_matches_batch(spark, tmp_path):
+@pytest.mark.parametrize("job", ["monthly_exceedance_count", "yearly_extrema",
+                                 "station_monthly_mean", "station_monthly_mean_sumcount"])
+def test_stream_matches_batch(spark, tmp_path, job):
     lines = TEMPERATURE_LINES.splitlines()
     src = tmp_path / "incoming"
     src.mkdir()
@@ -16,11 +20,11 @@ def test_stream_matches_batch(spark, tmp_path):
 
     stream = read_delimited_stream(spark, str(src), TEMPERATURE_READINGS, max_files_per_trigger=1)
     out = scratch_path(spark, "stream-out")
-    q = run_to_parquet(R.monthly_exceedance_count(stream), out)
+    q = run_to_parquet(getattr(R, job)(stream), out)
     q.awaitTermination(120)
     assert q.exception() is None
 
     batch = read_delimited(spark, str(src), TEMPERATURE_READINGS)
-    want = sorted(tuple(r) for r in R.monthly_exceedance_count(batch).collect())
+    want = sorted(tuple(r) for r in getattr(R, job)(batch).collect())
     got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert got == want
