@@ -12,8 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+MODES = ("FAILFAST", "PERMISSIVE")  # fail on a malformed field, or read it as NULL; never drop rows
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";",
                    mode: str = "FAILFAST", date_format: str = "yyyy-MM-dd") -> DataFrame:
+    if mode.upper() not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     return (spark.read.schema(schema)
             .option("sep", sep)
             .option("header", "false")

@@ -136,3 +136,8 @@ def test_malformed_value_fails_or_nulls(spark, tmp_path):
     lenient = read_delimited(spark, str(p), TEMPERATURE_READINGS, mode="PERMISSIVE")
     assert sorted(r.value for r in lenient.collect() if r.value is not None) == [1.5]
     assert lenient.where(F.col("value").isNull()).count() == 1
+
+
+def test_scan_modes_never_drop_rows(spark, files):
+    with pytest.raises(ValueError):
+        read_delimited(spark, files["temp"], TEMPERATURE_READINGS, mode="DROPMALFORMED")
