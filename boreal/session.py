@@ -46,7 +46,11 @@ def cluster_conf(total_cores: int, largest_shuffle_bytes: int = 0) -> dict[str,
     cores give 400,000 initial partitions.
     """
     partitions = max(200, 3 * total_cores, -(-largest_shuffle_bytes // PARTITION_BYTES))
+    # Broadcasts come only from explicit size checks (``boreal.operators.joins``) or from AQE's
+    # measured shuffle sizes, never from file-size estimates.
     return {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.caseSensitive": "false",
         "spark.sql.adaptive.enabled": "true",

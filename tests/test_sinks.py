@@ -77,3 +77,10 @@ def test_cluster_conf_sizes_partitions():
     assert cluster_conf(8000, 100 * 2 ** 40)["spark.sql.shuffle.partitions"] == "409600"
     assert cluster_conf(64)["spark.sql.shuffle.partitions"] == "200"
     assert cluster_conf(1000)["spark.sql.shuffle.partitions"] == "3000"
+
+
+def test_cluster_conf_broadcasts_only_measured_sizes():
+    from boreal.session import cluster_conf
+    conf = cluster_conf(1000)
+    assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    assert int(conf["spark.sql.adaptive.autoBroadcastJoinThreshold"]) > 0
