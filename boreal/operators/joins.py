@@ -52,8 +52,8 @@ def materialize(df: DataFrame) -> DataFrame:
 SMALL_KEY_ROWS = 10_000
 
 
-def _key_side(keys: DataFrame, key: str, max_rows: int) -> DataFrame:
-    """The ``__k`` key column for a semi / anti join.
+def key_side(keys: DataFrame, key: str, max_rows: int) -> tuple[DataFrame, bool]:
+    """The ``__k`` key column for a semi / anti join, and whether it is broadcast.
 
     A short key list (at most ``SMALL_KEY_ROWS`` rows, and within ``max_rows``) is broadcast as
     is: a broadcast semi or anti join ignores duplicates. A longer one is de-duplicated map-side
@@ -62,9 +62,15 @@ def _key_side(keys: DataFrame, key: str, max_rows: int) -> DataFrame:
     """
     k = keys.select(F.col(key).alias("__k")).where(F.col("__k").isNotNull())
     if row_count_at_most(k, min(max_rows, SMALL_KEY_ROWS)):
-        return F.broadcast(k)
+        return F.broadcast(k), True
     distinct = materialize(k.distinct())
-    return F.broadcast(distinct) if row_count_at_most(distinct, max_rows) else distinct
+    if row_count_at_most(distinct, max_rows):
+        return F.broadcast(distinct), True
+    return distinct, False
+
+
+def _key_side(keys: DataFrame, key: str, max_rows: int) -> DataFrame:
+    return key_side(keys, key, max_rows)[0]
 
 
 def semi_join(facts: DataFrame, keys: DataFrame, fact_key: str, key: str | None = None,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boreal.functions.calendar import year_range
-from boreal.operators.joins import DEFAULT_BROADCAST_ROWS, semi_join
+from boreal.operators.joins import DEFAULT_BROADCAST_ROWS, key_side
 
 
 def sort_calendar_result(df: DataFrame, *order) -> DataFrame:
@@ -181,14 +181,27 @@ def regional_monthly_mean(precipitation: DataFrame, region_stations: DataFrame,
                           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Monthly total per station of a region, averaged over the region's stations with readings.
 
-    The region's station list stays a DataFrame: a left semi join (broadcast when the list is within
-    the row bound, shuffled otherwise) replaces collecting it into an ``IN`` list.
+    The region's station list stays a DataFrame and meets the readings in a left semi join instead
+    of being collected into an ``IN`` list. A list within the row bound is broadcast and filters the
+    readings map-side, before they are aggregated. A longer list would make the join shuffle the
+    readings, so the readings are first summed per (year, month, station) — combined map-side —
+    and only those sums are shuffled into the semi join (the filter commutes with the grouping,
+    which includes the station).
     """
-    inside = semi_join(_period(precipitation, date, first_year, last_year), region_stations,
-                       station, region_station or station, max_broadcast_rows)
-    per_station = (inside.groupBy(F.year(date).alias("year"), F.month(date).alias("month"),
-                                  F.col(station).alias("station"))
-                   .agg(F.sum(value).alias("monthly_total")))
+    keys, broadcast = key_side(region_stations, region_station or station, max_broadcast_rows)
+    readings = _period(precipitation, date, first_year, last_year)
+
+    def monthly_totals(df):
+        return (df.groupBy(F.year(date).alias("year"), F.month(date).alias("month"),
+                           F.col(station).alias("station"))
+                .agg(F.sum(value).alias("monthly_total")))
+
+    if broadcast:
+        per_station = monthly_totals(
+            readings.join(keys, readings[station] == keys["__k"], "left_semi"))
+    else:
+        totals = monthly_totals(readings)
+        per_station = totals.join(keys, totals["station"] == keys["__k"], "left_semi")
     return (per_station.groupBy("year", "month")
             .agg(F.avg("monthly_total").alias("mean_monthly_total"))
             .transform(lambda df: sort_calendar_result(df, F.col("year").desc(),

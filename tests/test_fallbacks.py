@@ -154,3 +154,11 @@ def test_large_star_join_pre_aggregates_before_parts(spark, every_side_too_big):
     text = plan_text(entry.queries()["star_join_weighted_sum"](spark, SF_SMALL), "simple")
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert _agg_below_join(text, "l_suppkey", "l_partkey", "l_quantity")
+
+
+def test_large_region_list_aggregates_before_the_semi_join(spark, every_side_too_big):
+    import __spark_entry__ as entry
+    text = plan_text(entry.queries()["regional_monthly_mean"](spark, SF_SMALL), "simple")
+    assert "SortMergeJoin" in text and "LeftSemi" in text
+    # keys: year and month (grouping expressions) and the station
+    assert _agg_below_join(text, "_groupingexpression", "l_suppkey", "l_quantity")
