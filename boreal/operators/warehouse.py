@@ -16,6 +16,7 @@ from boreal.functions.text import text_before
 from boreal.operators.joins import (
     DEFAULT_BROADCAST_ROWS,
     bounded_broadcast,
+    key_side,
     row_count_at_most,
     rows_within,
     semi_join,
@@ -238,9 +239,9 @@ def star_join_weighted_sum(suppliers: DataFrame, cities: DataFrame, supply: Data
 
     When the selected suppliers and the part table both fit the broadcast bound, the facts meet
     them map-side and are aggregated once (one exchange of the facts, on the name). Otherwise the
-    facts are cut to the selected suppliers by a semi join and summed per (supplier, part) before
-    they meet the shuffled part table, so that join sees one row per supplied part, not one per
-    shipment. Duplicated dimension keys multiply the answer exactly as the four-way join would
+    facts are summed per (supplier, part) before they meet the shuffled part table, so that join
+    sees one row per supplied part, not one per shipment; the selected suppliers filter the facts
+    map-side when they fit a broadcast, or else filter the sums in a shuffled semi join. Duplicated dimension keys multiply the answer exactly as the four-way join would
     (their multiplicity is carried as a count).
     """
     chosen_cities = (cities.where(city_filter).groupBy(F.col(city_id).alias("__cid"))
@@ -261,16 +262,22 @@ def star_join_weighted_sum(suppliers: DataFrame, cities: DataFrame, supply: Data
                 .join(F.broadcast(part_weights), F.col(supply_part) == F.col("__p")))
         return rows.groupBy("name").agg(
             F.sum(F.col("__w") * F.col(supply_quantity) * F.col("__cmult")).alias(alias))
+    def sum_per_part(df):
+        return (df.groupBy(F.col(supply_supplier).alias("__s"), F.col(supply_part).alias("__p"))
+                .agg(F.sum(supply_quantity).alias("__q")))
+
+    # The part table is shuffled: sum the facts per (supplier, part) first, so the part join and
+    # the aggregates see one row per supplied part, not one per shipment.
     if chosen_small:
+        # the selected suppliers filter the facts map-side, before they are summed
         chosen = F.broadcast(chosen)
-        shipped = supply.join(chosen.select("__sid"),
-                              F.col(supply_supplier) == F.col("__sid"), "left_semi")
+        per_part = sum_per_part(supply.join(chosen.select("__sid"),
+                                            F.col(supply_supplier) == F.col("__sid"), "left_semi"))
     else:
-        shipped = semi_join(supply, chosen, supply_supplier, "__sid", max_broadcast_rows)
-    # The part table is shuffled: sum the facts per (supplier, part) first, so the part join and
-    # the aggregates see one row per supplied part, not one per shipment.
-    per_part = (shipped.groupBy(F.col(supply_supplier).alias("__s"), F.col(supply_part).alias("__p"))
-                .agg(F.sum(supply_quantity).alias("__q")))
+        # too many suppliers to broadcast: sum first (map-side combine), then semi-join the sums
+        keys, _ = key_side(chosen, "__sid", max_broadcast_rows)
+        totals = sum_per_part(supply)
+        per_part = totals.join(keys, totals["__s"] == keys["__k"], "left_semi")
     weighted = (per_part.join(part_weights, "__p")
                 .groupBy("__s").agg(F.sum(F.col("__w") * F.col("__q")).alias("__t")))
     return (weighted.join(chosen, F.col("__s") == F.col("__sid"))
