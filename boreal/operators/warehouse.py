@@ -57,7 +57,8 @@ def sorted_by(table: DataFrame, *columns: str) -> DataFrame:
     return table.orderBy(*with_tie_breakers(table, columns))
 
 
-def equality_filter(table: DataFrame, column: str, value, *, not_null: str | None = None) -> DataFrame:
+def equality_filter(table: DataFrame, column: str, value, *,
+                    not_null: str | None = None) -> DataFrame:
     cond = F.col(column) == F.lit(value)
     if not_null:
         cond = F.col(not_null).isNotNull() & cond
@@ -90,7 +91,7 @@ def in_subquery(facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
 def join_filter(facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
                 dim_filter: Column, dim_columns=(),
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``facts.*, dim columns`` of the facts joined to the filtered dimension (one row per match)."""
+    """``facts.*, dim columns``: the facts joined to the filtered dimension (a row per match)."""
     d = dim.where(dim_filter).select(F.col(dim_key).alias("__dk"),
                                      *[F.col(c).alias(c) for c in dim_columns])
     d = bounded_broadcast(d, max_broadcast_rows)
@@ -241,8 +242,9 @@ def star_join_weighted_sum(suppliers: DataFrame, cities: DataFrame, supply: Data
     them map-side and are aggregated once (one exchange of the facts, on the name). Otherwise the
     facts are summed per (supplier, part) before they meet the shuffled part table, so that join
     sees one row per supplied part, not one per shipment; the selected suppliers filter the facts
-    map-side when they fit a broadcast, or else filter the sums in a shuffled semi join. Duplicated dimension keys multiply the answer exactly as the four-way join would
-    (their multiplicity is carried as a count).
+    map-side when they fit a broadcast, or else filter the sums in a shuffled semi join.
+    Duplicated dimension keys multiply the answer exactly as the four-way join would (their
+    multiplicity is carried as a count).
     """
     chosen_cities = (cities.where(city_filter).groupBy(F.col(city_id).alias("__cid"))
                      .agg(F.count(F.lit(1)).alias("__cmult")))

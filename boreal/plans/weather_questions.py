@@ -86,7 +86,8 @@ def answers(spark: SparkSession, temperature: str, precipitation: str, region_st
 
 # Order of each stored answer.
 SORT_COLUMNS = {
-    "yearly_extrema": ["year"], "yearly_argmax": ["year"], "monthly_exceedance_count": ["year", "month"],
+    "yearly_extrema": ["year"], "yearly_argmax": ["year"],
+    "monthly_exceedance_count": ["year", "month"],
     "monthly_exceedance_station_count": ["year", "month"],
     "station_monthly_mean": ["station", "year", "month"], "extremes_band_join": ["station"],
     "extremes_prefilter_join": ["station"], "extremes_total_band_join": ["station"],
