@@ -80,3 +80,36 @@ def test_readings_aggregates(spark, rows):
     assert set(got) == set(means)
     for k, v in means.items():
         assert abs(got[k] - sum(v) / len(v)) < 1e-9
+
+
+KEYS = st.one_of(st.none(), st.integers(0, 12))
+
+
+@SETTINGS
+@given(child=st.lists(st.tuples(KEYS, KEYS), min_size=1, max_size=80),
+       parent=st.lists(KEYS, min_size=0, max_size=15))
+def test_integrity_audits(spark, child, parent):
+    from collections import Counter
+
+    from boreal.operators import integrity as I
+    c = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(child)],
+                              "row int, k int, v int")
+    p = spark.createDataFrame([(k,) for k in parent], "id int")
+    # primary key (k, v): groups repeated or with a NULL part
+    counts = Counter((a, b) for a, b in child)
+    want_pk = {(a, b, n) for (a, b), n in counts.items() if n > 1 or a is None or b is None}
+    got_pk = {(r.k, r.v, r.n_rows) for r in I.pk_violations(c, ["k", "v"]).collect()}
+    assert got_pk == want_pk
+    # foreign key k -> parent id: non-NULL keys without a parent; NULL kept as allowed
+    parents = {k for k in parent if k is not None}
+    want_orphans = sorted(i for i, (a, _) in enumerate(child) if a is not None and a not in parents)
+    assert sorted(r.row for r in I.fk_orphans(c, "k", p, "id").collect()) == want_orphans
+    fixed = {r.row: r.k for r in I.fk_set_null(c, "k", p, "id").collect()}
+    assert fixed == {i: (a if a in parents else None) for i, (a, _) in enumerate(child)}
+    # column rules in one pass
+    got = {r.rule: r.violations for r in I.column_checks(
+        c, {"k_null": I.not_null("k"), "v_neg": I.non_negative("v"),
+            "v_range": I.in_range("v", 2, 9)}).collect()}
+    assert got == {"k_null": sum(a is None for a, _ in child),
+                   "v_neg": 0,
+                   "v_range": sum(b is not None and not 2 <= b <= 9 for _, b in child)}
