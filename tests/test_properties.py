@@ -113,3 +113,35 @@ def test_integrity_audits(spark, child, parent):
     assert got == {"k_null": sum(a is None for a, _ in child),
                    "v_neg": 0,
                    "v_range": sum(b is not None and not 2 <= b <= 9 for _, b in child)}
+
+
+@SETTINGS
+@given(suppliers=st.lists(st.tuples(st.integers(0, 5), st.sampled_from("ABC"), st.integers(0, 3)),
+                          min_size=1, max_size=8),
+       cities=st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["mass", "tex"])),
+                       min_size=1, max_size=6),
+       supply=st.lists(st.tuples(st.integers(0, 5), st.integers(0, 4), st.integers(1, 9)),
+                       min_size=1, max_size=25),
+       parts=st.lists(st.tuples(st.integers(0, 4), st.integers(0, 50)), min_size=1, max_size=7),
+       max_rows=st.sampled_from([0, 1_000_000]))
+def test_star_join_matches_four_way_join(spark, suppliers, cities, supply, parts, max_rows):
+    from boreal.functions.text import normalized_equals
+    from boreal.operators import warehouse as W
+    want = {}
+    for sid, name, city in suppliers:
+        for cid, state in cities:
+            if cid != city or state != "mass":
+                continue
+            for s_sup, s_part, quan in supply:
+                if s_sup != sid:
+                    continue
+                for pid, weight in parts:
+                    if pid == s_part:
+                        want[name] = want.get(name, 0) + weight * quan
+    out = W.star_join_weighted_sum(
+        spark.createDataFrame(suppliers, "id int, name string, city int"),
+        spark.createDataFrame(cities, "id int, state string"),
+        spark.createDataFrame(supply, "supplier int, part int, quan int"),
+        spark.createDataFrame(parts, "id int, weight int"),
+        normalized_equals("state", "mass"), max_broadcast_rows=max_rows)
+    assert {r.name: r.total_weight for r in out.collect()} == want
