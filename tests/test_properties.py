@@ -145,3 +145,20 @@ def test_star_join_matches_four_way_join(spark, suppliers, cities, supply, parts
         spark.createDataFrame(parts, "id int, weight int"),
         normalized_equals("state", "mass"), max_broadcast_rows=max_rows)
     assert {r.name: r.total_weight for r in out.collect()} == want
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from("ab"),
+                               st.one_of(st.none(), st.integers(-20, 20).map(lambda x: x / 4))),
+                     min_size=1, max_size=120),
+       path=st.sampled_from([(1_000_000, None), (1_000_000, 3), (0, 2), (0, 7)]))
+def test_theta_join_matches_pairs(spark, rows, path):
+    from boreal.operators import warehouse as W
+    max_rows, buckets = path
+    df = spark.createDataFrame([(i, n, w) for i, (n, w) in enumerate(rows)],
+                               "id int, name string, w double")
+    ref = [w for n, w in rows if n == "a" and w is not None]
+    want = sorted(i for i, (_, w) in enumerate(rows) for v in ref if w is not None and w > v)
+    out = W.theta_self_join(df, "w", F.col("name") == "a", columns=("id",),
+                            max_broadcast_rows=max_rows, range_buckets=buckets)
+    assert sorted(r.id for r in out.collect()) == want
