@@ -16,6 +16,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text; for the documents whose id is divisible by
+    100, also the number of documents within 7 bits of their fingerprint (themselves included)."""
+    from boreal.llm.simhash import edited_fingerprints, within_radius
+    from boreal.llm.storage import written
+
+    prints = written(edited_fingerprints(documents(spark, sf_dir)), "fingerprints")
+    asked = F.col("doc_id") % 100 == 0
+    found = within_radius(prints.filter(asked), prints, radius=7).withColumnRenamed("documents", "within_7_bits")
+    near = prints.filter(asked).select("doc_id", "fingerprint").join(found, "fingerprint").select("doc_id", "within_7_bits")
+    return prints.join(near, "doc_id", "left")
+
+
 def op2_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     from boreal.llm.sentencepieces import encode_decode
@@ -27,6 +40,42 @@ def op2_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; learned from the documents that are not held out."""
+    from boreal.llm import language_id
+
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = F.coalesce(language_id.fold(F.col("doc_id"), 3) == 1, F.lit(True))
+    model = language_id.train(docs.filter(~held_out))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from boreal.llm.html_text import extract
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays of its group of equal texts."""
+    from boreal.llm.exact_dedup import duplicate_groups
+
+    return duplicate_groups(documents(spark, sf_dir))
+
+
+OP9_SQL = """
+WITH normal AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+equal AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM normal GROUP BY t)
+SELECT n.doc_id, e.keep_id, e.group_size, n.doc_id = e.keep_id AS kept, sha256(n.t) AS text_sha256
+FROM normal n JOIN equal e ON n.t = e.t
+"""
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of at most 4096 tokens."""
     from boreal.llm.packing import pack
@@ -36,6 +85,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op2_sentencepieces, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_sentencepieces, op6_language_id, op7_html_text, op9_exact_dedup, op10_packing)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op9_exact_dedup": OP9_SQL}
