@@ -22,7 +22,7 @@ class ChunkTable:
     """
 
     def __init__(self, segment: Callable[[list[str]], list[list[int]]],
-                 decode: Callable[[list[list[int]]], list[str]] | None = None, limit: int = 1_000_000):
+                 decode: Callable[[list[list[int]]], list[str]] | None = None, limit: int = 2_000_000):
         self.segment, self.decode, self.limit = segment, decode, limit
         self.row: dict[str, int] = {}
         self.texts: list[str] = []
