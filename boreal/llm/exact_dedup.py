@@ -42,12 +42,12 @@ def numbered(keys: DataFrame, name: str) -> DataFrame:
 
 
 def name_blocks(docs: DataFrame, block_bytes: int, block_hash: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
-    """``docs`` has doc_id and text (normalised). Returns documents (row, doc_id, sha256, hashes,
+    """``docs`` has doc_id and text (normalised, as bytes). Returns documents (row, doc_id, sha256, hashes,
     n_blocks) and their blocks (row, n, pos, name), n being the number of the document's blocks."""
     def cut(text: Column) -> Column:
-        data, n = text.cast("binary"), F.ceil(F.octet_length(text) / block_bytes).cast("int")
+        n = F.ceil(F.octet_length(text) / block_bytes).cast("int")
         return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(
-            data, i * block_bytes + 1, F.lit(block_bytes)))).otherwise(F.array().cast("array<binary>"))
+            text, i * block_bytes + 1, F.lit(block_bytes)))).otherwise(F.array().cast("array<binary>"))
 
     blocks = docs.select(F.explode(cut(F.col("text"))).alias("block"))
     contents = blocks.select(block_hash(F.col("block")).alias("hash"), "block").distinct()
@@ -79,7 +79,7 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                      block_hash: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """One row per document: doc_id, keep_id (largest id of the equal texts), group_size, kept, text_sha256."""
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"),
-                         normalise(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("text"))
+                         normalise(F.coalesce(F.col(f"`{text}`"), F.lit(""))).cast("binary").alias("text"))
     rows, named = name_blocks(source, block_bytes, block_hash)
     longest = rows.agg(F.max("n_blocks")).first()[0] or 0
     done = []

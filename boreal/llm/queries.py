@@ -40,6 +40,29 @@ def op2_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more, equal or alike, of a document that stand in an earlier one."""
+    from boreal.llm.substring_dedup import passages
+
+    return passages(documents(spark, sf_dir))
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by at least 85 % of common 4-word shingles."""
+    from boreal.llm.jaccard_join import similar_documents
+
+    return similar_documents(documents(spark, sf_dir), size=4, percent=85)
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without runs of two or more lines that stand earlier in the corpus."""
+    from boreal.llm.line_dedup import without_repeated_lines
+
+    cleaned = without_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_deleted", F.length("text").cast("long").alias("n_chars"),
+                          F.sha2("text", 256).alias("text_sha256"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from the documents that are not held out."""
     from boreal.llm import language_id
@@ -59,6 +82,18 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(pages).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document under a model of the documents that are not held out."""
+    from boreal.llm import kneser_ney
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(True))
+    model = kneser_ney.train(docs.filter(~held_out))
+    return kneser_ney.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays of its group of equal texts."""
     from boreal.llm.exact_dedup import duplicate_groups
@@ -85,6 +120,29 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_sentencepieces, op6_language_id, op7_html_text, op9_exact_dedup, op10_packing)}
+OP4_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM items a JOIN items b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least_reached AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(r.y, s.doc_id)) AS component_id
+FROM sets s LEFT JOIN least_reached r ON s.doc_id = r.x
+"""
+
+QUERIES = {f.__name__: f for f in (
+    op1_simhash, op2_sentencepieces, op3_substring_dedup, op4_jaccard_join, op5_line_dedup, op6_language_id,
+    op7_html_text, op8_kneser_ney, op9_exact_dedup, op10_packing)}
 
-ORACLE_SQL = {"op9_exact_dedup": OP9_SQL}
+#: Fingerprints, tokenizers, trained models, page parsing and alignment are beyond SQL; winnowing depends
+#: on the order of hashes. Those queries are tested against brute force, the libraries or held-out rows.
+ORACLE_SQL = {"op4_jaccard_join": OP4_SQL, "op9_exact_dedup": OP9_SQL}

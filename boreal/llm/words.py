@@ -61,6 +61,17 @@ def word_hashes(text: str | bytes) -> np.ndarray:
     return np.concatenate(out)
 
 
+def block_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of all texts in order, and the number of words of each text."""
+    if len(texts) == 1:
+        words = word_hashes(texts[0])
+        return words, np.array([len(words)])
+    parts = [t.encode() for t in texts]
+    data = np.frombuffer(b"\n".join(parts).lower(), np.uint8)
+    first = np.cumsum([0] + [len(p) + 1 for p in parts])
+    return _hashes(data), np.diff(np.searchsorted(word_spans(data)[0], first))
+
+
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
     """Sorted distinct hashes of ``size`` words in a row; of all words, if there are fewer."""
     if not len(words):
