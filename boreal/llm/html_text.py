@@ -48,6 +48,7 @@ NOT_ARTICLE = set("comment comments reply replies related promo sponsored ad adv
 QUALIFIED = ("has-", "with-", "no-", "without-", "has_", "with_", "no_")
 CONTAINER = set("article main body div section td th table ul ol dl blockquote details fieldset".split())
 WORD = re.compile(r"[a-z]+")
+MARKUP = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ/!?")
 
 
 class Lines(HTMLParser):
@@ -149,6 +150,9 @@ def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
 
 def main_text(html: str, sigma: float = 1.0, strictness: float = 0.5) -> str:
     parser = Lines()
+    last = html.rfind("<")
+    if last > html.rfind(">") and html[last + 1:last + 2] in MARKUP:  # a tag cut off by the page's end is no text
+        html = html[:last]
     parser.feed(html)
     parser.close()
     parser.flush()

@@ -86,6 +86,7 @@ def sample(labelled: DataFrame, per_language: int) -> list[tuple[str, np.ndarray
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, shares = [], []
+            batch = batch.filter(pa.array([bool(LETTER.search(t.as_py())) for t in batch.column("text")], pa.bool_()))
             for text in batch.column("text"):
                 count = np.zeros(BUCKETS, np.int64)
                 for b in buckets(text.as_py()):
@@ -105,7 +106,7 @@ def sample(labelled: DataFrame, per_language: int) -> list[tuple[str, np.ndarray
     return [r for rows in taken.values() for r in rows[:per_language]]
 
 
-def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int, rate: float, reject_rate: float, seed: int) -> Model:
+def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], steps: int, rate: float, reject_rate: float, seed: int) -> Model:
     languages = sorted({r[0] for r in rows})
     n = len(languages)
     if not rows:
@@ -124,11 +125,10 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int, rate: float
         sizes = np.array([len(rows[i][1]) for i in part])
         return np.add.reduceat(vectors[at] * share[:, None], np.cumsum(sizes) - sizes), at, share, sizes
 
-    steps = epochs * -(-len(learning) // 32)
     step = 0
-    for _ in range(epochs):
+    while step < steps:
         shuffled = rng.permutation(learning)
-        for a in range(0, len(shuffled), 32):
+        for a in range(0, len(shuffled), 32)[:steps - step]:
             part = shuffled[a:a + 32]
             h, at, share, sizes = hidden(part)
             g = softmax(h @ weights + bias)
@@ -151,14 +151,14 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int, rate: float
     return Model(languages, (vectors @ weights).astype(np.float32), bias.astype(np.float64), temperature, threshold)
 
 
-def train(labelled: DataFrame, per_language: int = 1000, epochs: int = 4, rate: float = 4.0,
+def train(labelled: DataFrame, per_language: int = 1000, steps: int = 400, rate: float = 4.0,
           reject_rate: float = 0.001, seed: int = 7, doc_id: str = "doc_id", text: str = "text",
           lang: str = "lang") -> Model:
-    """Fit on at most ``per_language`` rows of each language of ``labelled``."""
+    """Fit on at most ``per_language`` rows of each language of ``labelled``, in ``steps`` batches of 32."""
     source = labelled.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"),
                              F.col(f"`{lang}`").cast("string").alias("lang"))
     usable = source.filter(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return fit(sample(usable, per_language), epochs, rate, reject_rate, seed)
+    return fit(sample(usable, per_language), steps, rate, reject_rate, seed)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -127,7 +127,7 @@ WITH RECURSIVE words AS (
   FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))) END AS s
+    ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s
   FROM words),
 items AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
 links AS (

@@ -34,6 +34,7 @@ from boreal.llm.words import GOLDEN, mix, pair, word_hashes
 
 BITS = 256
 SIGNS = (2.0 * np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1) - 1)  # of each byte value
+STEPS = np.arange(BITS // 64, dtype=np.uint64) * GOLDEN  # one 64-bit hash of a term each
 POSITIONS = np.arange(BITS // 8) * 256
 FIRST_ID = -(1 << 63)
 
@@ -47,7 +48,7 @@ def fingerprint(text: str) -> np.ndarray:
     votes = np.zeros(256 * BITS // 8)
     for a in range(0, len(terms), 1 << 15):
         part = terms[a:a + (1 << 15)]
-        bits = np.stack([mix(part + np.uint64(k) * GOLDEN) for k in range(BITS // 64)], axis=1).view(np.uint8)
+        bits = mix(part[:, None] + STEPS).view(np.uint8)
         votes += np.bincount((bits + POSITIONS).ravel(), np.repeat(weight[a:a + (1 << 15)], BITS // 8), len(votes))
     return np.packbits(votes.reshape(-1, 256) @ SIGNS > 1e-9)
 

@@ -320,7 +320,8 @@ def without_passages(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id",
     cuts = found.groupBy(F.col("doc_id").alias("__id")).agg(
         F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("__cuts"))
     joined = docs.join(cuts, F.col(f"`{doc_id}`").cast("long") == F.col("__id"), "left").drop("__id")
-    at = docs.columns.index(text)
+    names = docs.columns
+    at = names.index(text)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,7 +329,7 @@ def without_passages(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id",
             cleaned = [t if c is None or t is None else without(t, [(p["begin"], p["end"]) for p in c])
                        for t, c in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(cleaned, pa.string()) if i == at else batch.column(i)
-                                              for i in range(len(docs.columns))], names=docs.columns)
+                                              for i in range(len(names))], names=names)
 
     return joined.mapInArrow(run, schema)
 

@@ -1,0 +1,159 @@
+"""Exact copies, near copies and repeated lines against brute force."""
+
+import re
+
+import pytest
+from llm_fixtures import SF_SMALL, corpus, docs, empty  # noqa: F401
+from oracle_util import compare, duck
+from pyspark.sql import functions as F
+
+from boreal.llm import jaccard_join, queries
+from boreal.llm.components import components
+from boreal.llm.exact_dedup import duplicate_groups
+from boreal.llm.line_dedup import without_repeated_lines
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_against_sql(spark, name):
+    ok, message = compare(queries.QUERIES[name](spark, SF_SMALL), queries.ORACLE_SQL[name], duck(SF_SMALL))
+    assert ok, message
+
+
+def normal(text):
+    return (text or "").translate(LOWER)
+
+
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 16}, {"block_bytes": 1000, "block_hash": lambda b: F.length(b) % 3},
+                                     {"block_bytes": 64, "block_hash": lambda b: F.lit(1).cast("long")}])
+def test_exact_groups(docs, options):
+    """Also where all blocks share a hash value: contents decide."""
+    rows = docs.select("doc_id", "text").collect()
+    out = duplicate_groups(docs.filter("doc_id != 7 AND doc_id != 8 OR doc_id IS NULL") if "block_hash" in options else docs, **options).collect()
+    rows = [r for r in rows if "block_hash" not in options or r["doc_id"] not in (7, 8)]
+    assert len(out) == len(rows)
+    groups = {}
+    for r in rows:
+        groups.setdefault(normal(r["text"]), []).append(r["doc_id"])
+    want = {}
+    for ids in groups.values():
+        known = [i for i in ids if i is not None]
+        for i in ids:
+            want[i] = (max(known) if known else None, len(ids))
+    for r in out:
+        assert (r["keep_id"], r["group_size"]) == want[r["doc_id"]], r
+        assert r["kept"] is (r["doc_id"] == r["keep_id"]) or r["doc_id"] == 20
+    assert sum(r["kept"] for r in out) == len(groups)
+
+
+def test_exact_groups_of_nothing(empty):
+    assert duplicate_groups(empty).count() == 0
+
+
+def brute_components(texts, size, percent):
+    sets = {}
+    for i, t in texts.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", normal(t))
+        sets[i] = {tuple(w[k:k + size]) for k in range(max(1, len(w) - size + 1))} if w else set()
+    label = {i: i for i in sets}
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    ids = sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1:]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                p, q = sorted((find(a), find(b)))
+                label[q] = p
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+@pytest.mark.parametrize("size,percent,open_tokens", [(4, 85, 2_000_000), (5, 80, 2_000_000), (2, 60, 700)])
+def test_similar_documents(spark, monkeypatch, size, percent, open_tokens):
+    """Chains of near copies, copies, short texts; also with groups cut into many blocks."""
+    import random
+
+    monkeypatch.setattr(jaccard_join, "OPEN_TOKENS", open_tokens)
+    rng = random.Random(size)
+    texts = {}
+    for family in range(12):
+        words = [f"w{rng.randrange(60)}" for _ in range(rng.choice([3, 8, 40, 150]))]
+        for _ in range(12):
+            texts[len(texts) * 3 + 1] = " ".join(words)
+            words = list(words)
+            for _ in range(rng.randrange(3)):
+                words[rng.randrange(len(words))] = f"n{rng.randrange(9)}"
+    texts |= {1000: None, 1001: "", 1002: "  \n", 1003: "One", 1004: "one", 1005: "one two"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    out = jaccard_join.similar_documents(docs, size, percent).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_components(texts, size, percent)
+
+
+def test_similar_edges(docs, empty):
+    out = {r["doc_id"]: r["component_id"] for r in jaccard_join.similar_documents(docs, 4, 85).collect()}
+    assert out[5] == out[1] == out[9] == out[20] == 1 and out[8] == 7 and out[13] == 12
+    assert out[2] == 2 and out[3] == 3 and out[None] is None
+    assert jaccard_join.similar_documents(empty).count() == 0
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    links = [(k, k + 1) for k in range(0, 40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (None, 3)]
+    found = components(spark.createDataFrame(links, "a long, b long"))
+    want = {k: 0 for k in range(41)} | {k: 100 for k in range(100, 140)}
+    assert {r["node"]: r["component"] for r in found.collect()} == want
+
+
+def line_fixture():
+    shared = [f"shared line {i}" for i in range(6)]
+    own = lambda d, n: [f"own {d} {i}" for i in range(n)]
+    return {
+        1: own(1, 2) + shared + own("1b", 2), 2: shared + own(2, 3), 3: own(3, 1) + shared[:2], 4: own(4, 4),
+        5: own(5, 1) + ["", ""] + shared[3:] + ["tail"], 6: ["shared line 0"], 7: [], 8: own(4, 4),
+        9: ["***", "---", "***", "---"], 10: ["***", "---"], 11: own(1, 2) + ["x"] + own(1, 2)}
+
+
+def test_lines_against_brute_force(spark):
+    texts = {i: "\n".join(lines) for i, lines in line_fixture().items()} | {12: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("row", F.lit("r")).repartition(3)
+    out = {r["doc_id"]: r for r in without_repeated_lines(docs).collect()}
+    assert set(out) == set(texts) and out[12]["text"] is None
+    for i, text in texts.items():
+        if text is None:
+            continue
+        lines, kept = text.split("\n"), out[i]["text"].split("\n")
+        assert out[i]["n_lines"] == len(lines) and out[i]["row"] == "r"
+        before = [x.split("\n") for j, x in texts.items() if x is not None and j < i]
+        runs = {tuple(x[k:k + 2]) for x in before for k in range(len(x) - 1)}
+        repeated = [k for k in range(len(lines) - 1) if tuple(lines[k:k + 2]) in runs and any(re.search(r"\w", t) for t in lines[k:k + 2])]
+        covered = {k + d for k in repeated for d in (0, 1)}
+        if i != 11:
+            gone = out[i]["n_deleted"]
+            assert gone <= len(covered)  # nothing but repeated runs goes
+            assert gone >= len(covered) - 2 * (len(repeated) > 0) and (not covered or gone or len(covered) < 3)
+            if not covered:
+                assert kept == lines
+    assert out[2]["text"] == "own 2 0\nown 2 1\nown 2 2" and out[8]["text"] == "" and out[1]["n_deleted"] == 0
+    assert out[6]["text"] == "shared line 0" and out[9]["n_deleted"] == 0
+    assert out[11]["n_deleted"] in (0, 2, 4)  # runs of two lines are shorter than the guarantee
+
+
+def test_first_lines_always_stay(spark, corpus):
+    out = {r["doc_id"]: r for r in without_repeated_lines(corpus.select("doc_id", "text")).collect()}
+    seen = set()
+    for r in sorted(corpus.collect(), key=lambda r: r["doc_id"]):
+        lines, kept = (r["text"] or "").split("\n"), out[r["doc_id"]]["text"].split("\n")
+        for line in set(lines) - seen:  # first place of a line
+            assert line in kept
+        seen |= set(lines)
+    assert sum(r["n_deleted"] for r in out.values()) > 0
+
+
+def test_lines_edges(docs, empty):
+    assert without_repeated_lines(docs).count() == docs.count()
+    assert without_repeated_lines(docs).columns == docs.columns[:1] + ["text"] + docs.columns[2:] + ["n_lines", "n_deleted"]
+    assert without_repeated_lines(empty).count() == 0
