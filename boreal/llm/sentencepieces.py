@@ -30,7 +30,7 @@ from boreal.llm.chunk_table import ChunkTable, blocks
 
 MARK = "▁"
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 
 
 class PieceCodec:
@@ -45,7 +45,7 @@ class PieceCodec:
         if self.sp.decode(self.sp.encode("ﬁ  ① x ")) != "ﬁ  ① x ":
             raise ValueError("this model's normaliser changes texts")
         self.lone_mark = [self.sp.piece_to_id(MARK)]
-        self.table = ChunkTable(self._segment, self._decode)
+        self.table = ChunkTable(self._segment, self._decode, limit=600_000)
 
     def _segment(self, words: list[str]) -> list[list[int]]:
         # the library puts one marker in front of what it is given, so it is left out here
