@@ -16,10 +16,18 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def year_range(date_col, first_year: int, last_year: int) -> Column:
-    """``first_year <= year(date) <= last_year``, as a pushable range on the column itself."""
+def year_range(date_col, first_year: int | None = None, last_year: int | None = None) -> Column:
+    """``first_year <= year(date) <= last_year``, as a pushable range on the column itself; a bound
+    that is None leaves that side open. A NULL date is outside every range, an open one included."""
     c = _col(date_col)
-    return (c >= F.lit(dt.date(first_year, 1, 1))) & (c < F.lit(dt.date(last_year + 1, 1, 1)))
+    inside = c.isNotNull()
+    if first_year is not None:
+        inside = inside & (c >= F.lit(dt.date(first_year, 1, 1)))
+    if last_year is not None and last_year < dt.MAXYEAR:
+        inside = inside & (c < F.lit(dt.date(last_year + 1, 1, 1)))
+    elif last_year is not None:  # no literal for the day after: year 10000 is written out
+        inside = inside & (c < F.to_date(F.lit(f"+{last_year + 1}-01-01")))
+    return inside
 
 
 def before_within_days(date_col, target: dt.date, days: int) -> Column:
@@ -68,5 +76,5 @@ def circular_hour_distance(hour_a, hour_b) -> Column:
 
 
 def hour_of_time(time_col) -> Column:
-    """Hour field of an ``HH:MM:SS`` string; minutes and seconds are dropped."""
-    return F.substring_index(_col(time_col), ":", 1).cast("int")
+    """Hour field of an ``HH:MM:SS`` string; minutes and seconds are dropped; NULL if it is no number."""
+    return F.substring_index(_col(time_col), ":", 1).try_cast("int")

@@ -15,8 +15,8 @@ So for a forecast hour t::
 and likewise for the denominators. Plan (the readings are scanned once):
 
 1. look-back filter, pushed to the scan as a date range;
-2. join the per-station distance weights, broadcast when the station table is within the row
-   bound; past the bound, readings are first summed per (station, day distance, hour) — at most
+2. join the per-station distance weights (one per station key), broadcast when Catalyst estimates the
+   station table small enough; beyond, readings are first summed per (station, day distance, hour) — at most
    184 x 24 rows per station, combined map-side — and those sums are shuffle-joined instead;
 3. ``groupBy(hour)``: six sums per hour of day — at most 24 groups whatever the input, combined
    map-side, so a station or hour holding a third of the readings is still one partial row per task;
@@ -41,7 +41,7 @@ from boreal.functions.calendar import (
 )
 from boreal.functions.geo import haversine_km
 from boreal.functions.kernels import gaussian_kernel
-from boreal.operators.joins import DEFAULT_BROADCAST_ROWS, row_count_at_most
+from boreal.operators.joins import fits_broadcast
 from boreal.operators.readings import sort_calendar_result
 
 # The forecast hours (00:00, then 22:00 down to 04:00 in steps of two hours), the
@@ -100,16 +100,14 @@ def kernel_regression(readings: DataFrame, stations: DataFrame, latitude: float,
                       wrap_leap: bool = True, exact_half: bool = True, *,
                       station: str = "station", date: str = "date", hour: str = "hour",
                       value: str = "value", station_key: str = "station",
-                      lat: str = "latitude", lon: str = "longitude",
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Forecast per hour: ``hour, forecast_sum, forecast_prod`` (NULL when all weights are 0).
 
     ``readings`` needs a station key, a date or timestamp, an hour of day (0-23) and a value;
     ``stations`` a key with latitude and longitude. Readings without a value, and readings of
     stations missing from ``stations``, are not used (report the latter with
-    ``boreal.operators.integrity.fk_orphans``). Station keys are expected to be unique, as in a
-    join a duplicated key would weigh its readings once per duplicate (check with
-    ``boreal.operators.integrity.pk_violations``).
+    ``boreal.operators.integrity.fk_orphans``). Of several rows of one station the largest weight
+    (the nearest place) counts, once.
     """
     usable = (lookback_filter(readings, target_date, lookback_days, date=date)
               .where(F.col(value).isNotNull())
@@ -117,10 +115,10 @@ def kernel_regression(readings: DataFrame, stations: DataFrame, latitude: float,
                       F.col(hour).alias("hour"), F.col(value).alias("value")))
     weights = station_kernel_weights(stations, latitude, longitude, h_distance,
                                      station=station_key, lat=lat, lon=lon) \
-        .select("station", "distance_weight")
+        .groupBy("station").agg(F.max("distance_weight").alias("distance_weight"))
     kd = F.col("distance_weight")
     dd = seasonal_day_distance(F.col("date"), target_date, wrap_leap, exact_half)
-    if row_count_at_most(weights, max_broadcast_rows):
+    if fits_broadcast(weights):
         # Stations fit a broadcast: weight each reading map-side, no shuffle of readings.
         ky = gaussian_kernel(dd, h_date)
         v = F.col("value")

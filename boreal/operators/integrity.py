@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boreal.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialize
+from boreal.operators.joins import key_side
 
 
 def pk_violations(table: DataFrame, keys) -> DataFrame:
@@ -28,38 +28,32 @@ def pk_violations(table: DataFrame, keys) -> DataFrame:
                         .otherwise(F.lit("duplicate_key"))))
 
 
-def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Distinct non-NULL child key values with no parent row (column ``__k``).
+def fk_orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Child rows whose non-NULL key has no parent (NULL child keys are allowed).
 
-    Both sides are reduced to distinct keys before the anti join, so a hot child key costs one
-    row in the shuffle.
+    One scan of the child against the distinct parent keys; a broadcast when those are small.
     """
-    ck = child.select(F.col(child_key).alias("__k")).where(F.col("__k").isNotNull()).distinct()
-    pk = parent.select(F.col(parent_key).alias("__p")).where(F.col("__p").isNotNull()).distinct()
-    return ck.join(pk, F.col("__k") == F.col("__p"), "left_anti")
+    present = child.where(F.col(child_key).isNotNull())
+    keys = key_side(parent, parent_key)
+    return present.join(keys, present[child_key] == keys["__k"], "left_anti")
 
 
-def fk_orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Child rows whose non-NULL key has no parent (NULL child keys are allowed).
+# NULL keys spread over so many hash values in a shuffled outer join.
+NULL_SPREAD = 4096
+
+
+def fk_set_null(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """``ON DELETE SET NULL`` after parents are gone: every child row, dangling keys set to NULL.
 
-    The orphan keys are computed once and checkpointed, then sized: broadcast when bounded,
-    otherwise a shuffled semi join (AQE splits a hot child key).
+    One scan of the child. NULL keys match nothing; in a shuffled join a second key, 0 for all other
+    rows, spreads them over many partitions instead of one.
     """
-    bad = bounded_broadcast(materialize(orphan_keys(child, child_key, parent, parent_key)),
-                            max_broadcast_rows)
-    return child.join(bad, child[child_key] == bad["__k"], "left_semi")
-
-
-def fk_set_null(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``ON DELETE SET NULL`` after parents are gone: every child row, dangling keys set to NULL."""
-    bad = bounded_broadcast(materialize(orphan_keys(child, child_key, parent, parent_key))
-                            .withColumn("__orphan", F.lit(True)), max_broadcast_rows)
-    joined = child.join(bad, child[child_key] == bad["__k"], "left")
-    fixed = F.when(F.col("__orphan"), F.lit(None).cast(child.schema[child_key].dataType)) \
-        .otherwise(child[child_key])
-    return joined.select(*[fixed.alias(c) if c == child_key else child[c] for c in child.columns])
+    keys = key_side(parent, parent_key).select("__k", F.lit(0).alias("__kz"), F.lit(True).alias("__known"))
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in child.columns]), F.lit(NULL_SPREAD)) + 1
+    rows = child.withColumn("__z", F.when(F.col(child_key).isNull(), spread).otherwise(0).cast("int"))
+    joined = rows.join(keys, (rows[child_key] == keys["__k"]) & (rows["__z"] == keys["__kz"]), "left")
+    fixed = F.when(F.col("__known"), rows[child_key])
+    return joined.select(*[fixed.alias(c) if c == child_key else rows[c] for c in child.columns])
 
 
 # Column rules: each returns a Column that is true on a *violating* row.

@@ -1,10 +1,8 @@
-"""Join helpers: broadcast only behind a size check, with a shuffle join beyond it.
+"""Join helpers. All are lazy: nothing runs before the caller's action.
 
-``bounded_broadcast`` counts the rows of the small side — a distributed count whose per-task
-partial counts are the only rows that move — and adds the broadcast hint only when the side is
-within the bound. Past the bound the side is returned unchanged and Catalyst plans a shuffle join
-(sort-merge), which AQE may still turn into a broadcast from measured sizes, or split when one key
-is hot. (A ``limit(n).count()`` check would funnel up to n rows per task through one partition.)
+Whether a side is broadcast is left to Catalyst (its size estimate in bytes against
+``spark.sql.autoBroadcastJoinThreshold``) and to AQE (measured bytes). ``fits_broadcast`` asks the same
+question where a job has two forms of the same result and the better one depends on it.
 """
 
 from __future__ import annotations
@@ -12,79 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boreal.session import checkpoint_root
 
-# Bound on rows for a broadcast side: ~1M narrow rows build a hashed relation of tens of MB,
-# well under executor memory and far under Spark's 8 GB broadcast limit.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst's estimate of ``df`` in bytes is within its own broadcast threshold."""
+    spark = df.sparkSession
+    threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return 0 <= int(str(size)) <= threshold
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.count() <= max_rows
+def key_side(keys: DataFrame, key: str) -> DataFrame:
+    """The distinct non-NULL keys as ``__k``: combined map-side, so a hot key is one row per task."""
+    return keys.select(F.col(key).alias("__k")).where(F.col("__k").isNotNull()).distinct()
 
 
-def rows_within(max_rows: int, *dfs: DataFrame) -> list[bool]:
-    """``row_count_at_most`` for several DataFrames in one job: the sides are tagged, unioned and
-    counted per tag (partial counts per task; one small row per side reaches the driver)."""
-    if len(dfs) == 1:
-        return [row_count_at_most(dfs[0], max_rows)]
-    tagged = None
-    for i, df in enumerate(dfs):
-        part = df.select(F.lit(i).alias("__side"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    counts = {r["__side"]: r["n"] for r in
-              tagged.groupBy("__side").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage: a reliable checkpoint written to the shared folder
-    named by ``spark.checkpoint.dir`` (survives lost executors; never a local checkpoint)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-# Key lists up to this many raw rows are broadcast without de-duplication.
-SMALL_KEY_ROWS = 10_000
-
-
-def key_side(keys: DataFrame, key: str, max_rows: int) -> tuple[DataFrame, bool]:
-    """The ``__k`` key column for a semi / anti join, and whether it is broadcast.
-
-    A short key list (at most ``SMALL_KEY_ROWS`` rows, and within ``max_rows``) is broadcast as
-    is: a broadcast semi or anti join ignores duplicates. A longer one is de-duplicated map-side
-    first (a hot key costs one row per task), checkpointed once, and broadcast if the distinct keys
-    fit ``max_rows``; only past that does the join shuffle both sides.
-    """
-    k = keys.select(F.col(key).alias("__k")).where(F.col("__k").isNotNull())
-    if row_count_at_most(k, min(max_rows, SMALL_KEY_ROWS)):
-        return F.broadcast(k), True
-    distinct = materialize(k.distinct())
-    if row_count_at_most(distinct, max_rows):
-        return F.broadcast(distinct), True
-    return distinct, False
-
-
-def _key_side(keys: DataFrame, key: str, max_rows: int) -> DataFrame:
-    return key_side(keys, key, max_rows)[0]
-
-
-def semi_join(facts: DataFrame, keys: DataFrame, fact_key: str, key: str | None = None,
-              max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def semi_join(facts: DataFrame, keys: DataFrame, fact_key: str, key: str | None = None) -> DataFrame:
     """Rows of ``facts`` whose ``fact_key`` is in ``keys`` (``IN (subquery)`` as a left semi join).
 
     Duplicates in ``keys`` never multiply rows.
     """
-    right = _key_side(keys, key or fact_key, max_rows)
+    right = key_side(keys, key or fact_key)
     return facts.join(right, facts[fact_key] == right["__k"], "left_semi")
-
-
-def anti_join(facts: DataFrame, keys: DataFrame, fact_key: str, key: str | None = None,
-              max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``facts`` whose ``fact_key`` is not in ``keys`` (NOT EXISTS; NULL keys kept)."""
-    right = _key_side(keys, key or fact_key, max_rows)
-    return facts.join(right, facts[fact_key] == right["__k"], "left_anti")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boreal.functions.calendar import year_range
-from boreal.operators.joins import DEFAULT_BROADCAST_ROWS, key_side
+from boreal.operators.joins import fits_broadcast, key_side
 
 
 def sort_calendar_result(df: DataFrame, *order) -> DataFrame:
@@ -29,8 +29,7 @@ def sort_calendar_result(df: DataFrame, *order) -> DataFrame:
 def _period(readings: DataFrame, date: str, first_year: int | None, last_year: int | None):
     if first_year is None and last_year is None:
         return readings
-    return readings.where(year_range(date, first_year if first_year is not None else 1,
-                                     last_year if last_year is not None else 9998))
+    return readings.where(year_range(date, first_year, last_year))
 
 
 def yearly_extrema(readings: DataFrame, first_year: int = 1950, last_year: int = 2014, *,
@@ -177,18 +176,17 @@ def extremes_total_band_join(temperatures: DataFrame, precipitation: DataFrame,
 def regional_monthly_mean(precipitation: DataFrame, region_stations: DataFrame,
                           first_year: int = 1993, last_year: int = 2016, *,
                           station: str = "station", region_station: str | None = None,
-                          date: str = "date", value: str = "value",
-                          max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                          date: str = "date", value: str = "value") -> DataFrame:
     """Monthly total per station of a region, averaged over the region's stations with readings.
 
     The region's station list stays a DataFrame and meets the readings in a left semi join instead
-    of being collected into an ``IN`` list. A list within the row bound is broadcast and filters the
-    readings map-side, before they are aggregated. A longer list would make the join shuffle the
+    of being collected into an ``IN`` list. A list that Catalyst estimates small enough to broadcast filters
+    the readings map-side, before they are aggregated. A longer list would make the join shuffle the
     readings, so the readings are first summed per (year, month, station) — combined map-side —
     and only those sums are shuffled into the semi join (the filter commutes with the grouping,
     which includes the station).
     """
-    keys, broadcast = key_side(region_stations, region_station or station, max_broadcast_rows)
+    keys = key_side(region_stations, region_station or station)
     readings = _period(precipitation, date, first_year, last_year)
 
     def monthly_totals(df):
@@ -196,9 +194,9 @@ def regional_monthly_mean(precipitation: DataFrame, region_stations: DataFrame,
                            F.col(station).alias("station"))
                 .agg(F.sum(value).alias("monthly_total")))
 
-    if broadcast:
+    if fits_broadcast(keys):
         per_station = monthly_totals(
-            readings.join(keys, readings[station] == keys["__k"], "left_semi"))
+            readings.join(F.broadcast(keys), readings[station] == keys["__k"], "left_semi"))
     else:
         totals = monthly_totals(readings)
         per_station = totals.join(keys, totals["station"] == keys["__k"], "left_semi")

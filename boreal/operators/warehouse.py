@@ -2,25 +2,18 @@
 
 Each function takes the tables and the names of the columns playing each role, so the same job
 answers the question on any schema. ``IN (subquery)`` becomes a left semi join, scalar subqueries
-stay scalar subqueries (run once, then a pushed-down filter), and small sides are broadcast only
-after a bounded row count (``boreal.operators.joins``).
+stay scalar subqueries (run once, then a pushed-down filter); Catalyst and AQE broadcast small sides
+by their size in bytes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from boreal.functions.text import text_before
-from boreal.operators.joins import (
-    DEFAULT_BROADCAST_ROWS,
-    bounded_broadcast,
-    key_side,
-    row_count_at_most,
-    rows_within,
-    semi_join,
-)
+from boreal.operators.joins import fits_broadcast, semi_join
+from boreal.session import scratch_path
 
 
 def list_all(table: DataFrame) -> DataFrame:
@@ -28,17 +21,9 @@ def list_all(table: DataFrame) -> DataFrame:
 
 
 def manager_employee(people: DataFrame, *, key: str = "id", manager: str = "manager",
-                     name: str = "name", columns=(),
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Each person with the name of their manager (an equi self-join; no manager, no row).
-
-    The manager side is first cut to the people who manage someone (a semi join on the distinct
-    manager ids); when that set is within the row bound it is broadcast and the people table is
-    joined without a shuffle, however skewed the manager ids are.
-    """
-    managers = semi_join(people.select(key, name), people, key, manager, max_broadcast_rows)
-    m = bounded_broadcast(managers.select(F.col(key).alias("__mid"),
-                                          F.col(name).alias("__mname")), max_broadcast_rows)
+                     name: str = "name", columns=()) -> DataFrame:
+    """Each person with the name of their manager (an equi self-join; no manager, no row)."""
+    m = people.select(F.col(key).alias("__mid"), F.col(name).alias("__mname"))
     e = people.alias("e")
     return (e.join(m, F.col(f"e.{manager}") == F.col("__mid"))
             .select(F.col("__mname").alias("manager"), F.col(f"e.{name}").alias("employee"),
@@ -76,25 +61,22 @@ def with_derived(table: DataFrame, name: str, expr: Column) -> DataFrame:
 
 
 def prefix_suffix_like(table: DataFrame, column: str, sep: str, suffix: str) -> DataFrame:
-    """Rows whose text before ``sep`` ends with ``suffix`` (``LIKE '%suffix'``)."""
-    return table.where(text_before(column, sep).like("%" + suffix))
+    """Rows whose text before ``sep`` ends with ``suffix`` (every character taken literally)."""
+    return table.where(text_before(column, sep).endswith(suffix))
 
 
 def in_subquery(facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
-                dim_filter: Column | None = None,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                dim_filter: Column | None = None) -> DataFrame:
     """``facts WHERE fact_key IN (SELECT dim_key FROM dim WHERE dim_filter)``."""
     keys = dim if dim_filter is None else dim.where(dim_filter)
-    return semi_join(facts, keys, fact_key, dim_key, max_broadcast_rows)
+    return semi_join(facts, keys, fact_key, dim_key)
 
 
 def join_filter(facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
-                dim_filter: Column, dim_columns=(),
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                dim_filter: Column, dim_columns=()) -> DataFrame:
     """``facts.*, dim columns``: the facts joined to the filtered dimension (a row per match)."""
     d = dim.where(dim_filter).select(F.col(dim_key).alias("__dk"),
                                      *[F.col(c).alias(c) for c in dim_columns])
-    d = bounded_broadcast(d, max_broadcast_rows)
     return (facts.alias("f").join(d.alias("d"), F.col(f"f.{fact_key}") == F.col("d.__dk"))
             .select("f.*", *[F.col(f"d.{c}") for c in dim_columns]))
 
@@ -114,110 +96,35 @@ def scalar_subquery_compare(table: DataFrame, column: str, reference_filter: Col
     return out.select(*columns) if columns else out
 
 
-# Reference sides up to this many distinct values go through a broadcast nested-loop join (cost:
-# this many comparisons per row at most); larger ones through the bucketed range join.
-NESTED_LOOP_VALUES = 64
-
-
 def theta_self_join(table: DataFrame, column: str, reference_filter: Column, columns=(),
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                    range_buckets: int | None = None) -> DataFrame:
-    """``t1.columns FROM t t1, t t2 WHERE t1.column > t2.column AND reference_filter(t2)``.
-
-    One output row per matching pair, as the join defines. The reference side is reduced to its
-    distinct values with their multiplicity (``__rv``, ``__rn``). A handful of values (at most
-    ``NESTED_LOOP_VALUES``) is broadcast into a nested-loop join (no shuffle of ``t1``). More values
-    go through a bucketed range join (``_greater_than_by_buckets``; numeric, date, timestamp and
-    string columns) with about 16 reference values per bucket, so each row compares against a few
-    values, never against all; never a Cartesian product.
-    """
-    ref = (table.where(reference_filter).where(F.col(column).isNotNull())
-           .groupBy(F.col(column).alias("__rv")).agg(F.count(F.lit(1)).alias("__rn")))
-    cols = list(columns or table.columns)
-    n_ref = ref.count()
-    if n_ref <= min(max_broadcast_rows, NESTED_LOOP_VALUES):
-        t1 = table.alias("t1")
-        matched = t1.join(F.broadcast(ref), F.col(f"t1.{column}") > F.col("__rv"), "inner")
-        return _repeat(matched.select(*[F.col(f"t1.{c}") for c in cols], "__rn"), "__rn", cols)
-    if _order_key(F.col(column), table.schema[column].dataType) is None:
-        raise TypeError(f"theta_self_join: no order key for {table.schema[column].dataType}")
-    buckets = range_buckets or max(64, min(65536, n_ref // 16))
-    return _greater_than_by_buckets(table, column, ref, cols, buckets,
-                                    broadcast_ref=n_ref <= max_broadcast_rows)
-
-
-def _order_key(col: Column, dtype: T.DataType) -> Column | None:
-    """A double that never decreases when the value increases (ties allowed: values sharing a key
-    are compared exactly later). Strings use their first 6 UTF-8 bytes, matching Spark's binary
-    string order; dates their day number; timestamps their microseconds."""
-    if isinstance(dtype, T.NumericType):
-        return col.cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return None
-
-
-# Largest array built to repeat a row: a multiplicity n becomes ceil(n / CHUNK) chunks of at most
-# CHUNK copies, so no row materializes an n-element array.
-REPEAT_CHUNK = 10_000
-
-
-def _repeat(df: DataFrame, count: str, cols) -> DataFrame:
-    """Each row ``count`` times (the multiplicity of the pairs it stands for)."""
-    n = F.col(count).cast("long")
-    chunks = df.where(n > 0).select(*cols, n.alias("__n"), F.explode(
-        F.sequence(F.lit(0), F.ceil(n / REPEAT_CHUNK).cast("long") - 1)).alias("__c"))
-    size = F.least(F.lit(REPEAT_CHUNK).cast("long"), F.col("__n") - F.col("__c") * REPEAT_CHUNK)
-    return (chunks.select(*cols, F.explode(F.array_repeat(F.lit(1), size.cast("int")))
-                          .alias("__rep"))
-            .drop("__rep"))
-
-
-def _greater_than_by_buckets(table: DataFrame, column: str, ref: DataFrame, cols,
-                             buckets: int, broadcast_ref: bool = False) -> DataFrame:
-    """Exact ``t1.column > ref.__rv`` (with multiplicities) as equi-joins on value buckets.
-
-    Split points are approximate quantiles of the reference values (at most ``buckets - 1``
-    numbers). For a row in bucket b, every reference value in a lower bucket is smaller: those are
-    counted from a cumulative table of at most ``buckets`` rows (broadcast, bounded by the
-    parameter). Only reference values of the same bucket are compared one by one, through an
-    equi-join on the bucket: the bucketed reference is broadcast when within the row bound,
-    otherwise both sides are shuffled on the bucket (AQE splits a bucket holding many ``t1`` rows).
+                    alias: str = "matches") -> DataFrame:
+    """``t1.columns, count(*) FROM t t1, t t2 WHERE t1.column > t2.column AND reference_filter(t2)``
+    per row of ``t1``: each row with a smaller reference value once, with the number of them.
+
+    The rows below each *distinct* value are counted along the sorted values: distinct values are
+    range-partitioned (any orderable type, compared natively), reference rows are counted cumulatively
+    within each range, and each range starts from the total of the ranges before it (one row per
+    range). The counts are joined back to the rows on the value. No pair is ever formed, whatever the
+    number of reference rows; a value that many rows share is one row per task until the last join,
+    where AQE splits it. NULL compares with nothing. The ranges are written once to the shared folder.
     """
-    from pyspark.ml.feature import Bucketizer
-    from pyspark.sql import Window
-
-    probs = [i / buckets for i in range(1, buckets)]
-    keyed = ref.select(_order_key(F.col("__rv"), table.schema[column].dataType).alias("__x"))
-    cuts = sorted(set(keyed.approxQuantile("__x", probs, 1.0 / (4 * buckets))))
-    splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] \
-        + [float("inf")]
-
-    dtype = table.schema[column].dataType
-
-    def bucketed(df, value_col):
-        b = Bucketizer(splits=splits, inputCol="__x", outputCol="__b", handleInvalid="keep")
-        return b.transform(df.withColumn("__x", _order_key(F.col(value_col), dtype))).drop("__x")
-
-    ref_b = bucketed(ref, "__rv")
-    totals = ref_b.groupBy("__b").agg(F.sum("__rn").alias("__tot"))
-    below = F.sum("__tot").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
-    ids = table.sparkSession.range(len(splits)).select(F.col("id").cast("double").alias("__b"))
-    cumulative = (ids.join(totals, "__b", "left")
-                  .select("__b", F.coalesce(below, F.lit(0)).alias("__below")))
-    t1 = bucketed(table.where(F.col(column).isNotNull()), column)
-    lower = (t1.join(F.broadcast(cumulative), "__b").where(F.col("__below") > 0)
-             .select(*cols, "__below"))
-    ref_side = F.broadcast(ref_b) if broadcast_ref else ref_b
-    same = (t1.alias("t1").join(ref_side.alias("r"), (F.col("t1.__b") == F.col("r.__b"))
-                                & (F.col(f"t1.{column}") > F.col("r.__rv")))
-            .select(*[F.col(f"t1.{c}") for c in cols], F.col("r.__rn")))
-    return _repeat(lower, "__below", cols).unionByName(_repeat(same, "__rn", cols))
+    spark = table.sparkSession
+    values = (table.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("__v"))
+              .agg(F.count_if(reference_filter).alias("__r")))
+    path = scratch_path(spark, "theta")
+    ranged = values.repartitionByRange("__v").withColumn("__range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    totals = ranged.groupBy("__range").agg(F.sum("__r").alias("__t"))
+    before = F.sum("__t").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = totals.select("__range", F.coalesce(before, F.lit(0)).alias("__start"))
+    lower = F.sum("__r").over(Window.partitionBy("__range").orderBy("__v")
+                              .rowsBetween(Window.unboundedPreceding, -1))
+    counts = (ranged.join(starts, "__range")
+              .select("__v", (F.col("__start") + F.coalesce(lower, F.lit(0))).alias(alias))
+              .where(F.col(alias) > 0))
+    return (table.alias("t1").join(counts, F.col(f"t1.{column}") == F.col("__v"))
+            .select(*[F.col(f"t1.{c}") for c in columns or table.columns], alias))
 
 
 def constant_filtered_avg(table: DataFrame, key: str, key_value, value: str,
@@ -233,54 +140,30 @@ def star_join_weighted_sum(suppliers: DataFrame, cities: DataFrame, supply: Data
                            supplier_city: str = "city", city_id: str = "id",
                            supply_supplier: str = "supplier", supply_part: str = "part",
                            supply_quantity: str = "quan", part_id: str = "id",
-                           part_weight: str = "weight", alias: str = "total_weight",
-                           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                           part_weight: str = "weight", alias: str = "total_weight") -> DataFrame:
     """Per supplier name: ``sum(part weight * supplied quantity)`` over suppliers in the cities
     matching ``city_filter`` (supplier - city - supply - part).
 
-    When the selected suppliers and the part table both fit the broadcast bound, the facts meet
-    them map-side and are aggregated once (one exchange of the facts, on the name). Otherwise the
-    facts are summed per (supplier, part) before they meet the shuffled part table, so that join
-    sees one row per supplied part, not one per shipment; the selected suppliers filter the facts
-    map-side when they fit a broadcast, or else filter the sums in a shuffled semi join.
-    Duplicated dimension keys multiply the answer exactly as the four-way join would (their
-    multiplicity is carried as a count).
+    When the supplier and the part table are small enough to broadcast (Catalyst's estimate in
+    bytes), the facts meet them map-side and are aggregated once. Otherwise the facts are summed per
+    (supplier, part) before they meet a shuffled side, so those joins see one row per supplied part,
+    not one per shipment. Duplicated dimension keys multiply the answer exactly as the four-way join
+    would (their multiplicity is carried as a count).
     """
     chosen_cities = (cities.where(city_filter).groupBy(F.col(city_id).alias("__cid"))
                      .agg(F.count(F.lit(1)).alias("__cmult")))
     part_weights = parts.select(F.col(part_id).alias("__p"), F.col(part_weight).alias("__w"))
-    # One job sizes the three dimension sides.
-    cities_small, chosen_small, parts_small = rows_within(
-        max_broadcast_rows, chosen_cities,
-        suppliers.join(chosen_cities, F.col(supplier_city) == F.col("__cid")), part_weights)
-    chosen = (suppliers.join(F.broadcast(chosen_cities) if cities_small else chosen_cities,
-                             F.col(supplier_city) == F.col("__cid"))
-              .select(F.col(supplier_id).alias("__sid"), F.col(supplier_name).alias("name"),
-                      "__cmult"))
-    if chosen_small and parts_small:
-        # Every dimension fits a broadcast: the facts meet them map-side (the supplier join also
-        # drops the other suppliers' rows) and are aggregated once, by name.
+    named = suppliers.select(F.col(supplier_id).alias("__sid"), F.col(supplier_name).alias("name"),
+                             F.col(supplier_city).alias("__cid"))
+    chosen = named.join(chosen_cities, "__cid").select("__sid", "name", "__cmult")
+    if fits_broadcast(named) and fits_broadcast(part_weights):
         rows = (supply.join(F.broadcast(chosen), F.col(supply_supplier) == F.col("__sid"))
-                .join(F.broadcast(part_weights), F.col(supply_part) == F.col("__p")))
+                .join(part_weights, F.col(supply_part) == F.col("__p")))
         return rows.groupBy("name").agg(
             F.sum(F.col("__w") * F.col(supply_quantity) * F.col("__cmult")).alias(alias))
-    def sum_per_part(df):
-        return (df.groupBy(F.col(supply_supplier).alias("__s"), F.col(supply_part).alias("__p"))
+    per_part = (supply.groupBy(F.col(supply_supplier).alias("__s"), F.col(supply_part).alias("__p"))
                 .agg(F.sum(supply_quantity).alias("__q")))
-
-    # The part table is shuffled: sum the facts per (supplier, part) first, so the part join and
-    # the aggregates see one row per supplied part, not one per shipment.
-    if chosen_small:
-        # the selected suppliers filter the facts map-side, before they are summed
-        chosen = F.broadcast(chosen)
-        per_part = sum_per_part(supply.join(chosen.select("__sid"),
-                                            F.col(supply_supplier) == F.col("__sid"), "left_semi"))
-    else:
-        # too many suppliers to broadcast: sum first (map-side combine), then semi-join the sums
-        keys, _ = key_side(chosen, "__sid", max_broadcast_rows)
-        totals = sum_per_part(supply)
-        per_part = totals.join(keys, totals["__s"] == keys["__k"], "left_semi")
-    weighted = (per_part.join(part_weights, "__p")
+    weighted = (semi_join(per_part, chosen, "__s", "__sid").join(part_weights, "__p")
                 .groupBy("__s").agg(F.sum(F.col("__w") * F.col("__q")).alias("__t")))
     return (weighted.join(chosen, F.col("__s") == F.col("__sid"))
             .groupBy("name").agg(F.sum(F.col("__t") * F.col("__cmult")).alias(alias)))
@@ -291,11 +174,11 @@ def below_average_table(spark: SparkSession, table: DataFrame, column: str, tabl
     """Create a table with explicitly declared columns and fill it with the rows whose ``column``
     is below the table's mean (a global aggregate used as a scalar subquery); return it read back.
 
-    The table is written as parquet at ``location`` (a folder in shared storage), replacing any
-    earlier table of that name.
+    The table is written as parquet under ``location`` (a folder in shared storage), replacing the
+    rows of any earlier table of that name. Spark enforces the declared VARCHAR lengths on write.
     """
     below = table.where(F.col(column) < table.select(F.avg(column)).scalar())
     spark.sql(f"DROP TABLE IF EXISTS {table_name}")
     spark.sql(f"CREATE TABLE {table_name} ({columns_ddl}) USING parquet LOCATION '{location}'")
-    below.write.insertInto(table_name)
+    below.write.insertInto(table_name, overwrite=True)
     return spark.table(table_name)

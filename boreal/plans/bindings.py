@@ -34,9 +34,10 @@ from boreal.operators import readings as R
 from boreal.operators import warehouse as W
 from boreal.session import scratch_path
 from boreal.sinks import write_csv, write_delimited, write_text
-from boreal.sources import load_table, read_delimited
+from boreal.sources import load_table, read_delimited, read_keys
 
-# Parameters of the bindings (shared with the oracle SQL).
+# Parameters of the bindings (shared with the oracle SQL), the questions' periods,
+# threshold, place and dates among them.
 PERIOD = (1996, 2000)
 MEAN_PERIOD = (1995, 2001)
 REGION_PERIOD = (1993, 2016)
@@ -53,6 +54,9 @@ WINTER_TARGET_DATE = dt.date(2001, 1, 2)
 TARGET_HOUR = 14
 SUPPLIER_NAME = "supplier#000000007"
 REFERENCE_PART = 42
+REFERENCE_BRAND = "Brand#11"
+ORDER_PRIORITY = "1-URGENT"
+LARGE_QUANTITY, EARLY = 45, dt.datetime(1993, 1, 1)
 PART_TYPE = "ECONOMY"
 STATE_NATION = "nation_3"
 PARENT_MIN_SIZE = 5
@@ -214,7 +218,10 @@ def order_by_name(spark, d):
 
 
 def equality_filter(spark, d):
-    return W.equality_filter(_t(spark, d, "part"), "p_size", 1, not_null="p_partkey")
+    """Orders of the first priority with a key; keys that 7 divides are NULL here, as if missing."""
+    key = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey"))
+    orders = _t(spark, d, "orders").withColumn("o_orderkey", key)
+    return W.equality_filter(orders, "o_orderpriority", ORDER_PRIORITY, not_null="o_orderkey")
 
 
 def between_sorted(spark, d):
@@ -245,8 +252,9 @@ def join_filter(spark, d):
 
 
 def in_subquery_distinct(spark, d):
-    return W.in_subquery(_t(spark, d, "part"), "p_partkey", _t(spark, d, "lineitem"),
-                         "l_partkey")
+    """Parts that were shipped in large quantities early on."""
+    return W.in_subquery(_t(spark, d, "part"), "p_partkey", _t(spark, d, "lineitem"), "l_partkey",
+                         (F.col("l_quantity") > LARGE_QUANTITY) & (F.col("l_shipdate") < F.lit(EARLY)))
 
 
 def count_in_subquery(spark, d):
@@ -260,8 +268,9 @@ def scalar_subquery_compare(spark, d):
 
 
 def theta_self_join(spark, d):
+    """Every part dearer than some part of the reference brand, with the number of those."""
     return W.theta_self_join(_t(spark, d, "part"), "p_retailprice",
-                             F.col("p_partkey") == REFERENCE_PART, columns=("p_name", "p_brand"))
+                             F.col("p_brand") == REFERENCE_BRAND, columns=("p_partkey", "p_name", "p_brand"))
 
 
 def constant_filtered_avg(spark, d):
@@ -309,17 +318,23 @@ def column_rules() -> dict:
         "l_orderkey_not_null": I.not_null("l_orderkey"),
         "l_partkey_not_null": I.not_null("l_partkey"),
         "l_shipdate_not_null": I.not_null("l_shipdate"),
-        "l_quantity_non_negative": I.non_negative("l_quantity"),
-        "l_discount_in_0_0.1": I.in_range("l_discount", 0.0, 0.1),
-        "l_returnflag_max_length_1": I.max_length("l_returnflag", 1),
+        "balance_non_negative": I.non_negative("balance"),
+        "l_discount_in_0_0.05": I.in_range("l_discount", 0.0, 0.05),
+        "l_shipmark_max_length_5": I.max_length("l_shipmark", 5),
         "l_linestatus_max_length_1": I.max_length("l_linestatus", 1),
     }
 
 
 def column_checks(spark, d):
-    li = I.with_default(_t(spark, d, "lineitem"), "l_shipdate",
-                        F.lit(DEFAULT_SHIPDATE.isoformat(sep=" ")).cast("timestamp_ntz"))
-    return I.column_checks(li, column_rules())
+    """Rules over all shipments: part keys that 11 divides and the ship dates of returned goods are NULL
+    here, as if missing; the dates get their default, the keys do not."""
+    li = _t(spark, d, "lineitem").select(
+        "l_orderkey", F.when(F.col("l_partkey") % 11 != 0, F.col("l_partkey")).alias("l_partkey"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_shipdate")).alias("l_shipdate"), "l_discount", "l_linestatus",
+        (F.col("l_quantity") - 10).alias("balance"), F.col("l_orderkey").cast("string").alias("l_shipmark"))
+    li = I.with_default(li, "l_shipdate", F.lit(DEFAULT_SHIPDATE.isoformat(sep=" ")).cast("timestamp_ntz"))
+    defaulted = {"l_shipdate_is_default": F.col("l_shipdate") == F.lit(DEFAULT_SHIPDATE)}
+    return I.column_checks(li, {**column_rules(), **defaulted})
 
 
 # ---------------------------------------------------------------- sources / sinks
@@ -340,17 +355,25 @@ def delimited_roundtrip(spark, d):
 
 def csv_sink_roundtrip(spark, d):
     path = scratch_path(spark, "csv")
-    write_csv(_t(spark, d, "customer"), path, sort_columns=["c_custkey"])
+    write_csv(_t(spark, d, "customer"), path, sort_columns=[F.col("c_acctbal").desc(), "c_custkey"])
     return spark.read.schema(CUSTOMER_SCHEMA).option("header", "true").csv(path)
 
 
 def text_sink_roundtrip(spark, d):
     path = scratch_path(spark, "text")
-    parts = _t(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    write_text(parts, path, sort_columns=["p_partkey"])
+    write_text(_t(spark, d, "part"), path, sort_columns=[F.col("p_partkey").desc()])
     return spark.read.text(path)
 
 
+def key_list_readings(spark, d):
+    """Readings per station of a key list that lies in a file, first field of wider lines."""
+    path = scratch_path(spark, "keys")
+    write_delimited(_t(spark, d, "supplier").where(F.col("s_suppkey") % 3 == 0), path)
+    keys = read_keys(spark, path, key="s_suppkey", key_type=T.LongType())
+    chosen = W.in_subquery(_t(spark, d, "lineitem"), "l_suppkey", keys, "s_suppkey")
+    return chosen.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {f.__name__: f for f in [
     yearly_extrema, yearly_argmax, monthly_exceedance_count, monthly_exceedance_station_count,
     station_monthly_mean, station_monthly_mean_sumcount, extremes_band_join,
@@ -362,5 +385,5 @@ QUERIES = {f.__name__: f for f in [
     scalar_subquery_compare, theta_self_join, constant_filtered_avg, star_join_weighted_sum,
     below_average_table,
     pk_violations, fk_orphans, fk_set_null, column_checks,
-    delimited_roundtrip, csv_sink_roundtrip, text_sink_roundtrip,
+    delimited_roundtrip, csv_sink_roundtrip, text_sink_roundtrip, key_list_readings,
 ]}

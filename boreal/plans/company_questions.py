@@ -33,7 +33,12 @@ FOREIGN_KEYS = [("jbdept", "store", "jbstore"), ("jbdept", "manager", "jbemploye
                 ("jbsale", "item", "jbitem"), ("jbsale", "debit", "jbdebit"),
                 ("jbdebit", "employee", "jbemployee"), ("jbstore", "city", "jbcity"),
                 ("jbsupplier", "city", "jbcity"), ("jbemployee", "manager", "jbemployee")]
-ITEMS_DDL = "id INT, name STRING, dept INT, price INT, qoh INT, supplier INT"
+#: Keys that become NULL when the row they name is deleted: (table, column, table named).
+SET_NULL = [("jbdept", "manager", "jbemployee"), ("jbemployee", "manager", "jbemployee")]
+# The columns and keys declared for the table of question 14.
+ITEMS_DDL = "id INT NOT NULL, name VARCHAR(20), dept INT NOT NULL, price INT, qoh INT, supplier INT NOT NULL"
+ITEMS_PRIMARY_KEY = ["id"]
+ITEMS_FOREIGN_KEYS = [("dept", "jbdept"), ("supplier", "jbsupplier")]
 
 # The column rules the schema declares (NOT NULL, VARCHAR lengths, qoh >= 0).
 NOT_NULL = {"jbdept": ["store"], "jbitem": ["dept", "supplier"],
@@ -89,7 +94,7 @@ def answers(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "q10_heavier_than_card_reader": W.scalar_subquery_compare(
             parts, "weight", card_reader, columns=("name", "color")),
         "q11_heavier_by_self_join": W.theta_self_join(parts, "weight", card_reader,
-                                                      columns=("name", "color")),
+                                                      columns=("name", "color")).drop("matches"),
         "q12_black_parts_avg_weight": W.constant_filtered_avg(parts, "color", PART_COLOR,
                                                               "weight", "avg_weight"),
         "q13_weight_per_supplier_in_state": W.star_join_weighted_sum(
@@ -103,6 +108,22 @@ def below_average_items(spark: SparkSession, t: dict[str, DataFrame], location:
     return W.below_average_table(spark, t["jbitem"], "price", table_name, ITEMS_DDL, location)
 
 
+def items_audits(items: DataFrame, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The key and column audits of the table of question 14 (empty, or counts of 0, when clean)."""
+    out = {"pk": I.pk_violations(items, ITEMS_PRIMARY_KEY),
+           "check": I.column_checks(items, column_rules("jbitem"))}
+    out.update({f"fk_{column}": I.fk_orphans(items, column, t[parent], "id") for column, parent in ITEMS_FOREIGN_KEYS})
+    return out
+
+
+def after_deletes(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``ON DELETE SET NULL``: managers that are no longer employees become NULL."""
+    out = dict(t)
+    for child, column, parent in SET_NULL:
+        out[child] = I.fk_set_null(t[child], column, t[parent], "id")
+    return out
+
+
 def with_defaults(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Rows written without a debit time get the current timestamp (the column's default)."""
     return {**t, "jbdebit": I.with_default(t["jbdebit"], "sdate", F.current_timestamp())}

@@ -101,6 +101,9 @@ FORECAST = _forecast_sql(DAY_DIST, READINGS)
 FORECAST_RECORDED = _forecast_sql(_day_distance_recorded(B.WINTER_TARGET_DATE),
                                   _readings(B.WINTER_TARGET_DATE))
 
+LARGE_EARLY = (f"SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity > {B.LARGE_QUANTITY} "
+               f"AND l_shipdate < TIMESTAMP '{B.EARLY}'")
+
 ORACLE_SQL = {
     # ------------------------------------------------------------ readings
     "yearly_extrema": f"""
@@ -184,7 +187,9 @@ SELECT 'prod' AS kernel, arg_max(hour, row(forecast_prod, hour)) AS hour,
 SELECT m.s_name AS manager, e.s_name AS employee, e.s_suppkey, e.s_nationkey
 FROM supplier e, supplier m WHERE e.s_nationkey = m.s_suppkey""",
     "order_by_name": "SELECT * FROM supplier WHERE s_suppkey IS NOT NULL ORDER BY s_name",
-    "equality_filter": "SELECT * FROM part WHERE p_partkey IS NOT NULL AND p_size = 1",
+    "equality_filter": f"""
+SELECT * FROM (SELECT * REPLACE (CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS o_orderkey) FROM orders)
+WHERE o_orderkey IS NOT NULL AND o_orderpriority = '{B.ORDER_PRIORITY}'""",
     "between_sorted": "SELECT * FROM customer WHERE c_acctbal BETWEEN 9000 AND 10000 ORDER BY c_acctbal",
     "derived_age": "SELECT *, p_retailprice - p_size AS price_less_size FROM part",
     "prefix_suffix_like": """
@@ -195,16 +200,15 @@ SELECT * FROM lineitem WHERE l_suppkey IN (
     "join_filter": f"""
 SELECT l.*, s.s_name FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
 WHERE lower(trim(s.s_name)) = '{B.SUPPLIER_NAME}'""",
-    "in_subquery_distinct": """
-SELECT * FROM part WHERE p_partkey IN (SELECT DISTINCT l_partkey FROM lineitem)""",
-    "count_in_subquery": """
-SELECT count(*) AS n FROM part WHERE p_partkey IN (SELECT DISTINCT l_partkey FROM lineitem)""",
+    "in_subquery_distinct": f"SELECT * FROM part WHERE p_partkey IN ({LARGE_EARLY})",
+    "count_in_subquery": f"SELECT count(*) AS n FROM part WHERE p_partkey IN ({LARGE_EARLY})",
     "scalar_subquery_compare": f"""
 SELECT p_name, p_brand FROM part
 WHERE p_retailprice > (SELECT p_retailprice FROM part WHERE p_partkey = {B.REFERENCE_PART})""",
     "theta_self_join": f"""
-SELECT p1.p_name, p1.p_brand FROM part p1, part p2
-WHERE p1.p_retailprice > p2.p_retailprice AND p2.p_partkey = {B.REFERENCE_PART}""",
+SELECT p1.p_partkey, p1.p_name, p1.p_brand, count(*) AS matches FROM part p1, part p2
+WHERE p1.p_retailprice > p2.p_retailprice AND p2.p_brand = '{B.REFERENCE_BRAND}'
+GROUP BY p1.p_partkey, p1.p_name, p1.p_brand""",
     "constant_filtered_avg": f"""
 SELECT p_type, round(avg(p_size), 6) AS avg_value FROM part WHERE p_type = '{B.PART_TYPE}'
 GROUP BY p_type""",
@@ -233,18 +237,24 @@ SELECT l_orderkey,
        l_linestatus, l_shipdate
 FROM lineitem l""",
     "column_checks": f"""
-WITH li AS (SELECT * REPLACE (coalesce(l_shipdate, TIMESTAMP '{B.DEFAULT_SHIPDATE}') AS l_shipdate)
+WITH li AS (SELECT l_orderkey, CASE WHEN l_partkey % 11 <> 0 THEN l_partkey END AS l_partkey,
+                   CASE WHEN l_returnflag <> 'R' THEN l_shipdate ELSE TIMESTAMP '{B.DEFAULT_SHIPDATE}' END AS l_shipdate,
+                   l_discount, l_linestatus, l_quantity - 10 AS balance, CAST(l_orderkey AS VARCHAR) AS l_shipmark
             FROM lineitem)
 SELECT 'l_orderkey_not_null' AS rule, count(*) FILTER (WHERE l_orderkey IS NULL) AS violations FROM li
 UNION ALL SELECT 'l_partkey_not_null', count(*) FILTER (WHERE l_partkey IS NULL) FROM li
 UNION ALL SELECT 'l_shipdate_not_null', count(*) FILTER (WHERE l_shipdate IS NULL) FROM li
-UNION ALL SELECT 'l_quantity_non_negative', count(*) FILTER (WHERE l_quantity < 0) FROM li
-UNION ALL SELECT 'l_discount_in_0_0.1', count(*) FILTER (WHERE NOT (l_discount BETWEEN 0.0 AND 0.1)) FROM li
-UNION ALL SELECT 'l_returnflag_max_length_1', count(*) FILTER (WHERE length(l_returnflag) > 1) FROM li
+UNION ALL SELECT 'balance_non_negative', count(*) FILTER (WHERE balance < 0) FROM li
+UNION ALL SELECT 'l_discount_in_0_0.05', count(*) FILTER (WHERE NOT (l_discount BETWEEN 0.0 AND 0.05)) FROM li
+UNION ALL SELECT 'l_shipmark_max_length_5', count(*) FILTER (WHERE length(l_shipmark) > 5) FROM li
+UNION ALL SELECT 'l_shipdate_is_default', count(*) FILTER (WHERE l_shipdate = TIMESTAMP '{B.DEFAULT_SHIPDATE}') FROM li
 UNION ALL SELECT 'l_linestatus_max_length_1', count(*) FILTER (WHERE length(l_linestatus) > 1) FROM li""",
     # ------------------------------------------------------------ sources / sinks
     "delimited_roundtrip": "SELECT * FROM supplier",
     "csv_sink_roundtrip": "SELECT * FROM customer",
     "text_sink_roundtrip": """
-SELECT concat_ws(';', p_partkey, p_name, p_brand, p_type, p_size) AS value FROM part""",
+SELECT concat_ws(';', p_partkey, p_name, p_brand, p_type, p_size, p_retailprice) AS value FROM part""",
+    "key_list_readings": """
+SELECT l_suppkey, count(*) AS n FROM lineitem
+WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 = 0) GROUP BY l_suppkey""",
 }

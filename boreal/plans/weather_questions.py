@@ -13,8 +13,10 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from boreal.functions.calendar import hour_of_time
 from boreal.operators import forecast as K
@@ -41,9 +43,10 @@ FORECAST_DATE = dt.date(2013, 7, 4)
 
 
 def stage_parquet(df: DataFrame, path: str) -> DataFrame:
-    """Write parsed rows once as parquet and read them back: later jobs prune columns and push
-    filters into the scan instead of re-parsing text, and the lineage ends at the written table."""
-    df.write.mode("overwrite").parquet(path)
+    """Write parsed rows once as parquet, in a folder of this run's own, and read them back: later jobs
+    prune columns and push filters into the scan instead of re-parsing text, and the lineage ends there."""
+    path = f"{path}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -57,7 +60,7 @@ def answers(spark: SparkSession, temperature: str, precipitation: str, region_st
     if stage_dir:
         temps = stage_parquet(temps, os.path.join(stage_dir, "temperature"))
         precip = stage_parquet(precip, os.path.join(stage_dir, "precipitation"))
-    region = read_keys(spark, region_stations)
+    region = read_keys(spark, region_stations, mode=mode)
     station_table = read_delimited(spark, stations, STATIONS, mode=mode)
     readings = temps.withColumn("hour", hour_of_time("time"))
     forecast = K.kernel_regression(readings, station_table, *FORECAST_PLACE, FORECAST_DATE)
@@ -84,21 +87,30 @@ def answers(spark: SparkSession, temperature: str, precipitation: str, region_st
     }
 
 
-# Order of each stored answer.
-SORT_COLUMNS = {
-    "yearly_extrema": ["year"], "yearly_argmax": ["year"],
-    "monthly_exceedance_count": ["year", "month"],
-    "monthly_exceedance_station_count": ["year", "month"],
-    "station_monthly_mean": ["station", "year", "month"], "extremes_band_join": ["station"],
-    "extremes_prefilter_join": ["station"], "extremes_total_band_join": ["station"],
-    "regional_monthly_mean": ["year", "month"], "kernel_regression": ["hour"],
-    "kernel_peak_hour": ["kernel"], "kernel_regression_as_recorded": ["hour"],
-}
+def sort_columns(name: str) -> list[Column]:
+    """Order of each stored answer: counts by count, most first; the others by key, last first, but the
+    yearly extremes by year and the forecast in the order of its hours (midnight first, then 22 down)."""
+    down = lambda *names: [F.col(n).desc() for n in names]
+    return {
+        "yearly_extrema": [F.col("year").asc()], "yearly_argmax": down("year"),
+        "monthly_exceedance_count": down("n_readings", "year", "month"),
+        "monthly_exceedance_station_count": down("n_stations", "year", "month"),
+        "station_monthly_mean": down("mean_value", "year", "month", "station"),
+        "regional_monthly_mean": down("year", "month"),
+        "kernel_regression": [(F.col("hour") != 0).asc(), F.col("hour").desc()],
+        "kernel_regression_as_recorded": [(F.col("hour") != 0).asc(), F.col("hour").desc()],
+        "kernel_peak_hour": [F.col("kernel").asc()],
+    }.get(name, down("station"))
+
+
+#: Answers with one row per station (and month): written in parallel; the others are small by nature.
+PER_STATION = {"station_monthly_mean", "extremes_band_join", "extremes_prefilter_join", "extremes_total_band_join"}
 
 
 def write_answers(results: dict[str, DataFrame], out_dir: str) -> None:
     for name, df in results.items():
-        write_csv(df, os.path.join(out_dir, name), sort_columns=SORT_COLUMNS.get(name, []))
+        write_csv(df, os.path.join(out_dir, name), sort_columns=sort_columns(name),
+                  single_file=name not in PER_STATION)
 
 
 def main(argv=None) -> None:
@@ -107,8 +119,8 @@ def main(argv=None) -> None:
         ap.add_argument(flag, required=True)
     ap.add_argument("--lenient", action="store_true", help="malformed fields become NULL")
     args = ap.parse_args(argv)
-    from boreal.session import build_session, scratch_path
-    spark = build_session(app="weather-questions")
+    from boreal.session import scratch_path, submitted_session
+    spark = submitted_session("weather-questions")
     results = answers(spark, args.temperature, args.precipitation, args.region_stations,
                       args.stations, mode="PERMISSIVE" if args.lenient else "FAILFAST",
                       stage_dir=scratch_path(spark, "weather-readings"))

@@ -1,10 +1,11 @@
 """Sinks: ordered text and CSV output.
 
-A result small enough for one file (checked by a distributed row count) goes through one task:
-``repartition(1).sortWithinPartitions(...)`` — one shuffle, and the order is guaranteed because the
-sort runs after the last exchange. Past the bound, the output is range-partitioned and sorted
-(``orderBy``) and written as many files whose names follow the global order, so no single task
-holds the whole result.
+By default a result is range-partitioned and sorted (``orderBy``) and written as many files whose names
+follow the global order, so no single task holds the whole result. ``single_file=True`` asks for one
+file, written by one task: for results that are known to be small.
+
+Sort keys are column names or Columns (``F.col("year").desc()``); all other columns break ties, so a
+sort value shared by many rows spans several files.
 """
 
 from __future__ import annotations
@@ -12,42 +13,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boreal.operators.joins import row_count_at_most
-
-# Results up to this many rows may be written as one file.
-SINGLE_FILE_ROWS = 5_000_000
 
-
-def _ordered(df: DataFrame, sort_columns, single_file_rows: int) -> DataFrame:
-    sort_columns = list(sort_columns or [])
-    if row_count_at_most(df, single_file_rows):
+def _ordered(df: DataFrame, sort_columns, single_file: bool) -> DataFrame:
+    keys = [F.col(c) if isinstance(c, str) else c for c in sort_columns or []]
+    ties = [F.col(f"`{c}`") for c in df.columns]
+    if single_file:
         one = df.repartition(1)
-        return one.sortWithinPartitions(*sort_columns) if sort_columns else one
-    if not sort_columns:
-        return df
-    # Remaining columns break ties, so a sort value shared by many rows spans several files.
-    tie = [F.col(c) for c in df.columns if c not in set(sort_columns)]
-    return df.orderBy(*sort_columns, *tie)
+        return one.sortWithinPartitions(*keys, *ties) if keys else one
+    return df.orderBy(*keys, *ties) if keys else df
 
 
 def to_lines(df: DataFrame, sep: str = ";") -> DataFrame:
-    """One ``value`` string per row, fields joined by ``sep`` (NULL as an empty field, so positions
-    do not shift)."""
-    return df.select(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit(""))
-                                        for c in df.columns]).alias("value"))
+    """One ``value`` string per row, fields joined by ``sep``: NULL is an empty field, and a field that
+    holds the separator, a quote or a line break is quoted, so positions never shift."""
+    def field(c: str):
+        text = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+        special = text.contains(sep) | text.rlike('["\\r\\n]')
+        return F.when(special, F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
+
+    return df.select(F.concat_ws(sep, *[field(c) for c in df.columns]).alias("value"))
 
 
-def write_text(df: DataFrame, path: str, sort_columns=(), sep: str = ";",
-               single_file_rows: int = SINGLE_FILE_ROWS, mode: str = "errorifexists") -> None:
+def write_text(df: DataFrame, path: str, sort_columns=(), sep: str = ";", single_file: bool = False,
+               mode: str = "errorifexists") -> None:
     """Delimited text lines, ordered by ``sort_columns``."""
-    ordered = _ordered(df, sort_columns, single_file_rows)
-    to_lines(ordered, sep).write.mode(mode).text(path)
+    to_lines(_ordered(df, sort_columns, single_file), sep).write.mode(mode).text(path)
 
 
 def write_csv(df: DataFrame, path: str, sort_columns=(), sep: str = ",", header: bool = True,
-              single_file_rows: int = SINGLE_FILE_ROWS, mode: str = "errorifexists") -> None:
+              single_file: bool = False, mode: str = "errorifexists") -> None:
     """CSV with a header, ordered by ``sort_columns``."""
-    ordered = _ordered(df, sort_columns, single_file_rows)
+    ordered = _ordered(df, sort_columns, single_file)
     ordered.write.mode(mode).option("sep", sep).option("header", str(header).lower()).csv(path)
 
 

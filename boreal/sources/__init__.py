@@ -7,7 +7,7 @@ from boreal.sources.schemas import (
     STATIONS,
     TEMPERATURE_READINGS,
 )
-from boreal.sources.tables import TABLES, load_table, register_tables
+from boreal.sources.tables import TABLES, load_table
 
 __all__ = [
     "PRECIPITATION_READINGS",
@@ -18,5 +18,4 @@ __all__ = [
     "load_table",
     "read_delimited",
     "read_keys",
-    "register_tables",
 ]

@@ -9,6 +9,7 @@ that is not a number), ``PERMISSIVE`` turns the field into NULL.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -28,10 +29,18 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
 
 
 def read_keys(spark: SparkSession, path: str, key: str = "station", sep: str = ";",
-              key_type: T.DataType = T.StringType()) -> DataFrame:
-    """The first field of each line as a one-column key table (e.g. a region's stations)."""
-    schema = T.StructType([T.StructField(key, key_type, True)])
+              key_type: T.DataType = T.StringType(), mode: str = "FAILFAST") -> DataFrame:
+    """The first field of each line as a one-column key table (e.g. a region's stations).
+
+    A key that is not of ``key_type`` stops the job (``FAILFAST``) or becomes NULL (``PERMISSIVE``);
+    lines without a key give no row.
+    """
+    if mode.upper() not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     # A one-field schema over a wider file: the CSV reader keeps the first field, drops the rest.
+    schema = T.StructType([T.StructField("__key", T.StringType(), True)])
+    text = F.trim("__key")
+    value = text.try_cast(key_type) if mode.upper() == "PERMISSIVE" else text.cast(key_type)
     return (spark.read.schema(schema).option("sep", sep).option("header", "false")
             .option("mode", "PERMISSIVE").csv(path)
-            .filter(f"{key} IS NOT NULL"))
+            .where(text != "").select(value.alias(key)))

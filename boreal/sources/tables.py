@@ -34,11 +34,3 @@ def load_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     path = os.path.join(data_dir, f"{name}.parquet")
     schema = TABLE_SCHEMAS.get(name)
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
-
-
-def register_tables(spark: SparkSession, data_dir: str, names=TABLES) -> None:
-    """Temp views for SQL use; missing tables are skipped."""
-    for name in names:
-        path = os.path.join(data_dir, f"{name}.parquet")
-        if os.path.exists(path) or "://" in data_dir:
-            load_table(spark, data_dir, name).createOrReplaceTempView(name)

@@ -1,5 +1,6 @@
 """Warehouse questions and integrity audits on the company tables (answers of FIXTURES.md §2)."""
 
+
 import datetime as dt
 
 import pytest
@@ -91,32 +92,39 @@ def test_heavier_than_card_reader_both_forms(t):
     assert sorted(names(a)) == want and sorted(names(b)) == want
 
 
-def test_theta_join_keeps_pair_multiplicity(spark):
-    df = spark.createDataFrame([(1, "a", 5), (2, "b", 1), (3, "b", 1), (4, "c", 3)],
+def test_theta_join_counts_matches(spark):
+    df = spark.createDataFrame([(1, "a", 5), (2, "b", 1), (3, "b", 1), (4, "c", 3), (5, "c", None)],
                                "id int, name string, w int")
     out = W.theta_self_join(df, "w", F.col("name") == "b", columns=("id",))
-    assert sorted(r.id for r in out.collect()) == [1, 1, 4, 4]
-    unbounded = W.theta_self_join(df, "w", F.col("name") == "b", columns=("id",),
-                                  max_broadcast_rows=0)
-    assert sorted(r.id for r in unbounded.collect()) == [1, 1, 4, 4]
+    assert sorted((r.id, r.matches) for r in out.collect()) == [(1, 2), (4, 2)]
+    assert W.theta_self_join(df, "w", F.col("name") == "none").count() == 0
 
 
-@pytest.mark.parametrize("buckets, max_rows", [(2, 0), (3, 0), (8, 0), (64, 0), (None, 0),
-                                              (4, 1_000_000), (None, 1_000_000)])
-def test_bucketed_range_join_equals_brute_force(spark, buckets, max_rows):
+@pytest.mark.parametrize("references", [1, 63, 64, 65, 200])
+@pytest.mark.parametrize("kind", ["int", "double", "string", "date", "timestamp", "timestamp_ntz", "binary", "decimal(9,2)"])
+def test_theta_join_of_any_type_and_count(spark, references, kind):
     import random
-    rnd = random.Random(buckets)
-    rows = [(i, rnd.choice("abc"), rnd.randrange(0, 400)) for i in range(300)]
-    rows += [(1000 + i, "a", None) for i in range(3)]
-    df = spark.createDataFrame(rows, "id int, name string, w int")
-    ref = [w for _, n, w in rows if n == "a" and w is not None]
-    assert len(set(ref)) > W.NESTED_LOOP_VALUES  # the bucketed path, not the nested loop
-    want = sorted(i for i, _, w in rows for v in ref if w is not None and w > v)
-    out = W.theta_self_join(df, "w", F.col("name") == "a", columns=("id",),
-                            max_broadcast_rows=max_rows, range_buckets=buckets)
-    assert "CartesianProduct" not in plan_text(out)
-    assert "BroadcastNestedLoopJoin" not in plan_text(out)
-    assert sorted(r.id for r in out.collect()) == want
+    rnd = random.Random(references)
+    numbers = [rnd.randrange(500) for _ in range(250)]
+    df = spark.createDataFrame([(i, i < references, n) for i, n in enumerate(numbers)], "id int, ref boolean, n int")
+    value = {"string": F.format_string("Supplier#%09d", F.col("n")),
+             "binary": F.format_string("Supplier#%09d", F.col("n")).cast("binary"),
+             "date": F.date_add(F.lit("2001-01-01").cast("date"), F.col("n")),
+             # minutes in and around a daylight-saving gap
+             "timestamp": F.timestamp_add("MINUTE", F.col("n"), F.lit("2021-03-27 22:00:00").cast("timestamp")),
+             "timestamp_ntz": F.timestamp_add("MINUTE", F.col("n"), F.lit("2021-03-28 00:00:00").cast("timestamp_ntz")),
+             }.get(kind, F.col("n").cast(kind))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        out = W.theta_self_join(df.withColumn("w", value), "w", F.col("ref"), columns=("id",))
+        text = plan_text(out)
+        got = {r.id: r.matches for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    want = {i: sum(v < n for v in numbers[:references]) for i, n in enumerate(numbers)}
+    assert got == {i: n for i, n in want.items() if n}
 
 
 def test_scalar_subquery_needs_one_row(spark):
@@ -140,7 +148,7 @@ def test_total_weight_per_supplier_in_mass(t):
 def test_star_join_counts_duplicated_dimension_rows(spark, t):
     doubled = t["jbcity"].unionByName(t["jbcity"].where(F.col("id") == 10))
     out = W.star_join_weighted_sum(t["jbsupplier"], doubled, t["jbsupply"], t["jbparts"],
-                                   normalized_equals("state", "mass"), max_broadcast_rows=0)
+                                   normalized_equals("state", "mass"))
     assert {r.name: r.total_weight for r in out.collect()} == {"DEC": 6240,
                                                                "Fisher-Price": 1135000}
 
@@ -154,6 +162,12 @@ def test_below_average_table(spark, t):
     assert out.count() == 14
     assert out.agg(F.max("price")).first()[0] < 1138.8
     assert spark.table("jbitems_test").columns == ["id", "name", "dept", "price", "qoh", "supplier"]
+    # a second run with the same name and place replaces the rows
+    location = spark.sql("DESCRIBE EXTENDED jbitems_test").where("col_name = 'Location'").first()["data_type"]
+    for _ in range(2):
+        again = W.below_average_table(spark, t["jbitem"], "price", "jbitems_test", "id INT, name STRING, dept INT, "
+                                      "price INT, qoh INT, supplier INT", location)
+        assert again.count() == 14
 
 
 PRIMARY_KEYS = {"jbemployee": ["id"], "jbdept": ["id"], "jbitem": ["id"], "jbparts": ["id"],
@@ -191,6 +205,24 @@ def test_on_delete_set_null(t):
     assert out.where(F.col("manager") == 199).count() == 0
 
 
+def test_null_keys_spread_in_a_shuffled_repair(spark):
+    """NULL keys, a hot key and dangling keys; no side broadcast."""
+    child = spark.range(3000).select(F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 7).otherwise(
+        F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+    parent = spark.range(0, 40).select(F.col("id").alias("k"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = I.fk_set_null(child, "k", parent, "k")
+        got = {r.v: r.k for r in out.collect()}
+        lost = {r.v for r in I.fk_orphans(child, "k", parent, "k").collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    keys = {i: None if i % 3 == 0 else 7 if i % 3 == 1 else i % 50 for i in range(3000)}
+    assert got == {i: k if k is not None and k < 40 else None for i, k in keys.items()}
+    assert lost == {i for i, k in keys.items() if k is not None and k >= 40}
+
+
 def test_column_rules(t):
     rules = {"qoh_non_negative": I.non_negative("qoh"), "name_max_20": I.max_length("name", 20),
              "dept_not_null": I.not_null("dept"), "name_max_4": I.max_length("name", 4)}
@@ -209,32 +241,7 @@ def test_default_fills_missing_timestamp(spark, t):
     assert out.where(F.col("id") == 100600).first().sdate == fixed
 
 
-def test_repeat_in_chunks(spark, monkeypatch):
-    monkeypatch.setattr(W, "REPEAT_CHUNK", 3)
-    df = spark.createDataFrame([(1, 7), (2, 3), (3, 1), (4, 0)], "id int, n long")
-    got = sorted(r.id for r in W._repeat(df, "n", ["id"]).collect())
-    assert got == [1] * 7 + [2] * 3 + [3]
-
-
-@pytest.mark.parametrize("kind", ["string", "date"])
-def test_bucketed_range_join_on_strings_and_dates(spark, kind):
-    import datetime as dt
-    import random
-    rnd = random.Random(11)
-    words = ["a", "ab", "abc", "abcdefg", "abcdefh", "b", "ba", "zz", "Z", "é", "ée", "abcdef"]
-    if kind == "string":
-        values = words + ["".join(rnd.choice("abcxyz") for _ in range(rnd.randrange(1, 9)))
-                          for _ in range(200)]
-    else:
-        values = [dt.date(2000, 1, 1) + dt.timedelta(days=rnd.randrange(0, 3000))
-                  for _ in range(200)]
-    rows = [(i, rnd.choice("ab"), v) for i, v in enumerate(values)]
-    df = spark.createDataFrame(rows, f"id int, name string, w {kind}")
-    ref = [w for _, n, w in rows if n == "a"]
-    want = sorted(i for i, _, w in rows for v in ref if w.encode() > v.encode()) \
-        if kind == "string" else sorted(i for i, _, w in rows for v in ref if w > v)
-    out = W.theta_self_join(df, "w", F.col("name") == "a", columns=("id",),
-                            max_broadcast_rows=0, range_buckets=8)
-    text = plan_text(out)
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert sorted(r.id for r in out.collect()) == want
+def test_suffix_is_literal(spark):
+    df = spark.createDataFrame([("a%b, x",), ("a_b, x",), ("axb, x",)], "name string")
+    assert names(W.prefix_suffix_like(df, "name", ",", "%b")) == ["a%b, x"]
+    assert names(W.prefix_suffix_like(df, "name", ",", "_b")) == ["a_b, x"]

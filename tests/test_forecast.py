@@ -81,12 +81,14 @@ def frames(spark):
     (dt.date(2013, 12, 31), False, False),
     (dt.date(2013, 1, 1), True, True),
 ])
-@pytest.mark.parametrize("max_rows", [1_000_000, 0])
-def test_matches_brute_force(frames, target, wrap_leap, exact_half, max_rows):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_matches_brute_force(spark, frames, target, wrap_leap, exact_half, threshold):
     readings, stations = frames
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     got = {r.hour: (r.forecast_sum, r.forecast_prod) for r in K.kernel_regression(
         readings, stations, 58.4274, 14.826, target, wrap_leap=wrap_leap,
-        exact_half=exact_half, max_broadcast_rows=max_rows).collect()}
+        exact_half=exact_half).collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
     want = brute_force(_readings(), 58.4274, 14.826, target, K.FORECAST_HOURS, K.H_DISTANCE,
                        K.H_DATE, K.H_TIME, K.LOOKBACK_DAYS, wrap_leap, exact_half)
     assert set(got) == set(K.FORECAST_HOURS)
@@ -95,12 +97,17 @@ def test_matches_brute_force(frames, target, wrap_leap, exact_half, max_rows):
             assert math.isclose(g, w, rel_tol=1e-9), (h, g, w)
 
 
-def test_broadcast_and_shuffled_weights_agree(frames):
+def test_broadcast_and_shuffled_weights_agree(spark, frames):
     readings, stations = frames
-    a = K.kernel_regression(readings, stations, 58.4, 14.8, dt.date(2013, 7, 4)).orderBy("hour")
-    b = K.kernel_regression(readings, stations, 58.4, 14.8, dt.date(2013, 7, 4),
-                            max_broadcast_rows=1).orderBy("hour")
-    for x, y in zip(a.collect(), b.collect()):
+    def run(threshold):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        return K.kernel_regression(readings, stations, 58.4, 14.8, dt.date(2013, 7, 4)).orderBy("hour").collect()
+
+    b, a = run("-1"), run("10m")
+    # a station listed twice weighs once
+    twice = K.kernel_regression(readings, stations.union(stations), 58.4, 14.8, dt.date(2013, 7, 4)).orderBy("hour").collect()
+    assert [r.forecast_sum for r in twice] == pytest.approx([r.forecast_sum for r in a])
+    for x, y in zip(a, b):
         assert x.hour == y.hour and math.isclose(x.forecast_sum, y.forecast_sum, rel_tol=1e-12)
 
 
@@ -129,9 +136,9 @@ def test_peak_hour(frames):
     f = K.kernel_regression(readings, stations, 58.4274, 14.826, dt.date(2013, 7, 4))
     rows = {r.hour: r for r in f.collect()}
     peak = {r.kernel: r for r in K.kernel_peak_hour(f).collect()}
-    assert peak["sum"].forecast == max(r.forecast_sum for r in rows.values())
-    assert peak["prod"].forecast == max(r.forecast_prod for r in rows.values())
-    assert rows[peak["sum"].hour].forecast_sum == peak["sum"].forecast
+    assert peak["sum"].forecast == pytest.approx(max(r.forecast_sum for r in rows.values()))
+    assert peak["prod"].forecast == pytest.approx(max(r.forecast_prod for r in rows.values()))
+    assert rows[peak["sum"].hour].forecast_sum == pytest.approx(peak["sum"].forecast)
 
 
 def test_seasonal_and_hourly_tables(frames):

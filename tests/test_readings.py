@@ -2,7 +2,9 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from boreal.functions import hour_of_time
 from boreal.operators import readings as R
 from boreal.sources import (
     PRECIPITATION_READINGS,
@@ -124,10 +126,42 @@ def test_regional_mean_only_over_region_stations_with_readings(spark, files, pre
 
 def test_regional_mean_without_broadcast(spark, files, precip):
     region = read_keys(spark, files["region"])
-    out = R.regional_monthly_mean(precip, region, max_broadcast_rows=1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    out = R.regional_monthly_mean(precip, region)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
     assert rows(out) == [(2000, 7, 150.0), (2000, 6, 120.0)]
 
 
+def test_one_sided_periods_and_the_last_year(spark):
+    days = ["0001-01-01", "1989-12-31", "1990-01-01", "9998-12-31", "9999-12-31"]
+    df = spark.createDataFrame([(d, float(i)) for i, d in enumerate(days)] + [(None, 9.0)], "d string, value double")
+    df = df.select(F.col("d").cast("date").alias("date"), "value")
+
+    def years(first, last):
+        return sorted(r.year for r in R.yearly_extrema(df, first, last).collect())
+
+    assert years(1990, None) == [1990, 9998, 9999]
+    assert years(None, 1990) == [1, 1989, 1990]
+    assert years(1990, 9999) == [1990, 9998, 9999] and years(1990, 9998) == [1990, 9998]
+
+
+def test_typed_key_lists(spark, tmp_path):
+    p = tmp_path / "keys.csv"
+    p.write_text("1;a\nx2;b\n\n3;c\n")
+    with pytest.raises(Exception):
+        read_keys(spark, str(p), key_type=T.IntegerType()).collect()
+    lenient = read_keys(spark, str(p), key_type=T.IntegerType(), mode="PERMISSIVE")
+    assert [r.station for r in lenient.collect()] == [1, None, 3]
+    assert [r.station for r in read_keys(spark, str(p)).collect()] == ["1", "x2", "3"]
+    with pytest.raises(ValueError):
+        read_keys(spark, str(p), mode="DROPMALFORMED")
+
+
+def test_malformed_time_is_null(spark):
+    df = spark.createDataFrame([("13:05:00",), ("xx",), (None,)], "t string")
+    assert [r[0] for r in df.select(hour_of_time("t")).collect()] == [13, None, None]
+
+
 def test_malformed_value_fails_or_nulls(spark, tmp_path):
     p = tmp_path / "bad.csv"
     p.write_text("100;2000-01-01;00:00:00;abc;G\n100;2000-01-02;00:00:00;1.5;G\n")

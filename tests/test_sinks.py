@@ -3,12 +3,13 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from boreal.session import scratch_path
 from boreal.plans.inspect import plan_text
-from boreal.sinks import _ordered, write_csv, write_delimited, write_text
+from boreal.sinks import _ordered, to_lines, write_csv, write_delimited, write_text
 from boreal.sources import read_delimited
 from boreal.sources.schemas import TEMPERATURE_READINGS
 from conftest import SF_SMALL
@@ -21,24 +22,75 @@ def _parts(path, ext):
 def test_single_csv_file_sorted(spark):
     df = spark.range(0, 500, 1, 8).select((F.col("id") * 7 % 500).alias("k"))
     path = scratch_path(spark, "single")
-    write_csv(df, path, sort_columns=["k"])
+    write_csv(df, path, sort_columns=["k"], single_file=True)
     files = _parts(path, ".csv")
     assert len(files) == 1
     lines = open(files[0]).read().split()
     assert lines[0] == "k" and [int(x) for x in lines[1:]] == list(range(500))
 
 
-def test_many_files_when_over_bound(spark):
+def test_many_files_by_default(spark):
     df = spark.range(0, 500, 1, 8).select((F.col("id") * 7 % 500).alias("k"))
     path = scratch_path(spark, "many")
-    write_text(df, path, sort_columns=["k"], single_file_rows=10)
+    write_text(df, path, sort_columns=["k"])
     files = _parts(path, ".txt")
     values = [int(x) for f in files for x in open(f).read().split()]
     assert values == list(range(500))  # file order follows the global order
-    # past the bound the rows are range-partitioned, never funnelled into one partition
-    plan = plan_text(_ordered(df, ["k"], 10))
+    # the rows are range-partitioned, never funnelled into one partition, unless one file is asked for
+    plan = plan_text(_ordered(df, ["k"], False))
     assert "rangepartitioning" in plan and "SinglePartition" not in plan
-    assert "SinglePartition" in plan_text(_ordered(df, ["k"], 1000))
+    assert "SinglePartition" in plan_text(_ordered(df, ["k"], True))
+
+
+@pytest.mark.parametrize("single_file", [True, False])
+def test_descending_keys_and_ties(spark, single_file):
+    df = spark.range(0, 300, 1, 6).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    path = scratch_path(spark, "down")
+    write_csv(df, path, sort_columns=[F.col("k").desc(), "v"], header=False, single_file=single_file)
+    values = [tuple(map(int, x.split(","))) for f in _parts(path, ".csv") for x in open(f).read().split()]
+    assert values == sorted(((i % 7, i) for i in range(300)), key=lambda r: (-r[0], r[1]))
+
+
+def test_text_fields_are_quoted(spark):
+    rows = [("a;b", "c"), ('say "x"', None), ("line\nbreak", ""), ("plain", "d")]
+    df = spark.createDataFrame(rows, "p string, q string")
+    lines = [r.value for r in to_lines(df).collect()]
+    assert lines == ['"a;b";c', '"say ""x""";', '"line\nbreak";', "plain;d"]
+    path = scratch_path(spark, "quoted")
+    write_text(df.where("p != 'line\nbreak'"), path, sort_columns=["p"])
+    back = spark.read.schema("p string, q string").option("sep", ";").option("escape", '"').csv(path)
+    assert sorted(r.p for r in back.collect()) == ["a;b", "plain", 'say "x"']
+
+
+def test_submitted_settings_survive(tmp_path):
+    """A program started by spark-submit keeps the master and partitions it was given."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("from boreal.session import submitted_session as s; x = s('t'); "
+            "print('GOT', x.sparkContext.master, x.conf.get('spark.sql.shuffle.partitions'), x.conf.get('spark.sql.session.timeZone'))")
+    env = {**os.environ, "PYTHONPATH": root, "PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false "
+           "--conf spark.sql.shuffle.partitions=777 pyspark-shell"}
+    done = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=200)
+    assert "GOT local[2] 777 UTC" in done.stdout, done.stderr[-2000:]
+
+
+def test_no_machine_folder_on_a_cluster(monkeypatch):
+    from boreal import session
+
+    class Context:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class Session:
+        sparkContext, conf = Context, Conf
+
+    with pytest.raises(ValueError):
+        session.checkpoint_root(Session)
 
 
 def test_delimited_roundtrip_keeps_positions_with_nulls(spark):
@@ -74,13 +126,14 @@ def test_registered_roundtrips(spark):
 
 def test_cluster_conf_sizes_partitions():
     from boreal.session import cluster_conf
-    assert cluster_conf(8000, 100 * 2 ** 40)["spark.sql.shuffle.partitions"] == "409600"
+    assert cluster_conf(8000, 100 * 2 ** 40)["spark.sql.shuffle.partitions"] == "50000"
+    assert cluster_conf(1000, 20 * 2 ** 40)["spark.sql.shuffle.partitions"] == "20480"
     assert cluster_conf(64)["spark.sql.shuffle.partitions"] == "200"
     assert cluster_conf(1000)["spark.sql.shuffle.partitions"] == "3000"
 
 
-def test_cluster_conf_broadcasts_only_measured_sizes():
+def test_cluster_conf_broadcasts_by_bytes():
     from boreal.session import cluster_conf
     conf = cluster_conf(1000)
-    assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
-    assert int(conf["spark.sql.adaptive.autoBroadcastJoinThreshold"]) > 0
+    assert 0 < int(conf["spark.sql.autoBroadcastJoinThreshold"]) <= 64 << 20
+    assert 0 < int(conf["spark.sql.adaptive.autoBroadcastJoinThreshold"]) <= 64 << 20
