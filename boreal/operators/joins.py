@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of the size of ``df``: no job, file sizes at most."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Catalyst's estimate of ``df`` in bytes is within its own broadcast threshold."""
-    spark = df.sparkSession
-    threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return 0 <= int(str(size)) <= threshold
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return estimated_bytes(df) <= threshold
 
 
 def key_side(keys: DataFrame, key: str) -> DataFrame:
