@@ -100,7 +100,7 @@ def test_theta_join_counts_matches(spark):
     assert W.theta_self_join(df, "w", F.col("name") == "none").count() == 0
 
 
-@pytest.mark.parametrize("references", [1, 63, 64, 65, 200])
+@pytest.mark.parametrize("references", [1, 65])
 @pytest.mark.parametrize("kind", ["int", "double", "string", "date", "timestamp", "timestamp_ntz", "binary", "decimal(9,2)"])
 def test_theta_join_of_any_type_and_count(spark, references, kind):
     import random
