@@ -1,15 +1,16 @@
 """Join of all documents whose shingle sets overlap, by a token-group matrix.
 
-Method: every distinct set belongs to one group of similar sets: same size band, same first token in one
-global order (rare tokens first). The matrix has, for every token, the groups whose token union holds it.
-A set that shares at least ``percent`` of the union with a member of a group shares at least ``SHARED``
-tokens of its prefix with the union of that group's prefixes, if prefixes are as long as the sets may
-differ plus ``SHARED``. So the matrix keeps prefix tokens only, the overlap of a set with a group is bounded by the number
-of prefix tokens it shares with the group's union, and only groups that reach ``SHARED`` in a size band
-next to the set's own are opened. In an opened group overlaps are counted exactly on whole sets, from
+Method: every distinct set belongs to one group of similar sets: same size band, same least hash among its
+tokens, or among its popular tokens where those are at least half of it (near copies of one text share
+them, whatever was edited). The matrix has, for every token, the groups whose token union holds it.
+A set linked to a member of a group shares at least ``s`` tokens of its prefix with the union of
+that group's prefixes, if prefixes are ``s`` tokens longer than linked sets may differ. So the matrix keeps
+prefix tokens only: the number of prefix tokens that a set shares with a group's union bounds their overlap,
+and only groups that reach ``s``, in a size band next to the set's own, are opened. ``s`` is a ``SHARE``-th of the
+band's smallest sets, 3 at least: a passage that two texts share gives its part of the prefix only. In an opened group overlaps are counted exactly on whole sets, from
 the texts. The result is the same as comparing all pairs.
 
-Order: tokens are ordered by how often their hash bucket (of ``SKETCH``) occurs in the corpus, counted over
+Order of the prefixes: tokens are ordered by how often their hash bucket (of ``SKETCH``) occurs in the corpus, counted over
 all documents, then by hash. Any order gives the same result; rare first keeps the matrix selective.
 
 Scale: equal sets are one set before anything is joined, and postings are combined in each task before the
@@ -36,10 +37,12 @@ from pyspark.sql import functions as F
 from boreal.llm.chunk_table import blocks
 from boreal.llm.components import components
 from boreal.llm.storage import shuffle_partitions, written
+from boreal.llm.worker import claim
 from boreal.llm.words import GOLDEN, block_words, mix, shingles
 
-SHARED = 3
-SKETCH = 1 << 20
+SHARE, LEAST_SHARED = 16, 3
+SKETCH_BITS = 20
+SKETCH = 1 << SKETCH_BITS
 SLICES = 16
 OPEN_TOKENS = 2_000_000
 BLOCK_CHARS = 4_000_000
@@ -68,22 +71,37 @@ def band(n: int, percent: int) -> int:
     return int(np.log(n) / -np.log(percent / 100) + 1e-9)
 
 
+def shared(bands: int, percent: int) -> int:
+    """How many prefix tokens linked sets share at least, if the smaller is of this band."""
+    return max(LEAST_SHARED, min(int((100 / percent) ** bands / SHARE), 1 << 30))
+
+
 def prefix(tokens: np.ndarray, weight: np.ndarray, percent: int) -> np.ndarray:
-    """The first tokens in the global order: enough for linked sets to share SHARED of them."""
-    length = min(len(tokens), len(tokens) - needed(len(tokens), percent) + SHARED)
-    order = np.lexsort((tokens, weight[(tokens >> np.uint64(44)).astype(np.int64)]))
+    """The first tokens in the global order: enough for linked sets to share ``shared`` of them."""
+    n = len(tokens)
+    length = min(n, n - needed(n, percent) + shared(band(n, percent), percent))
+    order = np.lexsort((tokens, weight[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
     return tokens[order[:length]]
 
 
+def group_of(tokens: np.ndarray, weight: np.ndarray, popular: float, percent: int) -> np.uint64:
+    """The group's number: its least hash, with the size band in the lowest byte."""
+    hashes = mix(tokens + GOLDEN)
+    common = weight[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] >= popular
+    least = hashes[common].min() if 2 * common.sum() >= len(tokens) else hashes.min()
+    return least & ~np.uint64(255) | np.uint64(band(len(tokens), percent) & 255)
+
+
 def document_sets(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
     """Rows (doc_id, n, set) of all documents, and how often each hash bucket occurs in their sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard_join")
         total = np.zeros(SKETCH, np.int64)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in blocks(texts, BLOCK_CHARS):
                 sets = text_sets(texts[a:b], size)
-                total += np.bincount((np.concatenate(sets) >> np.uint64(44)).astype(np.int64), minlength=SKETCH)
+                total += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=SKETCH)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column("doc_id").slice(a, b - a), "n": pa.array(map(len, sets), pa.int64()),
                     "set": pa.array(map(set_key, sets), pa.binary()), "slice": pa.nulls(b - a, pa.int32()),
@@ -118,8 +136,11 @@ def opened(docs: DataFrame, weight: np.ndarray, size: int, percent: int) -> Data
     weight = weight.astype(np.uint32 if weight.max(initial=0) < 1 << 32 else np.int64)
     least = next(n for n in range(1, 10_000) if needed(n, percent) < n)  # smaller sets link to equal ones only
     partitions = shuffle_partitions(docs.sparkSession)
+    popular = 2 * float(weight.mean()) + 8  # well above what a bucket of rare tokens holds
+    least_shared = np.array([shared(b, percent) for b in range(256)])
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard_join")
         for batch in batches:
             texts = batch.column("text").to_pylist()
             seen: set[bytes] = set()  # copies in this batch are posted once
@@ -129,10 +150,10 @@ def opened(docs: DataFrame, weight: np.ndarray, size: int, percent: int) -> Data
                     if len(tokens) >= least and (k := set_key(tokens)) not in seen:
                         seen.add(k)
                         first = prefix(tokens, weight, percent)
-                        g = mix(first[:1]) & ~np.uint64(255) | np.uint64(band(len(tokens), percent) & 255)
+                        g = group_of(tokens, weight, popular, percent)
                         token.append(first)
                         key.append(np.full(len(first), np.frombuffer(k, np.uint64)[0]))
-                        group.append(np.repeat(g, len(first)))
+                        group.append(np.full(len(first), g))
                         own.append(np.arange(len(first)) == 0)
                 if token:
                     yield pa.RecordBatch.from_arrays(
@@ -141,6 +162,7 @@ def opened(docs: DataFrame, weight: np.ndarray, size: int, percent: int) -> Data
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by token, group and key: the matrix row of a token is its run of groups."""
+        claim("jaccard_join")
         held = None
         for batch in batches:
             now = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("token", "group", "key", "own")]
@@ -156,7 +178,7 @@ def opened(docs: DataFrame, weight: np.ndarray, size: int, percent: int) -> Data
     def visits(token: np.ndarray, group: np.ndarray, key: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
         fresh = np.concatenate([[True], (token[1:] != token[:-1]) | (key[1:] != key[:-1]) | (group[1:] != group[:-1])])
         token, group, key, own = token[fresh], group[fresh], key[fresh], own[fresh]
-        yield batch_of(group[own], key[own], np.full(int(own.sum()), SHARED))
+        yield batch_of(group[own], key[own], 1, np.ones(int(own.sum()), np.int64))  # members
         new_token = np.concatenate([[True], token[1:] != token[:-1]])
         new_group = new_token | np.concatenate([[True], group[1:] != group[:-1]])
         starts = np.flatnonzero(new_token)
@@ -169,17 +191,17 @@ def opened(docs: DataFrame, weight: np.ndarray, size: int, percent: int) -> Data
                 near = (group[a:b] < g) & (np.abs((group[a:b] & 255) - w) <= 1)
                 if near.any():
                     k = key[a:b][near]
-                    yield batch_of(np.full(len(k), g), k, np.ones(len(k), np.int64))
+                    yield batch_of(np.full(len(k), g), k, 1, least_shared[np.minimum(group[a:b][near] & 255, w)])
 
-    def batch_of(group: np.ndarray, key: np.ndarray, shared: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (group, key, shared)],
-                                          names=["group", "key", "shared"])
+    def batch_of(group: np.ndarray, key: np.ndarray, found: int, least: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (group, key, np.full(len(key), found), least)],
+                                          names=["group", "key", "shared", "least"])
 
     postings = docs.select("text").mapInArrow(post, "token long, group long, key long, own boolean")
     met = (postings.repartition(partitions, "token").sortWithinPartitions("token", "group", "key")
-           .mapInArrow(meet, "group long, key long, shared long"))
-    return (met.groupBy("group", "key").agg(F.sum("shared").alias("shared"))
-            .filter(F.col("shared") >= SHARED).select("group", "key"))
+           .mapInArrow(meet, "group long, key long, shared long, least long"))
+    return (met.groupBy("group", "key").agg(F.sum("shared").alias("shared"), F.max("least").alias("least"))
+            .filter("shared >= least").select("group", "key"))
 
 
 def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -222,6 +244,7 @@ def compare(open_sets: DataFrame, docs: DataFrame, size: int, percent: int) -> D
              .select("doc_id", F.xxhash64("group", F.least("part", "other"), F.greatest("part", "other")).alias("task")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard_join")
         task, ids, texts = None, [], []
         for batch in batches:
             out = []
