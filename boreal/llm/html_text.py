@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boreal.llm.worker import claim
+
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp small span "
              "strike strong sub sup time tt u var wbr".split())
@@ -177,6 +179,7 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text", sigma: flo
     schema = T.StructType(source.schema.fields[:-1] + [T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("html_text")
         for batch in batches:
             found = [main_text(h.as_py(), sigma, strictness) for h in batch.column(len(keep))]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + [pa.array(found, pa.string())],

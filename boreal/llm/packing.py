@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boreal.llm.chunk_table import ChunkTable, blocks
+from boreal.llm.worker import claim, keep
 
 BLOCK_CHARS = 4_000_000
 JOINED = 300  # chunks encoded in one call
@@ -90,6 +91,7 @@ class WordCodec:
 
 @lru_cache(maxsize=2)
 def codec(tokenizer_file: str) -> WordCodec:
+    keep(codec.cache_clear)
     return WordCodec(tokenizer_file)
 
 
@@ -141,6 +143,7 @@ def pack(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, end_id: int
             names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]), first + len(sequences)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("packing")
         c = codec(tokenizer_file)
         sequence = TaskContext.get().partitionId() << 36
         shard, size = [], 0

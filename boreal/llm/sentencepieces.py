@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boreal.llm.chunk_table import ChunkTable, blocks
+from boreal.llm.worker import claim, keep
 
 MARK = "▁"
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -70,6 +71,7 @@ class PieceCodec:
 
 @lru_cache(maxsize=2)
 def codec(model_file: str) -> PieceCodec:
+    keep(codec.cache_clear)
     return PieceCodec(model_file)
 
 
@@ -80,22 +82,23 @@ def encode_decode(docs: DataFrame, model_file: str, text: str = "text", ids: str
     ``ids`` equal the library's ``encode(text)`` without begin or end ids; ``decoded`` equals its
     ``decode(ids)``. Columns of ``docs`` named like the results give way to them.
     """
-    keep = [c for c in docs.columns if c not in (ids, decoded, text)]
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
+    columns = [c for c in docs.columns if c not in (ids, decoded, text)]
+    source = docs.select(*[F.col(f"`{c}`") for c in columns], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
     schema = T.StructType(source.schema.fields[:-1] + [
         T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("sentencepieces")
         c = codec(model_file)
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
+            texts = batch.column(len(columns)).to_pylist()
             for a, b in blocks(texts, BLOCK_CHARS):
                 flat, length, back = c.encode_decode(texts[a:b])
                 offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(k) for k in keep] + [
+                    [part.column(k) for k in range(len(columns))] + [
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(back, pa.string())],
-                    names=[*keep, ids, decoded])
+                    names=[*columns, ids, decoded])
 
     return source.mapInArrow(run, schema)

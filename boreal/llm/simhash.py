@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boreal.llm.storage import shuffle_partitions
+from boreal.llm.worker import claim
 from boreal.llm.words import GOLDEN, mix, pair, word_hashes
 
 BITS = 256
@@ -110,6 +111,7 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     of the next document in ascending id; after the last comes the first.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("simhash")
         held = None
         for batch in batches:
             out = []

@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 
 from boreal.llm.chunk_table import blocks
 from boreal.llm.storage import shuffle_partitions, written
+from boreal.llm.worker import claim
 from boreal.llm.words import block_words, pair, word_hashes, word_spans
 
 BLOCK_CHARS = 4_000_000
@@ -162,6 +163,7 @@ def align(chain: list[Segment], a: np.ndarray, b: np.ndarray) -> tuple[int, int,
 def matches(docs: DataFrame, k: int, window: int, min_words: int) -> DataFrame:
     """(doc, src, x, y): a seed of ``doc`` at word ``x`` stands in the earlier ``src`` at word ``y``."""
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring_dedup")
         for batch in batches:
             ids, texts = batch.column("doc_id").to_numpy(), batch.column("text").to_pylist()
             found: list[tuple[np.ndarray, ...]] = []
@@ -262,6 +264,7 @@ def aligned(chain_rows: DataFrame, docs: DataFrame, min_words: int, identity: fl
     spans_schema = "doc long, src long, begin long, source_begin long, side int, shift long, segments binary, words binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring_dedup")
         for batch in batches:
             out = []
             for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wishes").to_pylist()):

@@ -123,3 +123,16 @@ def test_costs_are_balanced():
     costs = [sum(n + n * n / 4096 for _, _, n in s) for s, size in zip(sequences, sizes) if size == 4096 and len(s) > 1]
     in_order = [sum(n + n * n / 4096 for n in lengths[k:k + 9]) for k in range(0, 1800, 9)]
     assert np.std(costs) < np.std(in_order) / 3
+
+
+def test_worker_releases_what_another_operator_kept():
+    from boreal.llm import worker
+
+    released = []
+    worker.claim("one")
+    worker.keep(lambda: released.append("one"))
+    worker.claim("one")
+    assert released == []
+    worker.claim("two")
+    worker.claim("one")
+    assert released == ["one"]
