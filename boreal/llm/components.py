@@ -16,8 +16,10 @@ def components(links: DataFrame) -> DataFrame:
     ordinary graphs. Minima are combined before the shuffle, so a node with many links is no hot group.
     Each round's labels are written to the shared folder. Null ends and loops link nothing.
     """
-    edges = links.select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL AND a != b")
-    edges = written(edges.union(edges.select("b", "a")).distinct(), "links")
+    # both directions from one evaluation: a link table may come out differently when computed again
+    both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    edges = written(links.filter("a IS NOT NULL AND b IS NOT NULL AND a != b")
+                    .select(both.alias("link")).select("link.*").distinct(), "links")
     labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
                      .select("node", F.least("node", "low").alias("component")), "labels")
     while True:

@@ -134,7 +134,8 @@ def opened(docs: DataFrame, weight: np.ndarray, size: int, percent: int) -> Data
 
     ``key`` is the first half of a set's 128 bits."""
     weight = weight.astype(np.uint32 if weight.max(initial=0) < 1 << 32 else np.int64)
-    least = next(n for n in range(1, 10_000) if needed(n, percent) < n)  # smaller sets link to equal ones only
+    # smaller sets link to equal ones only: one token more is too much
+    least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
     partitions = shuffle_partitions(docs.sparkSession)
     popular = 2 * float(weight.mean()) + 8  # well above what a bucket of rare tokens holds
     least_shared = np.array([shared(b, percent) for b in range(256)])

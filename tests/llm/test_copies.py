@@ -101,6 +101,22 @@ def test_similar_edges(docs, empty):
     assert jaccard_join.similar_documents(empty).count() == 0
 
 
+def test_components_of_links_that_change_when_computed_again(spark):
+    """A spanning tree of one set of nodes, another tree at every evaluation."""
+    nodes = list(range(60))
+    path = spark.createDataFrame([(k,) for k in nodes], "a long")
+    tree = path.select("a", F.when(F.col("a") > 0, F.floor(F.rand() * F.col("a")).cast("long")).alias("b"))
+    assert {r["component"] for r in components(tree).collect()} == {0}
+
+
+@pytest.mark.parametrize("percent", [60, 75, 80, 85, 90])
+def test_small_sets_link_to_supersets(spark, percent):
+    texts = {10 * n + k: " ".join(f"s{n}w{i}" for i in range(n + k)) for n in (1, 3, 4, 5, 6, 7, 9, 12) for k in (0, 1)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = jaccard_join.similar_documents(docs, 1, percent).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_components(texts, 1, percent)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(0, 40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (None, 3)]
     found = components(spark.createDataFrame(links, "a long, b long"))
