@@ -40,13 +40,17 @@ from pyspark.sql import types as T
 
 from boreal.llm.chunk_table import blocks
 from boreal.llm.storage import shuffle_partitions
+from boreal.llm.worker import claim, keep
 from boreal.llm.words import block_words, pair
+from boreal.operators.joins import estimated_bytes
 from boreal.session import checkpoint_root
 
 BEGIN, END = 1, 2
 HASH = np.uint64((1 << 48) - 1)  # words travel as 6 bytes
 BLOCK_CHARS = 4_000_000
 HELD_TOKENS = 3_000_000
+#: Estimated input per bucket (columns weigh by their declared types), so that a task that merges one stays small whatever the input.
+BUCKET_BYTES = 6 << 20
 #: Columns of the word table, after the hash.
 WORD_COLUMNS = ("count", "continuations", "total", "once", "twice", "more")
 
@@ -124,6 +128,7 @@ class Tables:
     def of(cls, folder: str) -> "Tables":
         if folder not in cls.known:
             cls.known.clear()
+            keep(cls.known.clear)
             cls.known[folder] = cls(folder)
         return cls.known[folder]
 
@@ -221,7 +226,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     """Counts all rows of ``docs`` and writes the model's files to the shared folder."""
     spark = docs.sparkSession
     folder = f"{checkpoint_root(spark).rstrip('/')}/boreal/bigrams-{uuid.uuid4().hex}"
-    buckets = shuffle_partitions(spark)
+    buckets = max(shuffle_partitions(spark), estimated_bytes(docs) // BUCKET_BYTES)
     files, path = fs.FileSystem.from_uri(folder)
     files.create_dir(path)
     model = Model(folder, buckets)
@@ -234,6 +239,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         return out
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("kneser_ney")
         held: list[list[np.ndarray]] = []
         size = 0
         for batch in batches:
@@ -304,23 +310,24 @@ def train(docs: DataFrame, text: str = "text") -> Model:
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of ``docs`` but ``text``, with n_tokens, n_known, base_score and score (log10)."""
     results = ["n_tokens", "n_known", "base_score", "score"]
-    keep = [c for c in docs.columns if c not in (*results, text)]
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
+    columns = [c for c in docs.columns if c not in (*results, text)]
+    source = docs.select(*[F.col(f"`{c}`") for c in columns], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
     schema = T.StructType(source.schema.fields[:-1] + [
         T.StructField(r, t) for r, t in zip(results, (T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("kneser_ney")
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
+            texts = batch.column(len(columns)).to_pylist()
             for a, b in blocks(texts, BLOCK_CHARS):
                 context, token, sizes = bigrams(texts[a:b])
                 p, base, known = model.log_probabilities(context, token)
                 first = np.cumsum(sizes) - sizes
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in range(len(keep))] + [
+                    [part.column(i) for i in range(len(columns))] + [
                         pa.array(sizes, pa.int64()), pa.array(np.add.reduceat(known.astype(np.int64), first)),
                         pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(p, first))],
-                    names=[*keep, *results])
+                    names=[*columns, *results])
 
     return source.mapInArrow(run, schema)
