@@ -10,8 +10,9 @@ and only groups that reach ``s``, in a size band next to the set's own, are open
 band's smallest sets, 3 at least: a passage that two texts share gives its part of the prefix only. In an opened group overlaps are counted exactly on whole sets, from
 the texts. The result is the same as comparing all pairs.
 
-Order of the prefixes: tokens are ordered by how often their hash bucket (of ``SKETCH``) occurs in the corpus, counted over
-all documents, then by hash. Any order gives the same result; rare first keeps the matrix selective.
+Order of the prefixes: tokens are ordered by how often their hash bucket occurs in the corpus, counted over
+all documents, then by hash. Any order gives the same result; rare first keeps the matrix selective. There is a
+bucket per ``SKETCH_BYTES`` of estimated input, 2^20 at least and 2^23 (32 MB) at most.
 
 Scale: equal sets are one set before anything is joined, and postings are combined in each task before the
 shuffle. A group with more tokens than ``OPEN_TOKENS`` is cut into blocks that are compared block by
@@ -37,17 +38,22 @@ from pyspark.sql import functions as F
 from boreal.llm.chunk_table import blocks
 from boreal.llm.components import components
 from boreal.llm.storage import shuffle_partitions, written
-from boreal.llm.worker import claim
 from boreal.llm.words import GOLDEN, block_words, mix, shingles
+from boreal.llm.worker import claim
+from boreal.operators.joins import estimated_bytes
 
 SHARE, LEAST_SHARED = 16, 3
-SKETCH_BITS = 20
-SKETCH = 1 << SKETCH_BITS
+SKETCH_BYTES, LEAST_BITS, MOST_BITS = 1024, 20, 23
 SLICES = 16
 OPEN_TOKENS = 2_000_000
 BLOCK_CHARS = 4_000_000
 
 
+def bucket(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    """The sketch bucket of every token; ``buckets`` is a power of two."""
+    return (tokens >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
+
+
 def text_sets(texts: list[str], size: int) -> list[np.ndarray]:
     """The sorted distinct shingles of every text."""
     words, counts = block_words(texts)
@@ -80,28 +86,31 @@ def prefix(tokens: np.ndarray, weight: np.ndarray, percent: int) -> np.ndarray:
     """The first tokens in the global order: enough for linked sets to share ``shared`` of them."""
     n = len(tokens)
     length = min(n, n - needed(n, percent) + shared(band(n, percent), percent))
-    order = np.lexsort((tokens, weight[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
+    order = np.lexsort((tokens, weight[bucket(tokens, len(weight))]))
     return tokens[order[:length]]
 
 
 def group_of(tokens: np.ndarray, weight: np.ndarray, popular: float, percent: int) -> np.uint64:
     """The group's number: its least hash, with the size band in the lowest byte."""
     hashes = mix(tokens + GOLDEN)
-    common = weight[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] >= popular
+    common = weight[bucket(tokens, len(weight))] >= popular
     least = hashes[common].min() if 2 * common.sum() >= len(tokens) else hashes.min()
     return least & ~np.uint64(255) | np.uint64(band(len(tokens), percent) & 255)
 
 
 def document_sets(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
     """Rows (doc_id, n, set) of all documents, and how often each hash bucket occurs in their sets."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (estimated_bytes(docs) // SKETCH_BYTES).bit_length()))
+    buckets = 1 << bits
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("jaccard_join")
-        total = np.zeros(SKETCH, np.int64)
+        total = np.zeros(buckets, np.int64)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in blocks(texts, BLOCK_CHARS):
                 sets = text_sets(texts[a:b], size)
-                total += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=SKETCH)
+                total += np.bincount(bucket(np.concatenate(sets), buckets), minlength=buckets)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column("doc_id").slice(a, b - a), "n": pa.array(map(len, sets), pa.int64()),
                     "set": pa.array(map(set_key, sets), pa.binary()), "slice": pa.nulls(b - a, pa.int32()),
@@ -123,9 +132,9 @@ def document_sets(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
     rows = written(docs.mapInArrow(run, "doc_id long, n long, set binary, slice int, counts binary"), "shingle-sets")
     slices = (rows.filter("slice IS NOT NULL").select("slice", "counts").repartition(SLICES, "slice")
               .mapInArrow(add, "slice int, counts binary").collect())
-    weight = np.zeros(SKETCH, np.int64)
-    for r in slices:  # SKETCH numbers, whatever the input
-        weight[r["slice"] * (SKETCH // SLICES):][:SKETCH // SLICES] = np.frombuffer(r["counts"], "<i8")
+    weight = np.zeros(buckets, np.int64)
+    for r in slices:
+        weight[r["slice"] * (buckets // SLICES):][:buckets // SLICES] = np.frombuffer(r["counts"], "<i8")
     return rows.filter("slice IS NULL").select("doc_id", "n", "set"), weight
 
 
