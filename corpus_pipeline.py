@@ -2,8 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept, and returns a
 DataFrame that is written as Parquet and read again as the next one's ``docs``. All but the last return the
-columns of ``documents``. Rows that share an id stay or go together. Null texts go at the first stage;
-an empty table passes through every stage.
+columns of ``docs``, extra ones unchanged whatever their names.
+
+Edge cases: null texts and texts without a letter go at the first stage; null languages are not learned from;
+rows that share an id, or have none, stay or go together; of equally good copies the stated id
+stays; texts of any length are whole in every stage; an empty table passes through every stage.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier is sure of; it learns from a bounded sample of the labelled ones."""
     model = language_id.train(docs)
-    return language_id.predict(docs, model).filter("accepted").select(*docs.columns)
+    rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return language_id.predict(rows, model).filter("accepted").select("row.*")
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -126,6 +126,20 @@ def test_pipeline_stages(spark, corpus):
 
 def test_pipeline_on_edges(spark, docs, empty):
     for rows, least in ((docs, 5), (empty, 0)):
+        extra = {r["doc_id"]: (r["score"], r["n_tokens"], r["row"], r["fingerprint"]) for r in rows.collect()}
         for name, stage in corpus_pipeline.STAGES:
             rows = written(stage(spark, rows, SF_SMALL), "test")
+            if name != "packing":
+                assert rows.columns == docs.columns
+                for r in rows.collect():
+                    assert extra[r["doc_id"]] == (r["score"], r["n_tokens"], r["row"], r["fingerprint"])
         assert rows.count() >= least
+
+
+def test_stages_on_nulls_in_every_column(spark, docs):
+    holes = docs.select(*[docs[c].alias(c) for c in docs.columns]).union(
+        spark.createDataFrame([(None,) * len(docs.columns)] * 2, docs.schema)).union(
+        spark.createDataFrame([(77, "some words of a text", None, None, None, None, None, None, None)], docs.schema))
+    for name, stage in corpus_pipeline.STAGES:
+        rows = written(stage(spark, holes, SF_SMALL), "test")
+        assert {r["doc_id"] for r in rows.collect()} >= {77}
