@@ -37,10 +37,9 @@ from pyspark.sql import functions as F
 
 from boreal.llm.chunk_table import blocks
 from boreal.llm.components import components
-from boreal.llm.storage import shuffle_partitions, written
+from boreal.llm.storage import input_bytes, shuffle_partitions, written
 from boreal.llm.words import GOLDEN, block_words, mix, shingles
 from boreal.llm.worker import claim
-from boreal.operators.joins import estimated_bytes
 
 SHARE, LEAST_SHARED = 16, 3
 SKETCH_BYTES, LEAST_BITS, MOST_BITS = 1024, 20, 23
@@ -100,7 +99,7 @@ def group_of(tokens: np.ndarray, weight: np.ndarray, popular: float, percent: in
 
 def document_sets(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
     """Rows (doc_id, n, set) of all documents, and how often each hash bucket occurs in their sets."""
-    bits = min(MOST_BITS, max(LEAST_BITS, (estimated_bytes(docs) // SKETCH_BYTES).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, (input_bytes(docs) // SKETCH_BYTES).bit_length()))
     buckets = 1 << bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

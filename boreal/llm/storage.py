@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boreal.operators.joins import estimated_bytes
 from boreal.session import checkpoint_root
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -28,5 +29,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of the size of ``df``; 0 where it has none (it then says more than a petabyte)."""
+    size = estimated_bytes(df)
+    return size if size < 1 << 50 else 0
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
