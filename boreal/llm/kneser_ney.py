@@ -39,10 +39,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boreal.llm.chunk_table import blocks
-from boreal.llm.storage import shuffle_partitions
+from boreal.llm.storage import input_bytes, shuffle_partitions
 from boreal.llm.words import block_words, pair
 from boreal.llm.worker import claim, keep
-from boreal.operators.joins import estimated_bytes
 from boreal.session import checkpoint_root
 
 BEGIN, END = 1, 2
@@ -226,7 +225,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     """Counts all rows of ``docs`` and writes the model's files to the shared folder."""
     spark = docs.sparkSession
     folder = f"{checkpoint_root(spark).rstrip('/')}/boreal/bigrams-{uuid.uuid4().hex}"
-    buckets = max(shuffle_partitions(spark), estimated_bytes(docs) // BUCKET_BYTES)
+    buckets = max(shuffle_partitions(spark), min(input_bytes(docs) // BUCKET_BYTES, 1 << 16))
     files, path = fs.FileSystem.from_uri(folder)
     files.create_dir(path)
     model = Model(folder, buckets)
@@ -255,6 +254,8 @@ def train(docs: DataFrame, text: str = "text") -> Model:
             yield from emit(pack_pairs(held))
 
     def emit(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(columns[0])  # equal contexts side by side compress in the shuffle
+        columns = [c[order] for c in columns]
         number = model.bucket(pair(columns[0], columns[1]))
         for b, (context, token, counts) in dealt(number, columns, buckets):
             yield pa.RecordBatch.from_pydict({
