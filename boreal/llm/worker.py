@@ -6,6 +6,7 @@ another operator's task starts in the same worker, it is released.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 _owner: str | None = None
@@ -16,8 +17,11 @@ def claim(owner: str) -> None:
     """Say whose task starts; what other operators kept is released."""
     global _owner
     if owner != _owner:
+        kept = bool(_release)
         while _release:
             _release.pop()()
+        if kept:
+            gc.collect()  # tables and their codecs refer to each other
         _owner = owner
 
 
