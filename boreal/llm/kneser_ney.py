@@ -47,7 +47,7 @@ from boreal.session import checkpoint_root
 BEGIN, END = 1, 2
 HASH = np.uint64((1 << 48) - 1)  # words travel as 6 bytes
 BLOCK_CHARS = 4_000_000
-HELD_TOKENS = 3_000_000
+HELD_TOKENS = 2_500_000
 #: Estimated input per bucket (columns weigh by their declared types), so that a task that merges one stays small whatever the input.
 BUCKET_BYTES = 6 << 20
 #: Columns of the word table, after the hash.
@@ -234,6 +234,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
 
     def pack_pairs(held: list[list[np.ndarray]]) -> list[np.ndarray]:
         columns = [np.concatenate(c) for c in zip(*held)]
+        held.clear()
         _, out = combined(pair(columns[0], columns[1]), columns, 1)
         return out
 
@@ -245,11 +246,11 @@ def train(docs: DataFrame, text: str = "text") -> Model:
             texts = batch.column("text").to_pylist()
             for a, b in blocks(texts, BLOCK_CHARS):
                 context, token, _ = bigrams(texts[a:b])
-                held.append([context, token, np.ones(len(token), np.int64)])
+                held.append([context, token, np.ones(len(token), np.int32)])
                 size += len(token)
                 if size > HELD_TOKENS:
                     yield from emit(pack_pairs(held))
-                    held, size = [], 0
+                    size = 0
         if held:
             yield from emit(pack_pairs(held))
 
