@@ -2,20 +2,21 @@
 
 Method: of every ``window`` k-mers (``k`` words in a row) of a text the one with the least hash is a seed, so
 any ``window + k - 1`` equal words in a row share one. Each seed is joined with its first document in id
-order. The matches of a pair of documents become segments (matches on one diagonal), and segments are
-chained: a chain ascends in both documents and maximises matched words minus ``gap_cost`` per word skipped in
+order. So is, under one hash, every run of ``min_words`` words whose seeds all stand in several documents: an exact
+repeat is met whatever earlier documents hold parts of it. The matches of a pair of documents become segments
+(matches on one diagonal), and segments are chained: a chain ascends in both documents and maximises matched words minus ``gap_cost`` per word skipped in
 either, found with a Fenwick tree of prefix maxima. Chains are aligned on the words of both documents:
 gaps between segments by longest common subsequence, both ends by extension while the score of matches
 against mismatches grows. An aligned chain of at least ``min_words`` words, of which ``identity`` are
 equal, is a passage; if a chain is not alike enough, its segments are tried alone.
 
-Every exact repeat of 50 words has two seeds at least ``MIN_SPAN`` words apart (with k = 8 and a window
-of 16), so shorter chains are left. The earliest document that holds a passage never loses it.
+Every exact repeat of ``min_words`` words is found: each of its runs of that length meets the run's first document.
+Chains of seeds under ``MIN_SPAN`` words are left. The earliest document that holds a passage never loses it.
 
-Scale: seeds are about an eighth of the words. Each task matches the seeds of a batch among themselves first
-and sends on only those of the batch's first document for each seed, so a passage that a third of all
+Scale: seeds are about an eighth of the words; runs are a row per word that is repeated, none elsewhere. Each
+task matches the seeds of a batch, and the runs of a block, among themselves first and sends on only those of the batch's first document for each seed, so a passage that a third of all
 documents share is a few rows per batch in the shuffle, and a document has as many followers as a
-batch has rows and batches there are, never all pairs. Texts travel once, to documents that have a chain.
+batch has rows and batches there are, never all pairs. Texts travel twice: to their repeated seeds and to their chains.
 One task holds the matches of one pair of documents, or one text, at a time.
 
 Edge cases: null, empty and short texts have no passages; copies are one passage from end to end; equal
@@ -45,22 +46,60 @@ MARGIN = 64
 Segment = tuple[int, int, int]  # first word, first word in the source, length
 
 
-def seeds(words: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and positions of the selected k-mers."""
-    n = len(words) - k + 1
-    if n < 1:
-        return words[:0], np.empty(0, np.int64)
+def grams_of(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of ``k`` words in a row."""
+    n = max(0, len(words) - k + 1)
     grams = words[:n]
     for j in range(1, k):
         grams = pair(grams, words[j:n + j])
-    if n <= window:
-        at = np.array([int(grams.argmin())])
-    else:
-        views = np.lib.stride_tricks.sliding_window_view(grams, window)
-        at = np.unique(views.argmin(axis=1) + np.arange(len(views)))
+    return grams
+
+
+def chosen(grams: np.ndarray, window: int) -> np.ndarray:
+    """Position of the least of every ``window`` hashes in a row."""
+    if len(grams) <= window:
+        return np.array([int(grams.argmin())])
+    views = np.lib.stride_tricks.sliding_window_view(grams, window)
+    return views.argmin(axis=1) + np.arange(len(views))
+
+
+def seeds(words: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and positions of the selected k-mers."""
+    grams = grams_of(words, k)
+    if not len(grams):
+        return words[:0], np.empty(0, np.int64)
+    at = np.unique(chosen(grams, window))
     return grams[at], at
 
 
+def repeatable(words: np.ndarray, shared: np.ndarray, k: int, window: int, size: int) -> np.ndarray:
+    """Where ``size`` words in a row may stand elsewhere too: every seed chosen inside them is among ``shared``."""
+    n = len(words) - size + 1
+    inside = size - k - window + 2  # choices that see no word outside
+    if n < 1:
+        return np.empty(0, np.int64)
+    if inside < 1:
+        return np.arange(n)
+    known = np.zeros(len(words), bool)
+    known[shared[shared < len(words)]] = True
+    unknown = np.concatenate([[0], np.cumsum(~known[chosen(grams_of(words, k), window)])])
+    return np.flatnonzero(unknown[inside:inside + n] == unknown[:n])
+
+
+def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of ``size`` words in a row, put together from runs of powers of two."""
+    n, out, at, power, runs = len(words) - size + 1, None, 0, 1, words
+    while True:
+        if size & power:
+            part = runs[at:at + n]
+            out = part if out is None else pair(out, part)
+            at += power
+        if 2 * power > size:
+            return out
+        runs = pair(runs[:-power], runs[power:])
+        power *= 2
+
+
 def segments(x: np.ndarray, y: np.ndarray, k: int, window: int) -> list[Segment]:
     """Matches (positions in the document and its source) merged along diagonals, by position."""
     order = np.lexsort((x, x - y))
@@ -160,8 +199,67 @@ def align(chain: list[Segment], a: np.ndarray, b: np.ndarray) -> tuple[int, int,
     return begin, end, source, source_end, (equal + right) / max(end - begin, source_end - source, 1)
 
 
-def matches(docs: DataFrame, k: int, window: int, min_words: int) -> DataFrame:
-    """(doc, src, x, y): a seed of ``doc`` at word ``x`` stands in the earlier ``src`` at word ``y``."""
+def firsts(seed: np.ndarray, doc: np.ndarray, x: np.ndarray, held: tuple | None):
+    """First document and position of every row's seed; rows are sorted; ``held`` is the last run's."""
+    new = np.concatenate([[True], seed[1:] != seed[:-1]])
+    first = np.maximum.accumulate(np.where(new, np.arange(len(seed)), 0))
+    src, y = doc[first], x[first]
+    if held is not None and held[0] == seed[0]:
+        run = first == 0
+        src, y = np.where(run, held[1], src), np.where(run, held[2], y)
+    return src, y, (seed[-1], src[-1], y[-1])
+
+
+def of_run(seed: np.ndarray, flag: np.ndarray) -> np.ndarray:
+    """Whether any row of every row's run of equal seeds has the flag."""
+    first = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
+    return np.repeat(np.logical_or.reduceat(flag, first), np.diff(np.append(first, len(seed))))
+
+
+def rows_of(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """(seed, doc, src, x, y, shared) of places (seed, doc, x); src and y where these places hold an earlier document."""
+    seed, doc, x = (np.concatenate(c) for c in zip(*found))
+    order = np.lexsort((x, doc, seed))
+    seed, doc, x = seed[order], doc[order], x[order]
+    src, y, _ = firsts(seed, doc, x, None)
+    local = src != doc
+    return pa.RecordBatch.from_arrays(
+        [pa.array(seed.view(np.int64)), pa.array(doc), pa.array(src, mask=~local), pa.array(x), pa.array(y),
+         pa.array(of_run(seed, local))], names=["seed", "doc", "src", "x", "y", "shared"])
+
+
+ROWS = "seed long, doc long, src long, x long, y long, shared boolean"
+
+
+def first_places(rows: DataFrame) -> DataFrame:
+    """(doc, src, x, y): the first place (src, y) of the seed at every place (doc, x), for seeds of several documents.
+    Places of other seeds may be among the rows, with ``src`` their own document."""
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            seed, doc, x, y, shared = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("seed", "doc", "x", "y", "shared"))
+            src = batch.column("src")
+            local = src.is_valid().to_numpy(zero_copy_only=False)
+            src, y, shared = src.fill_null(0).to_numpy().copy(), y.copy(), shared.copy()
+            if not local.all():
+                f = ~local
+                own = seed[f]
+                before = held
+                src[f], y[f], held = firsts(own, doc[f], x[f], held)
+                # a run may go on in the next batch, or have begun in the last
+                cut = (own == own[-1]) | (before is not None and own == before[0])
+                shared[f] = of_run(own, shared[f] | (src[f] != doc[f]) | cut)
+            yield pa.RecordBatch.from_arrays([pa.array(c[shared]) for c in (doc, src, x, y)], names=["doc", "src", "x", "y"])
+
+    dealt = F.when(F.col("src").isNull(), F.col("seed")).otherwise(F.xxhash64("doc", "x"))
+    return (rows.repartition(shuffle_partitions(rows.sparkSession), dealt).sortWithinPartitions("seed", "doc", "x")
+            .mapInArrow(join, "doc long, src long, x long, y long"))
+
+
+def seed_places(docs: DataFrame, k: int, window: int, min_words: int) -> DataFrame:
+    """(doc, src, x, y): a seed of ``doc`` at word ``x`` stands first in ``src`` at word ``y``."""
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring_dedup")
         for batch in batches:
@@ -174,53 +272,39 @@ def matches(docs: DataFrame, k: int, window: int, min_words: int) -> DataFrame:
                         seed, at = seeds(w, k, window)
                         found.append((seed, np.full(len(at), i), at))
             if found:
-                seed, doc, x = (np.concatenate(c) for c in zip(*found))
-                order = np.lexsort((x, doc, seed))
-                seed, doc, x = seed[order], doc[order], x[order]
-                src, y, _ = firsts(seed, doc, x, None)
-                local = src != doc
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(seed.view(np.int64)), pa.array(doc), pa.array(src, mask=~local), pa.array(x), pa.array(y)],
-                    names=["seed", "doc", "src", "x", "y"])
-
-    def firsts(seed, doc, x, held):
-        """First document and position of every row's seed; rows are sorted; ``held`` is the last run's."""
-        new = np.concatenate([[True], seed[1:] != seed[:-1]])
-        first = np.maximum.accumulate(np.where(new, np.arange(len(seed)), 0))
-        src, y = doc[first], x[first]
-        if held is not None and held[0] == seed[0]:
-            run = first == 0
-            src, y = np.where(run, held[1], src), np.where(run, held[2], y)
-        return src, y, (seed[-1], src[-1], y[-1])
+                yield rows_of(found)
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+    return first_places(docs.mapInArrow(collect, ROWS))
+
+
+def window_places(docs: DataFrame, places: DataFrame, k: int, window: int, min_words: int) -> DataFrame:
+    """(doc, src, x, y): the ``min_words`` words of ``doc`` from ``x`` stand first in ``src`` from ``y``."""
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring_dedup")
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            seed, doc, x, y = (batch.column(c).to_numpy() for c in ("seed", "doc", "x", "y"))
-            src = batch.column("src")
-            local = src.is_valid().to_numpy(zero_copy_only=False)
-            src = src.fill_null(0).to_numpy().copy()
-            y = y.copy()
-            if not local.all():
-                f = ~local
-                src[f], y[f], held = firsts(seed[f], doc[f], x[f], held)
-            real = src != doc
-            yield pa.RecordBatch.from_arrays([pa.array(c[real]) for c in (doc, src, x, y)], names=["doc", "src", "x", "y"])
+            ids, texts = batch.column("doc_id").to_numpy(), batch.column("text").to_pylist()
+            shared = batch.column("places")
+            for a, b in blocks(texts, BLOCK_CHARS):
+                found = []
+                words, sizes = block_words(texts[a:b])
+                for j, w in zip(range(a, b), np.split(words, np.cumsum(sizes)[:-1])):
+                    at = repeatable(w, shared[j].values.to_numpy(), k, window, min_words)
+                    if len(at):
+                        found.append((run_hashes(w, min_words)[at], np.full(len(at), ids[j]), at))
+                if found:
+                    yield rows_of(found)
 
-    rows = docs.mapInArrow(collect, "seed long, doc long, src long, x long, y long")
-    dealt = F.when(F.col("src").isNull(), F.col("seed")).otherwise(F.xxhash64("doc", "x"))
-    return (rows.repartition(shuffle_partitions(docs.sparkSession), dealt).sortWithinPartitions("seed", "doc", "x")
-            .mapInArrow(join, "doc long, src long, x long, y long"))
+    held = places.groupBy("doc").agg(F.collect_set("x").alias("places"))
+    return first_places(docs.join(held, docs["doc_id"] == held["doc"]).select("doc_id", "text", "places").mapInArrow(collect, ROWS))
 
 
-def chained(found: DataFrame, k: int, window: int, gap_cost: float) -> DataFrame:
-    """(doc, src, begin, end, source_begin, source_end, segments) of every chain of MIN_SPAN words or more."""
+def chained(found: DataFrame, k: int, window: int, min_words: int, gap_cost: float) -> DataFrame:
+    """(doc, src, begin, end, source_begin, source_end, segments) of every chain of MIN_SPAN words or more; rows of
+    ``found`` are k words, or ``min_words`` where ``whole``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            now = [batch.column(c).to_numpy() for c in ("doc", "src", "x", "y")]
+            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "src", "x", "y", "whole")]
             if held is not None:
                 now = [np.concatenate(c) for c in zip(held, now)]
             if not len(now[0]):
@@ -233,7 +317,11 @@ def chained(found: DataFrame, k: int, window: int, gap_cost: float) -> DataFrame
 
     def rows(groups: list[list[np.ndarray]]) -> pa.RecordBatch:
         out = []
-        for doc, src, x, y in groups:
+        for doc, src, x, y, whole in groups:
+            if whole.any():  # equal words from end to end: a point at least every ``window`` words
+                more = np.append(np.arange(window, min_words - k, window), max(0, min_words - k))
+                x, y = (np.concatenate([c, (c[whole][:, None] + more).ravel()]) for c in (x, y))
+                x, y = np.unique(np.stack([x, y]), axis=1)
             if x.max() + k - x.min() < MIN_SPAN:
                 continue
             for chain in chains(segments(x, y, k, window), gap_cost):
@@ -314,8 +402,10 @@ def passages(docs: DataFrame, k: int = 8, window: int = 16, min_words: int = 50,
     (doc_id, begin, end, source_id, source_begin, source_end, identity)."""
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).filter(
         "doc_id IS NOT NULL AND text IS NOT NULL")
-    found = written(chained(matches(source, k, window, min_words), k, window, gap_cost), "chains")
-    return aligned(found, source, min_words, identity)
+    places = written(seed_places(source, k, window, min_words), "seeds")
+    found = places.withColumn("whole", F.lit(False)).union(
+        window_places(source, places, k, window, min_words).withColumn("whole", F.lit(True))).filter("src != doc")
+    return aligned(written(chained(found, k, window, min_words, gap_cost), "chains"), source, min_words, identity)
 
 
 def without_passages(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -78,6 +78,32 @@ def test_planted_passages(spark):
     assert len(cut[120].split()) == 17
 
 
+def test_passages_whose_parts_stand_earlier_elsewhere(spark):
+    rng = random.Random(23)
+    own = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    rows, want = [], {}
+    for i in range(0, 400, 10):
+        n = rng.choice([50, 60, 75])
+        passage, cut = own(n), rng.randrange(20, 31)
+        for j, part in enumerate((passage[:cut], passage[cut:cut + 30], passage[cut + 20:], passage[5:45], passage)):
+            rows.append((i + j, own(rng.randrange(9, 40)) + part + own(rng.randrange(9, 40))))
+        before = rng.randrange(9, 40)
+        rows.append((i + 5, own(before) + passage + own(20)))
+        want[i + 5] = (before, before + n, i + 4)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    for parts in (1, 7):
+        got = {r["doc_id"]: (r["begin"], r["end"], r["source_id"]) for r in sd.passages(docs.repartition(parts)).collect()}
+        assert {i: got.get(i) for i in want} == want
+
+
+def test_run_hashes_tell_runs_apart():
+    words = np.tile(np.random.default_rng(3).integers(0, 2**63, 90).astype(np.uint64), 2)
+    for size in (1, 2, 31, 50):
+        hashes = sd.run_hashes(words, size)
+        assert len(hashes) == 181 - size and len(set(hashes.tolist())) == 90
+        assert (hashes[90:] == hashes[:91 - size]).all()
+
+
 def test_copies_and_edges(docs, empty):
     found = {r["doc_id"]: r for r in sd.passages(docs).collect()}
     assert {5, 9, 8} <= set(found) and 1 not in found and 7 not in found and None not in found
