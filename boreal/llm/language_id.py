@@ -6,7 +6,10 @@ over it gives one probability per language. Vectors and weights are trained toge
 gradient descent in numpy. On a part of the sample kept out of training the softmax is calibrated by one
 temperature (least log loss), and the confidence below which a prediction is rejected is the
 ``reject_rate`` quantile of the calibrated confidence there, but at most 1.2 times the confidence of a blind guess: texts
-in several languages stay, texts that look like none go.
+in several languages stay. A softmax is sure of texts in no learned language too; those go by familiarity, the
+average over a text's windows of the log of their bucket's share in the language that has most of it, against an
+equal share. The least familiarity lies halfway between the ``reject_rate`` quantile of the kept-out part and the
+median there with each text's own language left out.
 
 Scale: the classifier is fitted on at most ``per_language`` labelled documents of each language, drawn by
 a hash of the id (a documented bound; their features have bounded size, whatever the texts' length).
@@ -14,7 +17,8 @@ Prediction maps over all rows and whole texts; the folded model (buckets x langu
 task. Nothing is shuffled but counts per language.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0 and rejected; null languages
-are not learned; with nothing to learn every text is ``und``; ties between languages go to the one first
+are not learned; with nothing to learn every text is ``und``; with under ``LEAST_TUNING`` kept-out texts no text is
+too unfamiliar; ties between languages go to the one first
 in alphabetical order; a null id is never learned from; repeated rows are predicted alike; an empty
 table gives an empty result; other columns pass through unless named like the results.
 """
@@ -36,6 +40,7 @@ from boreal.llm.worker import claim
 BUCKETS = 1 << 15
 DIMENSIONS = 16
 PART = 1 << 22
+LEAST_TUNING = 20
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -53,24 +58,27 @@ def buckets(text: str) -> Iterator[np.ndarray]:
 @dataclass
 class Model:
     languages: list[str]
-    folded: np.ndarray  # buckets x languages: embedding times weights
+    folded: np.ndarray  # buckets x languages and one: embedding times weights, and familiarity
     bias: np.ndarray
     temperature: float
     threshold: float
+    least_familiar: float
 
-    def logits(self, text: str) -> np.ndarray:
-        total, count = np.zeros(len(self.languages)), 0
+    def measured(self, text: str) -> tuple[np.ndarray, float]:
+        """Logits and familiarity."""
+        total, count = np.zeros(len(self.languages) + 1), 0
         for b in buckets(text):
             total += self.folded[b].sum(axis=0, dtype=np.float64)
             count += len(b)
-        return total / count + self.bias
+        return total[:-1] / count + self.bias, float(total[-1] / count)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         if not self.languages or text is None or not LETTER.search(text):
             return "und", 0.0, False
-        p = softmax(self.logits(text)[None] / self.temperature)[0]
+        logits, familiar = self.measured(text)
+        p = softmax(logits[None] / self.temperature)[0]
         k = int(p.argmax())
-        return self.languages[k], float(p[k]), bool(p[k] >= self.threshold)
+        return self.languages[k], float(p[k]), bool(p[k] >= self.threshold and familiar >= self.least_familiar)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -114,7 +122,7 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], steps: int, rate: float,
     languages = sorted({r[0] for r in rows})
     n = len(languages)
     if not rows:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 1.0)
+        return Model([], np.zeros((BUCKETS, 1), np.float32), np.zeros(0), 1.0, 1.0, 0.0)
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(rows))
     kept = max(1, len(rows) // 5) if len(rows) >= 10 else 0
@@ -152,7 +160,25 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], steps: int, rate: float,
 
         temperature = float(min(np.geomspace(0.25, 20, 89), key=loss))
         threshold = float(min(1.2 / n, np.quantile(softmax(z / temperature).max(axis=1), reject_rate)))
-    return Model(languages, (vectors @ weights).astype(np.float32), bias.astype(np.float64), temperature, threshold)
+    shares = np.zeros((n, BUCKETS))
+    for i in learning:
+        shares[label[i], rows[i][1]] += rows[i][2]
+    shares /= np.maximum(np.bincount(label[learning], minlength=n), 1)[:, None]
+    known, least = familiarity(shares), -np.inf
+    if kept >= LEAST_TUNING:
+        def familiar(table: np.ndarray, i: int) -> float:
+            return float(table[rows[i][1]] @ rows[i][2])
+
+        strange = [familiarity(np.delete(shares, k, axis=0)) for k in range(n)]
+        own = np.quantile([familiar(known, i) for i in tuning], reject_rate)
+        least = float(own + min(own, np.median([familiar(strange[label[i]], i) for i in tuning]))) / 2
+    folded = np.concatenate([(vectors @ weights).astype(np.float32), known[:, None]], axis=1)
+    return Model(languages, folded, bias.astype(np.float64), temperature, threshold, least)
+
+
+def familiarity(shares: np.ndarray) -> np.ndarray:
+    """Log share of every bucket in the language that has most of it, against an equal share."""
+    return np.log(shares.max(axis=0, initial=0) * BUCKETS + 0.1).astype(np.float32)
 
 
 def train(labelled: DataFrame, per_language: int = 500, steps: int = 400, rate: float = 4.0,

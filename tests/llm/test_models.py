@@ -1,5 +1,6 @@
 """Fingerprints, language identification, HTML extraction and language-model scoring."""
 
+import base64
 import hashlib
 import math
 import re
@@ -110,6 +111,36 @@ def test_rejection_of_doubtful_texts():
     assert 0 < model.threshold <= 0.6 + 1e-9 and 0.25 <= model.temperature <= 20
 
 
+def test_unknown_languages_and_random_texts_go(spark, corpus):
+    model = language_id.train(corpus)
+    rng = np.random.default_rng(4)
+    strange = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.", "人人生而自由,在尊严和权利上一律平等。"]
+    strange += ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz     "), 600)) for _ in range(50)]
+    strange += [base64.b64encode(rng.bytes(450)).decode() for _ in range(50)]
+    assert not any(model.predict(t)[2] for t in strange)
+    by = defaultdict(list)
+    for r in corpus.filter("text IS NOT NULL AND lang IS NOT NULL").orderBy("doc_id").collect():
+        by[r["lang"]].append(r["text"])
+    clean = [t for texts in by.values() for t in texts]
+    assert np.mean([model.predict(t)[2] for t in clean]) >= 0.99
+    mixed = [a[:n] + " " + b[:n] for k in by for j in by if k < j for a, b in zip(by[k], by[j]) for n in [min(len(a), len(b)) // 2]]
+    assert np.mean([model.predict(t)[2] for t in mixed]) >= 0.99
+
+
+def test_languages_left_out_of_training_go(spark):
+    corpus = spark.read.parquet(f"{SF_SMALL}/../sf0.01/documents.parquet")
+    by = defaultdict(list)
+    for r in corpus.filter("text IS NOT NULL AND lang IS NOT NULL").orderBy("doc_id").collect():
+        by[r["lang"]].append(r["text"])
+    for left in ("de", "fr"):
+        model = language_id.train(corpus.filter(F.col("lang") != left))
+        assert np.mean([model.predict(t)[2] for t in by[left]]) < 0.5  # related languages are the hardest
+
+
 PAGE = """<!DOCTYPE html><html><head><title>No title</title><style>p{{}}</style><script>var t="</p>";</script></head>
 <body class="has-sidebar"><header><a href="/">Site name</a></header><nav><ul><li><a href="/a">Menu one</a><li><a href="/b">Menu two</a></ul></nav>
 <div class="cookie-notice">We use cookies on this site, more than you would ever like to know about.</div>
