@@ -8,8 +8,8 @@ is content if its highest smoothed ratio reaches the standard deviation of the p
 
 What its markup names as something else never becomes a line: menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments (elements, or words of class, id and role). Where a page
-marks its article (``article``, ``main``), only lines inside count; an article tag ends whatever
-was left open before it.
+marks its article (``article``, ``main``), all lines inside are the text, whatever their ratio, and no others; an
+article tag ends whatever was left open before it.
 
 Scale: a map over pages, one page in memory at a time; nothing is shuffled.
 
@@ -159,10 +159,9 @@ def main_text(html: str, sigma: float = 1.0, strictness: float = 0.5) -> str:
     parser.close()
     parser.flush()
     lines = parser.lines
-    if any(line[4] for line in lines):
-        lines = [line for line in lines if line[4]]
-    if not lines:
-        return ""
+    marked = [line[0] for line in lines if line[4]]
+    if marked or not lines:
+        return " ".join(marked)
     ratio = smoothed(np.array([own / tags for _, own, tags, _, _ in lines]), sigma)
     least = strictness * ratio.std()
     container = np.array([line[3] for line in lines])

@@ -164,6 +164,16 @@ def test_main_text(article):
     assert main_text(PAGE.format(article=article.format(*TEXT))) == WANT
 
 
+def test_short_blocks_of_a_marked_article_stay():
+    long = [f"Paragraph {k} " + "goes on with words " * 25 for k in range(5)]
+    cells = [f"c{k}" for k in range(15)]
+    table = "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in cells[r:r + 3]) + "</tr>" for r in range(0, 15, 3)) + "</table>"
+    short = ["Told shortly.", "So they say.", "The end."]
+    page = ("<p>Outside the article.</p><article>" + "".join(f"<p>{t}</p>" for t in long) + table + f"<div>{short[0]}</div>"
+            f"<section><blockquote>{short[1]}</blockquote></section><nav>Menu</nav><p><a href=x>{short[2]}</a></p></article>")
+    assert main_text(page) == " ".join(" ".join([*long, *cells, *short]).split())
+
+
 def test_pages(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     html = {r["page_id"]: r["html"] for r in pages.collect()}
