@@ -8,7 +8,7 @@ repeat is met whatever earlier documents hold parts of it. The matches of a pair
 either, found with a Fenwick tree of prefix maxima. Chains are aligned on the words of both documents:
 gaps between segments by longest common subsequence, both ends by extension while the score of matches
 against mismatches grows. An aligned chain of at least ``min_words`` words, of which ``identity`` are
-equal, is a passage; if a chain is not alike enough, its segments are tried alone.
+equal, is a passage; a chain that is none is split where it skips most words, and its parts are tried.
 
 Every exact repeat of ``min_words`` words is found: each of its runs of that length meets the run's first document.
 Chains of seeds under ``MIN_SPAN`` words are left. The earliest document that holds a passage never loses it.
@@ -383,13 +383,17 @@ def aligned(chain_rows: DataFrame, docs: DataFrame, min_words: int, identity: fl
         a, b = np.frombuffer(one["words"], np.uint64), np.frombuffer(other["words"], np.uint64)
         dx, dy = one["shift"], other["shift"]
         whole = [(x - dx, y - dy, n) for x, y, n in np.frombuffer(one["segments"], np.int64).reshape(-1, 3).tolist()]
-        for tries in ([whole], [[s] for s in whole] if len(whole) > 1 else []):
-            found = [align(chain, a, b) for chain in tries]
-            good = [(one["doc"], p[0] + dx, p[1] + dx, one["src"], p[2] + dy, p[3] + dy, p[4])
-                    for p in found if p[1] - p[0] >= min_words and p[4] >= identity]
-            if good:
-                return good
-        return []
+        good, parts = [], [whole]
+        while parts:
+            chain = parts.pop()
+            p = align(chain, a, b)
+            if p[1] - p[0] >= min_words and p[4] >= identity:
+                good.append((one["doc"], p[0] + dx, p[1] + dx, one["src"], p[2] + dy, p[3] + dy, p[4]))
+            elif len(chain) > 1:
+                skipped = [t[0] - s[0] + t[1] - s[1] - 2 * s[2] for s, t in zip(chain, chain[1:])]
+                cut = skipped.index(max(skipped)) + 1
+                parts += [chain[:cut], chain[cut:]]
+        return good
 
     spans = wishes.join(docs, "doc_id").select("text", "wishes").mapInArrow(cut, spans_schema)
     return (spans.repartition(shuffle_partitions(docs.sparkSession), *key).sortWithinPartitions(*key, "side")

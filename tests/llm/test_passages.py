@@ -96,6 +96,15 @@ def test_passages_whose_parts_stand_earlier_elsewhere(spark):
         assert {i: got.get(i) for i in want} == want
 
 
+def test_every_passage_of_a_chain_that_is_not_alike(spark):
+    rng = random.Random(31)
+    own = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    one, two = own(60), own(60)
+    rows = [(1, one + own(100) + two + own(9)), (2, one + own(100) + two[:30] + own(1) + two[30:] + own(9))]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    assert sorted((r["begin"], r["end"]) for r in sd.passages(docs).collect()) == [(0, 60), (160, 221)]
+
+
 def test_run_hashes_tell_runs_apart():
     words = np.tile(np.random.default_rng(3).integers(0, 2**63, 90).astype(np.uint64), 2)
     for size in (1, 2, 31, 50):
