@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boreal.llm.oracle import OP11_SQL, OP12_SQL, OP13_SQL
+
 
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
@@ -139,10 +141,42 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(r.y, s
 FROM sets s LEFT JOIN least_reached r ON s.doc_id = r.x
 """
 
+def op11_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: certain ones, and weak ones that stand with their complement."""
+    from boreal.llm import secret_links as links
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    found = links.credentials(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", count(links.ASSIGN).alias("n_assign"), count(links.ACCESS).alias("n_access"), count(links.HEX).alias("n_hex"),
+        F.sha2(links.as_text(F.col("base")), 256).alias("base_sha256"),
+        links.as_text(F.sort_array(F.concat("base", "linked"))).alias("spans"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each beginning with up to three turns of the first of its twenty."""
+    from boreal.llm.conversation_trie import ordered_turns, prefix_trie, with_shared_heads
+
+    turns = ordered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    head = F.crc32(F.col("conv_id").cast("string")) % 4
+    return prefix_trie(with_shared_heads(turns, 20, head, 3))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after three rounds of sixteen centroids."""
+    from boreal.llm.centroids import clusters
+
+    return clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_sentencepieces, op3_substring_dedup, op4_jaccard_join, op5_line_dedup, op6_language_id,
-    op7_html_text, op8_kneser_ney, op9_exact_dedup, op10_packing)}
+    op7_html_text, op8_kneser_ney, op9_exact_dedup, op10_packing,
+    op11_secret_links, op12_conversation_trie, op13_centroids)}
 
 #: Fingerprints, tokenizers, trained models, page parsing and alignment are beyond SQL; winnowing depends
 #: on the order of hashes. Those queries are tested against brute force, the libraries or held-out rows.
-ORACLE_SQL = {"op4_jaccard_join": OP4_SQL, "op9_exact_dedup": OP9_SQL}
+ORACLE_SQL = {"op4_jaccard_join": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op11_secret_links": OP11_SQL,
+              "op12_conversation_trie": OP12_SQL, "op13_centroids": OP13_SQL}
