@@ -40,6 +40,8 @@ JOINED = 300  # chunks encoded in one call
 #: White space of both Python and the tokenizer's pattern; other kinds stay inside a chunk.
 SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+#: Capitals that have no composed form with a mark that their small letters compose with.
+MARKED = re.compile(r"[HJTWY](?=[^\x00-\x7F])\W")
 STOPS = ".,;:!?"
 
 
@@ -52,14 +54,24 @@ class WordCodec:
         if self._ids("Ab, c.\n  d") != [i for w in ("ab", ",", "c", ".", "d") for i in self._ids(w)]:
             raise ValueError("this tokenizer keeps white space or case")
         self.stop = {c: self._ids(c) for c in STOPS}
+        self.parted: dict[str, bool] = {}
         self.table = ChunkTable(self._segment)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _parts(self, letter: str) -> bool:
+        """Whether a stop behind this character is a token of its own. The tokenizer says so: the lower case of a
+        letter may end in a mark, which joins the stop."""
+        if letter not in self.parted:
+            e = self.tokenizer.encode(f"a{letter}{STOPS[0]}", add_special_tokens=False)
+            last = [i for i, word in zip(e.ids, e.word_ids) if word == e.word_ids[-1]]
+            self.parted[letter] = last == self.stop[STOPS[0]]
+        return self.parted[letter]
+
     def _segment(self, chunks: list[str]) -> list[list[int]]:
         """A chunk that ends in a letter and one stop is its base and the stop: bases are encoded once."""
-        bases = [c[:-1] if c[-1] in STOPS and c[-2:-1].isalpha() else c for c in chunks]
+        bases = [c[:-1] if c[-1] in STOPS and c[-2:-1].isalpha() and self._parts(c[-2]) else c for c in chunks]
         new = list(set(bases).difference(self.table.row))
         ids: dict[str, list[int]] = {}
         for k in range(0, len(new), JOINED):
@@ -80,7 +92,8 @@ class WordCodec:
 
     @staticmethod
     def chunks(text: str) -> list[str]:
-        text = text.encode().lower().decode()  # A-Z only
+        if text.isascii() or not MARKED.search(text):
+            text = text.encode().lower().decode()  # A-Z only: fewer distinct chunks
         return SPACE.split(text.strip(" \t\n\r\x0b\x0c")) if OTHER_SPACE.search(text) else text.split()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:

@@ -136,3 +136,20 @@ def test_worker_releases_what_another_operator_kept():
     worker.claim("two")
     worker.claim("one")
     assert released == ["one"]
+
+
+def test_ids_of_random_strings_equal_the_library(words):
+    """Letters whose lower case ends in a mark, combining marks, stops and all kinds of spaces."""
+    import random
+
+    rnd = random.Random(3)
+    some = list("İIıiSsßΣσςǰŉÅé漢가ﬁ٣७2 .,;:!?'\"-\u0307\u0301\u0345\u200d\u00a0\u2003\u0085\n\t")
+    plain = ["GAZİ", "word", "Straße", "don't", "İ", "J\u030c", "e\u0301"]
+    texts = ["GAZİ. b", "İ.", "aİ, b"]
+    for _ in range(10_000):
+        pick = lambda: rnd.choice(plain) if rnd.random() < 0.2 else rnd.choice(some) if rnd.random() < 0.9 else chr(
+            rnd.choice([rnd.randrange(0x20, 0x250), rnd.randrange(0x250, 0xD800), rnd.randrange(0x1F300, 0x1F700)]))
+        texts.append("".join(pick() for _ in range(rnd.randrange(12))) + rnd.choice(["", ".", "!", ", x"]))
+    coded = packing.WordCodec(WORDS).encode(texts)
+    for text, ids in zip(texts, coded):
+        assert ids.tolist() == words.encode(text, add_special_tokens=False).ids, repr(text)
