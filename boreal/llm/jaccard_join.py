@@ -7,7 +7,7 @@ A set linked to a member of a group shares at least ``s`` tokens of its prefix w
 that group's prefixes, if prefixes are ``s`` tokens longer than linked sets may differ. So the matrix keeps
 prefix tokens only: the number of prefix tokens that a set shares with a group's union bounds their overlap,
 and only groups that reach ``s``, in a size band next to the set's own, are opened. ``s`` is a ``SHARE``-th of the
-band's smallest sets, 3 at least: a passage that two texts share gives its part of the prefix only. In an opened group overlaps are counted exactly on whole sets, from
+band's smallest sets, 3 at least where they must share so many: a passage that two texts share gives its part of the prefix only. In an opened group overlaps are counted exactly on whole sets, from
 the texts. The result is the same as comparing all pairs.
 
 Order of the prefixes: tokens are ordered by how often their hash bucket occurs in the corpus, counted over
@@ -44,6 +44,8 @@ from boreal.llm.worker import claim
 SHARE, LEAST_SHARED = 16, 3
 SKETCH_BYTES, LEAST_BITS, MOST_BITS = 1024, 20, 23
 SLICES = 16
+#: Bits of a group's number that hold the size band, and the size that bands are prepared for (in tokens).
+BAND, MOST_TOKENS = (1 << 16) - 1, 1 << 40
 OPEN_TOKENS = 2_000_000
 BLOCK_CHARS = 4_000_000
 
@@ -77,8 +79,10 @@ def band(n: int, percent: int) -> int:
 
 
 def shared(bands: int, percent: int) -> int:
-    """How many prefix tokens linked sets share at least, if the smaller is of this band."""
-    return max(LEAST_SHARED, min(int((100 / percent) ** bands / SHARE), 1 << 30))
+    """How many prefix tokens linked sets share at least, if the smaller is of this band: no more than the
+    least overlap that the smallest sets of the band may link with."""
+    smallest = int((100 / percent) ** bands)
+    return min(needed(max(1, smallest), percent), max(LEAST_SHARED, smallest // SHARE))
 
 
 def prefix(tokens: np.ndarray, weight: np.ndarray, percent: int) -> np.ndarray:
@@ -90,11 +94,11 @@ def prefix(tokens: np.ndarray, weight: np.ndarray, percent: int) -> np.ndarray:
 
 
 def group_of(tokens: np.ndarray, weight: np.ndarray, popular: float, percent: int) -> np.uint64:
-    """The group's number: its least hash, with the size band in the lowest byte."""
+    """The group's number: its least hash, with the size band in the lowest bits."""
     hashes = mix(tokens + GOLDEN)
     common = weight[bucket(tokens, len(weight))] >= popular
     least = hashes[common].min() if 2 * common.sum() >= len(tokens) else hashes.min()
-    return least & ~np.uint64(255) | np.uint64(band(len(tokens), percent) & 255)
+    return least & ~np.uint64(BAND) | np.uint64(band(len(tokens), percent))
 
 
 def document_sets(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
@@ -146,7 +150,7 @@ def opened(docs: DataFrame, weight: np.ndarray, size: int, percent: int) -> Data
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
     partitions = shuffle_partitions(docs.sparkSession)
     popular = 2 * float(weight.mean()) + 8  # well above what a bucket of rare tokens holds
-    least_shared = np.array([shared(b, percent) for b in range(256)])
+    least_shared = np.array([shared(b, percent) for b in range(band(MOST_TOKENS, percent) + 1 if percent < 100 else 1)])
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("jaccard_join")
@@ -195,12 +199,12 @@ def opened(docs: DataFrame, weight: np.ndarray, size: int, percent: int) -> Data
         several = np.add.reduceat(new_group.astype(np.int64), starts) > 1
         for a, b in zip(starts[several].tolist(), ends[several].tolist()):
             groups = group[a:b][new_group[a:b]]
-            bands = groups & 255
+            bands = groups & BAND
             for g, w in zip(groups.tolist(), bands.tolist()):  # sets of a lower group visit a higher one
-                near = (group[a:b] < g) & (np.abs((group[a:b] & 255) - w) <= 1)
+                near = (group[a:b] < g) & (np.abs((group[a:b] & BAND) - w) <= 1)
                 if near.any():
                     k = key[a:b][near]
-                    yield batch_of(np.full(len(k), g), k, 1, least_shared[np.minimum(group[a:b][near] & 255, w)])
+                    yield batch_of(np.full(len(k), g), k, 1, least_shared[np.minimum(group[a:b][near] & BAND, w)])
 
     def batch_of(group: np.ndarray, key: np.ndarray, found: int, least: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (group, key, np.full(len(key), found), least)],

@@ -94,6 +94,33 @@ def test_similar_documents(spark, monkeypatch, size, percent, open_tokens):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_components(texts, size, percent)
 
 
+@pytest.mark.parametrize("percent", [10, 34, 50, 60, 67, 75, 90, 99])
+def test_small_sets_at_every_threshold(spark, percent):
+    """Sets of 1 to 12 words of a small alphabet: every overlap of every two sizes occurs."""
+    import random
+
+    rng = random.Random(percent)
+    texts = {}
+    for k in range(160):  # distinct letters per family of four, so that components stay small
+        family = k // 4
+        texts[k] = " ".join(f"f{family}w{w}" for w in rng.sample(range(14), rng.randrange(1, 13)))
+    for n in range(1, 13):
+        texts[1000 + 2 * n] = " ".join(f"n{n}w{w}" for w in range(n))
+        texts[1001 + 2 * n] = " ".join(f"n{n}w{w}" for w in range(n + 1))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = jaccard_join.similar_documents(docs, 1, percent).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_components(texts, 1, percent)
+
+
+def test_many_size_bands(spark):
+    """At 98 percent, sets of 176 and 177 words lie in bands beyond 255."""
+    words = [f"w{k}" for k in range(400)]
+    texts = {n: " ".join(words[:n]) for n in (174, 176, 177, 300, 303, 396, 400)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = jaccard_join.similar_documents(docs, 1, 98).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_components(texts, 1, 98)
+
+
 def test_similar_edges(docs, empty):
     out = {r["doc_id"]: r["component_id"] for r in jaccard_join.similar_documents(docs, 4, 85).collect()}
     assert out[5] == out[1] == out[9] == out[20] == 1 and out[8] == 7 and out[13] == 12
