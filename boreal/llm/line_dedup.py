@@ -2,17 +2,17 @@
 
 Method: a text's lines are hashed, and every ``gram`` lines in a row have one hash. Of every ``window``
 consecutive gram hashes the least (the last of equal ones) is selected as a fingerprint, so two texts
-that share ``gram + window - 1`` lines in a row select the same fingerprint there. Fingerprints are joined
-with their first place in the order (document id, row, line). From there a match is extended line by line
-both ways, up to ``window - 1`` lines: beyond, the next fingerprint carries on. The lines of every run
-that was found at an earlier place are deleted from the later one. With ``window <= gram`` no line
-inside a repeated run lies between two fingerprints' reach.
+that share ``gram + window - 1`` lines in a row select the same fingerprint there. A fingerprint is joined with the
+first place in the order (document id, row, line) of itself and of each longer piece around it: with 1 to ``window - 1`` lines
+before it, or behind it. So a match is extended both ways at the best earlier place, whichever document holds it, and
+beyond the next fingerprint carries on. The lines of every run found at an earlier place are deleted from the later one:
+with ``window <= gram`` a line of a repeated run of ``gram + window - 1`` lines always goes. A window of one, the
+default, selects every gram: then exactly the repeated runs of ``gram`` lines or more go.
 
 The first place of a run in the order is never deleted: a line goes only where equal lines stand earlier.
 
-Scale: every fingerprint carries the hashes of its few neighbouring lines, so matches are extended without
-reading the source document again. First places are minima, combined before the shuffle: a run that a
-third of all documents hold is one row per task there, and joins back by a plain equi-join whose hot
+Scale: a fingerprint and its extensions are rows of two hashes and a place. First places are minima, combined before
+the shuffle: a run that a third of all documents hold is one row per task there, and joins back by a plain equi-join whose hot
 keys AQE splits. Pairs of documents are never formed. Texts are written once with a row number and meet the
 numbers of their deleted lines in one join.
 
@@ -56,39 +56,38 @@ def selected(grams: Column, window: int) -> Column:
         return F.array_max(F.transform(F.slice(grams, start + 1, window), lambda g, i: F.when(g == low, start + i)))
 
     starts = F.sequence(F.lit(0), F.greatest(F.size(grams) - window, F.lit(0)))
+    if window == 1:
+        return F.filter(starts, lambda p: F.get(grams, p).isNotNull())
     return F.filter(F.array_distinct(F.transform(starts, least)), lambda p: p.isNotNull())
 
 
+def pieces(gram: int, window: int) -> Column:
+    """The fingerprint at ``pos`` and its extensions inside the text: (a, b: hashes of the lines; start, end)."""
+    def piece(before: int, behind: int) -> Column:
+        hashes = [F.get("lines", F.col("pos") + k)["hash"] for k in range(-before, gram + behind)]
+        inside = (F.col("pos") >= before) & (F.col("pos") + (gram + behind) <= F.size("lines"))
+        return F.when(inside, F.struct(
+            (hashes[0] if len(hashes) == 2 else F.xxhash64(F.lit(before), *hashes)).alias("a"),
+            (hashes[1] if len(hashes) == 2 else F.xxhash64(F.lit(-1 - before), *hashes)).alias("b"),
+            (F.col("pos") - before).alias("start"), (F.col("pos") + (gram - 1 + behind)).alias("end")))
+
+    around = [piece(0, 0)] + [piece(*p) for k in range(1, window) for p in ((k, 0), (0, k))]
+    return F.filter(F.array(*around), lambda p: p.isNotNull())
+
+
 def deletions(rows: DataFrame, gram: int, window: int) -> DataFrame:
     """(row, lines): the numbers of the lines to delete, of the rows (row, doc_id, text) that have any."""
-    reach = window - 1
     lines = rows.filter("text IS NOT NULL").select("row", "doc_id", hashed_lines(F.col("text")).alias("lines"))
-    lines = lines.select("row", "doc_id", "lines", gram_hashes(F.col("lines"), gram).alias("grams"))
-    around = F.transform(F.sequence(F.lit(-reach), F.lit(gram - 1 + reach)),
-                         lambda k: F.when(F.col("pos") + k >= 0, F.get("lines", F.col("pos") + k)["hash"]))
-    prints = written(
-        lines.select("row", "doc_id", "lines", "grams", F.explode(selected(F.col("grams"), window)).alias("pos"))
-        .select(F.get("grams", F.col("pos")).alias("hash"), "doc_id", "row", "pos", around.alias("around")), "line-prints")
-    first = (prints.groupBy("hash").agg(F.min(F.struct("doc_id", "row", "pos", "around")).alias("first"),
-                                        F.count(F.lit(1)).alias("places")).filter("places > 1").select("hash", "first"))
-    met = prints.join(first, "hash").filter((F.col("row") != F.col("first.row")) | (F.col("pos") != F.col("first.pos")))
-
-    def agrees(offset: int) -> Column:  # of the line ``offset`` after the gram's first
-        return F.coalesce(F.get("around", F.lit(offset + reach)) == F.get("first.around", F.lit(offset + reach)), F.lit(False))
-
-    inside = F.lit(True)
-    for k in range(gram):
-        inside = inside & agrees(k)
-    left = right = F.lit(0)
-    for k in range(reach, 0, -1):
-        left = F.when(agrees(-k), left + 1).otherwise(0)
-        right = F.when(agrees(gram - 1 + k), right + 1).otherwise(0)
-    runs = met.filter(inside).select("row", F.explode(F.sequence(
-        F.col("pos") - left, F.col("pos") + (gram - 1) + right)).alias("line"))
+    prints = lines.select("row", "doc_id", "lines", F.explode(selected(gram_hashes(F.col("lines"), gram), window)).alias("pos"))
+    prints = written(prints.select("row", "doc_id", F.inline(pieces(gram, window))), "line-prints")
+    first = (prints.groupBy("a", "b").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count(F.lit(1)).alias("places"))
+             .filter("places > 1").select("a", "b", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")))
+    met = prints.join(first, ["a", "b"]).filter((F.col("row") != F.col("first_row")) | (F.col("start") != F.col("first_start")))
+    runs = met.select("row", F.explode(F.sequence("start", "end")).alias("line"))
     return runs.groupBy("row").agg(F.collect_set("line").alias("lines"))
 
 
-def without_repeated_lines(docs: DataFrame, gram: int = 2, window: int = 2, doc_id: str = "doc_id",
+def without_repeated_lines(docs: DataFrame, gram: int = 2, window: int = 1, doc_id: str = "doc_id",
                            text: str = "text") -> DataFrame:
     """All columns of ``docs``, ``text`` without repeated runs of lines, and n_lines and n_deleted."""
     if window > gram:

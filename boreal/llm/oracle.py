@@ -1,4 +1,4 @@
-"""DuckDB SQL of the queries on secrets, conversations and centroids."""
+"""DuckDB SQL of the queries on repeated lines, secrets, conversations and centroids."""
 
 from __future__ import annotations
 
@@ -10,6 +10,22 @@ from boreal.llm import secret_links as links
 CRC32 = """xor(list_reduce([4294967295] || flatten([[ascii(ch)] || [-1, -1, -1, -1, -1, -1, -1, -1] FOR ch IN string_split(c::VARCHAR, '')]),
     lambda crc, step: CASE WHEN step >= 0 THEN xor(crc, step) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END), 4294967295)"""
 
+OP5_SQL = r"""
+WITH texts AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST) AS id, doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+lines AS (SELECT id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM texts WHERE text IS NOT NULL),
+pairs AS (
+  SELECT id, pos, row_number() OVER (PARTITION BY trim(a), trim(b) ORDER BY id, pos) AS place
+  FROM (SELECT id, pos, line AS a, lead(line) OVER (PARTITION BY id ORDER BY pos) AS b FROM lines)
+  WHERE b IS NOT NULL AND (regexp_matches(a, '\w') OR regexp_matches(b, '\w'))),
+gone AS (SELECT id, pos FROM pairs WHERE place > 1 UNION SELECT id, pos + 1 FROM pairs WHERE place > 1),
+cleaned AS (
+  SELECT l.id, coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (g.id IS NULL), '') AS text, count(g.id) AS n_deleted
+  FROM lines l LEFT JOIN gone g ON g.id = l.id AND g.pos = l.pos GROUP BY l.id)
+SELECT t.doc_id, coalesce(len(t.lines), 0)::BIGINT AS n_lines, coalesce(c.n_deleted, 0) AS n_deleted, length(c.text) AS n_chars,
+  sha256(c.text) AS text_sha256
+FROM texts t LEFT JOIN cleaned c ON c.id = t.id
+"""
+
 OP12_SQL = rf"""
 WITH keyed AS (
   SELECT conv_id AS c, turn, coalesce(text, '') AS text,

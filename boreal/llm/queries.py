@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boreal.llm.oracle import OP11_SQL, OP12_SQL, OP13_SQL
+from boreal.llm.oracle import OP5_SQL, OP11_SQL, OP12_SQL, OP13_SQL
 
 
 def tokenizer_file(name: str) -> str:
@@ -176,7 +176,7 @@ QUERIES = {f.__name__: f for f in (
     op7_html_text, op8_kneser_ney, op9_exact_dedup, op10_packing,
     op11_secret_links, op12_conversation_trie, op13_centroids)}
 
-#: Fingerprints, tokenizers, trained models, page parsing and alignment are beyond SQL; winnowing depends
-#: on the order of hashes. Those queries are tested against brute force, the libraries or held-out rows.
-ORACLE_SQL = {"op4_jaccard_join": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op11_secret_links": OP11_SQL,
+#: Fingerprints, tokenizers, trained models, page parsing and alignment are beyond SQL.
+#: Those queries are tested against brute force, the libraries or held-out rows.
+ORACLE_SQL = {"op4_jaccard_join": OP4_SQL, "op5_line_dedup": OP5_SQL, "op9_exact_dedup": OP9_SQL, "op11_secret_links": OP11_SQL,
               "op12_conversation_trie": OP12_SQL, "op13_centroids": OP13_SQL}

@@ -160,29 +160,76 @@ def line_fixture():
         9: ["***", "---", "***", "---"], 10: ["***", "---"], 11: own(1, 2) + ["x"] + own(1, 2)}
 
 
+def repeated_lines(texts, least):
+    """Per document, the lines inside runs of ``least`` lines, one of them wordy, that stand at an earlier place."""
+    seen, out = set(), {}
+    for i in sorted(texts):
+        lines = [x.strip(" ") for x in texts[i].split("\n")]
+        gone = set()
+        for k in range(len(lines) - least + 1):
+            run = tuple(lines[k:k + least])
+            if run in seen:
+                gone |= set(range(k, k + least))
+            elif any(re.search(r"\w", x, re.ASCII) for x in run):
+                seen.add(run)
+        out[i] = gone
+    return out
+
+
 def test_lines_against_brute_force(spark):
-    texts = {i: "\n".join(lines) for i, lines in line_fixture().items()} | {12: None}
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("row", F.lit("r")).repartition(3)
+    texts = {i: "\n".join(lines) for i, lines in line_fixture().items()}
+    docs = spark.createDataFrame([*texts.items(), (12, None)], "doc_id long, text string").withColumn("row", F.lit("r")).repartition(3)
     out = {r["doc_id"]: r for r in without_repeated_lines(docs).collect()}
-    assert set(out) == set(texts) and out[12]["text"] is None
-    for i, text in texts.items():
-        if text is None:
-            continue
-        lines, kept = text.split("\n"), out[i]["text"].split("\n")
-        assert out[i]["n_lines"] == len(lines) and out[i]["row"] == "r"
-        before = [x.split("\n") for j, x in texts.items() if x is not None and j < i]
-        runs = {tuple(x[k:k + 2]) for x in before for k in range(len(x) - 1)}
-        repeated = [k for k in range(len(lines) - 1) if tuple(lines[k:k + 2]) in runs and any(re.search(r"\w", t) for t in lines[k:k + 2])]
-        covered = {k + d for k in repeated for d in (0, 1)}
-        if i != 11:
-            gone = out[i]["n_deleted"]
-            assert gone <= len(covered)  # nothing but repeated runs goes
-            assert gone >= len(covered) - 2 * (len(repeated) > 0) and (not covered or gone or len(covered) < 3)
-            if not covered:
-                assert kept == lines
+    assert set(out) == {*texts, 12} and out[12]["text"] is None and out[12]["n_lines"] == 0
+    for i, gone in repeated_lines(texts, 2).items():
+        lines = texts[i].split("\n")
+        assert out[i]["text"] == "\n".join(x for k, x in enumerate(lines) if k not in gone)
+        assert (out[i]["n_lines"], out[i]["n_deleted"], out[i]["row"]) == (len(lines), len(gone), "r")
     assert out[2]["text"] == "own 2 0\nown 2 1\nown 2 2" and out[8]["text"] == "" and out[1]["n_deleted"] == 0
-    assert out[6]["text"] == "shared line 0" and out[9]["n_deleted"] == 0
-    assert out[11]["n_deleted"] in (0, 2, 4)  # runs of two lines are shorter than the guarantee
+    assert out[6]["text"] == "shared line 0" and out[9]["n_deleted"] == 0 and out[11]["text"] == "x"
+
+
+def random_lines(seed):
+    """Documents of overlapping runs of few different lines, so that parts of a run stand elsewhere."""
+    import random
+
+    rng = random.Random(seed)
+    runs = [[f"line {rng.randrange(40)}" for _ in range(rng.randrange(1, 9))] for _ in range(25)]
+    texts = {}
+    for i in range(120):
+        lines = []
+        for _ in range(rng.randrange(6)):
+            run = rng.choice(runs)
+            a = rng.randrange(len(run))
+            lines += run[a:a + rng.randrange(1, 9)] + [f"own {i} {len(lines)}"] * rng.randrange(2) + rng.choice([[], [""], ["--"]])
+        texts[i] = "\n".join(lines)
+    return texts
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_every_repeated_run_goes_whole(spark, seed):
+    texts = random_lines(seed)
+    out = without_repeated_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)).collect()
+    for i, gone in repeated_lines(texts, 2).items():
+        kept = [x for k, x in enumerate(texts[i].split("\n")) if k not in gone]
+        assert next(r["text"] for r in out if r["doc_id"] == i) == "\n".join(kept)
+
+
+@pytest.mark.parametrize("gram, window", [(2, 2), (3, 3), (3, 2)])
+def test_longer_windows_keep_their_guarantee(spark, gram, window):
+    """Every line of a repeated run of gram + window - 1 lines goes, and no line outside repeated runs of gram lines."""
+    texts = {i: "\n".join(f"{x} word" for x in t.split("\n")) for i, t in random_lines(5).items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    out = {r["doc_id"]: r["n_deleted"] for r in without_repeated_lines(docs, gram, window).collect()}
+    sure, possible = repeated_lines(texts, gram + window - 1), repeated_lines(texts, gram)
+    assert all(len(sure[i]) <= out[i] <= len(possible[i]) for i in texts) and sum(map(len, sure.values())) > 50
+
+
+def test_a_run_stands_earlier_in_parts_and_whole(spark):
+    """The two middle lines stand first in a document of their own: the third document still loses the whole run."""
+    for window in (1, 2):
+        docs = spark.createDataFrame([(0, "b\nc"), (1, "a\nb\nc\nd"), (2, "a\nb\nc\nd")], "doc_id long, text string")
+        assert {r["doc_id"]: r["text"] for r in without_repeated_lines(docs, 2, window).collect()}[2] == ""
 
 
 def test_first_lines_always_stay(spark, corpus):
