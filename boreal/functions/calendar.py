@@ -41,9 +41,10 @@ def is_leap_year(year) -> Column:
     return ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
 
 
-def seasonal_day_distance(date_col, target: dt.date, wrap_leap: bool = True,
+def seasonal_day_distance(date_col, target: dt.date | Column, wrap_leap: bool = True,
                           exact_half: bool = True) -> Column:
-    """Circular distance in days between a date's day of year and the target's, in the date's year.
+    """Circular distance in days between a date's day of year and the target's (a date or a column of
+    dates), in the date's year.
 
     The target is moved into the reading's year; a 29 February target becomes 28 February in a
     common year. The distance wraps around the year end (1 January is 1 day from 31 December).
@@ -53,9 +54,10 @@ def seasonal_day_distance(date_col, target: dt.date, wrap_leap: bool = True,
     """
     c = _col(date_col)
     y = F.year(c)
-    last_dom = F.dayofmonth(F.last_day(F.make_date(y, F.lit(target.month), F.lit(1))))
-    target_doy = F.dayofyear(
-        F.make_date(y, F.lit(target.month), F.least(F.lit(target.day), last_dom)))
+    month, day = (F.month(target), F.dayofmonth(target)) if isinstance(target, Column) else (
+        F.lit(target.month), F.lit(target.day))
+    last_dom = F.dayofmonth(F.last_day(F.make_date(y, month, F.lit(1))))
+    target_doy = F.dayofyear(F.make_date(y, month, F.least(day, last_dom)))
     diff = F.abs(F.dayofyear(c) - target_doy)
     leap_year = is_leap_year(y)
     if wrap_leap and exact_half:

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boreal.operators.joins import key_side
+from boreal.operators.joins import fits_broadcast, key_side, staged
 
 
 def pk_violations(table: DataFrame, keys) -> DataFrame:
@@ -28,14 +28,27 @@ def pk_violations(table: DataFrame, keys) -> DataFrame:
                         .otherwise(F.lit("duplicate_key"))))
 
 
+def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """The distinct non-NULL child keys without a parent, as ``__k``: only distinct keys are shuffled, each
+    side's combined map-side."""
+    parents = key_side(parent, parent_key).withColumnRenamed("__k", "__p")
+    return key_side(child, child_key).join(parents, F.col("__k") == F.col("__p"), "left_anti")
+
+
 def fk_orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent (NULL child keys are allowed).
 
-    One scan of the child against the distinct parent keys; a broadcast when those are small.
+    With parent keys small enough to broadcast: one scan of the child against them. With more, in two phases:
+    distinct child keys meet the parent's and the orphans among them are staged; then the child rows meet those.
+    Orphans are few as a rule: their staged size lets Catalyst broadcast them, and no child row moves; if they are many,
+    child rows are shuffled once.
     """
-    present = child.where(F.col(child_key).isNotNull())
     keys = key_side(parent, parent_key)
-    return present.join(keys, present[child_key] == keys["__k"], "left_anti")
+    if fits_broadcast(keys):
+        present = child.where(F.col(child_key).isNotNull())
+        return present.join(keys, present[child_key] == keys["__k"], "left_anti")
+    missing = staged(orphan_keys(child, child_key, parent, parent_key), "orphan-keys")
+    return child.join(missing, child[child_key] == missing["__k"], "left_semi")
 
 
 # NULL keys spread over so many hash values in a shuffled outer join.
@@ -45,14 +58,20 @@ NULL_SPREAD = 4096
 def fk_set_null(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """``ON DELETE SET NULL`` after parents are gone: every child row, dangling keys set to NULL.
 
-    One scan of the child. NULL keys match nothing; in a shuffled join a second key, 0 for all other
-    rows, spreads them over many partitions instead of one.
+    In one pass against the parent's keys where those are small enough to broadcast, else in the two phases of
+    ``fk_orphans``. NULL keys match nothing; in a shuffled join a second key, 0 for all other rows, spreads them over
+    many partitions instead of one.
     """
-    keys = key_side(parent, parent_key).select("__k", F.lit(0).alias("__kz"), F.lit(True).alias("__known"))
+    keys = key_side(parent, parent_key)
+    known = fits_broadcast(keys)
+    if not known:
+        keys = staged(orphan_keys(child, child_key, parent, parent_key), "orphan-keys")
+    keys = keys.select("__k", F.lit(0).alias("__kz"), F.lit(True).alias("__met"))
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in child.columns]), F.lit(NULL_SPREAD)) + 1
     rows = child.withColumn("__z", F.when(F.col(child_key).isNull(), spread).otherwise(0).cast("int"))
     joined = rows.join(keys, (rows[child_key] == keys["__k"]) & (rows["__z"] == keys["__kz"]), "left")
-    fixed = F.when(F.col("__known"), rows[child_key])
+    kept = F.col("__met") if known else F.col("__met").isNull()
+    fixed = F.when(kept, rows[child_key])
     return joined.select(*[fixed.alias(c) if c == child_key else rows[c] for c in child.columns])
 
 

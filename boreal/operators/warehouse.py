@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boreal.functions.text import text_before
-from boreal.operators.joins import fits_broadcast, semi_join
-from boreal.session import scratch_path
+from boreal.operators.joins import fits_broadcast, semi_join, staged
+from boreal.sinks.tables import replace_table
 
 
 def list_all(table: DataFrame) -> DataFrame:
@@ -106,15 +106,13 @@ def theta_self_join(table: DataFrame, column: str, reference_filter: Column, col
     within each range, and each range starts from the total of the ranges before it (one row per
     range). The counts are joined back to the rows on the value. No pair is ever formed, whatever the
     number of reference rows; a value that many rows share is one row per task until the last join,
-    where AQE splits it. NULL compares with nothing. The ranges are written once to the shared folder.
+    where AQE splits it. NULL compares with nothing. Distinct values and their ranges are each written once to the
+    shared folder: the range shuffle samples the former, not the table.
     """
-    spark = table.sparkSession
     values = (table.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("__v"))
               .agg(F.count_if(reference_filter).alias("__r")))
-    path = scratch_path(spark, "theta")
-    ranged = values.repartitionByRange("__v").withColumn("__range", F.spark_partition_id())
-    ranged.write.parquet(path)
-    ranged = spark.read.schema(ranged.schema).parquet(path)
+    values = staged(values, "theta-values")
+    ranged = staged(values.repartitionByRange("__v").withColumn("__range", F.spark_partition_id()), "theta-ranges")
     totals = ranged.groupBy("__range").agg(F.sum("__r").alias("__t"))
     before = F.sum("__t").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
     starts = totals.select("__range", F.coalesce(before, F.lit(0)).alias("__start"))
@@ -174,11 +172,9 @@ def below_average_table(spark: SparkSession, table: DataFrame, column: str, tabl
     """Create a table with explicitly declared columns and fill it with the rows whose ``column``
     is below the table's mean (a global aggregate used as a scalar subquery); return it read back.
 
-    The table is written as parquet under ``location`` (a folder in shared storage), replacing the
-    rows of any earlier table of that name. Spark enforces the declared VARCHAR lengths on write.
+    Any earlier table of that name is replaced as a whole when the new rows are written, not before
+    (``sinks.replace_table``): ``table`` may be that very table. Files go under ``location``, a folder in shared
+    storage. Spark enforces the declared VARCHAR lengths on write.
     """
     below = table.where(F.col(column) < table.select(F.avg(column)).scalar())
-    spark.sql(f"DROP TABLE IF EXISTS {table_name}")
-    spark.sql(f"CREATE TABLE {table_name} ({columns_ddl}) USING parquet LOCATION '{location}'")
-    below.write.insertInto(table_name, overwrite=True)
-    return spark.table(table_name)
+    return replace_table(below, table_name, columns_ddl, location)

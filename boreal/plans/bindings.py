@@ -22,19 +22,22 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boreal.functions.text import normalized_equals
+from boreal.operators import daily as D
 from boreal.operators import forecast as K
+from boreal.operators import forecast_targets as KT
 from boreal.operators import integrity as I
 from boreal.operators import readings as R
 from boreal.operators import warehouse as W
 from boreal.session import scratch_path
 from boreal.sinks import write_csv, write_delimited, write_text
-from boreal.sources import load_table, read_delimited, read_keys
+from boreal.sources import load_table, read_delimited, read_keys, split_delimited
 
 # Parameters of the bindings (shared with the oracle SQL), the questions' periods,
 # threshold, place and dates among them.
@@ -56,10 +59,12 @@ SUPPLIER_NAME = "supplier#000000007"
 REFERENCE_PART = 42
 REFERENCE_BRAND = "Brand#11"
 ORDER_PRIORITY = "1-URGENT"
-LARGE_QUANTITY, EARLY = 45, dt.datetime(1993, 1, 1)
+LARGE_QUANTITY, EARLY = 45, dt.datetime(1995, 3, 1)
 PART_TYPE = "ECONOMY"
 STATE_NATION = "nation_3"
 PARENT_MIN_SIZE = 5
+TARGET_YEAR, TARGET_H_DISTANCE, TARGET_TAIL = 2000, 2000.0, 1e-13
+DAILY_BUCKETS = 8
 DEFAULT_SHIPDATE = dt.datetime(1992, 1, 1)
 
 LI = dict(station="l_suppkey", date="l_shipdate")
@@ -203,6 +208,76 @@ def kernel_peak_hour(spark, d):
     return _r6(K.kernel_peak_hour(_forecast(spark, d)), "forecast")
 
 
+def forecast_targets(spark, d) -> DataFrame:
+    """(target, latitude, longitude, date, hour): customers on a grid of their own by key, on the 15th of a month."""
+    k = F.col("c_custkey")
+    return _t(spark, d, "customer").select(
+        k.alias("target"), (F.lit(55.1) + F.lit(0.25) * (k % 40).cast("double")).alias("latitude"),
+        (F.lit(11.2) + F.lit(0.35) * (k % 31).cast("double")).alias("longitude"),
+        F.make_date(F.lit(TARGET_YEAR), (k % 4 * 3 + 1).cast("int"), F.lit(15)).alias("date"), (k % 24).cast("int").alias("hour"))
+
+
+def kernel_regression_targets(spark, d):
+    """Forecasts for every customer's place, date and hour; a short distance kernel, so that most stations are far."""
+    out = KT.kernel_regression_targets(forecast_readings(spark, d), forecast_stations(spark, d), forecast_targets(spark, d),
+                                       h_distance=TARGET_H_DISTANCE, tail=TARGET_TAIL)
+    out = out.drop("bound_sum", "bound_prod").withColumn("date", F.col("date").cast("string"))
+    return _r6(out, "forecast_sum", "forecast_prod")
+
+
+# ---------------------------------------------------------------- daily table
+def _daily(spark, d, readings: DataFrame, band, what: str) -> DataFrame:
+    """The daily table of ``readings`` (station, date, value, part), stored in two batches that share days; the second
+    is stored twice, as after a retry."""
+    name = f"boreal_daily_{what}_{uuid.uuid4().hex}"
+    D.open_table(spark, name, scratch_path(spark, name), DAILY_BUCKETS, "BIGINT")
+    for part in (0, 1, 1):
+        D.add_batch(D.summarise(readings.where(F.col("part") == part), THRESHOLD, band), name, f"part-{part}")
+    return D.daily_rows(spark, name)
+
+
+def _parted(spark, d, value: str) -> DataFrame:
+    return _t(spark, d, "lineitem").select(
+        F.col("l_suppkey").alias("station"), F.col("l_shipdate").alias("date"), F.col(value).alias("value"),
+        (F.col("l_linenumber") % 2).alias("part"))
+
+
+def _daily_precipitation(spark, d) -> DataFrame:
+    return _daily(spark, d, _parted(spark, d, "l_quantity"), PREFILTER_PRECIP_BAND, "precipitation")
+
+
+def daily_summary(spark, d):
+    return _r6(_daily_precipitation(spark, d), "total").withColumn("day", F.col("day").cast("string"))
+
+
+def daily_answers(spark, d):
+    """All questions on readings from the two daily tables: question, station, year, month, value, value_2."""
+    temps = _daily(spark, d, _parted(spark, d, "l_extendedprice"), PREFILTER_TEMP_BAND, "temperature")
+    precip = _daily_precipitation(spark, d)
+    answers = {
+        "yearly_extrema": (D.yearly_extrema(temps, *PERIOD), "min_value", "max_value"),
+        "yearly_argmax": (D.yearly_argmax(temps, *PERIOD), "max_value", None),
+        "monthly_exceedance_count": (D.monthly_exceedance_count(precip, *PERIOD), "n_readings", None),
+        "monthly_exceedance_station_count": (D.monthly_exceedance_station_count(precip, *PERIOD), "n_stations", None),
+        "station_monthly_mean": (D.station_monthly_mean(temps, *MEAN_PERIOD), "mean_value", None),
+        "extremes_band_join": (D.extremes_band_join(temps, precip, TEMP_BAND, DAILY_BAND), "max_temperature",
+                               "max_daily_precipitation"),
+        "extremes_prefilter_join": (D.extremes_prefilter_join(temps, precip), "max_temperature", "max_precipitation"),
+        "extremes_total_band_join": (D.extremes_total_band_join(temps, precip, TEMP_BAND, TOTAL_BAND), "max_temperature",
+                                     "total_precipitation"),
+        "regional_monthly_mean": (D.regional_monthly_mean(precip, region_stations(spark, d), *REGION_PERIOD,
+                                                          region_station="s_suppkey"), "mean_monthly_total", None)}
+
+    def rows(question: str, df: DataFrame, *values: str | None) -> DataFrame:
+        key = {c: F.col(c) if c in df.columns else F.lit(None) for c in ("station", "year", "month")}
+        return df.select(
+            F.lit(question).alias("question"), key["station"].cast("long").alias("station"), key["year"].cast("int").alias("year"),
+            key["month"].cast("int").alias("month"), *[F.round(F.col(v).cast("double") if v else F.lit(None).cast("double"), 6).alias(c)
+                                                       for c, v in zip(("value", "value_2"), values)])
+
+    return reduce(DataFrame.unionByName, [rows(q, *a) for q, a in answers.items()])
+
+
 # ---------------------------------------------------------------- warehouse
 def list_all(spark, d):
     return W.list_all(_t(spark, d, "supplier"))
@@ -289,9 +364,8 @@ def star_join_weighted_sum(spark, d):
 
 
 def below_average_table(spark, d):
-    name = f"below_average_{uuid.uuid4().hex}"
     return W.below_average_table(
-        spark, _t(spark, d, "part"), "p_retailprice", name,
+        spark, _t(spark, d, "part"), "p_retailprice", "boreal_below_average_parts",
         "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
         "p_retailprice DOUBLE", scratch_path(spark, "below_average_table"))
 
@@ -320,7 +394,7 @@ def column_rules() -> dict:
         "l_shipdate_not_null": I.not_null("l_shipdate"),
         "balance_non_negative": I.non_negative("balance"),
         "l_discount_in_0_0.05": I.in_range("l_discount", 0.0, 0.05),
-        "l_shipmark_max_length_5": I.max_length("l_shipmark", 5),
+        "l_shipmark_max_length_3": I.max_length("l_shipmark", 3),
         "l_linestatus_max_length_1": I.max_length("l_linestatus", 1),
     }
 
@@ -374,16 +448,37 @@ def key_list_readings(spark, d):
     return chosen.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
 
 
+REJECT_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+    T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_mktsegment", T.StringType())])
+
+
+def delimited_rejects(spark, d):
+    """Customers as lines, some of them with a field too many, a nation that is no number or a field missing: good
+    rows and rejected lines."""
+    k, fields = F.col("c_custkey"), [F.col(c).cast("string") for c in REJECT_SCHEMA.names]
+    line = F.when(k % 25 == 0, F.concat_ws(";", *fields, F.lit("extra"))) \
+        .when(k % 10 == 3, F.concat_ws(";", *fields[:2], F.lit("x"), fields[3])) \
+        .when(k % 10 == 7, F.concat_ws(";", *fields[:3])).otherwise(F.concat_ws(";", *fields))
+    path = scratch_path(spark, "lines")
+    _t(spark, d, "customer").select(line.alias("value")).write.text(path)
+    good, rejects = split_delimited(spark, path, REJECT_SCHEMA, scratch_path(spark, "split"))
+    none = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in REJECT_SCHEMA.fields}
+    return good.select("*", F.lit(None).cast("string").alias("line")).unionByName(rejects.select(*none.values(), "line"))
+
+
 QUERIES = {f.__name__: f for f in [
     yearly_extrema, yearly_argmax, monthly_exceedance_count, monthly_exceedance_station_count,
     station_monthly_mean, station_monthly_mean_sumcount, extremes_band_join,
     extremes_prefilter_join, extremes_total_band_join, regional_monthly_mean,
     station_kernel_weights, seasonal_distance, hourly_distance, lookback_filter,
-    kernel_regression, kernel_regression_as_recorded, kernel_peak_hour,
+    kernel_regression, kernel_regression_as_recorded, kernel_peak_hour, kernel_regression_targets,
+    daily_summary, daily_answers,
     list_all, manager_employee, order_by_name, equality_filter, between_sorted, derived_age,
     prefix_suffix_like, in_subquery, join_filter, in_subquery_distinct, count_in_subquery,
     scalar_subquery_compare, theta_self_join, constant_filtered_avg, star_join_weighted_sum,
     below_average_table,
     pk_violations, fk_orphans, fk_set_null, column_checks,
     delimited_roundtrip, csv_sink_roundtrip, text_sink_roundtrip, key_list_readings,
+    delimited_rejects,
 ]}

@@ -81,6 +81,32 @@ def _hour_dist(a: str, b: str) -> str:
 HOURS = ", ".join(f"({h})" for h in FORECAST_HOURS)
 
 
+def _km(lat: str, lon: str) -> str:
+    return (f"2 * {EARTH_RADIUS_KM} * asin(sqrt(pow(sin(radians({lat} - lat) / 2), 2) + "
+            f"cos(radians(lat)) * cos(radians({lat})) * pow(sin(radians({lon} - lon) / 2), 2)))")
+
+
+#: Day of year of the target's month and day in a reading's year: the targets are all on a 15th.
+_TARGET_DAYS = "abs(dayofyear(date) - dayofyear(make_date(year(date), month(t.tdate), day(t.tdate))))"
+TARGET_FORECASTS = f"""
+WITH t AS (
+  SELECT c_custkey AS target, CAST(55.1 AS DOUBLE) + CAST(0.25 AS DOUBLE) * CAST(c_custkey % 40 AS DOUBLE) AS tlat,
+         CAST(11.2 AS DOUBLE) + CAST(0.35 AS DOUBLE) * CAST(c_custkey % 31 AS DOUBLE) AS tlon,
+         make_date({B.TARGET_YEAR}, c_custkey % 4 * 3 + 1, 15) AS tdate, CAST(c_custkey % 24 AS INTEGER) AS th FROM customer),
+s AS ({STATIONS}),
+r AS (SELECT l_suppkey AS station, CAST(l_shipdate AS DATE) AS date, l_orderkey % 24 AS hour, l_quantity AS value FROM lineitem),
+w AS (SELECT target, station, exp(-(km * km) / {B.TARGET_H_DISTANCE}) AS kd
+      FROM (SELECT target, station, {_km("t.tlat", "t.tlon")} AS km FROM t, s)),
+x AS (SELECT t.target, value, kd, exp(-(dd * dd) / {H_DATE}) AS ky, exp(-(hd * hd) / {H_TIME}) AS kt
+      FROM (SELECT t.target, r.station, r.value,
+                   CASE WHEN {LEAP} THEN least({_TARGET_DAYS}, 366 - {_TARGET_DAYS}) ELSE least({_TARGET_DAYS}, 365 - {_TARGET_DAYS}) END AS dd,
+                   least(abs(r.hour - t.th), 24 - abs(r.hour - t.th)) AS hd
+            FROM t JOIN r ON r.date < t.tdate AND r.date >= t.tdate - {LOOKBACK_DAYS}) t JOIN w ON w.target = t.target AND w.station = t.station)
+SELECT t.target, CAST(t.tdate AS VARCHAR) AS date, t.th AS hour, round(sum((kd + ky + kt) * value) / sum(kd + ky + kt), 6) AS forecast_sum,
+       round(sum(kd * ky * kt * value) / nullif(sum(kd * ky * kt), 0), 6) AS forecast_prod
+FROM t LEFT JOIN x ON x.target = t.target GROUP BY t.target, t.tdate, t.th"""
+
+
 def _forecast_sql(day_distance: str, readings: str) -> str:
     return f"""
 WITH r AS ({readings}),
@@ -181,6 +207,13 @@ SELECT 'sum' AS kernel, arg_max(hour, row(forecast_sum, hour)) AS hour,
 UNION ALL
 SELECT 'prod' AS kernel, arg_max(hour, row(forecast_prod, hour)) AS hour,
        round(max(forecast_prod), 6) AS forecast FROM f""",
+    "kernel_regression_targets": TARGET_FORECASTS,
+    # ------------------------------------------------------------ daily table
+    "daily_summary": f"""
+SELECT l_suppkey AS station, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day, count(l_quantity) AS n_readings, round(sum(l_quantity), 6) AS total,
+       min(l_quantity) AS low, max(l_quantity) AS high, count(*) FILTER (l_quantity > {B.THRESHOLD}) AS n_above,
+       max(l_quantity) FILTER (l_quantity BETWEEN {B.PREFILTER_PRECIP_BAND[0]} AND {B.PREFILTER_PRECIP_BAND[1]}) AS high_in_band
+FROM lineitem GROUP BY 1, 2""",
     # ------------------------------------------------------------ warehouse
     "list_all": "SELECT * FROM supplier",
     "manager_employee": """
@@ -246,7 +279,7 @@ UNION ALL SELECT 'l_partkey_not_null', count(*) FILTER (WHERE l_partkey IS NULL)
 UNION ALL SELECT 'l_shipdate_not_null', count(*) FILTER (WHERE l_shipdate IS NULL) FROM li
 UNION ALL SELECT 'balance_non_negative', count(*) FILTER (WHERE balance < 0) FROM li
 UNION ALL SELECT 'l_discount_in_0_0.05', count(*) FILTER (WHERE NOT (l_discount BETWEEN 0.0 AND 0.05)) FROM li
-UNION ALL SELECT 'l_shipmark_max_length_5', count(*) FILTER (WHERE length(l_shipmark) > 5) FROM li
+UNION ALL SELECT 'l_shipmark_max_length_3', count(*) FILTER (WHERE length(l_shipmark) > 3) FROM li
 UNION ALL SELECT 'l_shipdate_is_default', count(*) FILTER (WHERE l_shipdate = TIMESTAMP '{B.DEFAULT_SHIPDATE}') FROM li
 UNION ALL SELECT 'l_linestatus_max_length_1', count(*) FILTER (WHERE length(l_linestatus) > 1) FROM li""",
     # ------------------------------------------------------------ sources / sinks
@@ -254,7 +287,34 @@ UNION ALL SELECT 'l_linestatus_max_length_1', count(*) FILTER (WHERE length(l_li
     "csv_sink_roundtrip": "SELECT * FROM customer",
     "text_sink_roundtrip": """
 SELECT concat_ws(';', p_partkey, p_name, p_brand, p_type, p_size, p_retailprice) AS value FROM part""",
+    "delimited_rejects": """
+WITH lines AS (
+  SELECT *, CASE WHEN c_custkey % 25 = 0 THEN concat_ws(';', c_custkey, c_name, c_nationkey, c_mktsegment, 'extra')
+              WHEN c_custkey % 10 = 3 THEN concat_ws(';', c_custkey, c_name, 'x', c_mktsegment)
+              WHEN c_custkey % 10 = 7 THEN concat_ws(';', c_custkey, c_name, c_nationkey) END AS line FROM customer)
+SELECT CASE WHEN line IS NULL THEN c_custkey END AS c_custkey, CASE WHEN line IS NULL THEN c_name END AS c_name,
+       CASE WHEN line IS NULL THEN c_nationkey END AS c_nationkey, CASE WHEN line IS NULL THEN c_mktsegment END AS c_mktsegment, line
+FROM lines""",
     "key_list_readings": """
 SELECT l_suppkey, count(*) AS n FROM lineitem
 WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 = 0) GROUP BY l_suppkey""",
 }
+
+
+def _long_form(question: str, value: str, value_2: str = "NULL", *keys: str) -> str:
+    key = {k: k if k in keys else "NULL" for k in ("station", "year", "month")}
+    return (f"SELECT '{question}' AS question, CAST({key['station']} AS BIGINT) AS station, CAST({key['year']} AS INTEGER) AS year, "
+            f"CAST({key['month']} AS INTEGER) AS month, round(CAST({value} AS DOUBLE), 6) AS value, "
+            f"round(CAST({value_2} AS DOUBLE), 6) AS value_2 FROM ({ORACLE_SQL[question]})")
+
+
+ORACLE_SQL["daily_answers"] = "\nUNION ALL ".join([
+    _long_form("yearly_extrema", "min_value", "max_value", "year"),
+    _long_form("yearly_argmax", "max_value", "NULL", "year", "station"),
+    _long_form("monthly_exceedance_count", "n_readings", "NULL", "year", "month"),
+    _long_form("monthly_exceedance_station_count", "n_stations", "NULL", "year", "month"),
+    _long_form("station_monthly_mean", "mean_value", "NULL", "station", "year", "month"),
+    _long_form("extremes_band_join", "max_temperature", "max_daily_precipitation", "station"),
+    _long_form("extremes_prefilter_join", "max_temperature", "max_precipitation", "station"),
+    _long_form("extremes_total_band_join", "max_temperature", "total_precipitation", "station"),
+    _long_form("regional_monthly_mean", "mean_monthly_total", "NULL", "year", "month")])

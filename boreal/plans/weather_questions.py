@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boreal.functions.calendar import hour_of_time
+from boreal.operators import daily as D
 from boreal.operators import forecast as K
 from boreal.operators import readings as R
 from boreal.sinks import write_csv
@@ -50,11 +51,35 @@ def stage_parquet(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_daily(readings: DataFrame, band: tuple[float, float], name: str, path: str) -> DataFrame:
+    """The readings as a stored daily table (``operators.daily``): one scan, and every question reads its rows."""
+    spark = readings.sparkSession
+    name = f"{name}_{uuid.uuid4().hex}"
+    D.open_table(spark, name, f"{path}-{name}", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    D.add_batch(D.summarise(readings, THRESHOLD, band), name, "all")
+    return D.daily_rows(spark, name)
+
+
+def daily_answers(temps: DataFrame, precip: DataFrame, region: DataFrame) -> dict[str, DataFrame]:
+    """The readings questions from the two daily tables."""
+    return {
+        "yearly_extrema": D.yearly_extrema(temps, *EXTREMES_PERIOD),
+        "yearly_argmax": D.yearly_argmax(temps, *EXTREMES_PERIOD),
+        "monthly_exceedance_count": D.monthly_exceedance_count(temps, *COUNT_PERIOD),
+        "monthly_exceedance_station_count": D.monthly_exceedance_station_count(temps, *COUNT_PERIOD),
+        "station_monthly_mean": D.station_monthly_mean(temps, *MEAN_PERIOD),
+        "extremes_band_join": D.extremes_band_join(temps, precip, TEMPERATURE_BAND, PRECIPITATION_BAND),
+        "extremes_prefilter_join": D.extremes_prefilter_join(temps, precip),
+        "extremes_total_band_join": D.extremes_total_band_join(temps, precip, TEMPERATURE_BAND, PRECIPITATION_BAND),
+        "regional_monthly_mean": D.regional_monthly_mean(precip, region, *REGION_PERIOD),
+    }
+
+
 def answers(spark: SparkSession, temperature: str, precipitation: str, region_stations: str,
             stations: str, mode: str = "FAILFAST", stage_dir: str | None = None
             ) -> dict[str, DataFrame]:
-    """Every question's answer. With ``stage_dir`` (a shared folder), the readings are parsed once
-    into parquet there and every answer reads that."""
+    """Every question's answer. With ``stage_dir`` (a shared folder), the readings are parsed once into parquet
+    there and scanned once for a daily table, from which all questions but the forecast are answered."""
     temps = read_delimited(spark, temperature, TEMPERATURE_READINGS, mode=mode)
     precip = read_delimited(spark, precipitation, PRECIPITATION_READINGS, mode=mode)
     if stage_dir:
@@ -64,7 +89,7 @@ def answers(spark: SparkSession, temperature: str, precipitation: str, region_st
     station_table = read_delimited(spark, stations, STATIONS, mode=mode)
     readings = temps.withColumn("hour", hour_of_time("time"))
     forecast = K.kernel_regression(readings, station_table, *FORECAST_PLACE, FORECAST_DATE)
-    return {
+    results = {
         "yearly_extrema": R.yearly_extrema(temps, *EXTREMES_PERIOD),
         "yearly_argmax": R.yearly_argmax(temps, *EXTREMES_PERIOD),
         "monthly_exceedance_count": R.monthly_exceedance_count(temps, THRESHOLD, *COUNT_PERIOD),
@@ -85,6 +110,11 @@ def answers(spark: SparkSession, temperature: str, precipitation: str, region_st
             readings, station_table, *FORECAST_PLACE, FORECAST_DATE, wrap_leap=False,
             exact_half=False),
     }
+    if stage_dir:
+        results |= daily_answers(
+            stage_daily(temps, TEMPERATURE_BAND, "daily_temperature", os.path.join(stage_dir, "daily")),
+            stage_daily(precip, PRECIPITATION_BAND, "daily_precipitation", os.path.join(stage_dir, "daily")), region)
+    return results
 
 
 def sort_columns(name: str) -> list[Column]:

@@ -1,6 +1,6 @@
 """Sources: typed schemas, the delimited-text scan and the parquet table loader."""
 
-from boreal.sources.delimited import read_delimited, read_keys
+from boreal.sources.delimited import read_delimited, read_keys, split_delimited
 from boreal.sources.schemas import (
     PRECIPITATION_READINGS,
     REGION_STATIONS,
@@ -18,4 +18,5 @@ __all__ = [
     "load_table",
     "read_delimited",
     "read_keys",
+    "split_delimited",
 ]

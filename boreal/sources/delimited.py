@@ -28,6 +28,28 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
             .csv(path))
 
 
+REJECTED, LINE = "__rejected", "__line"
+
+
+def split_delimited(spark: SparkSession, path: str, schema: T.StructType, out: str, sep: str = ";",
+                    date_format: str = "yyyy-MM-dd") -> tuple[DataFrame, DataFrame]:
+    """Lines that hold ``schema`` and the rest, in one pass: (good, rejects).
+
+    A line with a field that is not of its type, with fields missing or with too many is a reject, kept as it
+    stands with the name of its file; no field of it is read as NULL. Both are parquet under ``out``, written by one
+    scan of the text into a folder each, so that reading one never touches the other. Together they are all lines but the empty ones.
+    """
+    declared = T.StructType([*schema.fields, T.StructField(LINE, T.StringType())])
+    rows = (spark.read.schema(declared).option("sep", sep).option("header", "false").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", LINE).option("dateFormat", date_format).csv(path))
+    rows.select("*", F.col("_metadata.file_name").alias("__file"), F.col(LINE).isNotNull().alias(REJECTED)) \
+        .write.partitionBy(REJECTED).parquet(out)
+    stored = T.StructType([*declared.fields, T.StructField("__file", T.StringType()), T.StructField(REJECTED, T.BooleanType())])
+    found = spark.read.schema(stored).parquet(out)
+    good = found.where(~F.col(REJECTED)).select(*[F.col(f"`{c}`") for c in schema.names])
+    return good, found.where(F.col(REJECTED)).select(F.col(LINE).alias("line"), F.col("__file").alias("file"))
+
+
 def read_keys(spark: SparkSession, path: str, key: str = "station", sep: str = ";",
               key_type: T.DataType = T.StringType(), mode: str = "FAILFAST") -> DataFrame:
     """The first field of each line as a one-column key table (e.g. a region's stations).

@@ -4,12 +4,14 @@ joins, one scan of the facts for the forecast, no Cartesian products."""
 import pytest
 
 import __spark_entry__ as entry
+from boreal.operators.joins import estimated_bytes
+from boreal.plans import bindings as B
 from boreal.plans.inspect import plan_text, pushed_filters, python_nodes, read_schemas, scans_of
 from conftest import SF_ORACLE, SF_SMALL
 
 QUERIES = {k: f for k, f in entry.queries().items() if f.__module__ == "boreal.plans.bindings"}
 SINKS = {"delimited_roundtrip", "csv_sink_roundtrip", "text_sink_roundtrip", "key_list_readings",
-         "below_average_table"}
+         "below_average_table", "delimited_rejects"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SINKS))
@@ -94,3 +96,42 @@ def test_semi_join_reads_each_side_once(spark):
     assert "LeftSemi" in plan_text(df)
     assert scans_of(df, "lineitem") == 1 and scans_of(df, "part") == 1
     assert scans_of(QUERIES["manager_employee"](spark, SF_ORACLE), "supplier") == 2
+
+
+@pytest.fixture()
+def threshold(spark):
+    """Sets Catalyst's broadcast threshold for one test."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    yield lambda value: spark.conf.set(key, str(value))
+    spark.conf.set(key, old)
+
+
+def exchanged(text: str) -> list[str]:
+    return [line.strip() for line in text.splitlines() if "Exchange " in line]
+
+
+@pytest.mark.parametrize("name, join", [("fk_orphans", "LeftSemi"), ("fk_set_null", "LeftOuter")])
+def test_child_rows_stay_where_orphan_keys_fit_a_broadcast(spark, threshold, name, join):
+    """Parent keys too large to broadcast, orphan keys not: the child rows meet the staged orphans, nothing is shuffled."""
+    parents = B._parents(spark, SF_SMALL).select("p_partkey")
+    threshold(estimated_bytes(parents.distinct()) - 1)
+    df = QUERIES[name](spark, SF_SMALL)
+    text = plan_text(df, "simple")
+    assert "BroadcastHashJoin" in text and join in text and "orphan-keys" in plan_text(df)
+    assert exchanged(text) == [] or all("BroadcastExchange" in x for x in exchanged(text))
+    assert scans_of(df, "part") == 0 and scans_of(df, "lineitem") == 1
+
+
+@pytest.mark.parametrize("name, join", [("fk_orphans", "LeftSemi"), ("fk_set_null", "LeftOuter")])
+def test_child_rows_are_shuffled_once_at_most(spark, threshold, name, join):
+    threshold(-1)
+    text = plan_text(QUERIES[name](spark, SF_SMALL), "simple")
+    assert "SortMergeJoin" in text and join in text
+    assert len(exchanged(text)) == 2  # child rows and orphan keys, once each
+
+
+def test_theta_join_shuffles_staged_values_only(spark):
+    """The table is scanned for the rows of the result; its distinct values come from a written table."""
+    df = QUERIES["theta_self_join"](spark, SF_SMALL)
+    assert scans_of(df, "part") == 1 and "theta-ranges" in plan_text(df) and "rangepartitioning" not in plan_text(df)

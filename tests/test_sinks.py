@@ -2,6 +2,7 @@
 
 import glob
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ import __spark_entry__ as entry
 from boreal.session import scratch_path
 from boreal.plans.inspect import plan_text
 from boreal.sinks import _ordered, to_lines, write_csv, write_delimited, write_text
+from boreal.sinks.tables import replace_table, table_version
 from boreal.sources import read_delimited
 from boreal.sources.schemas import TEMPERATURE_READINGS
 from conftest import SF_SMALL
@@ -137,3 +139,55 @@ def test_cluster_conf_broadcasts_by_bytes():
     conf = cluster_conf(1000)
     assert 0 < int(conf["spark.sql.autoBroadcastJoinThreshold"]) <= 64 << 20
     assert 0 < int(conf["spark.sql.adaptive.autoBroadcastJoinThreshold"]) <= 64 << 20
+
+
+# ---- tables replaced as a whole
+DDL = "id INT, name VARCHAR(5)"
+
+
+@pytest.fixture()
+def place(spark):
+    name = f"replaced_{uuid.uuid4().hex}"
+    yield name, scratch_path(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def ids(df):
+    return sorted(r["id"] for r in df.collect())
+
+
+def test_a_table_is_replaced_by_a_query_over_itself(spark, place):
+    name, root = place
+    replace_table(spark.createDataFrame([(k, f"n{k}") for k in range(10)], "id int, name string"), name, DDL, root)
+    for left in (8, 6, 4):
+        table = spark.table(name)
+        out = replace_table(table.where(F.col("id") < left), name, DDL, root)
+        assert ids(out) == ids(spark.table(name)) == list(range(left))
+        assert ids(table) == list(range(left + 2))  # a reader that has begun keeps its rows
+
+
+def test_a_failing_query_leaves_the_table(spark, place):
+    name, root = place
+    replace_table(spark.createDataFrame([(1, "a")], "id int, name string"), name, DDL, root)
+    before, tables = table_version(spark, name), len(spark.catalog.listTables())
+    for bad in (spark.createDataFrame([(2, "too long")], "id int, name string"),
+                spark.range(3).select(F.col("id").cast("int").alias("id"), F.raise_error(F.lit("stop")).cast("string").alias("name"))):
+        with pytest.raises(Exception):
+            replace_table(bad, name, DDL, root)
+        assert ids(spark.table(name)) == [1] and table_version(spark, name) == before
+        assert len(spark.catalog.listTables()) == tables
+
+
+def test_a_table_with_other_columns_is_declared_anew(spark, place):
+    name, root = place
+    replace_table(spark.createDataFrame([(1, "a")], "id int, name string"), name, DDL, root)
+    wide = replace_table(spark.table(name).select("id", "name", F.lit(2.5).alias("price")), name, DDL + ", price DOUBLE", root)
+    assert [tuple(r) for r in wide.collect()] == [(1, "a", 2.5)] and spark.table(name).columns == ["id", "name", "price"]
+    longer = replace_table(spark.createDataFrame([(1, "longer name")], "id int, name string"), name, "id INT, name VARCHAR(20)", root)
+    assert longer.first()["name"] == "longer name"
+
+
+def test_an_empty_replacement(spark, place):
+    name, root = place
+    replace_table(spark.createDataFrame([(1, "a")], "id int, name string"), name, DDL, root)
+    assert replace_table(spark.table(name).where("false"), name, DDL, root).count() == 0
