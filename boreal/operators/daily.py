@@ -68,8 +68,19 @@ def add_batch(summary: DataFrame, name: str, batch: str) -> None:
         spark.catalog.dropTempView(view)
 
 
+def compact(spark: SparkSession, name: str, new_name: str, location: str) -> None:
+    """A copy of the table with one merged batch, under another name and folder: after many small batches readers
+    move on to it, and nothing of the old table is touched."""
+    station = next(t for c, t in spark.table(name).dtypes if c == "station")
+    buckets = int(next(r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r[0] == "Num Buckets"))
+    open_table(spark, new_name, location, buckets, station)
+    add_batch(daily_rows(spark, name), new_name, "compacted")
+
+
 def daily_rows(spark: SparkSession, name: str) -> DataFrame:
-    """The merged rows of the table: grouped inside its buckets."""
+    """The merged rows of the table, with batches that other sessions (a stream's, for one) have added by now: grouped
+    inside its buckets."""
+    spark.catalog.refreshTable(name)
     return merged(spark.table(name).drop("batch"))
 
 

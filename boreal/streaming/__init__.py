@@ -1,13 +1,15 @@
 """Readings arriving as files: the delimited scan as a Structured Streaming source.
 
-The reference has no streaming; this package adds no operator. It reads the same positional files
-with ``readStream`` so the single-aggregate readings jobs of ``boreal.operators.readings`` —
-``yearly_extrema``, ``monthly_exceedance_count``, ``station_monthly_mean`` and
-``station_monthly_mean_sumcount`` — run incrementally in ``complete`` mode, with the state and
-progress kept under the shared checkpoint folder. Structured Streaming rejects the others as
-streams: distinct counts (``monthly_exceedance_station_count``), chained aggregates
-(``yearly_argmax``, ``regional_monthly_mean``, the daily-total band join) and joins of two
-aggregated streams; run those as batch jobs over the same files.
+Two ways to keep the readings questions up to date while files arrive:
+
+* ``run_to_parquet`` runs a single-aggregate job of ``boreal.operators.readings`` (``yearly_extrema``,
+  ``monthly_exceedance_count``, ``station_monthly_mean``, ``station_monthly_mean_sumcount``) incrementally in ``complete`` mode,
+  with the state under the checkpoint folder. Structured Streaming rejects the other questions as streams: distinct
+  counts, chained aggregates and joins of two aggregated streams.
+* ``run_to_daily`` merges every micro-batch into a stored daily table (``boreal.operators.daily``), from which all
+  questions are answered at any time, those included: a day's total, the set of stations above a threshold and the maxima of both
+  sides of a join all follow from (station, day) rows. A micro-batch is a batch of that table under its own
+  number, so one that is run again after a failure replaces itself: every reading counts once.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from boreal.operators import daily
 from boreal.session import scratch_path
 
 
@@ -41,3 +44,14 @@ def run_to_parquet(result: DataFrame, path: str, checkpoint: str | None = None,
                                                                        "stream-ckpt")))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
+
+
+def run_to_daily(readings: DataFrame, table: str, checkpoint: str, threshold: float = 10.0, band: tuple[float, float] = (25.0, 30.0),
+                 available_now: bool = True, **columns: str) -> StreamingQuery:
+    """Merge a stream of readings into the daily table ``table`` (see ``daily.open_table``). ``checkpoint`` is the stream's
+    folder in shared storage: a query started again with it goes on where the last one ended."""
+    def merge(batch: DataFrame, epoch: int) -> None:
+        daily.add_batch(daily.summarise(batch, threshold, band, **columns), table, f"epoch-{epoch:012d}")
+
+    writer = readings.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from boreal import sinks
 from boreal.session import scratch_path
 from boreal.plans.inspect import plan_text
 from boreal.sinks import _ordered, to_lines, write_csv, write_delimited, write_text
@@ -38,10 +39,9 @@ def test_many_files_by_default(spark):
     files = _parts(path, ".txt")
     values = [int(x) for f in files for x in open(f).read().split()]
     assert values == list(range(500))  # file order follows the global order
-    # the rows are range-partitioned, never funnelled into one partition, unless one file is asked for
-    plan = plan_text(_ordered(df, ["k"], False))
+    # the rows are range-partitioned, never funnelled into one partition, also where one file is asked for
+    plan = plan_text(_ordered(df, ["k"]))
     assert "rangepartitioning" in plan and "SinglePartition" not in plan
-    assert "SinglePartition" in plan_text(_ordered(df, ["k"], True))
 
 
 @pytest.mark.parametrize("single_file", [True, False])
@@ -191,3 +191,45 @@ def test_an_empty_replacement(spark, place):
     name, root = place
     replace_table(spark.createDataFrame([(1, "a")], "id int, name string"), name, DDL, root)
     assert replace_table(spark.table(name).where("false"), name, DDL, root).count() == 0
+
+
+# ---- one file, written in parallel
+def test_one_file_is_written_by_many_tasks(spark):
+    n = 20000
+    df = spark.range(0, n, 1, 16).select((F.col("id") * 7919 % n).alias("k"), F.repeat(F.lit("x"), 20).alias("t"))
+    path = scratch_path(spark, "joined")
+    seen = {}
+    real = sinks.join_parts
+
+    def join(spark, parts, *rest):
+        seen["parts"] = len(glob.glob(f"{parts.replace('file:', '')}/part-*"))
+        return real(spark, parts, *rest)
+
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sinks.join_parts = join
+    try:
+        write_csv(df, path, sort_columns=[F.col("k").desc()], single_file=True)
+    finally:
+        sinks.join_parts = real
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    files = _parts(path, ".csv")
+    lines = open(files[0]).read().splitlines()
+    assert len(files) == 1 and seen["parts"] > 4 and lines[0] == "k,t"
+    assert [int(x.split(",")[0]) for x in lines[1:]] == list(range(n))[::-1]
+    again = spark.read.option("header", "true").csv(path)  # the reader checks the file's checksum, if any
+    assert again.count() == n and not glob.glob(path.replace("file:", "") + "-parts-*")
+
+
+def test_one_file_modes_and_nothing_to_write(spark):
+    path = scratch_path(spark, "modes")
+    one = spark.createDataFrame([(1, "a")], "k int, t string")
+    write_text(one, path, single_file=True)
+    with pytest.raises(ValueError, match="exists"):
+        write_text(one, path, single_file=True)
+    write_text(one.where("false"), path, single_file=True, mode="ignore")
+    assert [r.value for r in spark.read.text(path).collect()] == ["1;a"]
+    write_csv(one.where("false"), path, single_file=True, mode="overwrite")
+    assert open(_parts(path, ".csv")[0]).read() == "k,t\n"
+    write_csv(one.where("false"), path, single_file=True, mode="overwrite", header=False)
+    assert open(_parts(path, ".csv")[0]).read() == ""

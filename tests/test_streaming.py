@@ -1,11 +1,15 @@
 """Readings aggregations over a file stream equal the batch result on the same files."""
 
+import random
+import uuid
+
 import pytest
 
+from boreal.operators import daily as D
 from boreal.operators import readings as R
 from boreal.session import scratch_path
 from boreal.sources import TEMPERATURE_READINGS, read_delimited
-from boreal.streaming import read_delimited_stream, run_to_parquet
+from boreal.streaming import read_delimited_stream, run_to_daily, run_to_parquet
 from test_readings import TEMPERATURE_LINES
 
 
@@ -28,3 +32,57 @@ def test_stream_matches_batch(spark, tmp_path, job):
     want = sorted(tuple(r) for r in getattr(R, job)(batch).collect())
     got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert got == want
+
+
+def test_all_questions_follow_a_stream(spark, tmp_path):
+    """Distinct stations, daily totals and joins after several triggers, a restart and a repeated micro-batch."""
+    name = f"stream_daily_{uuid.uuid4().hex}"
+    src, checkpoint = tmp_path / "incoming", str(tmp_path / "checkpoint")
+    src.mkdir()
+    D.open_table(spark, name, str(tmp_path / "daily"), 4)
+    rnd = random.Random(4)
+    lines = [f"{rnd.choice(['a', 'b', 'c', 'd'])};2013-{rnd.choice(['06', '07'])}-{rnd.randrange(1, 9):02d};06:00:00;"
+             f"{rnd.randrange(0, 300) / 10};G" for _ in range(400)]
+
+    def arrive(k):
+        (src / f"part-{k:03d}.csv").write_text("\n".join(lines[k * 50:(k + 1) * 50]) + "\n")
+
+    def follow():
+        stream = read_delimited_stream(spark, str(src), TEMPERATURE_READINGS, max_files_per_trigger=1)
+        query = run_to_daily(stream, name, checkpoint)
+        query.awaitTermination(180)
+        assert query.exception() is None
+
+    def check():
+        batch = read_delimited(spark, str(src), TEMPERATURE_READINGS)
+        rows = D.daily_rows(spark, name)
+        wide = ((0.0, 100.0), (0.0, 1000.0))
+        for mine, direct in [
+                (D.monthly_exceedance_station_count(rows, 2013, 2013), R.monthly_exceedance_station_count(batch, 10.0, 2013, 2013)),
+                (D.extremes_band_join(rows, rows, *wide), R.extremes_band_join(batch, batch, *wide)),
+                (D.regional_monthly_mean(rows, batch.select("station").where("station < 'c'")),
+                 R.regional_monthly_mean(batch, batch.select("station").where("station < 'c'")))]:
+            a, b = (sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.select(*mine.columns).collect())
+                    for df in (mine, direct))
+            assert a == b and a
+
+    for k in range(4):
+        arrive(k)
+    follow()
+    check()
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 4  # a batch per trigger
+    for k in range(4, 8):
+        arrive(k)
+    follow()  # started again: goes on where it ended
+    check()
+    # the last micro-batch runs a second time, as after a failure before its commit
+    commits = sorted((tmp_path / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for f in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        f.unlink(missing_ok=True)
+    follow()
+    check()
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 8
+    D.compact(spark, name, f"{name}_whole", str(tmp_path / "whole"))
+    assert spark.sql(f"SHOW PARTITIONS {name}_whole").count() == 1
+    one, many = (sorted(map(str, D.daily_rows(spark, t).collect())) for t in (f"{name}_whole", name))
+    assert one == many
