@@ -174,6 +174,45 @@ def test_short_blocks_of_a_marked_article_stay():
     assert main_text(page) == " ".join(" ".join([*long, *cells, *short]).split())
 
 
+STORY = "<h1>A headline of some length</h1>" + "".join(f"<p>Paragraph {k} {'goes on with words ' * 20}</p>" for k in range(6))
+STORY_TEXT = " ".join(re.sub("<[^>]*>", " ", STORY).split())
+
+
+@pytest.mark.parametrize("inside, text", [
+    ('<p>The close: <span class="share-price">12 kr</span></p>', "The close: 12 kr"),
+    ('<table class="search-results"><tr><td>one</td><td>two</td></tr></table>', "one two"),
+    ('<blockquote class="related">Quoted</blockquote>', "Quoted"),
+    ('<div class="ad">Buy this now</div>', ""), ('<div class="newsletter-signup">Your address here</div>', ""),
+    ('<aside>Beside it</aside>', ""), ('<div hidden>Not seen</div>', "")])
+def test_names_inside_an_article(inside, text):
+    page = f"<body><nav>Menu</nav><article>{STORY}{inside}{STORY}</article><footer>Foot</footer></body>"
+    assert main_text(page) == " ".join(f"{STORY_TEXT} {text} {STORY_TEXT}".split())
+
+
+def test_a_story_beside_a_teaser():
+    teaser = "<article><h3><a href=x>Another story</a></h3><p>Read more</p></article>"
+    text = main_text(f"<body><nav>Menu</nav>{teaser}<div class=story>{STORY}</div><div class=comments><p>I say so</p></div></body>")
+    assert STORY_TEXT in text and "I say so" not in text
+    two = main_text(f"<article>{STORY}</article><div><a href=y>Link</a></div><article>{STORY}</article>")
+    assert two == f"{STORY_TEXT} {STORY_TEXT}"
+
+
+def test_the_ratio_decides_on_pages_that_mark_no_article(spark):
+    """The pages of the table, their article's tags replaced by a plain block."""
+    pages = [r["html"] for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()]
+    alike = sum(main_text(re.sub(r"(</?)article\b", r"\1div", h)) == main_text(h) for h in pages)
+    assert alike >= 0.95 * len(pages)
+
+
+@pytest.mark.parametrize("unit", ["<b>x</i>", "<i><div><b>x</i>", "<p>", "<li>x", "<div class=ad>", "<td>x", "</p>", "<a href=x>y"])
+def test_long_broken_pages_take_linear_time(unit):
+    import time
+
+    begin = time.time()
+    main_text("<div><i>" + unit * (1_000_000 // len(unit)))
+    assert time.time() - begin < 20
+
+
 def test_pages(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     html = {r["page_id"]: r["html"] for r in pages.collect()}
