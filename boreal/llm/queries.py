@@ -20,14 +20,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text; for the documents whose id is divisible by
-    100, also the number of documents within 7 bits of their fingerprint (themselves included)."""
+    100, also the number of documents within 32 bits of their fingerprint (themselves included)."""
     from boreal.llm.simhash import edited_fingerprints, within_radius
     from boreal.llm.storage import written
 
     prints = written(edited_fingerprints(documents(spark, sf_dir)), "fingerprints")
     asked = F.col("doc_id") % 100 == 0
-    found = within_radius(prints.filter(asked), prints, radius=7).withColumnRenamed("documents", "within_7_bits")
-    near = prints.filter(asked).select("doc_id", "fingerprint").join(found, "fingerprint").select("doc_id", "within_7_bits")
+    found = within_radius(prints.filter(asked), prints, radius=32).withColumnRenamed("documents", "within_32_bits")
+    near = prints.filter(asked).select("doc_id", "fingerprint").join(found, "fingerprint").select("doc_id", "within_32_bits")
     return prints.join(near, "doc_id", "left")
 
 

@@ -4,14 +4,16 @@ Method: the terms of a text are its overlapping pairs of words, A-Z lower-cased
 weighted by ``1 + ln(occurrences)``. Each term's 256-bit hash votes on signed bits; a fingerprint's bit
 is set where the weighted votes are above zero. Two fingerprints' likeness is the share of equal bits.
 
-Search: fingerprints within ``radius`` differ in at most ``radius`` bits, so of ``radius + 1`` blocks at
-least one is equal. Every distinct fingerprint is filed under each of its blocks (the permuted tables);
-a query meets only those that share a block with it, and a pair is counted in the first block it shares.
+Search: fingerprints are cut into blocks of hexadecimal digits, a table each. Two fingerprints within ``radius`` bits differ in at
+most ``radius // blocks`` bits of some block, so a query looks its blocks up with up to that many bits flipped, and everything
+within the radius is among what it meets in some table; whole fingerprints are compared then. There are enough blocks for two
+flips at most: 11 for 32 bits, a radius within which nearly all texts lie that differ in 2 % of their words (``tests/llm``). The
+tables hold numbers only; fingerprints are joined to the pairs that met.
 
 Scale: fingerprinting is a map over rows. For the edited texts of a document and its successor, rows are
 range-partitioned by id on quantiles of the ids (a bounded list); each range also receives the first row
 of the next range. Block tables hold distinct fingerprints with their number of documents, so a group of
-copies is one row.
+copies is one row. Fingerprints of unlike texts meet about once in a thousand.
 
 Edge cases: null and empty texts have no terms and the fingerprint of zeros; ties of votes leave a bit
 unset; repeated rows follow one another in the order of their text; a null id comes before all others; an
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boreal.llm.storage import shuffle_partitions
+from boreal.llm.storage import shuffle_partitions, written
 from boreal.llm.words import GOLDEN, mix, pair, word_hashes
 from boreal.llm.worker import claim
 
@@ -75,7 +78,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def _ranges(ids: DataFrame, ranges: int) -> list[int]:
     """First ids of at most ``ranges`` ranges of about equally many rows; the first is the smallest id."""
     found = ids.agg(F.min("id").alias("least"), F.percentile_approx(
-        "id", [k / ranges for k in range(1, ranges)], 100 * ranges).alias("cuts")).first()
+        "id", [k / ranges for k in range(1, ranges)], 10 * ranges).alias("cuts")).first()
     return [] if found.least is None else sorted({found.least, *(found.cuts or [])})
 
 
@@ -89,16 +92,18 @@ def with_successors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     known, last = np.array(cuts or [0], np.int64), max(len(cuts) - 1, 0)
 
     @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(known, ids.to_numpy(), "right") - 1)
+    def place_of(ids: pd.Series) -> pd.Series:
+        """Twice the range's number, one more for its first id."""
+        at = np.maximum(np.searchsorted(known, ids.to_numpy(), "right") - 1, 0)
+        return pd.Series(2 * at + (known[at] == ids.to_numpy()))
 
     def target(number: Column, tail: int) -> Column:
         return F.struct(number.cast("int").alias("range"), F.lit(tail).alias("tail"))
 
-    own = F.col("own")
+    own = F.shiftright("place", 1)
     before = F.when(own == 0, F.lit(last)).otherwise(own - 1)
-    return (source.withColumn("own", range_of("id"))
-            .withColumn("to", F.explode(F.when(F.col("id").isin(cuts), F.array(target(own, 0), target(before, 1)))
+    return (source.withColumn("place", place_of("id"))
+            .withColumn("to", F.explode(F.when(F.col("place") % 2 == 1, F.array(target(own, 0), target(before, 1)))
                                         .otherwise(F.array(target(own, 0)))))
             .select("to.range", "to.tail", "id", "text")
             .repartition(partitions, "range").sortWithinPartitions("range", "tail", "id", "text"))
@@ -138,29 +143,50 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
              "near_edited double, near_next double")
 
 
-def within_radius(queries: DataFrame, prints: DataFrame, radius: int = 7) -> DataFrame:
-    """For every distinct ``fingerprint`` of ``queries``: the number of documents of ``prints`` (rows with
-    a fingerprint) at most ``radius`` bits away, as (fingerprint, documents); itself included."""
-    width = BITS // 4 // (radius + 1)
-    if width < 4:
+DIGITS = BITS // 4
+MOST_FLIPS = 2
+
+
+def block_widths(radius: int) -> list[int]:
+    """Hexadecimal digits of every block: as few blocks as find the radius with MOST_FLIPS bits flipped."""
+    count = max(5, radius // (MOST_FLIPS + 1) + 1)  # a block is a number of at most 52 bits
+    if DIGITS // count < 4:
         raise ValueError(f"a radius of {radius} needs blocks of under 16 bits")
+    return [DIGITS // count + (k < DIGITS % count) for k in range(count)]
+
 
-    def tables(rows: DataFrame, *columns: str) -> DataFrame:
-        return rows.select("fingerprint", *columns, F.posexplode(F.array(*[
-            F.substring("fingerprint", 1 + k * width, width) for k in range(radius + 1)])).alias("table", "block"))
+def block_keys(fingerprint: Column, widths: list[int]) -> list[Column]:
+    """The number of the table and the block in one long, for every table."""
+    starts = [1 + sum(widths[:k]) for k in range(len(widths))]
+    return [F.conv(F.substring(fingerprint, a, w), 16, 10).cast("long") + (k << 56) for k, (a, w) in enumerate(zip(starts, widths))]
 
-    filed = tables(prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("documents")), "documents").alias("p")
-    asked = tables(queries.select("fingerprint").distinct()).alias("q")
-    a, b = F.col("q.fingerprint"), F.col("p.fingerprint")
 
-    def word(c: Column, k: int) -> Column:
+def flips(bits: int, most: int) -> list[int]:
+    """All numbers of ``bits`` bits with at most ``most`` of them set."""
+    return [sum(1 << b for b in chosen) for n in range(most + 1) for chosen in combinations(range(bits), n)]
+
+
+def within_radius(queries: DataFrame, prints: DataFrame, radius: int = 32) -> DataFrame:
+    """For every distinct ``fingerprint`` of ``queries``: the number of documents of ``prints`` (rows with
+    a fingerprint) at most ``radius`` bits away, as (fingerprint, documents); itself included where it is among them."""
+    widths = block_widths(radius)
+    most = radius // len(widths)
+    filed = written(prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("documents"))
+                    .withColumn("id", F.monotonically_increasing_id()), "distinct-prints")
+    asked = written(queries.select("fingerprint").distinct().withColumn("query", F.monotonically_increasing_id()), "asked-prints")
+    tables = filed.select("id", F.explode(F.array(*block_keys(F.col("fingerprint"), widths))).alias("key"))
+
+    def near(key: Column, width: int) -> Column:
+        masks = F.array(*[F.lit(m).cast("long") for m in flips(4 * width, most)])
+        return F.transform(masks, lambda m: key.bitwiseXOR(m))
+
+    probes = asked.select("query", F.explode(F.concat(*[
+        near(k, w) for k, w in zip(block_keys(F.col("fingerprint"), widths), widths)])).alias("key"))
+    met = probes.join(tables, "key").select("query", "id").distinct()
+    pairs = met.join(filed.select("id", F.col("fingerprint").alias("found"), "documents"), "id").join(asked, "query")
+
+    def word(c: str, k: int) -> Column:
         return F.conv(F.substring(c, 1 + 8 * k, 8), 16, 10).cast("long")
 
-    distance = sum((F.bit_count(word(a, k).bitwiseXOR(word(b, k))) for k in range(BITS // 32)), F.lit(0))
-    earlier = [F.substring(a, 1 + k * width, width) == F.substring(b, 1 + k * width, width) for k in range(radius)]
-    first = F.lit(True)
-    for k, same in enumerate(earlier):
-        first = first & ((F.col("p.table") <= k) | ~same)
-    return (asked.join(filed, (F.col("q.table") == F.col("p.table")) & (F.col("q.block") == F.col("p.block"))
-                       & first & (distance <= radius))
-            .groupBy(a.alias("fingerprint")).agg(F.sum("p.documents").alias("documents")))
+    distance = sum((F.bit_count(word("fingerprint", k).bitwiseXOR(word("found", k))) for k in range(BITS // 32)), F.lit(0))
+    return pairs.filter(distance <= radius).groupBy("fingerprint").agg(F.sum("documents").alias("documents"))
