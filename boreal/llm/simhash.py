@@ -182,7 +182,8 @@ def within_radius(queries: DataFrame, prints: DataFrame, radius: int = 32) -> Da
 
     probes = asked.select("query", F.explode(F.concat(*[
         near(k, w) for k, w in zip(block_keys(F.col("fingerprint"), widths), widths)])).alias("key"))
-    met = probes.join(tables, "key").select("query", "id").distinct()
+    # Catalyst's estimate does not see the explosion: neither side may be broadcast
+    met = probes.hint("merge").join(tables.hint("merge"), "key").select("query", "id").distinct()
     pairs = met.join(filed.select("id", F.col("fingerprint").alias("found"), "documents"), "id").join(asked, "query")
 
     def word(c: str, k: int) -> Column:
