@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boreal.llm.storage import shuffle_partitions, written
+from boreal.llm.storage import shuffle_partitions
 from boreal.llm.words import GOLDEN, mix, pair, word_hashes
 from boreal.llm.worker import claim
 
@@ -143,8 +143,10 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
              "near_edited double, near_next double")
 
 
-DIGITS = BITS // 4
+DIGITS, WORDS = BITS // 4, BITS // 64
 MOST_FLIPS = 2
+#: Bits of a key below the number of its table.
+KEY_BITS = 56
 
 
 def block_widths(radius: int) -> list[int]:
@@ -158,7 +160,16 @@ def block_widths(radius: int) -> list[int]:
 def block_keys(fingerprint: Column, widths: list[int]) -> list[Column]:
     """The number of the table and the block in one long, for every table."""
     starts = [1 + sum(widths[:k]) for k in range(len(widths))]
-    return [F.conv(F.substring(fingerprint, a, w), 16, 10).cast("long") + (k << 56) for k, (a, w) in enumerate(zip(starts, widths))]
+    return [F.conv(F.substring(fingerprint, a, w), 16, 10).cast("long") + (k << KEY_BITS) for k, (a, w) in enumerate(zip(starts, widths))]
+
+
+def block_distance(differ: list[Column], widths: list[int], k: int) -> Column:
+    """Differing bits inside block ``k``, given the exclusive or of two fingerprints as words of 64 bits."""
+    low = 4 * sum(widths[k + 1:])  # bits behind the block, counted from the last
+    mask = ((1 << 4 * widths[k]) - 1) << low
+    parts = [mask >> 64 * (WORDS - 1 - i) & (1 << 64) - 1 for i in range(WORDS)]
+    signed = [p - (1 << 64) if p >> 63 else p for p in parts]
+    return sum((F.bit_count(x.bitwiseAND(F.lit(m).cast("long"))) for x, m in zip(differ, signed) if m), F.lit(0))
 
 
 def flips(bits: int, most: int) -> list[int]:
@@ -171,23 +182,28 @@ def within_radius(queries: DataFrame, prints: DataFrame, radius: int = 32) -> Da
     a fingerprint) at most ``radius`` bits away, as (fingerprint, documents); itself included where it is among them."""
     widths = block_widths(radius)
     most = radius // len(widths)
-    filed = written(prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("documents"))
-                    .withColumn("id", F.monotonically_increasing_id()), "distinct-prints")
-    asked = written(queries.select("fingerprint").distinct().withColumn("query", F.monotonically_increasing_id()), "asked-prints")
-    tables = filed.select("id", F.explode(F.array(*block_keys(F.col("fingerprint"), widths))).alias("key"))
+    words = [F.conv(F.substring("fingerprint", 1 + 16 * i, 16), 16, -10).cast("long") for i in range(WORDS)]
+
+    def named(prefix: str) -> list[Column]:
+        return [w.alias(f"{prefix}{i}") for i, w in enumerate(words)]
+
+    keys = block_keys(F.col("fingerprint"), widths)
+    filed = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("documents"))
+    tables = filed.select(F.explode(F.array(*keys)).alias("key"), "documents", *named("p"))
 
     def near(key: Column, width: int) -> Column:
         masks = F.array(*[F.lit(m).cast("long") for m in flips(4 * width, most)])
         return F.transform(masks, lambda m: key.bitwiseXOR(m))
 
-    probes = asked.select("query", F.explode(F.concat(*[
-        near(k, w) for k, w in zip(block_keys(F.col("fingerprint"), widths), widths)])).alias("key"))
+    probes = queries.select("fingerprint").distinct().select(
+        F.explode(F.concat(*[near(k, w) for k, w in zip(keys, widths)])).alias("key"), *named("q"))
+    differ = [F.col(f"q{i}").bitwiseXOR(F.col(f"p{i}")) for i in range(WORDS)]
+    distance = sum((F.bit_count(x) for x in differ), F.lit(0))
+    # a pair counts in the first table in which it meets
+    first = F.coalesce(*[F.when(block_distance(differ, widths, k) <= most, F.lit(k)) for k in range(len(widths))])
     # Catalyst's estimate does not see the explosion: neither side may be broadcast
-    met = probes.hint("merge").join(tables.hint("merge"), "key").select("query", "id").distinct()
-    pairs = met.join(filed.select("id", F.col("fingerprint").alias("found"), "documents"), "id").join(asked, "query")
-
-    def word(c: str, k: int) -> Column:
-        return F.conv(F.substring(c, 1 + 8 * k, 8), 16, 10).cast("long")
-
-    distance = sum((F.bit_count(word("fingerprint", k).bitwiseXOR(word("found", k))) for k in range(BITS // 32)), F.lit(0))
-    return pairs.filter(distance <= radius).groupBy("fingerprint").agg(F.sum("documents").alias("documents"))
+    met = probes.hint("merge").join(tables.hint("merge"), (probes["key"] == tables["key"]) & (distance <= radius) & (
+        first == F.shiftright(tables["key"], KEY_BITS)))
+    text = F.lower(F.concat(*[F.lpad(F.hex(f"q{i}"), 16, "0") for i in range(WORDS)]))
+    return met.groupBy(*[f"q{i}" for i in range(WORDS)]).agg(F.sum("documents").alias("documents")).select(
+        text.alias("fingerprint"), "documents")
