@@ -37,9 +37,16 @@ def test_seeds_are_guaranteed():
     for a in range(0, 370, 7):
         part = sd.seeds(words[a:a + 23], 8, 16)[0]
         assert whole & set(part.tolist())
-    for a in range(0, 350):
-        at = sd.seeds(words[a:a + 50], 8, 16)[1]
-        assert at.max() + 8 - at.min() >= sd.MIN_SPAN
+
+
+def test_positions_pass_through_one_value():
+    x, starts = np.array([4, 9, 70_000, 1, 2, 3, 0]), np.array([0, 3, 6])
+    column = sd.packed(x, starts)
+    for cut in (column, column.slice(1), column.slice(0, 2), column.slice(3)):
+        values, count = sd.unpacked(cut)
+        assert values.tolist() == [v for b in cut for v in np.frombuffer(b.as_py(), "<i4").tolist()]
+        assert count.tolist() == [len(b.as_py()) // 4 for b in cut]
+    assert len(sd.rows_of([(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))])) == 0
 
 
 def planted():
@@ -78,6 +85,48 @@ def test_planted_passages(spark):
     assert len(cut[120].split()) == 17
 
 
+def test_recall_by_identity_and_length(spark):
+    """Passages with words replaced at random places, found over at least 80 % of their length."""
+    rnd = random.Random(1)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    own = lambda n: [rnd.choice(vocabulary) for _ in range(n)]
+    least = {(0.8, 100): 0.75, (0.8, 200): 0.75, (0.85, 60): 0.85, (0.85, 100): 0.9, (0.85, 200): 0.9, (0.9, 60): 0.95, (0.95, 60): 0.95}
+    rows, asked = [], {}
+    for identity, length in least:
+        for _ in range(40):
+            passage = own(length)
+            edited = list(passage)
+            for k in rnd.sample(range(length), round((1 - identity) * length)):
+                edited[k] = rnd.choice(vocabulary)
+            before, at = own(rnd.randrange(20, 200)), rnd.randrange(9, 20)
+            rows.append((len(rows), own(30) + passage + own(40)))
+            asked[len(rows)] = (identity, length, at, at + length)
+            rows.append((len(rows), before[:at] + edited + before[at:]))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(6)
+    covered = {}
+    for r in sd.passages(docs).collect():
+        _, _, a, b = asked[r["doc_id"]]
+        covered[r["doc_id"]] = covered.get(r["doc_id"], 0) + max(0, min(b, r["end"]) - max(a, r["begin"]))
+    found = {}
+    for i, (identity, length, _, _) in asked.items():
+        found.setdefault((identity, length), []).append(covered.get(i, 0) >= 0.8 * length)
+    recall = {c: sum(v) / len(v) for c, v in found.items()}
+    assert all(recall[c] >= least[c] for c in least), recall
+
+
+def test_a_source_of_very_many_passages(spark, monkeypatch):
+    """The chains of a text that all others repeat are asked for in several rows; its line stands many times in a document."""
+    monkeypatch.setattr(sd, "WISHES", 10)
+    rnd = random.Random(9)
+    own = lambda n: [f"v{rnd.randrange(10**6)}" for _ in range(n)]
+    licence = own(70)
+    rows = [(0, licence)] + [(i, own(5) + licence + own(3) + (licence if i % 7 == 0 else [])) for i in range(1, 120)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(5)
+    cut = {r["doc_id"]: r["text"].split() for r in sd.without_passages(docs, sd.passages(docs)).collect()}
+    # a copy of the whole double passage may take the words between along
+    assert cut[0] == licence and all(len(cut[i]) == 8 or i % 7 == 0 and len(cut[i]) == 5 for i in range(1, 120))
+
+
 def test_passages_whose_parts_stand_earlier_elsewhere(spark):
     rng = random.Random(23)
     own = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
