@@ -4,17 +4,19 @@ Method: a text's features are its overlapping 3- and 4-byte windows (lower case,
 ``BUCKETS`` buckets. The embedding of a text is the average of its buckets' vectors; a linear softmax
 over it gives one probability per language. Vectors and weights are trained together by stochastic
 gradient descent in numpy. On a part of the sample kept out of training the softmax is calibrated by one
-temperature (least log loss), and the confidence below which a prediction is rejected is the
-``reject_rate`` quantile of the calibrated confidence there, but at most 1.2 times the confidence of a blind guess: texts
-in several languages stay. A softmax is sure of texts in no learned language too; those go by familiarity, the
+temperature (least log loss). Two rules reject, both calibrated on that part. Confidence: below the ``reject_rate`` quantile of the
+calibrated confidence there, but never above 1.2 times the confidence of a blind guess; the quantile alone would throw out clean
+texts in two learned languages, which are rightly in doubt. So confidence removes only texts that say nothing, and the calibrated
+rejection of texts in no learned language, of which a softmax is often sure, is by familiarity: the
 average over a text's windows of the log of their bucket's share in the language that has most of it, against an
 equal share. The least familiarity lies halfway between the ``reject_rate`` quantile of the kept-out part and the
 median there with each text's own language left out.
 
-Scale: the classifier is fitted on at most ``per_language`` labelled documents of each language, drawn by
-a hash of the id (a documented bound; their features have bounded size, whatever the texts' length).
+Scale: the classifier is fitted on at most ``per_language`` labelled texts of each of the ``most_languages`` commonest languages
+(documented bounds: values of a dirty label column beyond are not learned), drawn by
+a hash of the text, copies counted once (their features have bounded size, whatever the texts' length).
 Prediction maps over all rows and whole texts; the folded model (buckets x languages) travels with the
-task. Nothing is shuffled but counts per language.
+task. Nothing is shuffled but hashes of the labelled texts, for their number, and the sample.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0 and rejected; null languages
 are not learned; with nothing to learn every text is ``und``; with under ``LEAST_TUNING`` kept-out texts no text is
@@ -86,13 +88,16 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def sample(labelled: DataFrame, per_language: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """(language, buckets, shares) of at most ``per_language`` documents of each language."""
-    counts = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
-    # rows are drawn by a hash of the id; a tenth more than needed, so that the bound is nearly met
+def sample(labelled: DataFrame, per_language: int, most_languages: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """(language, buckets, shares) of at most ``per_language`` distinct texts of each of the ``most_languages`` languages that
+    have most of them."""
+    labelled = labelled.withColumn("hash", F.xxhash64("text"))
+    counts = {r["lang"]: r["texts"] for r in labelled.select("lang", "hash").distinct().groupBy("lang").agg(
+        F.count(F.lit(1)).alias("texts")).orderBy(F.desc("texts"), "lang").limit(most_languages).collect()}
+    # texts are drawn by their hash; a tenth more than needed, so that the bound is nearly met
     share = F.create_map(*[F.lit(x) for kv in counts.items() for x in (kv[0], min(1.0, 1.1 * per_language / kv[1]))]) \
         if counts else F.create_map(F.lit(""), F.lit(0.0))
-    draw = F.pmod(F.xxhash64("id", F.lit("draw")), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64("hash", F.lit("draw")), F.lit(1 << 30)) / float(1 << 30)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("language_id")
@@ -111,6 +116,7 @@ def sample(labelled: DataFrame, per_language: int) -> list[tuple[str, np.ndarray
                                              names=["lang", "order", "buckets", "shares"])
 
     drawn = (labelled.withColumn("order", draw).filter(F.col("order") < share[F.col("lang")])
+             .groupBy("lang", "hash").agg(F.first("order").alias("order"), F.min("text").alias("text"))  # copies count once
              .select("lang", "order", "text").mapInArrow(features, "lang string, order double, buckets binary, shares binary"))
     taken: dict[str, list] = {}
     for lang, order, b, s in sorted(map(tuple, drawn.collect()), key=lambda r: (r[0], r[1], r[2])):
@@ -181,14 +187,15 @@ def familiarity(shares: np.ndarray) -> np.ndarray:
     return np.log(shares.max(axis=0, initial=0) * BUCKETS + 0.1).astype(np.float32)
 
 
-def train(labelled: DataFrame, per_language: int = 500, steps: int = 400, rate: float = 4.0,
+def train(labelled: DataFrame, per_language: int = 500, most_languages: int = 200, steps: int = 400, rate: float = 4.0,
           reject_rate: float = 0.001, seed: int = 7, doc_id: str = "doc_id", text: str = "text",
           lang: str = "lang") -> Model:
-    """Fit on at most ``per_language`` rows of each language of ``labelled``, in ``steps`` batches of 32."""
+    """Fit on at most ``per_language`` texts of each of at most ``most_languages`` languages of ``labelled``, in ``steps``
+    batches of 32."""
     source = labelled.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"),
                              F.col(f"`{lang}`").cast("string").alias("lang"))
     usable = source.filter(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return fit(sample(usable, per_language), steps, rate, reject_rate, seed)
+    return fit(sample(usable, per_language, most_languages), steps, rate, reject_rate, seed)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -100,10 +100,10 @@ def test_held_out_language_accuracy(spark, corpus):
 
 
 def test_language_sample_is_bounded_and_edges(spark, docs, empty):
-    many = spark.range(400).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "die der und ist das").otherwise(
-        "the and of this that").alias("text"), F.when(F.col("id") % 2 == 0, "de").otherwise("en").alias("lang"))
+    many = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.when(F.col("id") % 2 == 0, "die der und ist das ").otherwise(
+        "the and of this that "), "id").alias("text"), F.when(F.col("id") % 2 == 0, "de").otherwise("en").alias("lang"))
     usable = many.withColumnRenamed("doc_id", "id")
-    drawn = language_id.sample(usable, 20)
+    drawn = language_id.sample(usable, 20, 10)
     assert Counter(r[0] for r in drawn).keys() == {"de", "en"} and max(Counter(r[0] for r in drawn).values()) <= 20
     model = language_id.train(many, per_language=50)
     assert model.languages == ["de", "en"] and model.predict("das ist die")[0] == "de"
@@ -111,6 +111,14 @@ def test_language_sample_is_bounded_and_edges(spark, docs, empty):
     assert out[2]["lang_pred"] == out[3]["lang_pred"] == out[16]["lang_pred"] == "und" and not out[16]["accepted"]
     assert out[11]["lang_pred"] in model.languages and out[5]["score"] == out[20]["score"]
     assert language_id.predict(docs, model).columns == [c for c in docs.columns if c != "score"] + ["lang_pred", "score", "accepted"]
+    # rows of one id, copies of one text, and more labels than are learned
+    one = many.withColumn("doc_id", F.lit(7).cast("long"))
+    drawn = Counter(r[0] for r in language_id.sample(one.withColumnRenamed("doc_id", "id"), 20, 10))
+    assert drawn.keys() == {"de", "en"} and min(drawn.values()) >= 10 and max(drawn.values()) <= 20
+    copies = many.withColumn("text", F.when(F.col("lang") == "de", "die der und").otherwise(F.col("text")))
+    assert Counter(r[0] for r in language_id.sample(copies.withColumnRenamed("doc_id", "id"), 20, 10))["de"] <= 1
+    dirty = many.withColumn("lang", F.when(F.col("doc_id") < 300, F.col("lang")).otherwise(F.concat(F.lit("x"), "doc_id")))
+    assert language_id.train(dirty, per_language=50, most_languages=2).languages == ["de", "en"]
     nothing = language_id.train(empty)
     assert language_id.predict(docs, nothing).filter("lang_pred != 'und'").count() == 0
     assert language_id.predict(empty, model).count() == 0
