@@ -1,15 +1,16 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark, scored from memory-mapped arrays.
+"""Interpolated modified Kneser-Ney n-gram model, counted in Spark, scored from memory-mapped arrays.
 
-Method: the tokens of a text are its words and one end; the first is predicted after a begin mark. Spark
-counts the distinct bigrams (combined in each task before the shuffle, dealt out by their hash, so that a
-frequent word's bigrams spread), then per word its count, its continuations (distinct predecessors) and,
-as a context, its total and the number of followers seen once, twice and more. Both tables are stored as
+Method: the tokens of a text are its words and one end, after ``order - 1`` begin marks. Spark counts the distinct n-grams of
+``order`` tokens (combined in each task before the shuffle, dealt out by their hash, so that a frequent word's n-grams
+spread). Level by level these become the tables of shorter n-grams: an n-gram's number, its continuations (distinct
+tokens before it) and, as a context, its total and the number of followers seen once, twice and more. Tables are stored as
 sorted hash arrays, one set of files per bucket, in the shared folder; workers memory-map them and look
-tokens up by binary search. Discounts come from the counts of counts. The probability of a word after a
-context interpolates the discounted bigram with the discounted continuation unigram, and that with one
-over the vocabulary and one unknown word: all words' probabilities add up to one.
+n-grams up by binary search. Discounts come from the counts of counts of each level. The probability of a word after a
+context interpolates the discounted n-gram with the probability after the context without its first token, down to the
+discounted continuation unigram, and that with one over the vocabulary and one unknown word: all words' probabilities add up to one.
 
-Scale: tasks hold the distinct bigrams of one partition or bucket; only counts of counts (a few numbers
+Scale: tasks hold the distinct n-grams of one partition or bucket; words travel as 64-bit hashes, once per block, n-grams as
+numbers of words. Only counts of counts (a few numbers
 per bucket, added up by Spark) reach the driver. A lost task is redone: it writes its files under
 another name first and renames them. Files on a store that cannot be memory-mapped are copied once to a
 worker's own temporary folder, which is removed when the worker ends.
@@ -45,28 +46,38 @@ from boreal.llm.worker import claim, keep
 from boreal.session import checkpoint_root
 
 BEGIN, END = 1, 2
-HASH = np.uint64((1 << 48) - 1)  # words travel as 6 bytes
 BLOCK_CHARS = 4_000_000
 HELD_TOKENS = 2_500_000
 #: Estimated input per bucket (columns weigh by their declared types), so that a task that merges one stays small whatever the input.
 BUCKET_BYTES = 6 << 20
-#: Columns of the word table, after the hash.
-WORD_COLUMNS = ("count", "continuations", "total", "once", "twice", "more")
+#: Columns of the tables of shorter n-grams, after the hash.
+COLUMNS = ("count", "continuations", "total", "once", "twice", "more")
 
 
-def bigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts and tokens of the texts, and the number of tokens of each."""
+def ngrams(texts: list[str], order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The tokens of all n-grams of the texts, first to last, and the number of tokens of each text."""
     words, sizes = block_words(texts)
     ends = np.cumsum(sizes + 1) - 1
     token = np.empty(len(words) + len(texts), np.uint64)
     inner = np.ones(len(token), bool)
     inner[ends] = False
-    token[inner] = words & HASH
+    token[inner] = words
     token[ends] = END
-    context = np.empty_like(token)
-    context[1:] = token[:-1]
-    context[ends - sizes] = BEGIN
-    return context, token, sizes + 1
+    out = [token]
+    for _ in range(order - 1):  # the token before, a begin mark at the first of a text
+        before = np.empty_like(token)
+        before[1:] = out[0][:-1]
+        before[ends - sizes] = BEGIN
+        out.insert(0, before)
+    return out, sizes + 1
+
+
+def key_of(grams: list[np.ndarray]) -> np.ndarray:
+    """One hash of the tokens in order; a single token is its own."""
+    key = grams[0]
+    for g in grams[1:]:
+        key = pair(key, g)
+    return key
 
 
 def combined(keys: np.ndarray, columns: list[np.ndarray], added: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -80,18 +91,30 @@ def combined(keys: np.ndarray, columns: list[np.ndarray], added: int) -> tuple[n
     return keys[first], out
 
 
-def six(a: np.ndarray) -> bytes:
-    return a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def small(a: np.ndarray) -> np.ndarray:
+    most = int(a.max(initial=0))
+    return a.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64)
 
 
-def wide(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
+def written_numbers(a: np.ndarray) -> bytes:
+    """The numbers in as few bytes each as the greatest needs, after that number of bytes."""
+    a = small(a)
+    return bytes([a.itemsize]) + a.tobytes()
 
 
-def small(a: np.ndarray) -> np.ndarray:
-    return a.astype(np.uint32 if not len(a) or a.max() < 1 << 32 else np.uint64)
+def read_numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
+def written_grams(grams: list[np.ndarray]) -> tuple[bytes, bytes]:
+    """The distinct words of the n-grams, and the n-grams as numbers of words, column by column."""
+    words, numbers = np.unique(np.concatenate(grams), return_inverse=True)
+    return words.astype("<u8").tobytes(), written_numbers(numbers)
+
+
+def read_grams(words: bytes, numbers: bytes, length: int) -> np.ndarray:
+    """Rows of tokens, ``length`` of them."""
+    return np.frombuffer(words, "<u8")[read_numbers(numbers)].reshape(length, -1)
 
 
 def dealt(number: np.ndarray, columns: list[bytes | np.ndarray], buckets: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -164,32 +187,46 @@ class Tables:
 class Model:
     folder: str
     buckets: int
+    order: int
     tokens: int = 0
     vocabulary: int = 0
     continuations: int = 0
-    discounts: list[float] = field(default_factory=lambda: [0.0] * 4)  # of bigrams seen 0, 1, 2, 3+ times
-    word_discounts: list[float] = field(default_factory=lambda: [0.0] * 4)
+    #: Of each level from the words up: discounts of n-grams seen 0, 1, 2, 3+ times.
+    discounts: list[list[float]] = field(default_factory=list)
     word_rest: float = 1.0  # what the discounts take from the continuation unigram
 
-    def log_probabilities(self, context: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """log10 of the model's probability, log10 of the add-one unigram, and whether the token is known."""
-        keys = pair(context, token)
-        keys, first, back = np.unique(keys, return_index=True, return_inverse=True)
-        words, where = np.unique(np.concatenate([context[first], token[first]]), return_inverse=True)
+    def log_probabilities(self, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 of the model's probability of the n-grams' last tokens, log10 of the add-one unigram, and whether the token is
+        known."""
         tables = Tables.of(self.folder)
-        count, cont, total, once, twice, more = tables.rows("word", WORD_COLUMNS, words, self.bucket(words), self.buckets)
-        seen, = tables.rows("pair", ("count",), keys, self.bucket(keys), self.buckets)
-        d, e = np.array(self.discounts), np.array(self.word_discounts)
+        _, first, back = np.unique(key_of(grams), return_index=True, return_inverse=True)
+        grams = [g[first] for g in grams]
+        d = self.discounts or [[0.0] * 4] * self.order
+        words, v = np.unique(grams[-1], return_inverse=True)
+        count, cont = self.rows(tables, 1, COLUMNS[:2], words)
         unigram = np.full(len(words), self.word_rest / (self.vocabulary + 1))
         if self.continuations:
-            unigram += np.maximum(cont - e[np.minimum(cont, 3).astype(int)], 0) / self.continuations
-        u, v = where[:len(first)], where[len(first):]
-        of = np.maximum(total[u], 1)
-        rest = np.where(total[u] > 0, (d[1] * once[u] + d[2] * twice[u] + d[3] * more[u]) / of, 1.0)
-        p = np.maximum(seen - d[np.minimum(seen, 3).astype(int)], 0) / of + rest * unigram[v]
+            unigram += self.less(cont, d[0]) / self.continuations
+        p = unigram[v]
+        for level in range(2, self.order + 1):
+            gram = grams[-level:]
+            contexts, u = np.unique(key_of(gram[:-1]), return_inverse=True)
+            total, once, twice, more = self.rows(tables, level - 1, COLUMNS[2:], contexts)
+            keys, k = np.unique(key_of(gram), return_inverse=True)
+            seen, = self.rows(tables, level, ("count" if level == self.order else "continuations",), keys)
+            of = np.maximum(total, 1)
+            rest = np.where(total > 0, (d[level - 1][1] * once + d[level - 1][2] * twice + d[level - 1][3] * more) / of, 1.0)
+            p = self.less(seen, d[level - 1])[k] / of[u] + rest[u] * p
         base = np.log10((count[v] + 1) / (self.tokens + self.vocabulary + 1))
         return np.log10(p)[back], base[back], (count[v] > 0)[back]
 
+    @staticmethod
+    def less(seen: np.ndarray, discount: list[float]) -> np.ndarray:
+        return np.maximum(seen - np.array(discount)[np.minimum(seen, 3).astype(int)], 0)
+
+    def rows(self, tables: "Tables", level: int, columns: tuple[str, ...], keys: np.ndarray) -> list[np.ndarray]:
+        return tables.rows(f"grams{level}", columns, keys, self.bucket(keys), self.buckets)
+
     def bucket(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % self.buckets
 
@@ -221,91 +258,102 @@ def by_bucket(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]
         yield number, held
 
 
-def train(docs: DataFrame, text: str = "text") -> Model:
-    """Counts all rows of ``docs`` and writes the model's files to the shared folder."""
+def train(docs: DataFrame, order: int = 3, text: str = "text") -> Model:
+    """Counts all rows of ``docs`` and writes the files of a model of n-grams of ``order`` tokens to the shared folder."""
+    if order < 2:
+        raise ValueError("a model needs n-grams of two tokens at least")
     spark = docs.sparkSession
-    folder = f"{checkpoint_root(spark).rstrip('/')}/boreal/bigrams-{uuid.uuid4().hex}"
+    folder = f"{checkpoint_root(spark).rstrip('/')}/boreal/ngrams-{uuid.uuid4().hex}"
     buckets = max(shuffle_partitions(spark), min(input_bytes(docs) // BUCKET_BYTES, 1 << 16))
     files, path = fs.FileSystem.from_uri(folder)
     files.create_dir(path)
-    model = Model(folder, buckets)
-    pair_schema = "bucket int, context binary, token binary, counts binary"
-    word_schema = "bucket int, word binary, columns binary, stats array<long>"
+    model = Model(folder, buckets, order)
+    schema = "bucket int, words binary, grams binary, columns array<binary>, stats array<long>"
+    names = ["bucket", "words", "grams", "columns", "stats"]
+
+    def rows(grams: list[np.ndarray], columns: list[np.ndarray], stats: list[int]) -> Iterator[pa.RecordBatch]:
+        """Distinct n-grams with their columns, a row per bucket; ``stats`` travel with the first."""
+        for b, part in dealt(model.bucket(key_of(grams)), [*grams, *columns], buckets):
+            words, numbers = written_grams(part[:len(grams)])
+            yield pa.RecordBatch.from_pydict({
+                "bucket": pa.array([b], pa.int32()), "words": [words], "grams": [numbers],
+                "columns": pa.array([[written_numbers(c) for c in part[len(grams):]]], pa.list_(pa.binary())),
+                "stats": pa.array([stats], pa.list_(pa.int64()))})
+            stats = [0] * len(stats)
 
-    def pack_pairs(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    def packed(held: list[list[np.ndarray]], level: int) -> list[np.ndarray]:
         columns = [np.concatenate(c) for c in zip(*held)]
         held.clear()
-        _, out = combined(pair(columns[0], columns[1]), columns, 1)
+        _, out = combined(key_of(columns[:level]), columns, len(columns) - level)
         return out
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("kneser_ney")
         held: list[list[np.ndarray]] = []
         size = 0
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            out = packed(held, order)
+            yield from rows(out[:order], out[order:], [])
+
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in blocks(texts, BLOCK_CHARS):
-                context, token, _ = bigrams(texts[a:b])
-                held.append([context, token, np.ones(len(token), np.int32)])
-                size += len(token)
-                if size > HELD_TOKENS:
-                    yield from emit(pack_pairs(held))
+                grams, _ = ngrams(texts[a:b], order)
+                held.append([*grams, np.ones(len(grams[0]), np.int32)])
+                size += len(grams[0])
+                if size > HELD_TOKENS * 2 // order:
+                    yield from emit()
                     size = 0
         if held:
-            yield from emit(pack_pairs(held))
-
-    def emit(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        order = np.argsort(columns[0])  # equal contexts side by side compress in the shuffle
-        columns = [c[order] for c in columns]
-        number = model.bucket(pair(columns[0], columns[1]))
-        for b, (context, token, counts) in dealt(number, columns, buckets):
-            yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array([b], pa.int32()), "context": [six(context)], "token": [six(token)],
-                "counts": [counts.astype("<u8").tobytes()]})
-
-    def merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, rows in by_bucket(batches):
-            context, token = (np.concatenate([wide(r[k]) for r in rows]) for k in ("context", "token"))
-            counts = np.concatenate([np.frombuffer(r["counts"], "<u8") for r in rows]).astype(np.int64)
-            keys, (context, token, counts) = combined(pair(context, token), [context, token, counts], 1)
-            store(folder, f"pair-{b}-key", keys)
-            store(folder, f"pair-{b}-count", small(counts))
-            one, none = np.ones_like(counts), np.zeros_like(counts)
-            columns = [np.concatenate(c) for c in (
-                (token, context), (counts, none), (one, none), (none, counts), (none, (counts == 1).astype(np.int64)),
-                (none, (counts == 2).astype(np.int64)), (none, (counts > 2).astype(np.int64)))]
-            words, sums = combined(columns[0], columns[1:], 6)
-            stats = times(counts)
-            for to, (word, *part) in dealt(model.bucket(words), [words, *sums], buckets):
-                yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array([to], pa.int32()), "word": [six(word)],
-                    "columns": [np.stack(part).astype("<u8").tobytes()], "stats": pa.array([stats], pa.list_(pa.int64()))})
-                stats = [0] * 4
-
-    def merge_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, rows in by_bucket(batches):
-            words = [wide(r["word"]) for r in rows]
-            columns = [np.frombuffer(r["columns"], "<u8").reshape(6, -1).astype(np.int64) for r in rows]
-            keys, sums = combined(np.concatenate(words), list(np.concatenate(columns, axis=1)), 6)
-            store(folder, f"word-{b}-key", keys)
-            for name, c in zip(WORD_COLUMNS, sums):
-                store(folder, f"word-{b}-{name}", small(c))
-            pairs = np.sum([r["stats"] for r in rows], axis=0).tolist()
-            cont = sums[1]
-            stats = pairs + times(cont) + [int((cont > 2).sum()), int(sums[0].sum()), int((cont > 0).sum()), int(cont.sum())]
-            yield pa.RecordBatch.from_pydict({"stats": pa.array([stats], pa.list_(pa.int64()))})
+            yield from emit()
+
+    def merge(level: int):
+        """Stores the n-grams of ``level`` tokens and gives those of one token less: their suffixes, and their contexts."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b, found in by_bucket(batches):
+                grams = np.concatenate([read_grams(r["words"], r["grams"], level) for r in found], axis=1)
+                columns = [np.concatenate([read_numbers(r["columns"][k]) for r in found]) for k in range(len(found[0]["columns"]))]
+                stats = np.sum([r["stats"] for r in found], axis=0, dtype=np.int64).tolist()
+                del found
+                keys, out = combined(key_of(list(grams)), [*grams, *columns], len(columns))
+                grams, columns = out[:level], out[level:]
+                store(folder, f"grams{level}-{b}-key", keys)
+                for name, c in zip(COLUMNS, columns):
+                    if name != "count" or level in (1, order):  # of the levels between only continuations are asked for
+                        store(folder, f"grams{level}-{b}-{name}", small(c))
+                value = columns[0] if level == order else columns[1]
+                stats = times(value) + stats
+                if level == 1:
+                    stats += [int((value > 2).sum()), int(columns[0].sum()), int((value > 0).sum()), int(value.sum())]
+                    yield pa.RecordBatch.from_pydict({"stats": pa.array([stats], pa.list_(pa.int64()))})
+                    continue
+                seen = value > 0  # others are contexts only
+                value, raw = value[seen], columns[0][seen]
+                one, none = np.ones_like(value), np.zeros_like(value)
+                tokens = [g[seen] for g in grams]
+                shorter = [np.concatenate([s, c]) for s, c in zip(tokens[1:], tokens[:-1])]
+                more = [np.concatenate(c) for c in (
+                    (raw, none), (one, none), (none, value), (none, (value == 1).astype(np.int64)),
+                    (none, (value == 2).astype(np.int64)), (none, (value > 2).astype(np.int64)))]
+                out = packed([[*shorter, *more]], level - 1)
+                yield from rows(out[:level - 1], out[level - 1:], stats)
+
+        return run
+
+    def in_buckets(df: DataFrame) -> DataFrame:
+        return df.repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
 
     source = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    counted = (source.mapInArrow(count, pair_schema).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-               .mapInArrow(merge_pairs, word_schema).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-               .mapInArrow(merge_words, "stats array<long>"))
+    counted = source.mapInArrow(count, schema)
+    for level in range(order, 0, -1):
+        counted = in_buckets(counted).mapInArrow(merge(level), schema if level > 1 else "stats array<long>")
     found = counted.select(F.posexplode("stats").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect()
     n = {r["k"]: r["n"] for r in found}
     if n:
-        model.discounts = discounts([n[k] for k in range(4)])
-        e = model.word_discounts = discounts([n[k] for k in range(4, 8)])
-        model.tokens, model.vocabulary, model.continuations = n[9], n[10], n[11]
-        model.word_rest = (e[1] * n[4] + e[2] * n[5] + e[3] * n[8]) / n[11]
+        model.discounts = [discounts([n[4 * level + k] for k in range(4)]) for level in range(order)]
+        e, (more, model.tokens, model.vocabulary, model.continuations) = model.discounts[0], [n[4 * order + k] for k in range(4)]
+        model.word_rest = (e[1] * n[0] + e[2] * n[1] + e[3] * more) / model.continuations
     return model
 
 
@@ -322,8 +370,8 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in batches:
             texts = batch.column(len(columns)).to_pylist()
             for a, b in blocks(texts, BLOCK_CHARS):
-                context, token, sizes = bigrams(texts[a:b])
-                p, base, known = model.log_probabilities(context, token)
+                grams, sizes = ngrams(texts[a:b], model.order)
+                p, base, known = model.log_probabilities(grams)
                 first = np.cumsum(sizes) - sizes
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(

@@ -90,7 +90,7 @@ def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = documents(spark, sf_dir).select("doc_id", "text")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(True))
-    model = kneser_ney.train(docs.filter(~held_out))
+    model = kneser_ney.train(docs.filter(~held_out), order=2)
     return kneser_ney.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score", "score")

@@ -265,45 +265,63 @@ def tokens(text):
     return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER)) + ["</s>"]
 
 
-def brute_model(texts):
-    pairs = Counter()
-    for t in texts:
-        w = ["<s>", *tokens(t)]
-        pairs.update(zip(w, w[1:]))
-    count, cont, followers = Counter(), Counter(), defaultdict(list)
-    for (u, v), c in pairs.items():
-        count[v] += c
-        cont[v] += 1
-        followers[u].append(c)
-    d = kneser_ney.discounts([sum(c == k for c in pairs.values()) for k in (1, 2, 3, 4)])
-    e = kneser_ney.discounts([sum(c == k for c in cont.values()) for k in (1, 2, 3, 4)])
-    total = sum(cont.values())
-    rest = sum(e[min(c, 3)] for c in cont.values()) / total
-
-    def p(u, v):
-        low = max(cont[v] - e[min(cont[v], 3)], 0) / total + rest / (len(count) + 1)
-        if u not in followers:
-            return low
-        n = sum(followers[u])
-        return max(pairs[u, v] - d[min(pairs[u, v], 3)], 0) / n + sum(d[min(c, 3)] for c in followers[u]) / n * low
+def brute_model(texts, order):
+    """(probability of a word after a context, token counts): tables of every level by plain counting."""
+    top = Counter()
+    for text in texts:
+        w = ["<s>"] * (order - 1) + tokens(text)
+        top.update(tuple(w[k:k + order]) for k in range(len(w) - order + 1))
+    levels, count = [top], Counter()
+    for gram, c in top.items():
+        count[gram[-1]] += c
+    while len(next(iter(levels[0]))) > 1:
+        levels.insert(0, Counter(gram[1:] for gram in levels[0]))  # distinct longer n-grams
+    d = [kneser_ney.discounts([sum(c == k for c in level.values()) for k in (1, 2, 3, 4)]) for level in levels]
+    followers = [defaultdict(list) for _ in levels]
+    for level, found in zip(levels, followers):
+        for gram, c in level.items():
+            found[gram[:-1]].append(c)
+
+    sums = [{u: (sum(c), sum(e[min(x, 3)] for x in c)) for u, c in found.items()} for e, found in zip(d, followers)]
+
+    def p(context, w, level=order):
+        if level == 0:
+            return 1 / (len(count) + 1)
+        context = tuple(context[len(context) - level + 1:])
+        lower = p(context, w, level - 1)
+        if context not in sums[level - 1]:
+            return lower
+        total, rest = sums[level - 1][context]
+        c = levels[level - 1][(*context, w)]
+        return max(c - d[level - 1][min(c, 3)], 0) / total + rest / total * lower
 
     return p, count
 
 
-def test_scores_against_brute_force(spark, corpus):
-    texts = {r["doc_id"]: r["text"] for r in corpus.collect()}
-    rows = queries.op8_kneser_ney(spark, SF_SMALL).collect()
-    held = {r["doc_id"]: r["held_out"] for r in rows}
-    p, count = brute_model([t for i, t in texts.items() if not held[i]])
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_scores_against_brute_force(spark, corpus, order):
+    texts = {r["doc_id"]: r["text"] for r in corpus.collect() if order == 2 or len(r["text"] or "") < 3000}
+    if order == 2:
+        rows = queries.op8_kneser_ney(spark, SF_SMALL).collect()
+        held = {r["doc_id"]: r["held_out"] for r in rows}
+    else:
+        held = {i: i % 7 == 2 for i in texts}
+        docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+        rows = kneser_ney.score(docs, kneser_ney.train(docs.filter("doc_id % 7 != 2"), order)).collect()
+    p, count = brute_model([t for i, t in texts.items() if not held[i]], order)
     n, v = sum(count.values()), len(count)
     for u in ["<s>", "the", "never seen"]:  # a distribution over the vocabulary and the unknown word
-        assert abs(sum(p(u, w) for w in [*count, "never seen either"]) - 1) < 1e-9
+        assert abs(sum(p(["<s>"] * (order - 2) + [u], w) for w in [*count, "never seen either"]) - 1) < 1e-9
     for r in rows:
         w = tokens(texts[r["doc_id"]])
-        assert r["n_tokens"] == len(w) and r["train_tokens"] == n and r["n_known"] == sum(count[x] > 0 for x in w)
+        assert r["n_tokens"] == len(w) and r["n_known"] == sum(count[x] > 0 for x in w)
         assert math.isclose(r["base_score"], sum(math.log10((count[x] + 1) / (n + v + 1)) for x in w), rel_tol=1e-9)
-        assert math.isclose(r["score"], sum(math.log10(p(a, b)) for a, b in zip(["<s>", *w], w)), rel_tol=1e-9)
-    assert sum(r["score"] for r in rows if r["held_out"]) > 0.98 * sum(r["base_score"] for r in rows if r["held_out"])
+        marked = ["<s>"] * (order - 1) + w
+        want = sum(math.log10(p(marked[k:k + order - 1], x)) for k, x in enumerate(w))
+        assert math.isclose(r["score"], want, rel_tol=1e-9)
+    if order == 2:
+        assert all(r["train_tokens"] == n for r in rows)
+        assert sum(r["score"] for r in rows if r["held_out"]) > 0.98 * sum(r["base_score"] for r in rows if r["held_out"])
 
 
 def test_scores_edges(spark, docs, empty):
