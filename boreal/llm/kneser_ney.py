@@ -273,6 +273,8 @@ def train(docs: DataFrame, order: int = 3, text: str = "text") -> Model:
 
     def rows(grams: list[np.ndarray], columns: list[np.ndarray], stats: list[int]) -> Iterator[pa.RecordBatch]:
         """Distinct n-grams with their columns, a row per bucket; ``stats`` travel with the first."""
+        side = np.argsort(grams[0], kind="stable")  # equal first tokens side by side compress in the shuffle
+        grams, columns = [g[side] for g in grams], [c[side] for c in columns]
         for b, part in dealt(model.bucket(key_of(grams)), [*grams, *columns], buckets):
             words, numbers = written_grams(part[:len(grams)])
             yield pa.RecordBatch.from_pydict({
