@@ -12,11 +12,11 @@ against mismatches grows. An aligned chain of at least ``min_words`` words, of w
 equal, is a passage; a chain that is none is split where it skips most words, and its parts are tried.
 
 Every exact repeat of ``min_words`` words is found: each of its runs of that length meets the run's first document.
-Passages with edits are found by the seeds between the edits: of 100 words or more, with the defaults, nearly all that are
-equal at 85 % of their words and about eight in ten at 80 %; of 60 words nearly all at 90 %, nine in ten at 85 % (``tests/llm`` measures it).
+Passages with edits are found by two seeds between the edits: of 100 words or more, with the defaults, nearly all that are
+equal at 85 % of their words and about nine in ten at 80 %; of 60 words nearly all at 90 %, three in four at 85 % (``tests/llm`` measures it).
 The earliest document that holds a passage never loses it.
 
-Scale: seeds are about an eighth of the words; runs are a row per word that is repeated, none elsewhere. Each
+Scale: seeds are about a sixth of the words; runs are a row per word that is repeated, none elsewhere. Each
 task matches the seeds of a batch, and the runs of a block, among themselves first and sends on only those of the batch's first document for each seed, so a passage that a third of all
 documents share is a few rows per batch in the shuffle, and a document has as many followers as a
 batch has rows and batches there are, never all pairs. Texts travel twice: to their repeated seeds and to their chains.
@@ -47,6 +47,8 @@ BLOCK_CHARS = 4_000_000
 MARGIN = 64
 #: Words of the matches between the selected seeds of a pair that has met.
 FINE = 4
+#: Share of equal words from which a chain needs no refining.
+SURE = 0.95
 #: Chains that one row asks of a document's text.
 WISHES = 1000
 Segment = tuple[int, int, int]  # first word, first word in the source, length
@@ -354,7 +356,7 @@ def window_places(docs: DataFrame, places: DataFrame, k: int, window: int, min_w
 
 
 def chained(found: DataFrame, k: int, window: int, min_words: int, gap_cost: float) -> DataFrame:
-    """(doc, src, begin, end, source_begin, source_end, segments) of every chain; rows of
+    """(doc, src, begin, end, source_begin, source_end, segments) of every chain of two seeds' words at least; rows of
     ``found`` are k words, or ``min_words`` where ``whole``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -379,6 +381,8 @@ def chained(found: DataFrame, k: int, window: int, min_words: int, gap_cost: flo
                 x, y = np.unique(np.stack([x, y]), axis=1)
             for chain in chains(segments(x, y, k, window), gap_cost):
                 (begin, source, _), (x1, y1, n) = chain[0], chain[-1]
+                if x1 + n - begin < 2 * k:  # a common phrase
+                    continue
                 out.append((int(doc[0]), int(src[0]), begin, x1 + n, source, y1 + n, np.array(chain, np.int64).tobytes()))
         columns = list(zip(*out)) if out else [()] * 7
         return pa.RecordBatch.from_arrays(
@@ -439,14 +443,19 @@ def aligned(chain_rows: DataFrame, docs: DataFrame, min_words: int, identity: fl
         a, b = np.frombuffer(one["words"], np.uint64), np.frombuffer(other["words"], np.uint64)
         dx, dy = one["shift"], other["shift"]
         whole = [(x - dx, y - dy, n) for x, y, n in np.frombuffer(one["segments"], np.int64).reshape(-1, 3).tolist()]
-        good, parts, tried = [], [refined(whole, a, b, gap_cost)], False
-        while parts or not (good or tried):
-            if not parts:
-                parts, tried = [whole], True
+        good = alike(whole, a, b)
+        if not good or min(p[4] for p in good) < SURE:
+            good = alike(refined(whole, a, b, gap_cost), a, b) or good
+        return [(one["doc"], p[0] + dx, p[1] + dx, one["src"], p[2] + dy, p[3] + dy, p[4]) for p in good]
+
+    def alike(chain: list[Segment], a: np.ndarray, b: np.ndarray) -> list[tuple]:
+        """The passages of a chain: itself, or those of its parts."""
+        good, parts = [], [chain]
+        while parts:
             chain = parts.pop()
             p = align(chain, a, b)
             if p[1] - p[0] >= min_words and p[4] >= identity:
-                good.append((one["doc"], p[0] + dx, p[1] + dx, one["src"], p[2] + dy, p[3] + dy, p[4]))
+                good.append(p)
             elif len(chain) > 1:
                 skipped = [t[0] - s[0] + t[1] - s[1] - 2 * s[2] for s, t in zip(chain, chain[1:])]
                 cut = skipped.index(max(skipped)) + 1
@@ -458,8 +467,8 @@ def aligned(chain_rows: DataFrame, docs: DataFrame, min_words: int, identity: fl
             .mapInArrow(meet, "doc_id long, begin long, end long, source_id long, source_begin long, source_end long, identity double"))
 
 
-def passages(docs: DataFrame, k: int = 6, window: int = 14, min_words: int = 50, identity: float = 0.8,
-             gap_cost: float = 0.1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def passages(docs: DataFrame, k: int = 6, window: int = 10, min_words: int = 50, identity: float = 0.8,
+             gap_cost: float = 0.03, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Passages [begin, end) of a document, in words, that stand in a source with a smaller id:
     (doc_id, begin, end, source_id, source_begin, source_end, identity)."""
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).filter(
