@@ -38,7 +38,6 @@ def integer_vectors(vectors: DataFrame, vec_id: str, embedding: str, dims: int,
     limit = math.isqrt((1 << 63) // (4 * dims)) - 1
     x = F.col(f"`{embedding}`").cast("array<double>")
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    # the size is asked first, again inside: a filter's parts have no fixed order
     kept = vectors.filter((F.size(x) == dims) & F.coalesce(finite, F.lit(False)))
     whole = F.transform(x, lambda c: F.when(F.abs(scale * c) <= limit, F.floor(scale * c).cast("int")).otherwise(
         F.raise_error(F.lit(f"a component is beyond {limit} / {scale}: distances would pass 64 bits")).cast("int")))
