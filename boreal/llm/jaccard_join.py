@@ -15,7 +15,8 @@ all documents, then by hash. Any order gives the same result; rare first keeps t
 bucket per ``SKETCH_BYTES`` of estimated input, 2^20 at least and 2^23 (32 MB) at most.
 
 Scale: equal sets are one set before anything is joined, and postings are combined in each task before the
-shuffle. A group with more tokens than ``OPEN_TOKENS`` is cut into blocks that are compared block by
+shuffle. The postings of a token that occurs in very many documents are cut into parts by set, and every part gets the list of
+the token's groups, so no task holds all of them. A group with more tokens than ``OPEN_TOKENS`` is cut into blocks that are compared block by
 block, so no task holds an unbounded group; inside, a set already linked to another through others is not
 compared with it again, so groups of near copies cost about one pass instead of all pairs. Links are
 those needed for the components, not all pairs.
@@ -47,6 +48,9 @@ SLICES = 16
 #: Bits of a group's number that hold the size band, and the size that bands are prepared for (in tokens).
 BAND, MOST_TOKENS = (1 << 16) - 1, 1 << 40
 OPEN_TOKENS = 2_000_000
+#: Documents of a token's bucket from which its postings are cut into parts, and the kinds of rows of a token.
+PART_POSTINGS = 100_000
+POSTING, OWN, MARK = 0, 1, 2
 BLOCK_CHARS = 4_000_000
 
 
@@ -101,6 +105,16 @@ def group_of(tokens: np.ndarray, weight: np.ndarray, popular: float, percent: in
     return least & ~np.uint64(BAND) | np.uint64(band(len(tokens), percent))
 
 
+def parts_of(tokens: np.ndarray, weight: np.ndarray, most: int) -> np.ndarray:
+    """Into how many parts of about ``most`` the postings of every token are cut: by the documents that its bucket occurs in."""
+    return (weight[bucket(tokens, len(weight))] // most + 1).astype(np.uint64)
+
+
+def part_name(tokens: np.ndarray, part: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """A token of its own for every part; a token of one part is its own name."""
+    return np.where(parts > 1, mix(tokens + part * GOLDEN), tokens)
+
+
 def document_sets(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
     """Rows (doc_id, n, set) of all documents, and how often each hash bucket occurs in their sets."""
     bits = min(MOST_BITS, max(LEAST_BITS, (input_bytes(docs) // SKETCH_BYTES).bit_length()))
@@ -149,6 +163,7 @@ def opened(docs: DataFrame, weight: np.ndarray, size: int, percent: int) -> Data
     # smaller sets link to equal ones only: one token more is too much
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
     partitions = shuffle_partitions(docs.sparkSession)
+    part_postings = PART_POSTINGS
     popular = 2 * float(weight.mean()) + 8  # well above what a bucket of rare tokens holds
     least_shared = np.array([shared(b, percent) for b in range(band(MOST_TOKENS, percent) + 1 if percent < 100 else 1)])
 
@@ -158,39 +173,56 @@ def opened(docs: DataFrame, weight: np.ndarray, size: int, percent: int) -> Data
             texts = batch.column("text").to_pylist()
             seen: set[bytes] = set()  # copies in this batch are posted once
             for a, b in blocks(texts, BLOCK_CHARS):
-                token, key, group, own = [], [], [], []
+                token, key, group, kind = [], [], [], []
                 for tokens in text_sets(texts[a:b], size):
                     if len(tokens) >= least and (k := set_key(tokens)) not in seen:
                         seen.add(k)
                         first = prefix(tokens, weight, percent)
                         g = group_of(tokens, weight, popular, percent)
-                        token.append(first)
-                        key.append(np.full(len(first), np.frombuffer(k, np.uint64)[0]))
-                        group.append(np.full(len(first), g))
-                        own.append(np.arange(len(first)) == 0)
+                        half = np.frombuffer(k, np.uint64)[0]
+                        parts = parts_of(first, weight, part_postings)
+                        token.append(part_name(first, half % parts, parts))
+                        kind.append(np.where(np.arange(len(first)) == 0, OWN, POSTING).astype(np.int8))
+                        hot = np.flatnonzero(parts > 1)
+                        if len(hot):  # every part of a frequent token knows the group
+                            every = np.repeat(hot, parts[hot].astype(np.int64))
+                            number = np.arange(len(every)) - np.repeat(np.cumsum(parts[hot]) - parts[hot], parts[hot].astype(np.int64))
+                            token.append(part_name(first[every], number.astype(np.uint64), parts[every]))
+                            kind.append(np.full(len(every), MARK, np.int8))
+                        n = len(token[-1]) + (len(first) if len(hot) else 0)
+                        key.append(np.concatenate([np.full(len(first), half), np.zeros(n - len(first), np.uint64)]))
+                        group.append(np.full(n, g))
                 if token:
+                    rows = [np.concatenate(c) for c in (token, group, key, kind)]
+                    extra = rows[3] == MARK
+                    if extra.any():  # once per part and group
+                        marks = np.unique(np.stack([c[extra] for c in rows[:2]]), axis=1)
+                        none = np.zeros(marks.shape[1], np.uint64)
+                        rows = [np.concatenate([c[~extra], m]) for c, m in zip(rows, (*marks, none, np.full(len(none), MARK, np.int8)))]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(c).view(np.int64)) for c in (token, group, key)] + [
-                            pa.array(np.concatenate(own))], names=["token", "group", "key", "own"])
+                        [pa.array(c.view(np.int64)) for c in rows[:3]] + [pa.array(rows[3])], names=["token", "group", "key", "kind"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by token, group and key: the matrix row of a token is its run of groups."""
+        """Rows come sorted by token, group and key: the matrix row of a token (or of a part of one) is its run of groups."""
         claim("jaccard_join")
-        held = None
+        held: list[list[np.ndarray]] = []  # of the last token, which may go on
         for batch in batches:
-            now = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("token", "group", "key", "own")]
-            if held is not None:
-                now = [np.concatenate(c) for c in zip(held, now)]
-            cut = np.searchsorted(now[0], now[0][-1])  # the last token may go on
-            held = [c[cut:] for c in now]
-            if cut:
-                yield from visits(*[c[:cut] for c in now])
-        if held is not None:
-            yield from visits(*held)
-
-    def visits(token: np.ndarray, group: np.ndarray, key: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
-        fresh = np.concatenate([[True], (token[1:] != token[:-1]) | (key[1:] != key[:-1]) | (group[1:] != group[:-1])])
-        token, group, key, own = token[fresh], group[fresh], key[fresh], own[fresh]
+            if not batch.num_rows:
+                continue
+            now = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("token", "group", "key", "kind")]
+            if held and held[-1][0][-1] != now[0][-1] or not held and now[0][0] != now[0][-1]:
+                cut = np.searchsorted(now[0], now[0][-1])
+                yield from visits(*[np.concatenate(c) for c in zip(*held, [c[:cut] for c in now])])
+                held, now = [], [c[cut:] for c in now]
+            held.append(now)
+        if held:
+            yield from visits(*[np.concatenate(c) for c in zip(*held)])
+
+    def visits(token: np.ndarray, group: np.ndarray, key: np.ndarray, kind: np.ndarray) -> Iterator[pa.RecordBatch]:
+        fresh = np.concatenate([[True], (token[1:] != token[:-1]) | (key[1:] != key[:-1]) | (group[1:] != group[:-1]) | (
+            (kind[1:] == MARK) != (kind[:-1] == MARK))])
+        token, group, key, kind = token[fresh], group[fresh], key[fresh], kind[fresh]
+        own, posting = kind == OWN, kind != MARK
         yield batch_of(group[own], key[own], 1, np.ones(int(own.sum()), np.int64))  # members
         new_token = np.concatenate([[True], token[1:] != token[:-1]])
         new_group = new_token | np.concatenate([[True], group[1:] != group[:-1]])
@@ -201,7 +233,7 @@ def opened(docs: DataFrame, weight: np.ndarray, size: int, percent: int) -> Data
             groups = group[a:b][new_group[a:b]]
             bands = groups & BAND
             for g, w in zip(groups.tolist(), bands.tolist()):  # sets of a lower group visit a higher one
-                near = (group[a:b] < g) & (np.abs((group[a:b] & BAND) - w) <= 1)
+                near = (group[a:b] < g) & posting[a:b] & (np.abs((group[a:b] & BAND) - w) <= 1)
                 if near.any():
                     k = key[a:b][near]
                     yield batch_of(np.full(len(k), g), k, 1, least_shared[np.minimum(group[a:b][near] & BAND, w)])
@@ -210,7 +242,7 @@ def opened(docs: DataFrame, weight: np.ndarray, size: int, percent: int) -> Data
         return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (group, key, np.full(len(key), found), least)],
                                           names=["group", "key", "shared", "least"])
 
-    postings = docs.select("text").mapInArrow(post, "token long, group long, key long, own boolean")
+    postings = docs.select("text").mapInArrow(post, "token long, group long, key long, kind byte")
     met = (postings.repartition(partitions, "token").sortWithinPartitions("token", "group", "key")
            .mapInArrow(meet, "group long, key long, shared long, least long"))
     return (met.groupBy("group", "key").agg(F.sum("shared").alias("shared"), F.max("least").alias("least"))

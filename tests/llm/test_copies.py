@@ -73,11 +73,13 @@ def brute_components(texts, size, percent):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("size,percent,open_tokens", [(4, 85, 2_000_000), (5, 80, 2_000_000), (2, 60, 700)])
-def test_similar_documents(spark, monkeypatch, size, percent, open_tokens):
-    """Chains of near copies, copies, short texts; also with groups cut into many blocks."""
+@pytest.mark.parametrize("size,percent,open_tokens,part_postings", [
+    (4, 85, 2_000_000, 100_000), (5, 80, 2_000_000, 3), (2, 60, 700, 100_000), (2, 60, 700, 5)])
+def test_similar_documents(spark, monkeypatch, size, percent, open_tokens, part_postings):
+    """Chains of near copies, copies, short texts; also with groups and tokens cut into many parts."""
     import random
 
+    monkeypatch.setattr(jaccard_join, "PART_POSTINGS", part_postings)
     monkeypatch.setattr(jaccard_join, "OPEN_TOKENS", open_tokens)
     rng = random.Random(size)
     texts = {}
