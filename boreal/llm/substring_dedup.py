@@ -30,6 +30,7 @@ read (``passages``) or pass through (``without_passages``).
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -118,6 +119,26 @@ def segments(x: np.ndarray, y: np.ndarray, k: int, window: int) -> list[Segment]
     return sorted(zip(x[first].tolist(), y[first].tolist(), (x[last] + k - x[first]).tolist()))
 
 
+def distinct_points(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    both = np.unique(x << 32 | y)
+    return both >> 32, both & 0xFFFFFFFF
+
+
+def run_points(x: np.ndarray, y: np.ndarray, k: int, window: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Matches of k words, at least every ``window`` words, that stand for matches of ``size`` words (x, y): those that
+    overlap on a diagonal are one run of equal words."""
+    order = np.lexsort((x, x - y))
+    x, shift = x[order], (x - y)[order]
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(shift) != 0) | (np.diff(x) > size)]))
+    last = np.append(first[1:], len(x)) - 1
+    begin, shift = x[first], shift[first]
+    length = x[last] + size - k - begin  # to the last match
+    count = length // window + 1
+    at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    points = np.concatenate([np.repeat(begin, count) + window * at, begin + length])
+    return points, points - np.concatenate([np.repeat(shift, count), shift])
+
+
 class PrefixMaxima:
     """Fenwick tree: greatest (score, index) among the first ranks."""
 
@@ -150,7 +171,7 @@ def chains(parts: list[Segment], gap_cost: float) -> list[list[Segment]]:
     for _, opens, i in events:
         x, y, n = parts[i]
         if opens:  # predecessors end before it in both documents
-            low = int(np.searchsorted(ends, y, "right"))
+            low = bisect_right(ends, y)
             best, j = tree.upto(low)
             best -= gap_cost * (x + y)
             score[i], before[i] = (n + best, j) if j >= 0 and best > 0 else (float(n), -1)
@@ -225,7 +246,7 @@ def refined(chain: list[Segment], a: np.ndarray, b: np.ndarray, gap_cost: float)
     x, y = (np.concatenate(c) for c in zip(*found))
     if not len(x):
         return chain
-    x, y = np.unique(np.stack([x, y]), axis=1)
+    x, y = distinct_points(x, y)
     return chains(segments(x, y, FINE, 1), gap_cost)[0]
 
 
@@ -375,10 +396,9 @@ def chained(found: DataFrame, k: int, window: int, min_words: int, gap_cost: flo
     def rows(groups: list[list[np.ndarray]]) -> pa.RecordBatch:
         out = []
         for doc, src, x, y, whole in groups:
-            if whole.any():  # equal words from end to end: a point at least every ``window`` words
-                more = np.append(np.arange(window, min_words - k, window), max(0, min_words - k))
-                x, y = (np.concatenate([c, (c[whole][:, None] + more).ravel()]) for c in (x, y))
-                x, y = np.unique(np.stack([x, y]), axis=1)
+            if whole.any():
+                x, y = (np.concatenate([c[~whole], more]) for c, more in zip((x, y), run_points(x[whole], y[whole], k, window, min_words)))
+                x, y = distinct_points(x, y)
             for chain in chains(segments(x, y, k, window), gap_cost):
                 (begin, source, _), (x1, y1, n) = chain[0], chain[-1]
                 if x1 + n - begin < 2 * k:  # a common phrase
@@ -404,8 +424,8 @@ def aligned(chain_rows: DataFrame, docs: DataFrame, min_words: int, identity: fl
 
     wishes = request("doc", 0, "begin", "end").union(request("src", 1, "source_begin", "source_end"))
     # a source of many chains is asked for in several rows of about WISHES each, every one with its text
-    many = wishes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > WISHES).select(
-        "doc_id", F.ceil(F.col("n") / WISHES).alias("parts"))
+    many = written(wishes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > WISHES).select(
+        "doc_id", F.ceil(F.col("n") / WISHES).alias("parts")), "many-chains")  # written, so that its size is known
     part = F.pmod(F.xxhash64("wish.doc", "wish.begin", "wish.source_begin"), F.coalesce("parts", F.lit(1)))
     wishes = (wishes.join(many, "doc_id", "left").groupBy("doc_id", part.alias("part"))
               .agg(F.collect_list("wish").alias("wishes")))

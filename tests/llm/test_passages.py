@@ -49,6 +49,19 @@ def test_positions_pass_through_one_value():
     assert len(sd.rows_of([(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))])) == 0
 
 
+def test_runs_become_points():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        starts = [(int(a), int(b), int(n)) for a, b, n in zip(rng.integers(0, 500, 4), rng.integers(0, 500, 4), rng.integers(1, 200, 4))]
+        pairs = sorted({(a + i, b + i) for a, b, n in starts for i in range(n) if rng.random() < 0.9})
+        x, y = (np.array(c) for c in zip(*pairs))
+        covered = {(int(a) + i, int(b) + i) for a, b in pairs for i in range(50)}
+        px, py = sd.run_points(x, y, 6, 12, 50)
+        assert {(int(a) + i, int(b) + i) for a, b in zip(px, py) for i in range(6)} <= covered
+        whole = {(s[0] + i, s[1] + i) for s in sd.segments(*sd.distinct_points(px, py), 6, 12) for i in range(s[2])}
+        assert whole == covered
+
+
 def planted():
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
