@@ -13,10 +13,10 @@ equal, is a passage; a chain that is none is split where it skips most words, an
 
 Every exact repeat of ``min_words`` words is found: each of its runs of that length meets the run's first document.
 Passages with edits are found by two seeds between the edits: of 100 words or more, with the defaults, nearly all that are
-equal at 85 % of their words and about nine in ten at 80 %; of 60 words nearly all at 90 %, three in four at 85 % (``tests/llm`` measures it).
+equal at 85 % of their words and about eight in ten at 80 %; of 60 words nearly all at 90 %, half at 85 % (``tests/llm`` measures it).
 The earliest document that holds a passage never loses it.
 
-Scale: seeds are about a sixth of the words; runs are a row per word that is repeated, none elsewhere. Each
+Scale: seeds are about a seventh of the words; runs are a row per word that is repeated, none elsewhere. Each
 task matches the seeds of a batch, and the runs of a block, among themselves first and sends on only those of the batch's first document for each seed, so a passage that a third of all
 documents share is a few rows per batch in the shuffle, and a document has as many followers as a
 batch has rows and batches there are, never all pairs. Texts travel twice: to their repeated seeds and to their chains.
@@ -487,7 +487,7 @@ def aligned(chain_rows: DataFrame, docs: DataFrame, min_words: int, identity: fl
             .mapInArrow(meet, "doc_id long, begin long, end long, source_id long, source_begin long, source_end long, identity double"))
 
 
-def passages(docs: DataFrame, k: int = 6, window: int = 10, min_words: int = 50, identity: float = 0.8,
+def passages(docs: DataFrame, k: int = 6, window: int = 12, min_words: int = 50, identity: float = 0.8,
              gap_cost: float = 0.03, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Passages [begin, end) of a document, in words, that stand in a source with a smaller id:
     (doc_id, begin, end, source_id, source_begin, source_end, identity)."""
