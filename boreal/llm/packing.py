@@ -40,8 +40,8 @@ JOINED = 300  # chunks encoded in one call
 #: White space of both Python and the tokenizer's pattern; other kinds stay inside a chunk.
 SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-#: Capitals that have no composed form with a mark that their small letters compose with.
-MARKED = re.compile(r"[HJTWY](?=[^\x00-\x7F])\W")
+#: Marks that compose with a small letter (h, j, t, w or y) but not with its capital.
+MARKS = "\u0308\u030a\u030c\u0331\u0344"
 STOPS = ".,;:!?"
 
 
@@ -92,7 +92,7 @@ class WordCodec:
 
     @staticmethod
     def chunks(text: str) -> list[str]:
-        if text.isascii() or not MARKED.search(text):
+        if text.isascii() or not any(m in text for m in MARKS):
             text = text.encode().lower().decode()  # A-Z only: fewer distinct chunks
         return SPACE.split(text.strip(" \t\n\r\x0b\x0c")) if OTHER_SPACE.search(text) else text.split()
 

@@ -143,7 +143,7 @@ def test_ids_of_random_strings_equal_the_library(words):
     import random
 
     rnd = random.Random(3)
-    some = list("İIıiSsßΣσςǰŉÅé漢가ﬁ٣७2 .,;:!?'\"-\u0307\u0301\u0345\u200d\u00a0\u2003\u0085\n\t")
+    some = list("İIıiSsßΣσςǰŉÅé漢가ﬁ٣७2 .,;:!?'\"-\u0307\u0301\u0345\u0308\u030a\u030c\u0331\u0344HJTWYhjtwy\u200d\u00a0\u2003\u0085\n\t")
     plain = ["GAZİ", "word", "Straße", "don't", "İ", "J\u030c", "e\u0301"]
     texts = ["GAZİ. b", "İ.", "aİ, b"]
     for _ in range(10_000):
