@@ -71,7 +71,8 @@ class WordCodec:
 
     def _segment(self, chunks: list[str]) -> list[list[int]]:
         """A chunk that ends in a letter and one stop is its base and the stop: bases are encoded once."""
-        bases = [c[:-1] if c[-1] in STOPS and c[-2:-1].isalpha() and self._parts(c[-2]) else c for c in chunks]
+        parted = {x for x in {c[-2:-1] for c in chunks if c[-1] in STOPS} if x.isalpha() and self._parts(x)}
+        bases = [c[:-1] if c[-1] in STOPS and c[-2:-1] in parted else c for c in chunks]
         new = list(set(bases).difference(self.table.row))
         ids: dict[str, list[int]] = {}
         for k in range(0, len(new), JOINED):
@@ -92,7 +93,9 @@ class WordCodec:
 
     @staticmethod
     def chunks(text: str) -> list[str]:
-        if text.isascii() or not any(m in text for m in MARKS):
+        if text.isascii():
+            text = text.lower()
+        elif not any(m in text for m in MARKS):
             text = text.encode().lower().decode()  # A-Z only: fewer distinct chunks
         return SPACE.split(text.strip(" \t\n\r\x0b\x0c")) if OTHER_SPACE.search(text) else text.split()
 
