@@ -33,12 +33,11 @@ from pyspark.sql import functions as F
 from boreal.functions.calendar import circular_hour_distance, seasonal_day_distance
 from boreal.functions.geo import EARTH_RADIUS_KM, haversine_km
 from boreal.functions.kernels import gaussian_kernel
-from boreal.operators.joins import staged
 from boreal.operators.forecast import H_DATE, H_DISTANCE, H_TIME, LOOKBACK_DAYS
+from boreal.operators.joins import staged
 
+#: Per station, date and hour: readings, sum and sum of sizes; the same weighted by season.
 SUMS = ("n", "s", "a", "yn", "ys", "ya")
-
-
 #: -ln of the smallest positive double, rounded up: beyond sqrt(ZERO * h) a weight is 0.
 ZERO = 745.2
 
