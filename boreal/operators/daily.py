@@ -22,6 +22,8 @@ from boreal.operators.readings import sort_calendar_result
 
 MEASURES = {"n_readings": "BIGINT", "total": "DOUBLE", "low": "DOUBLE", "high": "DOUBLE", "n_above": "BIGINT",
             "high_in_band": "DOUBLE"}
+#: Readings of one bucket: at most as many rows, of which a task holds about 200 bytes each while it merges them.
+BUCKET_READINGS = 500_000
 
 
 def summarise(readings: DataFrame, threshold: float = 10.0, band: tuple[float, float] = (25.0, 30.0), *, station: str = "station",
@@ -42,9 +44,15 @@ def merged(rows: DataFrame) -> DataFrame:
         F.max("high").alias("high"), F.sum("n_above").alias("n_above"), F.max("high_in_band").alias("high_in_band"))
 
 
+def bucket_count(readings: int, least: int = 1) -> int:
+    """Buckets of a table for this many readings: a task sorts, merges and groups whole buckets, so their number, not their
+    size, grows with the table."""
+    return max(least, -(-readings // BUCKET_READINGS))
+
+
 def open_table(spark: SparkSession, name: str, location: str, buckets: int, station_type: str = "STRING") -> None:
     """Declare the daily table ``name`` over ``location``, a folder in shared storage; batches that are there already,
-    of an earlier session too, are found. ``buckets`` is fixed with the first batch: about one per 128 MB of rows expected."""
+    of an earlier session too, are found. ``buckets`` is fixed with the first batch: ``bucket_count`` of all readings expected."""
     measures = ", ".join(f"{c} {t}" for c, t in MEASURES.items())
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (station {station_type}, day DATE, {measures}, batch STRING) USING parquet "
               f"PARTITIONED BY (batch) CLUSTERED BY (station) SORTED BY (station, day) INTO {buckets} BUCKETS LOCATION '{location}'")

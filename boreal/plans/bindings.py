@@ -64,7 +64,7 @@ PART_TYPE = "ECONOMY"
 STATE_NATION = "nation_3"
 PARENT_MIN_SIZE = 5
 TARGET_YEAR, TARGET_H_DISTANCE, TARGET_TAIL = 2000, 2000.0, 1e-13
-DAILY_BUCKETS = 8
+DAILY_BUCKETS = 8  # at least
 DEFAULT_SHIPDATE = dt.datetime(1992, 1, 1)
 
 LI = dict(station="l_suppkey", date="l_shipdate")
@@ -230,7 +230,7 @@ def _daily(spark, d, readings: DataFrame, band, what: str) -> DataFrame:
     """The daily table of ``readings`` (station, date, value, part), stored in two batches that share days; the second
     is stored twice, as after a retry."""
     name = f"boreal_daily_{what}_{uuid.uuid4().hex}"
-    D.open_table(spark, name, scratch_path(spark, name), DAILY_BUCKETS, "BIGINT")
+    D.open_table(spark, name, scratch_path(spark, name), D.bucket_count(readings.count(), DAILY_BUCKETS), "BIGINT")
     for part in (0, 1, 1):
         D.add_batch(D.summarise(readings.where(F.col("part") == part), THRESHOLD, band), name, f"part-{part}")
     return D.daily_rows(spark, name)

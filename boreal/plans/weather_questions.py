@@ -55,7 +55,8 @@ def stage_daily(readings: DataFrame, band: tuple[float, float], name: str, path:
     """The readings as a stored daily table (``operators.daily``): one scan, and every question reads its rows."""
     spark = readings.sparkSession
     name = f"{name}_{uuid.uuid4().hex}"
-    D.open_table(spark, name, f"{path}-{name}", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = D.bucket_count(readings.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    D.open_table(spark, name, f"{path}-{name}", buckets)
     D.add_batch(D.summarise(readings, THRESHOLD, band), name, "all")
     return D.daily_rows(spark, name)
 

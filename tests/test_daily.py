@@ -106,3 +106,20 @@ def test_daily_rows_are_never_shuffled(spark, both):
 def test_an_empty_batch(spark):
     name, _ = store(spark, [("a", []), ("b", [("s", dt.date(2000, 1, 1), 11.0)])])
     assert [tuple(r) for r in D.daily_rows(spark, name).collect()] == [("s", dt.date(2000, 1, 1), 1, 11.0, 11.0, 11.0, 1, 11.0)]
+
+
+def test_buckets_grow_with_the_readings(spark, tmp_path, monkeypatch):
+    """No task holds more of the table because the table grows."""
+    from boreal.plans import bindings as B
+
+    rnd = random.Random(5)
+    rows = [(k, rnd.randrange(40), k % 3, float(rnd.randrange(50)), dt.datetime(1996, 1, 1) + dt.timedelta(days=rnd.randrange(60)))
+            for k in range(3000)]
+    spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double, l_shipdate timestamp_ntz") \
+        .write.parquet(str(tmp_path / "lineitem.parquet"))
+    plain = rows_of(B.daily_summary(spark, str(tmp_path)))
+    monkeypatch.setattr(D, "BUCKET_READINGS", 100)
+    made, open_table = [], D.open_table
+    monkeypatch.setattr(D, "open_table", lambda s, name, location, buckets, kind: (made.append(buckets), open_table(s, name, location, buckets, kind)))
+    assert rows_of(B.daily_summary(spark, str(tmp_path))) == plain and sum(r[2] for r in plain) == len(rows)
+    assert made == [30] and [D.bucket_count(n, 8) for n in (0, 800, 801, 3000)] == [8, 8, 9, 30]
