@@ -189,25 +189,40 @@ def chains(parts: list[Segment], gap_cost: float) -> list[list[Segment]]:
     return out
 
 
+def equal_start(a: np.ndarray, b: np.ndarray) -> int:
+    n = min(len(a), len(b))
+    other = np.flatnonzero(a[:n] != b[:n])
+    return int(other[0]) if len(other) else n
+
+
 def common(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence."""
+    """Length of the longest common subsequence; equal words at both ends belong to one."""
     if not len(a) or not len(b):
         return 0
+    if ends := equal_start(a, b):
+        a, b = a[ends:], b[ends:]
+    if last := equal_start(a[::-1], b[::-1]):
+        a, b, ends = a[:len(a) - last], b[:len(b) - last], ends + last
+    if not len(a) or not len(b):
+        return ends
     if len(a) > len(b):
         a, b = b, a
+    if len(a) == 1:
+        return ends + int((b == a[0]).any())
     row = np.zeros(len(b) + 1, np.int32)
     for w in a:
         row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == w)))
-    return int(row[-1])
+    return ends + int(row[-1])
 
 
 def reach(equal: np.ndarray) -> int:
     """How far to extend: where matches (+1) against mismatches (-2) score highest."""
-    if not len(equal):
-        return 0
-    score = np.cumsum(np.where(equal, 1, -2))
+    hits = equal.nonzero()[0]  # the highest score is at a match
+    if not len(hits) or len(hits) == len(equal):
+        return len(hits)
+    score = 3 * np.arange(1, len(hits) + 1) - 2 * (hits + 1)
     best = int(score.argmax())
-    return best + 1 if score[best] > 0 else 0
+    return int(hits[best]) + 1 if score[best] > 0 else 0
 
 
 def align(chain: list[Segment], a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, float]:
@@ -434,39 +449,42 @@ def aligned(chain_rows: DataFrame, docs: DataFrame, min_words: int, identity: fl
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring_dedup")
         for batch in batches:
-            out = []
-            for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wishes").to_pylist()):
-                words = word_hashes(text)
-                for w in wanted:
-                    shift = max(0, w["from"] - MARGIN)
-                    out.append((*(w[c] for c in key), w["side"], shift, w["segments"], words[shift:w["to"] + MARGIN].tobytes()))
-            columns = list(zip(*out)) if out else [()] * 8
-            kinds = [pa.int64()] * 4 + [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
-                                             names=[*key, "side", "shift", "segments", "words"])
+            wanted = batch.column("wishes")
+            wish = dict(zip((f.name for f in wanted.type.value_type), wanted.flatten().flatten()))
+            shift = np.maximum(0, wish["from"].to_numpy() - MARGIN)
+            spans = list(zip(shift.tolist(), (wish["to"].to_numpy() + MARGIN).tolist()))
+            parts, at = [], 0
+            for text, n in zip(batch.column("text"), wanted.value_lengths().to_pylist()):
+                words = word_hashes(text.as_py())
+                parts += [words[a:b].tobytes() for a, b in spans[at:at + n]]
+                at += n
+            yield pa.RecordBatch.from_arrays(
+                [*(wish[c] for c in key), wish["side"], pa.array(shift), wish["segments"], pa.array(parts, pa.binary())],
+                names=[*key, "side", "shift", "segments", "words"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
-                if row["side"] == 0:
+            for row in zip(*(batch.column(c).to_pylist() for c in (*key, "side", "shift", "segments", "words"))):
+                if row[4] == 0:
                     held = row
-                elif held and all(held[c] == row[c] for c in key):
+                elif held and held[:4] == row[:4]:
                     out += passages_of(held, row)
             columns = list(zip(*out)) if out else [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns[:6]] + [pa.array(columns[6], pa.float64())],
                 names=["doc_id", "begin", "end", "source_id", "source_begin", "source_end", "identity"])
 
-    def passages_of(one: dict, other: dict) -> list[tuple]:
-        a, b = np.frombuffer(one["words"], np.uint64), np.frombuffer(other["words"], np.uint64)
-        dx, dy = one["shift"], other["shift"]
-        whole = [(x - dx, y - dy, n) for x, y, n in np.frombuffer(one["segments"], np.int64).reshape(-1, 3).tolist()]
+    def passages_of(one: tuple, other: tuple) -> list[tuple]:
+        doc, src, _, _, _, dx, chain, words = one
+        dy = other[5]
+        a, b = np.frombuffer(words, np.uint64), np.frombuffer(other[7], np.uint64)
+        whole = [(x - dx, y - dy, n) for x, y, n in np.frombuffer(chain, np.int64).reshape(-1, 3).tolist()]
         good = alike(whole, a, b)
         if not good or min(p[4] for p in good) < SURE:
             good = alike(refined(whole, a, b, gap_cost), a, b) or good
-        return [(one["doc"], p[0] + dx, p[1] + dx, one["src"], p[2] + dy, p[3] + dy, p[4]) for p in good]
+        return [(doc, p[0] + dx, p[1] + dx, src, p[2] + dy, p[3] + dy, p[4]) for p in good]
 
     def alike(chain: list[Segment], a: np.ndarray, b: np.ndarray) -> list[tuple]:
         """The passages of a chain: itself, or those of its parts."""

@@ -240,3 +240,34 @@ def test_stages_on_nulls_in_every_column(spark, docs):
     for name, stage in corpus_pipeline.STAGES:
         rows = written(stage(spark, holes, SF_SMALL), "test")
         assert {r["doc_id"] for r in rows.collect()} >= {77}
+
+
+def test_gaps_cost_what_differs():
+    """The longest common subsequence of gaps that are equal at their ends is that of their middles."""
+    import time
+
+    import numpy as np
+
+    from boreal.llm.substring_dedup import common, reach
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for w in a:
+            before = row[:]
+            for j, v in enumerate(b):
+                row[j + 1] = before[j] + 1 if w == v else max(row[j], before[j + 1])
+        return row[-1]
+
+    rng = np.random.default_rng(1)
+    for _ in range(1500):
+        a, b = (rng.integers(0, rng.integers(2, 6), rng.integers(0, 11)).astype(np.uint64) for _ in range(2))
+        assert common(a, b) == plain(a.tolist(), b.tolist())
+        equal = rng.random(rng.integers(0, 12)) < rng.random()
+        scores = np.cumsum(np.where(equal, 1, -2)).tolist()
+        assert reach(equal) == (scores.index(max(scores)) + 1 if scores and max(scores) > 0 else 0)
+    long = np.arange(30_000).astype(np.uint64)
+    other = long.copy()
+    other[15_000] = 1 << 40
+    begun = time.process_time()
+    assert common(long, other) == 29_999
+    assert time.process_time() - begun < 0.3
