@@ -83,12 +83,17 @@ class ChunkTable:
 
 def blocks(values: Sequence[str], chars: int) -> list[tuple[int, int]]:
     """Ranges of consecutive texts with about ``chars`` characters each (a longer text alone)."""
+    return ranges([len(v) for v in values], chars)
+
+
+def ranges(sizes: Sequence[int], most: int) -> list[tuple[int, int]]:
+    """Ranges of consecutive sizes that add up to about ``most`` each (a greater one alone)."""
     out, begin, size = [], 0, 0
-    for i, v in enumerate(values):
-        if size and size + len(v) > chars:
+    for i, n in enumerate(sizes):
+        if size and size + n > most:
             out.append((begin, i))
             begin, size = i, 0
-        size += len(v)
-    if begin < len(values):
-        out.append((begin, len(values)))
+        size += n
+    if begin < len(sizes):
+        out.append((begin, len(sizes)))
     return out

@@ -7,7 +7,7 @@ goes on as a smaller document; a document longer than a whole sequence first fil
 
 Scale: a task tokenizes the rows it reads and packs them shard by shard (about ``shard_tokens`` tokens,
 whole documents), so memory is bounded, nothing is shuffled and ids never travel: a lost task is redone
-alone. Sequences of a shard are all full: what is left below one capacity is laid into sequences whose
+alone. A worker holds the texts of a block (``BLOCK_CHARS``) and the ids of ``KNOWN_CHUNKS`` distinct chunks. Sequences of a shard are all full: what is left below one capacity is laid into sequences whose
 lengths are powers of two, which need no padding. Sequence ids are unique (``partition * 2^36 + n``).
 
 Tokens: the ids of a ``tokenizers`` file without special tokens, then ``end_id``. White space never
@@ -28,15 +28,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boreal.llm.chunk_table import ChunkTable, blocks
+from boreal.llm.chunk_table import ChunkTable, ranges
 from boreal.llm.worker import claim, keep
 
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
 JOINED = 300  # chunks encoded in one call
+#: Distinct chunks a worker keeps: about 200 bytes each, whatever the number in the corpus.
+KNOWN_CHUNKS = 600_000
 #: White space of both Python and the tokenizer's pattern; other kinds stay inside a chunk.
 SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
@@ -55,7 +58,7 @@ class WordCodec:
             raise ValueError("this tokenizer keeps white space or case")
         self.stop = {c: self._ids(c) for c in STOPS}
         self.parted: dict[str, bool] = {}
-        self.table = ChunkTable(self._segment)
+        self.table = ChunkTable(self._segment, limit=KNOWN_CHUNKS)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -164,9 +167,9 @@ def pack(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, end_id: int
         sequence = TaskContext.get().partitionId() << 36
         shard, size = [], 0
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for a, b in blocks(texts, BLOCK_CHARS):
-                for i, tokens in zip(ids[a:b], c.encode(texts[a:b])):
+            for a, b in ranges(pc.utf8_length(batch.column("text")).to_pylist(), BLOCK_CHARS):
+                part = batch.slice(a, b - a)
+                for i, tokens in zip(part.column("doc_id").to_pylist(), c.encode(part.column("text").to_pylist())):
                     shard.append((i, np.append(tokens, end_id).astype("<u4")))
                     size += len(tokens) + 1
                 if size >= shard_tokens:

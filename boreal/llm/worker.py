@@ -9,6 +9,8 @@ from __future__ import annotations
 import gc
 from collections.abc import Callable
 
+import pyarrow as pa
+
 _owner: str | None = None
 _release: list[Callable[[], None]] = []
 
@@ -22,6 +24,7 @@ def claim(owner: str) -> None:
             _release.pop()()
         if kept:
             gc.collect()  # tables and their codecs refer to each other
+        pa.default_memory_pool().release_unused()
         _owner = owner
 
 

@@ -153,3 +153,13 @@ def test_ids_of_random_strings_equal_the_library(words):
     coded = packing.WordCodec(WORDS).encode(texts)
     for text, ids in zip(texts, coded):
         assert ids.tolist() == words.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_a_worker_keeps_few_chunks(words, monkeypatch):
+    """The table stays within its limit however many distinct chunks pass, and ids stay the library's."""
+    monkeypatch.setattr(packing, "KNOWN_CHUNKS", 100)
+    c = packing.WordCodec(WORDS)
+    for k in range(0, 900, 30):
+        texts = [f"new{i} word, and{i * i}. word" for i in range(k, k + 30)]
+        assert [g.tolist() for g in c.encode(texts)] == [words.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(c.table.row) <= 100 + 4 * 30
